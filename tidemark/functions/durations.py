@@ -33,4 +33,10 @@ def epoch_micros(ts: str | Column) -> Column:
 
 def bucket(ts: str | Column, width: str) -> Column:
     """Number of the epoch-aligned slot of ``width`` that holds ``ts``."""
-    return F.floor(epoch_micros(ts) / F.lit(micros(width))).cast("long")
+    return whole_part(epoch_micros(ts), micros(width))
+
+
+def whole_part(number: Column, width: int) -> Column:
+    """Floor division of integers, exact also below zero."""
+    step = F.lit(width).cast("long")
+    return ((number - F.pmod(number, step)) / step).cast("long")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.session import fresh_path
 
@@ -17,33 +17,33 @@ def latest_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFram
 
 
 class KeyedTable:
-    """Parquet table holding one row per key, versioned by write number.
+    """Parquet folder of per-batch changes; reading it yields one row per key.
 
-    Every upsert writes a full new version and only then moves the pointer, so a
-    failed write leaves the old version readable and a replayed one (same
-    ``version``) gives the same table.
+    A batch writes only its own newest rows, into a folder named after the batch
+    number, so a replayed batch replaces itself and the cost of a write does not
+    grow with the table. ``compact`` folds the changes into one folder.
     """
 
-    def __init__(self, spark: SparkSession, keys: list[str], order: list[str], path: str | None = None):
+    def __init__(
+        self, spark: SparkSession, keys: list[str], order: list[str], path: str | None = None
+    ):
         self.spark = spark
         self.keys = keys
         self.order = order
         self.path = path or fresh_path(spark, "keyed")
-        self.version = -1
 
-    def read(self, version: int | None = None) -> DataFrame:
-        number = self.version if version is None else version
-        return self.spark.read.parquet(f"{self.path}/version={number}")
-
-    def upsert(self, rows: DataFrame, version: int | None = None) -> None:
-        number = self.version + 1 if version is None else version
-        if number > 0:
-            rows = self.read(number - 1).unionByName(rows)
+    def upsert_batch(self, rows: DataFrame, batch_id: int) -> None:
+        """``foreachBatch`` target."""
         latest_per_key(rows, self.keys, self.order).write.mode("overwrite").parquet(
-            f"{self.path}/version={number}"
+            f"{self.path}/batch={batch_id}"
         )
-        self.version = number
 
-    def upsert_batch(self, rows: DataFrame, batch_id: int) -> None:
-        """``foreachBatch`` target; the batch number makes replays harmless."""
-        self.upsert(rows, batch_id)
+    def read(self) -> DataFrame:
+        changes = self.spark.read.parquet(self.path)
+        return latest_per_key(changes, self.keys, [*self.order, "batch"]).drop("batch")
+
+    def compact(self, path: str | None = None) -> KeyedTable:
+        """The same table as a single change in a folder of its own."""
+        folded = KeyedTable(self.spark, self.keys, self.order, path)
+        folded.upsert_batch(self.read(), -1)
+        return folded
