@@ -178,20 +178,15 @@ def running_distinct(
     just before the row they belong to, so no join on the row identity is needed.
     """
     order = list(sequence.order)
-    pick = F.max if sequence.descending else F.min
     markers = (
         df.where(F.col(value).isNotNull())
         .groupBy(*keys, value)
-        .agg(pick(F.struct(*order)).alias("_first"))
+        .agg(sequence.first_of(F.struct(*order)).alias("_first"))
         .select(*keys, *[F.col("_first")[c].alias(c) for c in order], F.lit(0).alias("_kind"))
     )
     both = df.withColumn("_kind", F.lit(1)).unionByName(markers, allowMissingColumns=True)
-    marker_first = replace(
-        sequence, order=(*order, "_marker_last" if sequence.descending else "_kind")
-    )
-    if sequence.descending:
-        both = both.withColumn("_marker_last", -F.col("_kind"))
-    counted = running(both, keys, marker_first, **{name: tally(F.col("_kind") == 0)})
+    with_kind = replace(sequence, order=(*order, "_kind"))
+    counted = running(both, keys, with_kind, **{name: tally(F.col("_kind") == 0)})
     return counted.where("_kind = 1").select(*df.columns, name)
 
 

@@ -7,7 +7,7 @@ from typing import Callable
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidemark.functions.durations import bucket, epoch_micros, micros
+from tidemark.functions.durations import bucket, epoch_micros, micros, whole_part
 from tidemark.operators.running import Sequence, running, tally
 
 
@@ -181,8 +181,8 @@ def moving(
     """
     numbered = running(df, keys, sequence, _nth=tally())
     place = F.col("_nth") - 1
-    own = F.floor(place / block).cast("long")
-    reach = F.floor((place + rows_before) / block).cast("long")
+    own = whole_part(place, block)
+    reach = whole_part(place + rows_before, block)
     blocks = numbered.withColumn("_own", own).withColumn("_block", F.explode(F.sequence(own, reach)))
     frame = (
         Window.partitionBy(*keys, "_block").orderBy("_nth").rowsBetween(-rows_before, 0)
