@@ -88,9 +88,13 @@ def process_window(
     For logic no mergeable aggregate can express. ``process`` gets columns
     ``window_start`` and ``window_end`` beside the row and must not hoard its input.
     """
+
+    def run(batches: Iterator[Frame]) -> Iterator[Frame]:
+        yield from process(batches)
+
     windowed = df.withColumn("_w", F.window(ts, size)).select(
         *df.columns,
         F.col("_w.start").alias("window_start"),
         F.col("_w.end").alias("window_end"),
     )
-    return windowed.groupBy(*keys, "window_start", "window_end").applyInPandas(process, schema)
+    return windowed.groupBy(*keys, "window_start", "window_end").applyInPandas(run, schema)

@@ -84,7 +84,7 @@ def tally(condition: Column | None = None, before: bool = False) -> Fold:
     """Number of rows so far, or of those that meet ``condition``."""
     one = F.lit(1).cast("long")
     lift = one if condition is None else F.when(condition, one).otherwise(F.lit(0).cast("long"))
-    return _merging(F.sum, lift, before)
+    return replace(_merging(F.sum, lift, before), finish=lambda c: F.coalesce(c, F.lit(0)))
 
 
 def highest(value: Column, before: bool = False) -> Fold:

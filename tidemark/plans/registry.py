@@ -163,7 +163,7 @@ DAY = 24 * HOUR
 def sql(body: str, **views: str) -> str:
     """A SQL statement that may read any of the views above, or extra ones given."""
     all_views = {**SQL_VIEWS, **views}
-    return "WITH " + ",\n".join(f"{n} AS ({q})" for n, q in all_views.items()) + "\n" + body
+    return "WITH RECURSIVE " + ",\n".join(f"{n} AS ({q})" for n, q in all_views.items()) + "\n" + body
 
 
 def plain(df: DataFrame) -> DataFrame:

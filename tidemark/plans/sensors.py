@@ -61,32 +61,31 @@ def rising_alarms(
     )
 
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current, armed = None, 0
+        armed = 0
         for batch in batches:
             hits = []
-            for row in batch.itertuples(index=False):
-                if (row.id, row.climb) != current:
-                    current, arms = (row.id, row.climb), True
-                else:
-                    arms = row.at > armed + wait
-                if arms:
+            for place, row in enumerate(batch.itertuples(index=False)):
+                if row.opens or row.at > armed + wait:
                     armed = row.at
                     if row.stop < 0 or row.stop > armed + wait:
-                        hits.append((row.id, row.climb, armed))
-            yield pd.DataFrame(hits, columns=["id", "_climb", "armed"])
+                        hits.append(place)
+            yield batch.iloc[hits][["id", "climb", "at"]]
 
-    kinds = {f.name: f.dataType.simpleString() for f in climbs.schema.fields}
+    kind = climbs.schema["id"].dataType.simpleString()
+    in_time = Window.partitionBy("id", "_climb").orderBy("_at")
     long = (
         climbs.where(long_climb)
+        .withColumn("_opens", F.row_number().over(in_time) == 1)
+        .sortWithinPartitions("id", "_climb", "_at")
         .select(
             "id",
             F.col("_climb").alias("climb"),
             F.col("_at").alias("at"),
+            F.col("_opens").alias("opens"),
             F.coalesce("_stop", F.lit(-1)).alias("stop"),
         )
-        .repartition("id", "climb")
-        .sortWithinPartitions("id", "climb", "at")
-        .mapInPandas(walk, f"id {kinds['id']}, _climb bigint, armed bigint")
+        .mapInPandas(walk, f"id {kind}, climb bigint, at bigint")
+        .select("id", F.col("climb").alias("_climb"), F.col("at").alias("armed"))
     )
     return short.unionByName(long).select(
         "id",
