@@ -33,8 +33,9 @@ class KeyedTable:
         self.path = path or fresh_path(spark, "keyed")
 
     def upsert_batch(self, rows: DataFrame, batch_id: int) -> None:
-        """``foreachBatch`` target."""
-        latest_per_key(rows, self.keys, self.order).write.mode("overwrite").parquet(
+        """``foreachBatch`` target; without an order a batch holds one row per key."""
+        newest = latest_per_key(rows, self.keys, self.order) if self.order else rows
+        newest.write.mode("overwrite").parquet(
             f"{self.path}/batch={batch_id}"
         )
 
