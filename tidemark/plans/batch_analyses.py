@@ -672,10 +672,7 @@ def _(t):
 # --- detections --------------------------------------------------------------------------------
 
 
-@query(
-    "m1_rising_alarms",
-    f"""SELECT id, armed AS armed_at, armed + {12 * HOUR} AS alarm_at FROM chain
-        WHERE stop IS NULL OR stop > armed + {12 * HOUR}""",
+CLIMB_VIEWS = dict(
     steps="""SELECT *, vc > coalesce(lag(vc) OVER (PARTITION BY id ORDER BY us, event_id), 0)
       AS rises FROM sensor""",
     climbs="""SELECT *, coalesce(sum(CASE WHEN rises THEN 0 ELSE 1 END) OVER (PARTITION BY id
@@ -690,6 +687,14 @@ def _(t):
         ON r.id = c.id AND r.climb = c.climb AND r.us > c.armed + {12 * HOUR}
       GROUP BY c.id, c.climb, c.stop, c.armed""",
 )
+
+
+@query(
+    "m1_rising_alarms",
+    f"""SELECT id, armed AS armed_at, armed + {12 * HOUR} AS alarm_at FROM chain
+        WHERE stop IS NULL OR stop > armed + {12 * HOUR}""",
+    **CLIMB_VIEWS,
+)
 def _(t):
     return sensors.rising_alarms(t.sensor(), IN_TIME, "12 hours")
 

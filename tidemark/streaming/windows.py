@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tidemark.functions.durations import micros
 from tidemark.operators.topn import top_n
 from tidemark.session import fresh_path
 from tidemark.streaming.drain import drain_batches
@@ -14,11 +15,8 @@ def tolerant(df: DataFrame, ts: str, out_of_order: str, lateness: str = "0 secon
 
     In update mode early results come out and are corrected until the allowance ends.
     """
-    delay = F.expr(f"INTERVAL {out_of_order} + INTERVAL {lateness}")
-    seconds = df.sparkSession.range(1).select(
-        (F.unix_micros(F.timestamp_micros(F.lit(0)) + delay)).alias("d")
-    ).first()["d"]
-    return df.withWatermark(ts, f"{seconds // 1000} milliseconds")
+    delay = micros(out_of_order) + micros(lateness)
+    return df.withWatermark(ts, f"{delay // 1000} milliseconds")
 
 
 def session_counts(
