@@ -23,7 +23,7 @@ from tidemark.operators.running import (
 from tidemark.operators.topn import top_n
 from tidemark.plans import ads, logins, orders, sensors, traffic
 from tidemark.plans.batch_rows import access_log
-from tidemark.plans.registry import DAY, HOUR, MINUTE, SECOND, Tables, query
+from tidemark.plans.registry import DAY, FAILED, HOUR, MINUTE, SECOND, VIEW, Tables, query
 
 # Event time with the event number as tie-break; one slice of a key is one day.
 IN_TIME = by_time("ts", "event_id", width="1 day")
@@ -142,7 +142,7 @@ def _(t):
     "SELECT event_id, row_number() OVER (ORDER BY event_id) AS cnt FROM pv",
 )
 def _(t):
-    return traffic.page_views_so_far(t.behavior(), ARRIVAL).select("event_id", "cnt")
+    return traffic.page_views_so_far(t.behavior(), ARRIVAL, view=VIEW).select("event_id", "cnt")
 
 
 @query(
@@ -153,12 +153,12 @@ def _(t):
          row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS n FROM pv)""",
 )
 def _(t):
-    return traffic.visitors_so_far(t.behavior(), ARRIVAL).select("event_id", "uv")
+    return traffic.visitors_so_far(t.behavior(), ARRIVAL, view=VIEW).select("event_id", "uv")
 
 
 @query("g7_page_views", "SELECT 'pv' AS key, count(*) AS cnt FROM pv")
 def _(t):
-    return traffic.page_views(t.behavior())
+    return traffic.page_views(t.behavior(), view=VIEW)
 
 
 @query("g8_count_by_key", "SELECT id, count(id) AS cnt FROM sensor GROUP BY id")
@@ -242,7 +242,7 @@ def _(t):
     f"SELECT item_id, {slot(HOUR)} + {HOUR} AS window_end, count(*) AS cnt FROM pv GROUP BY 1, 2",
 )
 def _(t):
-    views = t.behavior().where("behavior = 'pv'")
+    views = t.behavior().where(F.col("behavior") == VIEW)
     return windows.tumbling(views, ["item_id"], "ts", "1 hour", cnt=windows.count_of()).drop(
         "window_start"
     )
@@ -253,7 +253,7 @@ HOURLY = f"SELECT {slot(HOUR)} AS window_start, {slot(HOUR)} + {HOUR} AS window_
 
 @query("g15_hourly_page_views", HOURLY + "count(*) AS cnt FROM pv GROUP BY 1, 2")
 def _(t):
-    return traffic.hourly_page_views(t.behavior())
+    return traffic.hourly_page_views(t.behavior(), view=VIEW)
 
 
 @query(
@@ -261,14 +261,14 @@ def _(t):
 )
 def _(t):
     return distinct.windowed_distinct(
-        t.behavior().where("behavior = 'pv'"), "ts", "1 hour", "user_id"
+        t.behavior().where(F.col("behavior") == VIEW), "ts", "1 hour", "user_id"
     )
 
 
 @query("g17_hourly_visitors_approx", HOURLY + "true AS close FROM pv GROUP BY 1, 2")
 def _(t):
     """Estimates next to the exact numbers, within 5 percent (or 2 visitors)."""
-    views = t.behavior().where("behavior = 'pv'")
+    views = t.behavior().where(F.col("behavior") == VIEW)
     exact = distinct.windowed_distinct(views, "ts", "1 hour", "user_id", "exact")
     guess = distinct.windowed_approx(views, "ts", "1 hour", "user_id", 0.01, "guess")
     error = F.abs(F.col("guess") - F.col("exact"))
@@ -289,7 +289,7 @@ POSITION = """list_reduce(list_transform(string_split(CAST(user_id AS VARCHAR),
 )
 def _(t):
     return distinct.windowed_bitmap(
-        t.behavior().where("behavior = 'pv'"), "ts", "1 hour", "user_id"
+        t.behavior().where(F.col("behavior") == VIEW), "ts", "1 hour", "user_id"
     )
 
 
@@ -299,7 +299,7 @@ def _(t):
 )
 def _(t):
     return distinct.windowed_positions(
-        t.behavior().where("behavior = 'pv'"), "ts", "1 hour", "user_id"
+        t.behavior().where(F.col("behavior") == VIEW), "ts", "1 hour", "user_id"
     )
 
 
@@ -460,7 +460,7 @@ def _(t):
          AS n FROM (SELECT *, {slot(DAY)} AS w FROM pv))""",
 )
 def _(t):
-    return traffic.windowed_visitors_so_far(t.behavior(), ARRIVAL, "1 day").select(
+    return traffic.windowed_visitors_so_far(t.behavior(), ARRIVAL, "1 day", VIEW).select(
         "event_id", "window_start", "uv"
     )
 
@@ -501,7 +501,7 @@ def ranked(source: str, keys: str, size: int, slide: int, n: int) -> str:
 
 @query("i3_row_number", ranked("pv", "item_id", HOUR, HOUR, 10))
 def _(t):
-    views = t.behavior().where("behavior = 'pv'")
+    views = t.behavior().where(F.col("behavior") == VIEW)
     counts = windows.tumbling(views, ["item_id"], "ts", "1 hour", cnt=windows.count_of())
     return top_n(counts, ["window_end"], "cnt", ["item_id"], 10).drop("window_start")
 
@@ -511,7 +511,7 @@ def _(t):
 
 @query("j1_hot_items", ranked("pv", "item_id", HOUR, 5 * MINUTE, 3))
 def _(t):
-    return traffic.hot_items(t.behavior())
+    return traffic.hot_items(t.behavior(), view=VIEW)
 
 
 @query(
@@ -535,7 +535,7 @@ def _(t):
 
 @query("j5_hot_items_sql", ranked("pv", "item_id", HOUR, 5 * MINUTE, 3))
 def _(t):
-    return traffic.hot_items_sql(t.behavior())
+    return traffic.hot_items_sql(t.behavior(), view=VIEW)
 
 
 @query(
@@ -543,7 +543,7 @@ def _(t):
     "SELECT item_id, count(*) AS cnt FROM pv GROUP BY 1 ORDER BY cnt DESC, item_id",
 )
 def _(t):
-    views = t.behavior().where("behavior = 'pv'")
+    views = t.behavior().where(F.col("behavior") == VIEW)
     return (
         views.groupBy("item_id")
         .agg(F.count(F.lit(1)).alias("cnt"))
@@ -553,7 +553,7 @@ def _(t):
 
 # --- patterns --------------------------------------------------------------------------------
 
-FAIL = F.col("event_type") == "fail"
+FAIL = F.col("event_type") == FAILED
 CLICK = F.col("event_type") == "click"
 AFTER = "b.user_id = a.user_id AND b.us > a.us"
 
@@ -582,14 +582,14 @@ STRICT = """SELECT user_id, event_id AS first_id, next_id AS second_id FROM (
   WHERE event_type = '{first}' AND next_type = '{second}'"""
 
 
-@query("l2_strict_next", STRICT.format(first="click", second="fail"))
+@query("l2_strict_next", STRICT.format(first="click", second="error"))
 def _(t):
     return pairs(patterns.strict_next(t.logins(), ["user_id"], IN_TIME, CLICK, FAIL))
 
 
 NEAREST = """SELECT a.user_id, a.event_id AS first_id, min(b.event_id) AS second_id
   FROM logins a JOIN logins b ON b.user_id = a.user_id AND b.us > a.us
-  WHERE a.event_type = 'click' AND b.event_type = 'fail'
+  WHERE a.event_type = 'click' AND b.event_type = 'error'
   GROUP BY a.user_id, a.event_id, a.us"""
 
 
@@ -602,7 +602,7 @@ def _(t):
     "l4_followed_by_any",
     f"""SELECT a.user_id, a.event_id AS first_id, b.event_id AS second_id
         FROM logins a JOIN logins b ON {AFTER} AND b.us - a.us < {12 * HOUR}
-        WHERE a.event_type = 'click' AND b.event_type = 'fail'""",
+        WHERE a.event_type = 'click' AND b.event_type = 'error'""",
 )
 def _(t):
     return pairs(
@@ -617,7 +617,7 @@ def _(t):
         FROM numbered a JOIN numbered b ON a.user_id = b.user_id AND b.n - a.n BETWEEN 1 AND 2
         WHERE b.us - a.us < {24 * HOUR}""",
     numbered="""SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY us, event_id) AS n
-      FROM logins WHERE event_type = 'fail'""",
+      FROM logins WHERE event_type = 'error'""",
 )
 def _(t):
     found = patterns.times(t.logins(), ["user_id"], IN_TIME, FAIL, 2, 3, "24 hours")
@@ -648,7 +648,7 @@ def _(t):
 @query(
     "l7_match_projection",
     f"""SELECT user_id, first_id || '-->' || second_id AS message FROM (
-          {STRICT.format(first="fail", second="fail")} AND next_us - us < {6 * HOUR})""",
+          {STRICT.format(first="error", second="error")} AND next_us - us < {6 * HOUR})""",
 )
 def _(t):
     found = patterns.strict_next(t.logins(), ["user_id"], IN_TIME, FAIL, FAIL, "6 hours")
@@ -661,7 +661,7 @@ def _(t):
 @query(
     "l8_timed_out",
     f"""SELECT user_id, event_id FROM logins a WHERE event_type = 'click' AND NOT EXISTS (
-          SELECT 1 FROM logins b WHERE {AFTER} AND b.event_type = 'fail'
+          SELECT 1 FROM logins b WHERE {AFTER} AND b.event_type = 'error'
             AND b.us - a.us < {12 * HOUR})""",
 )
 def _(t):
@@ -742,20 +742,20 @@ def _(t):
     "m5_repeated_failures",
     f"""SELECT user_id, event_id, previous_us AS previous_ts FROM (
           SELECT *, lag(us) OVER (PARTITION BY user_id ORDER BY event_id) AS previous_us
-          FROM logins WHERE event_type = 'fail') WHERE abs(us - previous_us) <= {2 * HOUR}""",
+          FROM logins WHERE event_type = 'error') WHERE abs(us - previous_us) <= {2 * HOUR}""",
 )
 def _(t):
-    return logins.repeated_failures(t.logins(), ARRIVAL, "2 hours").select(
+    return logins.repeated_failures(t.logins(), ARRIVAL, "2 hours", FAILED).select(
         "user_id", "event_id", "previous_ts"
     )
 
 
 @query(
     "m6_consecutive_failures",
-    STRICT.format(first="fail", second="fail") + f" AND next_us - us < {2 * HOUR}",
+    STRICT.format(first="error", second="error") + f" AND next_us - us < {2 * HOUR}",
 )
 def _(t):
-    return pairs(logins.consecutive_failures(t.logins(), IN_TIME, "2 hours"))
+    return pairs(logins.consecutive_failures(t.logins(), IN_TIME, "2 hours", FAILED))
 
 
 @query(

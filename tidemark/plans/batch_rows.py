@@ -8,7 +8,7 @@ from tidemark import schemas
 from tidemark.functions import columns
 from tidemark.operators import accumulate, joins, routing
 from tidemark.operators.running import by_number
-from tidemark.plans.registry import Tables, query
+from tidemark.plans.registry import VIEW, Tables, query
 from tidemark.session import fresh_path
 from tidemark.sinks import files, keyed
 from tidemark.sources import lines, messages
@@ -60,8 +60,7 @@ def _(t):
     "a3_parse_behavior",
     "SELECT user_id, item_id, category_id, behavior, us // 1000000 AS ts FROM behavior",
     behavior="""SELECT user_id, CAST(k AS BIGINT) AS item_id, k % 10 AS category_id,
-      CASE event_type WHEN 'view' THEN 'pv' ELSE event_type END AS behavior, us, event_id
-      FROM ev""",
+      event_type AS behavior, us, event_id FROM ev""",
 )
 def _(t):
     rows = t.behavior().select(
@@ -293,7 +292,7 @@ def _(t):
     "SELECT 'pv' AS key, CAST(1 AS INTEGER) AS one FROM pv",
 )
 def _(t):
-    return t.behavior().where("behavior = 'pv'").select(
+    return t.behavior().where(F.col("behavior") == VIEW).select(
         F.lit("pv").alias("key"), F.lit(1).alias("one")
     )
 
@@ -302,7 +301,7 @@ def _(t):
 def _(t):
     return (
         t.behavior()
-        .where("behavior = 'pv'")
+        .where(F.col("behavior") == VIEW)
         .agg(F.count_distinct("user_id").alias("uv"))
         .select(F.lit("uv").alias("key"), "uv")
     )

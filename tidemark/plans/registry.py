@@ -15,6 +15,11 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
+# The event types that stand for a page view and a failed login.
+VIEW = "view"
+FAILED = "error"
+
+
 class Tables:
     """The driver's Parquet tables and the views the analyses read."""
 
@@ -54,14 +59,13 @@ class Tables:
         )
 
     def behavior(self, raw: DataFrame | None = None) -> DataFrame:
+        """User behavior; ``VIEW`` events are the page views."""
         events = self.events() if raw is None else self.as_events(raw)
         return events.select(
             "user_id",
             F.col("k").alias("item_id"),
             (F.col("k") % 10).alias("category_id"),
-            F.when(F.col("event_type") == "view", "pv")
-            .otherwise(F.col("event_type"))
-            .alias("behavior"),
+            F.col("event_type").alias("behavior"),
             "ts",
             "event_id",
         )
@@ -85,15 +89,9 @@ class Tables:
         )
 
     def logins(self, raw: DataFrame | None = None) -> DataFrame:
+        """Login attempts; ``FAILED`` events are the failures."""
         events = self.events() if raw is None else self.as_events(raw)
-        return events.select(
-            "user_id",
-            F.when(F.col("event_type") == "error", "fail")
-            .otherwise(F.col("event_type"))
-            .alias("event_type"),
-            "ts",
-            "event_id",
-        )
+        return events.select("user_id", "event_type", "ts", "event_id")
 
     def order_events(self) -> DataFrame:
         """A create per order and a pay at the order's first shipment."""
@@ -138,14 +136,12 @@ SQL_VIEWS = {
     "sensor": """SELECT user_id AS id, us, CAST(floor(value) AS INTEGER) AS vc, event_id
       FROM ev""",
     "behavior": """SELECT user_id, k AS item_id, k % 10 AS category_id,
-      CASE event_type WHEN 'view' THEN 'pv' ELSE event_type END AS behavior, us, event_id
-      FROM ev""",
-    "pv": "SELECT * FROM behavior WHERE behavior = 'pv'",
+      event_type AS behavior, us, event_id FROM ev""",
+    "pv": "SELECT * FROM behavior WHERE behavior = 'view'",
     "marketing": "SELECT event_type AS behavior, k % 4 AS channel FROM ev",
     "clicks": """SELECT user_id, k AS ad_id, us, event_id, n_name AS province FROM ev
       JOIN customer ON user_id = c_custkey JOIN nation ON c_nationkey = n_nationkey""",
-    "logins": """SELECT user_id, us, event_id,
-      CASE event_type WHEN 'error' THEN 'fail' ELSE event_type END AS event_type FROM ev""",
+    "logins": "SELECT user_id, us, event_id, event_type FROM ev",
     "created": "SELECT o_orderkey AS order_id, epoch_us(o_orderdate) AS us FROM orders",
     "paid": """SELECT l_orderkey AS order_id, min(epoch_us(l_shipdate)) AS us FROM lineitem
       GROUP BY 1""",

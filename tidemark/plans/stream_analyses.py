@@ -23,7 +23,7 @@ from tidemark.plans.batch_analyses import (
     slot,
 )
 from tidemark.plans.batch_rows import SENSOR_ROWS, exported, sensor_rows
-from tidemark.plans.registry import DAY, HOUR, MINUTE, Tables, query
+from tidemark.plans.registry import DAY, HOUR, MINUTE, VIEW, Tables, query
 from tidemark.session import fresh_path
 from tidemark.sinks.keyed import KeyedTable
 from tidemark.sources import lines
@@ -48,7 +48,7 @@ def sensor_stream(t: Tables) -> DataFrame:
 
 
 def views(t: Tables) -> DataFrame:
-    return t.behavior(t.stream("events")).where("behavior = 'pv'")
+    return t.behavior(t.stream("events")).where(F.col("behavior") == VIEW)
 
 
 @query("a5_line_stream", SENSOR_ROWS)
@@ -275,12 +275,12 @@ def _(t):
           FROM (SELECT a.user_id, a.event_id AS first_id, a.us AS u1,
               min(b.event_id) AS second_id, min(b.us) AS u2
             FROM logins a LEFT JOIN logins b
-              ON b.user_id = a.user_id AND b.us > a.us AND b.event_type = 'fail'
+              ON b.user_id = a.user_id AND b.us > a.us AND b.event_type = 'error'
             WHERE a.event_type = 'click' GROUP BY 1, 2, 3))
         WHERE u2 IS NOT NULL OR u1 + {12 * HOUR} <= {WATERMARK}""",
 )
 def _(t):
-    rows = timed(t.logins(t.stream("events"))).where("event_type IN ('click', 'fail')")
+    rows = timed(t.logins(t.stream("events"))).where("event_type IN ('click', 'error')")
     steps = rows.withColumn(
         "step", F.when(F.col("event_type") == "click", "first").otherwise("second")
     )
