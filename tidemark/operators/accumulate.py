@@ -42,9 +42,10 @@ def accumulate(
     """User aggregate with a map-side phase.
 
     ``add`` turns a batch of rows into one accumulator row per key, ``merge`` does the
-    same to accumulator rows. Tasks merge what they hold before the shuffle, and a
-    group reads its accumulators as a stream, so a hot key costs one accumulator per
-    task (or per ``flush_rows`` accumulators), never its rows.
+    same to accumulator rows. Tasks merge what they hold before the shuffle; behind it
+    the accumulators pass in key order and a key is given out once the next one starts.
+    A hot key thus costs one accumulator per task (or per ``flush_rows`` accumulators),
+    never its rows, and no task holds more than a batch.
     """
 
     def partial(batches: Iterator[Frame]) -> Iterator[Frame]:
@@ -64,15 +65,24 @@ def accumulate(
             yield merge(pd.concat(held, ignore_index=True))
 
     def final(batches: Iterator[Frame]) -> Iterator[Frame]:
-        held: Frame | None = None
+        open_key: Frame | None = None
         for batch in batches:
-            held = merge(batch if held is None else pd.concat([held, batch], ignore_index=True))
-        if held is not None:
-            yield held
-
-    return result(
-        df.mapInPandas(partial, state).groupBy(*keys).applyInPandas(final, state)
-    )
+            if not len(batch):
+                continue
+            both = batch if open_key is None else pd.concat([open_key, batch], ignore_index=True)
+            last = both[keys].iloc[-1]
+            same = pd.Series(True, index=both.index)
+            for key in keys:
+                value = last[key]
+                same &= both[key].isna() if pd.isna(value) else both[key] == value
+            if not same.all():
+                yield merge(both[~same])
+            open_key = merge(both[same])
+        if open_key is not None:
+            yield open_key
+
+    shuffled = df.mapInPandas(partial, state).repartition(*keys).sortWithinPartitions(*keys)
+    return result(shuffled.mapInPandas(final, state))
 
 
 def process_window(

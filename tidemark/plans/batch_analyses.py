@@ -430,12 +430,8 @@ def _(t):
 
 @query("h10_group_window", hops("sensor", "id", HOUR, 5 * MINUTE, "count(*) AS cnt"))
 def _(t):
-    """Sliding group window written directly with ``window``."""
-    return (
-        t.sensor()
-        .groupBy("id", F.window("ts", "1 hour", "5 minutes").alias("w"))
-        .agg(F.count("id").alias("cnt"))
-        .select("id", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "cnt")
+    return windows.sliding(
+        t.sensor(), ["id"], "ts", "1 hour", "5 minutes", cnt=windows.count_of("id")
     )
 
 
@@ -445,9 +441,12 @@ def _(t):
 )
 def _(t):
     return t.spark.sql(
-        """SELECT id, w.end AS window_end, cnt FROM (
-             SELECT id, window(ts, '1 hour', '5 minutes') AS w, count(*) AS cnt
-             FROM {sensor} GROUP BY id, window(ts, '1 hour', '5 minutes'))""",
+        """SELECT id, window_end, sum(cnt) AS cnt FROM (
+             SELECT id, w.end AS pane_end, count(*) AS cnt
+             FROM (SELECT id, window(ts, '5 minutes') AS w FROM {sensor}) GROUP BY id, w.end)
+           LATERAL VIEW explode(sequence(
+             pane_end, pane_end + INTERVAL 55 MINUTES, INTERVAL 5 MINUTES)) AS window_end
+           GROUP BY id, window_end""",
         sensor=t.sensor(),
     )
 

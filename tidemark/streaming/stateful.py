@@ -28,6 +28,11 @@ def stateful(
     )
 
 
+def _field(state: tuple | None):
+    """The single field of a state tuple, None where nothing is stored."""
+    return None if state is None else state[0]
+
+
 def timer_after(at: int, wait: int = 0) -> int:
     """First whole millisecond not before ``at + wait``."""
     return -(-(at + wait) // 1000)
@@ -51,12 +56,12 @@ class History(StatefulProcessor):
         self.labels = handle.getMapState("labels", "label string", "seen bigint")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        previous = self.previous.get()[0] if self.previous.exists() else None
-        recent = [v[0] for v in self.recent.get()] if self.recent.exists() else []
+        previous = _field(self.previous.get())
+        recent = [v[0] for v in self.recent.get()]
         for row in sorted(rows, key=lambda r: (r.ts, r.event_id)):
             recent = [*recent, row.vc][-self.span:]
             label = (row.label,)
-            seen = 1 + (self.labels.getValue(label)[0] if self.labels.containsKey(label) else 0)
+            seen = 1 + (_field(self.labels.getValue(label)) or 0)
             self.labels.updateValue(label, (seen,))
             yield Row(
                 id=key[0], event_id=row.event_id, previous_vc=previous,
@@ -110,8 +115,8 @@ class Rising(StatefulProcessor):
         self.armed = handle.getValueState("armed", "at bigint")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        level = self.level.get()[0] if self.level.exists() else 0
-        before = armed = self.armed.get()[0] if self.armed.exists() else None
+        level = _field(self.level.get()) or 0
+        before = armed = _field(self.armed.get())
         for row in sorted(rows, key=lambda r: (r.at, r.event_id)):
             if armed is not None and row.at > armed + self.hold:
                 yield Row(id=key[0], armed_at=armed, alarm_at=armed + self.hold)
@@ -133,8 +138,8 @@ class Rising(StatefulProcessor):
             self.handle.registerTimer(timer_after(armed, self.hold))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        if self.armed.exists():
-            armed = self.armed.get()[0]
+        armed = _field(self.armed.get())
+        if armed is not None:
             self.armed.clear()
             yield Row(id=key[0], armed_at=armed, alarm_at=armed + self.hold)
 
@@ -163,9 +168,9 @@ class ClickLimit(StatefulProcessor):
         for row in sorted(rows, key=lambda r: (r.at, r.event_id)):
             day = row.at // self.DAY
             if day not in counts:
-                known = self.counts.containsKey((day,))
-                counts[day] = self.counts.getValue((day,))[0] if known else 0
-                if not known:
+                known = _field(self.counts.getValue((day,)))
+                counts[day] = known or 0
+                if known is None:
                     self.handle.registerTimer(timer_after((day + 1) * self.DAY))
             counts[day] += 1
             if counts[day] <= self.limit + 1:
@@ -205,14 +210,14 @@ class Payment(StatefulProcessor):
         )
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        known = self.seen.exists()
-        created, paid, status, version = self.seen.get() if known else (None, None, None, 0)
+        known = self.seen.get()
+        created, paid, status, version = known or (None, None, None, 0)
         for row in rows:
             if row.event_type == "create":
                 created = row.at if created is None else min(created, row.at)
             else:
                 paid = row.at if paid is None else min(paid, row.at)
-        if not known:
+        if known is None:
             self.handle.registerTimer(
                 timer_after(min(t for t in (created, paid) if t is not None), self.limit)
             )
@@ -238,30 +243,31 @@ class Payment(StatefulProcessor):
 class Matcher(StatefulProcessor):
     """One-to-one match of two sides of a key; whichever comes first waits.
 
+    Only one side can be waiting at a time.
+
     Rows carry ``side`` ("left" / "right"), ``at`` and ``row_id``.
     """
 
     OUTPUT = "tx_id bigint, left_id bigint, right_id bigint"
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.waiting = {
-            side: handle.getListState(f"waiting_{side}", "row_id bigint")
-            for side in ("left", "right")
-        }
+        self.waiting = handle.getValueState("waiting", "side string, row_ids array<bigint>")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        queues = {
-            side: [v[0] for v in state.get()] if state.exists() else []
-            for side, state in self.waiting.items()
-        }
+        queues = {"left": [], "right": []}
+        known = self.waiting.get()
+        if known is not None:
+            queues[known[0]].extend(known[1])
         for row in sorted(rows, key=lambda r: (r.at, r.row_id)):
             queues[row.side].append(row.row_id)
         pairs = min(map(len, queues.values()))
         for left, right in zip(queues["left"], queues["right"]):
             yield Row(tx_id=key[0], left_id=left, right_id=right)
-        for side, state in self.waiting.items():
-            rest = queues[side][pairs:]
-            state.put([(v,) for v in rest]) if rest else state.clear()
+        rest = [(side, queue[pairs:]) for side, queue in queues.items() if queue[pairs:]]
+        if rest:
+            self.waiting.update(rest[0])
+        elif known is not None:
+            self.waiting.clear()
 
     def close(self) -> None:
         pass
@@ -284,7 +290,7 @@ class FollowedBy(StatefulProcessor):
         self.pending = handle.getListState("pending", "at bigint, event_id bigint")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        pending = list(self.pending.get()) if self.pending.exists() else []
+        known = pending = list(self.pending.get())
         held = {start[0] for start in pending}
         for row in sorted(rows, key=lambda r: (r.at, r.event_id)):
             if row.step != "first":
@@ -296,17 +302,17 @@ class FollowedBy(StatefulProcessor):
                     )
                 pending = []
             if row.step != "second":
-                pending.append((row.at, row.event_id))
+                pending = [*pending, (row.at, row.event_id)]
         if pending:
             self.pending.put(pending)
-        else:
+        elif known:
             self.pending.clear()
         for at in {start[0] for start in pending} - held:
             self.handle.registerTimer(timer_after(at, self.within))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         now = expiredTimerInfo.getExpiryTimeInMs()
-        pending = list(self.pending.get()) if self.pending.exists() else []
+        pending = list(self.pending.get())
         due = [s for s in pending if timer_after(s[0], self.within) <= now]
         rest = [s for s in pending if timer_after(s[0], self.within) > now]
         for _at, event_id in due:
