@@ -23,17 +23,20 @@ ROW = "_is_row"
 
 @dataclass(frozen=True)
 class Sequence:
-    """A total order of rows and a slice number that never falls along it."""
+    """A total order of rows and a slice number that never falls along it.
+
+    ``slice`` builds the column when used, so a sequence can be a module constant.
+    """
 
     order: tuple[str, ...]
-    slice: Column
+    slice: Callable[[], Column]
     descending: bool = False
 
     def reversed(self) -> Sequence:
         return replace(self, descending=not self.descending)
 
     def slice_number(self) -> Column:
-        return -self.slice if self.descending else self.slice
+        return -self.slice() if self.descending else self.slice()
 
     def sort_columns(self) -> list[Column]:
         return [F.col(c).desc() if self.descending else F.col(c).asc() for c in self.order]
@@ -52,12 +55,12 @@ class Sequence:
 
 def by_time(ts: str, *ties: str, width: str = "1 hour") -> Sequence:
     """Order by event time; pick ``width`` so that one slice of a key fits a task."""
-    return Sequence((ts, *ties), bucket(ts, width))
+    return Sequence((ts, *ties), lambda: bucket(ts, width))
 
 
 def by_number(number: str, rows: int = 1_000_000) -> Sequence:
     """Order by a unique integer; a slice spans ``rows`` consecutive numbers."""
-    return Sequence((number,), whole_part(F.col(number), rows))
+    return Sequence((number,), lambda: whole_part(F.col(number), rows))
 
 
 @dataclass(frozen=True)

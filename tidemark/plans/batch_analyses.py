@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.columns import tokens
 from tidemark.functions.durations import epoch_micros
@@ -552,8 +552,16 @@ def _(t):
 
 # --- patterns --------------------------------------------------------------------------------
 
-FAIL = F.col("event_type") == FAILED
-CLICK = F.col("event_type") == "click"
+
+
+def fail() -> Column:
+    return F.col("event_type") == FAILED
+
+
+def click() -> Column:
+    return F.col("event_type") == "click"
+
+
 AFTER = "b.user_id = a.user_id AND b.us > a.us"
 
 
@@ -583,7 +591,7 @@ STRICT = """SELECT user_id, event_id AS first_id, next_id AS second_id FROM (
 
 @query("l2_strict_next", STRICT.format(first="click", second="error"))
 def _(t):
-    return pairs(patterns.strict_next(t.logins(), ["user_id"], IN_TIME, CLICK, FAIL))
+    return pairs(patterns.strict_next(t.logins(), ["user_id"], IN_TIME, click(), fail()))
 
 
 NEAREST = """SELECT a.user_id, a.event_id AS first_id, min(b.event_id) AS second_id
@@ -594,7 +602,7 @@ NEAREST = """SELECT a.user_id, a.event_id AS first_id, min(b.event_id) AS second
 
 @query("l3_followed_by", NEAREST)
 def _(t):
-    return pairs(patterns.followed_by(t.logins(), ["user_id"], IN_TIME, CLICK, FAIL))
+    return pairs(patterns.followed_by(t.logins(), ["user_id"], IN_TIME, click(), fail()))
 
 
 @query(
@@ -605,7 +613,7 @@ def _(t):
 )
 def _(t):
     return pairs(
-        patterns.followed_by_any(t.logins(), ["user_id"], IN_TIME, CLICK, FAIL, "12 hours")
+        patterns.followed_by_any(t.logins(), ["user_id"], IN_TIME, click(), fail(), "12 hours")
     )
 
 
@@ -619,7 +627,7 @@ def _(t):
       FROM logins WHERE event_type = 'error'""",
 )
 def _(t):
-    found = patterns.times(t.logins(), ["user_id"], IN_TIME, FAIL, 2, 3, "24 hours")
+    found = patterns.times(t.logins(), ["user_id"], IN_TIME, fail(), 2, 3, "24 hours")
     return found.select(
         "user_id",
         F.col("steps")[0]["event_id"].alias("first_id"),
@@ -634,7 +642,7 @@ def _(t):
     f"JOIN (SELECT event_id AS second_id, us AS u2 FROM ev) USING (second_id) WHERE u2 - u1 < {12 * HOUR}",
 )
 def _(t):
-    found = patterns.followed_by(t.logins(), ["user_id"], IN_TIME, CLICK, FAIL, "12 hours")
+    found = patterns.followed_by(t.logins(), ["user_id"], IN_TIME, click(), fail(), "12 hours")
     return found.select(
         "user_id",
         F.col("first.event_id").alias("first_id"),
@@ -650,7 +658,7 @@ def _(t):
           {STRICT.format(first="error", second="error")} AND next_us - us < {6 * HOUR})""",
 )
 def _(t):
-    found = patterns.strict_next(t.logins(), ["user_id"], IN_TIME, FAIL, FAIL, "6 hours")
+    found = patterns.strict_next(t.logins(), ["user_id"], IN_TIME, fail(), fail(), "6 hours")
     return found.select(
         "user_id",
         F.concat_ws("-->", F.col("first.event_id"), F.col("second.event_id")).alias("message"),
@@ -664,7 +672,7 @@ def _(t):
             AND b.us - a.us < {12 * HOUR})""",
 )
 def _(t):
-    partial = patterns.timed_out(t.logins(), ["user_id"], IN_TIME, CLICK, FAIL, "12 hours")
+    partial = patterns.timed_out(t.logins(), ["user_id"], IN_TIME, click(), fail(), "12 hours")
     return partial.select("user_id", "event_id")
 
 

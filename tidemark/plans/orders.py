@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.durations import epoch_micros, micros
 from tidemark.operators.joins import interval_join, reconcile
 from tidemark.operators.patterns import followed_by, timed_out
 from tidemark.operators.running import Sequence
 
-CREATED = F.col("event_type") == "create"
-PAID = F.col("event_type") == "pay"
+
+def _created() -> Column:
+    return F.col("event_type") == "create"
+
+
+def _paid() -> Column:
+    return F.col("event_type") == "pay"
 
 
 def payment_status(orders: DataFrame, limit: str = "15 minutes") -> DataFrame:
@@ -21,8 +26,8 @@ def payment_status(orders: DataFrame, limit: str = "15 minutes") -> DataFrame:
     return (
         orders.groupBy("order_id")
         .agg(
-            F.min(F.when(CREATED, epoch_micros("ts"))).alias("created_us"),
-            F.min(F.when(PAID, epoch_micros("ts"))).alias("paid_us"),
+            F.min(F.when(_created(), epoch_micros("ts"))).alias("created_us"),
+            F.min(F.when(_paid(), epoch_micros("ts"))).alias("paid_us"),
         )
         .where(created.isNotNull() | paid.isNotNull())
         .select(
@@ -39,7 +44,7 @@ def payment_status(orders: DataFrame, limit: str = "15 minutes") -> DataFrame:
 def paid_in_time(orders: DataFrame, sequence: Sequence, limit: str = "15 minutes") -> DataFrame:
     """Orders whose create is followed by a pay less than ``limit`` later."""
     elapsed = epoch_micros(F.col("second.ts")) - epoch_micros(F.col("first.ts"))
-    return followed_by(orders, ["order_id"], sequence, CREATED, PAID, limit).select(
+    return followed_by(orders, ["order_id"], sequence, _created(), _paid(), limit).select(
         "order_id",
         F.col("second.tx_id").alias("tx_id"),
         (elapsed / 1_000_000).cast("long").alias("elapsed_seconds"),
@@ -50,7 +55,7 @@ def payment_timeouts(
     orders: DataFrame, sequence: Sequence, limit: str = "15 minutes"
 ) -> DataFrame:
     """Creates that no pay followed in time."""
-    return timed_out(orders, ["order_id"], sequence, CREATED, PAID, limit)
+    return timed_out(orders, ["order_id"], sequence, _created(), _paid(), limit)
 
 
 def reconciled(
