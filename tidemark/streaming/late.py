@@ -51,4 +51,5 @@ def route_late(
     spark = stream.sparkSession
     path = fresh_path(spark, label)
     drain_batches(stream, LateRouter(ts, size, delay, allowed, path), label)
-    return spark.read.parquet(f"{path}/rows").drop("batch")
+    rows = spark.read.parquet(f"{path}/rows").drop("batch")
+    return rows.withColumn("late", F.col("late").cast("boolean"))
