@@ -18,7 +18,7 @@ def spark(tmp_path_factory):
     session = build_session(
         app="tests",
         master="local[4]",
-        shuffle_partitions=4,
+        shuffle_partitions=2,
         **{
             "spark.ui.enabled": "false",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
