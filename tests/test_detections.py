@@ -10,7 +10,7 @@ from tidemark.operators import joins, routing
 from tidemark.operators.running import by_number, by_time
 from tidemark.plans import ads, logins, orders, sensors
 
-ORDER = by_time("ts", "event_id", width="2 minutes")
+ORDER = by_time("ts", "event_id", width="2 seconds", hot_rows=1)
 
 
 def timed(spark, rows, ddl):
@@ -99,7 +99,7 @@ def test_rising_alarms(spark, hold, width):
     # A third key that climbs for long stretches, so alarms chain within a climb.
     rows += [(9, 3 * i, i % 97, 10_000 + i) for i in range(1, 400)]
     df = as_frame(spark, rows).select(F.col("k").alias("id"), "ts", F.col("v").alias("vc"), "event_id")
-    got = sensors.rising_alarms(df, by_time("ts", "event_id", width=width), f"{hold} seconds")
+    got = sensors.rising_alarms(df, by_time("ts", "event_id", width=width, hot_rows=50), f"{hold} seconds")
     none_last = lambda p: (p[0] is None, p[0] or 0, p[1])
     assert sorted(((r.id, int(r.armed_at.timestamp())) for r in got.collect()), key=none_last) == sorted(
         rising_by_hand(rows, hold), key=none_last
@@ -143,7 +143,7 @@ LOGINS = "user_id bigint, event_type string, s bigint, event_id bigint"
 
 def test_state_rule_includes_two_seconds_and_pattern_rule_does_not(spark):
     df = timed(spark, [(1, "fail", 10, 0), (1, "fail", 12, 1), (1, "fail", 13, 2)], LOGINS)
-    state = logins.repeated_failures(df, by_number("event_id", 2))
+    state = logins.repeated_failures(df, by_number("event_id", 2, hot_rows=1))
     assert sorted(r.event_id for r in state.collect()) == [1, 2]
     pattern = logins.consecutive_failures(df, ORDER)
     assert [(r.first.event_id, r.second.event_id) for r in pattern.collect()] == [(1, 2)]
@@ -151,7 +151,7 @@ def test_state_rule_includes_two_seconds_and_pattern_rule_does_not(spark):
 
 def test_state_rule_follows_arrival_and_skips_successes(spark):
     df = timed(spark, [(1, "fail", 12, 0), (1, "success", 11, 1), (1, "fail", 10, 2)], LOGINS)
-    state = logins.repeated_failures(df, by_number("event_id", 2))
+    state = logins.repeated_failures(df, by_number("event_id", 2, hot_rows=1))
     assert [r.event_id for r in state.collect()] == [2]
     assert logins.consecutive_failures(df, ORDER).count() == 0
 
@@ -184,7 +184,7 @@ def test_payment_rules_at_exactly_15_minutes(spark):
 def test_lateness_and_watermark_by_arrival(spark):
     seconds = [11, 20, 12, 21, 16, 13]
     df = timed(spark, list(enumerate(seconds)), "n bigint, s bigint")
-    order = by_number("n", 2)
+    order = by_number("n", 2, hot_rows=1)
     late = routing.lateness(df, order, "ts", "5 seconds", "2 seconds")
     assert [r.late for r in late.orderBy("n").collect()] == [False, False, True, False, False, True]
     allowed = routing.lateness(df, order, "ts", "5 seconds", "2 seconds", "4 seconds")

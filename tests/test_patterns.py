@@ -7,7 +7,7 @@ from tests.conftest import as_frame, by_key, offset, skewed_events
 from tidemark.operators import patterns
 from tidemark.operators.running import by_time
 
-ORDER = by_time("ts", "event_id", width="3 minutes")
+ORDER = by_time("ts", "event_id", width="3 minutes", hot_rows=40)
 
 BOUNDS = [None, "1 second", "20 seconds", "10 minutes"]
 

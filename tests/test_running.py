@@ -11,11 +11,12 @@ from tidemark.operators.running import (
 from tidemark.operators.windows import count_windows, moving
 
 
+@pytest.mark.parametrize("hot_rows", [0, 60, 5_000_000])
 @pytest.mark.parametrize("seed, width", [(1, "10 seconds"), (2, "5 minutes"), (3, "1 day")])
-def test_running_folds(spark, seed, width):
+def test_running_folds(spark, seed, width, hot_rows):
     rows = skewed_events(seed)
     got = running(
-        as_frame(spark, rows), ["k"], by_time("ts", "event_id", width=width),
+        as_frame(spark, rows), ["k"], by_time("ts", "event_id", width=width, hot_rows=hot_rows),
         sum=total(F.col("v")), sum_before=total(F.col("v"), before=True), n=tally(),
         big=tally(F.col("v") > 50), top=highest(F.col("v")), low=lowest(F.col("v")),
         first=opening(F.col("v")), prev=preceding(F.col("v")),
@@ -40,7 +41,7 @@ def test_running_folds(spark, seed, width):
 def test_reversed_order_finds_the_next_row(spark):
     rows = skewed_events(4)
     got = running(
-        as_frame(spark, rows), ["k"], by_time("ts", "event_id", width="3 minutes").reversed(),
+        as_frame(spark, rows), ["k"], by_time("ts", "event_id", width="3 minutes", hot_rows=60).reversed(),
         next=preceding(F.col("event_id")),
     )
     want = {}
@@ -52,7 +53,7 @@ def test_reversed_order_finds_the_next_row(spark):
 
 def test_null_value_of_previous_row_is_kept(spark):
     df = spark.createDataFrame([(1, 1, None), (1, 2, 5), (1, 3, None)], "k int, n bigint, v int")
-    got = running(df, ["k"], by_number("n", 1), prev=preceding(F.col("v")), first=opening(F.col("v")))
+    got = running(df, ["k"], by_number("n", 1, hot_rows=0), prev=preceding(F.col("v")), first=opening(F.col("v")))
     assert {r.n: (r.prev, r.first) for r in got.collect()} == {
         1: (None, None), 2: (None, None), 3: (5, None),
     }
@@ -62,7 +63,7 @@ def test_peers_count_as_one_step(spark):
     df = spark.createDataFrame([(1, 5), (1, 5), (1, 6), (1, 9)], "k int, s bigint").select(
         "k", F.timestamp_seconds("s").alias("ts")
     )
-    got = running(df, ["k"], by_time("ts", width="2 seconds"), peers=True, n=tally())
+    got = running(df, ["k"], by_time("ts", width="2 seconds", hot_rows=0), peers=True, n=tally())
     assert sorted(r.n for r in got.collect()) == [2, 2, 3, 4]
 
 
@@ -70,7 +71,7 @@ def test_peers_count_as_one_step(spark):
 def test_running_distinct(spark, keys):
     rows = skewed_events(5)
     df = as_frame(spark, rows).withColumn("user", F.col("v") % 20)
-    got = running_distinct(df, keys, "user", by_number("event_id", 50), "uv")
+    got = running_distinct(df, keys, "user", by_number("event_id", 50, hot_rows=60), "uv")
     want, seen = {}, {}
     for k, _, v, event_id in rows:
         users = seen.setdefault(k if keys else 0, set())
@@ -80,7 +81,7 @@ def test_running_distinct(spark, keys):
 
 
 def test_sensor_running_sum(sensor):
-    got = running(sensor, ["id"], by_time("ts", "event_id", width="3 seconds"), t=total(F.col("vc")))
+    got = running(sensor, ["id"], by_time("ts", "event_id", width="3 seconds", hot_rows=2), t=total(F.col("vc")))
     rows = {}
     for r in got.orderBy("event_id").collect():
         rows.setdefault(r.id, []).append(r.t)
@@ -88,7 +89,7 @@ def test_sensor_running_sum(sensor):
 
 
 def test_sensor_count_windows(sensor):
-    seq = by_time("ts", "event_id", width="2 seconds")
+    seq = by_time("ts", "event_id", width="2 seconds", hot_rows=2)
     tumbling = count_windows(sensor, ["id"], seq, 3, t=F.sum("vc")).collect()
     assert [(r.id, r.t) for r in tumbling] == [("s1", 60)]
     sliding = count_windows(sensor, ["id"], seq, 3, 2, t=F.sum("vc")).collect()
@@ -99,7 +100,7 @@ def test_sensor_count_windows(sensor):
 def test_count_windows(spark, size, slide):
     rows = skewed_events(6)
     got = count_windows(
-        as_frame(spark, rows), ["k"], by_time("ts", "event_id", width="2 minutes"), size, slide,
+        as_frame(spark, rows), ["k"], by_time("ts", "event_id", width="2 minutes", hot_rows=60), size, slide,
         t=F.sum("v"), n=F.count("v"),
     )
     want = set()
@@ -115,7 +116,7 @@ def test_count_windows(spark, size, slide):
 def test_moving(spark, block):
     rows = skewed_events(7)
     got = moving(
-        as_frame(spark, rows), ["k"], by_time("ts", "event_id", width="2 minutes"), 2, block,
+        as_frame(spark, rows), ["k"], by_time("ts", "event_id", width="2 minutes", hot_rows=60), 2, block,
         t=F.sum("v"),
     )
     want = {}
@@ -127,7 +128,7 @@ def test_moving(spark, block):
 
 
 def test_changelog(sensor):
-    got = changelog(sensor, ["id"], by_time("ts", "event_id", width="2 seconds"), n=tally())
+    got = changelog(sensor, ["id"], by_time("ts", "event_id", width="2 seconds", hot_rows=2), n=tally())
     s2 = sorted((offset(r.ts), r.added, r.n) for r in got.where("id = 's2'").collect())
     assert s2 == [(5, True, 1), (7, False, 1), (7, True, 2)]
     assert got.count() == 9 + 6

@@ -9,13 +9,23 @@ POSITION_MULTIPLIER = 61
 POSITION_MASK = (1 << 30) - 1
 
 
+def literal_pattern(text: str) -> str:
+    """Regular expression for a literal; one character stays one, which splits fastest."""
+    if len(text) > 1:
+        return "\\Q" + text + "\\E"
+    return "\\" + text if text in ".$|()[{^?*+\\" else text
+
+
 def tokens(value: Column, separator: str = " ") -> Column:
     """Split on one separator; inner empty tokens stay, trailing ones go.
 
     An empty line is one empty token, a line of separators only has none.
     """
-    literal = "\\Q" + separator + "\\E"
-    trimmed = F.regexp_replace(value, f"(?:{literal})+$", "")
+    literal = literal_pattern(separator)
+    if len(separator) == 1:
+        trimmed = F.rtrim(value, F.lit(separator))
+    else:
+        trimmed = F.regexp_replace(value, f"(?:{literal})+$", "")
     return F.when((value != "") & (trimmed == ""), F.array().cast("array<string>")).otherwise(
         F.split(trimmed, literal)
     )

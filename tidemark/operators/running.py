@@ -1,11 +1,12 @@
-"""Running results per row, computed slice by slice.
+"""Running results per row that survive hot keys.
 
 A plain ordered window puts every row of a key into one task, which stalls when a
 key holds a large share of the table (and an un-keyed total puts *all* rows there).
-Here the order is cut into slices. One pass reduces each (key, slice) to a single
-row with map-side aggregation; the reduced rows are accumulated along each key;
-each slice then starts from a carry row that stands for everything before it. The
-rows themselves are shuffled once, by (key, slice).
+So keys are counted first, and the order of the hot ones (all rows, without a key) is
+cut into slices. One pass reduces each (hot key, slice) to a single row with map-side
+aggregation; the reduced rows are accumulated along the key; each slice then starts
+from a carry row that stands for everything before it. Ordinary keys stay in one piece.
+All rows are shuffled once, by (key, slice).
 """
 
 from __future__ import annotations
@@ -19,17 +20,20 @@ from tidemark.functions.durations import bucket, whole_part
 
 SLICE = "_slice"
 ROW = "_is_row"
+HOT = "_is_hot"
 
 
 @dataclass(frozen=True)
 class Sequence:
     """A total order of rows and a slice number that never falls along it.
 
-    ``slice`` builds the column when used, so a sequence can be a module constant.
+    ``slice`` builds the column when used, so a sequence can be a module constant. Keys
+    with more than ``hot_rows`` rows are cut into slices.
     """
 
     order: tuple[str, ...]
     slice: Callable[[], Column]
+    hot_rows: int
     descending: bool = False
 
     def reversed(self) -> Sequence:
@@ -53,14 +57,20 @@ class Sequence:
         return F.when(value.isNotNull(), F.struct(*self.order))
 
 
-def by_time(ts: str, *ties: str, width: str = "1 hour") -> Sequence:
-    """Order by event time; pick ``width`` so that one slice of a key fits a task."""
-    return Sequence((ts, *ties), lambda: bucket(ts, width))
+# Rows of one key a task takes in its stride.
+HOT_ROWS = 5_000_000
 
 
-def by_number(number: str, rows: int = 1_000_000) -> Sequence:
+def by_time(
+    ts: str, *ties: str, width: str = "1 minute", hot_rows: int = HOT_ROWS
+) -> Sequence:
+    """Order by event time; pick ``width`` so that one slice of a hot key fits a task."""
+    return Sequence((ts, *ties), lambda: bucket(ts, width), hot_rows)
+
+
+def by_number(number: str, rows: int = 1_000_000, hot_rows: int = HOT_ROWS) -> Sequence:
     """Order by a unique integer; a slice spans ``rows`` consecutive numbers."""
-    return Sequence((number,), lambda: whole_part(F.col(number), rows))
+    return Sequence((number,), lambda: whole_part(F.col(number), rows), hot_rows)
 
 
 @dataclass(frozen=True)
@@ -120,21 +130,57 @@ def preceding(value: Column, condition: Column | None = None) -> Fold:
     )
 
 
+def hot_keys(df: DataFrame, keys: list[str], hot_rows: int) -> DataFrame:
+    """Keys with more than ``hot_rows`` rows: at most ``rows / hot_rows`` of them."""
+    return (
+        df.groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("_rows"))
+        .where(F.col("_rows") > hot_rows)
+        .select(*[F.col(k).alias(f"_hot_{k}") for k in keys], F.lit(True).alias(HOT))
+    )
+
+
+def _mark_hot(df: DataFrame, keys: list[str], hot: DataFrame, how: str) -> DataFrame:
+    """Join with the hot keys, NULL equal to NULL; their number is bounded, see above."""
+    same = F.lit(True)
+    for key in keys:
+        same = same & F.col(key).eqNullSafe(F.col(f"_hot_{key}"))
+    return df.join(F.broadcast(hot), same, how)
+
+
 def running(
-    df: DataFrame, keys: list[str], sequence: Sequence, peers: bool = False, **folds: Fold
+    df: DataFrame,
+    keys: list[str],
+    sequence: Sequence,
+    peers: bool = False,
+    hot: DataFrame | None = None,
+    **folds: Fold,
 ) -> DataFrame:
     """Add one running column per fold; every input row stays.
 
     ``peers`` counts rows that tie in the order as one step. NULL keys form a group.
+    ``hot`` hands in known :func:`hot_keys`, which saves counting again.
     """
     lifts = {name: f"_lift_{name}" for name in folds}
-    lifted = df.select(
-        "*",
-        sequence.slice_number().alias(SLICE),
-        *[fold.lift.alias(lifts[name]) for name, fold in folds.items()],
-    )
-    reduced = lifted.groupBy(*keys, SLICE).agg(
-        *[fold.per_slice(sequence, F.col(lifts[n])).alias(lifts[n]) for n, fold in folds.items()]
+    lifted_columns = [fold.lift.alias(lifts[name]) for name, fold in folds.items()]
+    slice_number = sequence.slice_number()
+    if keys:
+        hot = hot_keys(df, keys, sequence.hot_rows) if hot is None else hot
+        rows = _mark_hot(df, keys, hot, "left").select(
+            *df.columns,
+            F.when(F.col(HOT), slice_number).otherwise(F.lit(0)).alias(SLICE),
+            *lifted_columns,
+        )
+        sliced = _mark_hot(df, keys, hot, "left_semi")
+    else:
+        rows = df.select("*", slice_number.alias(SLICE), *lifted_columns)
+        sliced = df
+    reduced = (
+        sliced.select("*", slice_number.alias(SLICE), *lifted_columns)
+        .groupBy(*keys, SLICE)
+        .agg(
+            *[fold.per_slice(sequence, F.col(lifts[n])).alias(lifts[n]) for n, fold in folds.items()]
+        )
     )
     along_key = Window.partitionBy(*keys).orderBy(SLICE)
     earlier = along_key.rowsBetween(Window.unboundedPreceding, -1)
@@ -155,7 +201,7 @@ def running(
     )
     strictly_before = inside.rowsBetween(Window.unboundedPreceding, -1)
     return (
-        lifted.withColumn(ROW, F.lit(True))
+        rows.withColumn(ROW, F.lit(True))
         .unionByName(carries, allowMissingColumns=True)
         .select(
             *df.columns,

@@ -25,8 +25,8 @@ from tidemark.plans import ads, logins, orders, sensors, traffic
 from tidemark.plans.batch_rows import access_log
 from tidemark.plans.registry import DAY, FAILED, HOUR, MINUTE, SECOND, VIEW, Tables, query
 
-# Event time with the event number as tie-break; one slice of a key is one day.
-IN_TIME = by_time("ts", "event_id", width="1 day")
+# Event time with the event number as tie-break.
+IN_TIME = by_time("ts", "event_id")
 # Order of arrival is the event number.
 ARRIVAL = by_number("event_id", 100_000)
 
@@ -52,8 +52,8 @@ PAIRED = """SELECT p.tx_id AS l_tx_id, p.us AS l_ts, r.tx_id AS r_tx_id, r.us AS
   {how} JOIN (SELECT *, row_number() OVER (PARTITION BY tx_id ORDER BY us, line, part) AS n
     FROM receipts) r ON p.tx_id = r.tx_id AND p.n = r.n"""
 
-PAYMENT_ORDER = by_time("ts", width="30 days")
-RECEIPT_ORDER = by_time("ts", "line", "part", width="30 days")
+PAYMENT_ORDER = by_time("ts", width="1 day")
+RECEIPT_ORDER = by_time("ts", "line", "part", width="1 day")
 
 
 @query("f2_reconcile", PAIRED.format(how="INNER"))
@@ -487,7 +487,7 @@ def _(t):
 def _(t):
     daily = t.sensor().withColumn("day", F.date_trunc("day", "ts"))
     return running(
-        daily, ["id"], by_time("day", width="7 days"), peers=True, cnt=tally()
+        daily, ["id"], by_time("day", width="1 day"), peers=True, cnt=tally()
     ).select("id", "event_id", "cnt")
 
 
@@ -529,7 +529,7 @@ def _(t):
 
 @query("j4_hot_ads_by_user", ranked("clicks", "user_id, ad_id", HOUR, 5 * MINUTE, 3))
 def _(t):
-    return ads.hot_ads_by_user(t.ad_clicks())
+    return ads.hot_ads_by_user(t.user_clicks())
 
 
 @query("j5_hot_items_sql", ranked("pv", "item_id", HOUR, 5 * MINUTE, 3))
@@ -732,7 +732,7 @@ NTH_CLICK = f"""SELECT *, us // {DAY} AS day, row_number() OVER (
     nth=NTH_CLICK,
 )
 def _(t):
-    return ads.blacklist_filter(t.ad_clicks(), IN_TIME, limit=1)[1]
+    return ads.blacklist_filter(t.user_clicks(), IN_TIME, limit=1)[1]
 
 
 @query(
@@ -741,7 +741,7 @@ def _(t):
     passed=f"SELECT * FROM ({NTH_CLICK}) WHERE nth <= 2",
 )
 def _(t):
-    passed, _alarms = ads.blacklist_filter(t.ad_clicks(), IN_TIME, limit=2)
+    passed, _alarms = ads.blacklist_filter(t.user_clicks(), IN_TIME, limit=2)
     return ads.hot_ads_by_user(passed, size="1 day", slide="1 hour")
 
 
@@ -776,7 +776,7 @@ def _(t):
     return orders.payment_status(t.order_events(), "60 days")
 
 
-ORDER_TIME = by_time("ts", "event_type", width="30 days")
+ORDER_TIME = by_time("ts", "event_type", width="1 day")
 LIMIT = 60 * DAY
 
 

@@ -325,7 +325,7 @@ def _(t):
     "SELECT user_id, ad_id, count(*) AS cnt FROM clicks GROUP BY user_id, ad_id",
 )
 def _(t):
-    return t.ad_clicks().groupBy("user_id", "ad_id").agg(F.count(F.lit(1)).alias("cnt"))
+    return t.user_clicks().groupBy("user_id", "ad_id").agg(F.count(F.lit(1)).alias("cnt"))
 
 
 @query("c10_rename", "SELECT id, us AS timestamp FROM sensor")

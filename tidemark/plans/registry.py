@@ -82,11 +82,11 @@ class Tables:
             .join(F.broadcast(self.table("nation")), F.expr("c_nationkey = n_nationkey"))
             .select(F.col("c_custkey").alias("user_id"), F.col("n_name").alias("province"))
         )
-        return (
-            self.events()
-            .select("user_id", F.col("k").alias("ad_id"), "ts", "event_id")
-            .join(people, "user_id")
-        )
+        return self.user_clicks().join(people, "user_id")
+
+    def user_clicks(self) -> DataFrame:
+        """Ad clicks without the province, for analyses that do not use it."""
+        return self.events().select("user_id", F.col("k").alias("ad_id"), "ts", "event_id")
 
     def logins(self, raw: DataFrame | None = None) -> DataFrame:
         """Login attempts; ``FAILED`` events are the failures."""

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemark.functions.durations import epoch_micros, micros
 from tidemark.operators.routing import side_output
-from tidemark.operators.running import Sequence, preceding, running, tally
+from tidemark.operators.running import Sequence, hot_keys, preceding, running, tally
 
 
 def with_previous(readings: DataFrame, sequence: Sequence) -> DataFrame:
@@ -36,15 +36,14 @@ def rising_alarms(
     ends; only longer climbs are walked row by row, in time order, holding one value.
     """
     wait = micros(hold)
+    levels = readings.select("id", "vc", *sequence.order)
+    hot = hot_keys(levels, ["id"], sequence.hot_rows)
     stepped = running(
-        readings.select("id", "vc", *sequence.order),
-        ["id"],
-        sequence,
-        _previous=preceding(F.col("vc")),
+        levels, ["id"], sequence, hot=hot, _previous=preceding(F.col("vc"))
     ).withColumn("_rises", F.col("vc") > F.coalesce("_previous", F.lit(0)))
     climb = Window.partitionBy("id", "_climb")
     climbs = (
-        running(stepped, ["id"], sequence, _climb=tally(~F.col("_rises"), before=True))
+        running(stepped, ["id"], sequence, hot=hot, _climb=tally(~F.col("_rises"), before=True))
         .withColumn("_at", epoch_micros(sequence.order[0]))
         .withColumn("_start", F.min(F.when(F.col("_rises"), F.col("_at"))).over(climb))
         .withColumn("_top", F.max(F.when(F.col("_rises"), F.col("_at"))).over(climb))

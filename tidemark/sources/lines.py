@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from tidemark.functions.columns import strict_cast
+from tidemark.functions.columns import literal_pattern, strict_cast
 
 # Fixed value: time layout of an access-log line.
 ACCESS_TIME = "dd/MM/yyyy:HH:mm:ss"
@@ -27,7 +27,7 @@ def parse_delimited(
     A malformed number fails the job; an empty string field reads as NULL.
     Works on batch and streaming input.
     """
-    fields = F.split(F.col(column), "\\Q" + separator + "\\E")
+    fields = F.split(F.col(column), literal_pattern(separator))
     return lines.select(
         *[
             strict_cast(F.nullif(F.get(fields, position), F.lit("")), field.dataType.simpleString())
