@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from typing import Literal
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.durations import epoch_micros, micros, whole_part
@@ -25,27 +27,34 @@ def reconcile(
     key: str,
     left_order: Sequence,
     right_order: Sequence,
-    how: str = "inner",
+    how: Literal["inner", "full"] = "inner",
 ) -> DataFrame:
     """Match rows one to one: the n-th row of a key meets the n-th of the other side.
 
-    NULL keys never match. ``how="full"`` also reports what stays unmatched.
+    NULL keys never match. ``how="full"`` also reports what stays unmatched; rows without
+    a key bypass the join, as they would all meet in one task.
     Pairing by ordinal makes the join key unique, so no key fans out.
     """
 
     def numbered(df: DataFrame, order: Sequence, prefix: str) -> DataFrame:
         keyed = running(df.where(F.col(key).isNotNull()), [key], order, _pair=tally())
-        if how == "full":
-            orphans = df.where(F.col(key).isNull())
-            keyed = keyed.unionByName(orphans, allowMissingColumns=True)
         return prefixed(keyed, prefix)
 
-    matched = numbered(left, left_order, "l_").join(
-        numbered(right, right_order, "r_"),
-        (F.col(f"l_{key}") == F.col(f"r_{key}")) & (F.col("l__pair") == F.col("r__pair")),
-        how,
+    matched = (
+        numbered(left, left_order, "l_")
+        .join(
+            numbered(right, right_order, "r_"),
+            (F.col(f"l_{key}") == F.col(f"r_{key}")) & (F.col("l__pair") == F.col("r__pair")),
+            how,
+        )
+        .drop("l__pair", "r__pair")
     )
-    return matched.drop("l__pair", "r__pair")
+    if how == "inner":
+        return matched
+    for side, prefix in ((left, "l_"), (right, "r_")):
+        orphans = prefixed(side.where(F.col(key).isNull()), prefix)
+        matched = matched.unionByName(orphans, allowMissingColumns=True)
+    return matched
 
 
 def interval_join(

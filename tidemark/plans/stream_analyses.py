@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidemark import schemas
 from tidemark.functions.columns import severity
-from tidemark.functions.durations import epoch_micros
+from tidemark.functions.durations import epoch_micros, whole_part
 from tidemark.operators import distinct, windows
 from tidemark.operators.joins import stream_interval_join
 from tidemark.plans.batch_analyses import (
@@ -28,6 +28,7 @@ from tidemark.session import fresh_path
 from tidemark.sinks.keyed import KeyedTable
 from tidemark.sources import lines
 from tidemark.streaming.drain import drain, drain_batches, drain_latest, drain_updates
+from tidemark.streaming.late import LateRouter
 from tidemark.streaming.stateful import (
     ClickLimit,
     FollowedBy,
@@ -128,6 +129,24 @@ def _(t):
     )
 
 
+@query("g17_hourly_visitors_approx_stream", HOURLY + "true AS close FROM pv GROUP BY 1, 2")
+def _(t):
+    """Streamed estimates next to the exact numbers, within 5 percent (or 2 visitors)."""
+    guesses = distinct.windowed_approx(
+        views(t).withWatermark("ts", "0 seconds"), "ts", "1 hour", "user_id", 0.01, "guess"
+    )
+    guess = drain_updates(guesses, ["window_start", "window_end"], "g17")
+    exact = distinct.windowed_distinct(
+        t.behavior().where(F.col("behavior") == VIEW), "ts", "1 hour", "user_id", "exact"
+    )
+    error = F.abs(F.col("guess") - F.col("exact"))
+    return exact.join(guess, ["window_start", "window_end"]).select(
+        "window_start",
+        "window_end",
+        (error <= F.greatest(F.lit(2.0), F.col("exact") * 0.05)).alias("close"),
+    )
+
+
 @query(
     "h1_tumbling_stream",
     f"""SELECT id, {slot(HOUR)} AS window_start, {slot(HOUR)} + {HOUR} AS window_end,
@@ -176,6 +195,53 @@ def _(t):
     return ranked(counts, ["item_id"], 3, "j1")
 
 
+def closed_days(delay: int) -> str:
+    return f"""SELECT * FROM (SELECT id, {slot(DAY)} AS window_start, {slot(DAY)} + {DAY} AS window_end,
+      count(*) AS cnt FROM sensor GROUP BY 1, 2, 3) WHERE window_end <= {WATERMARK} - {delay}"""
+
+
+@query("k1_ascending_watermark_stream", closed_days(0))
+def _(t):
+    rows = sensor_stream(t).withWatermark("ts", "0 seconds")
+    return drain(windows.tumbling(rows, ["id"], "ts", "1 day", cnt=windows.count_of()), "k1")
+
+
+@query("k2_out_of_order_watermark_stream", closed_days(2 * DAY))
+def _(t):
+    rows = tolerant(sensor_stream(t), "ts", "2 days")
+    return drain(windows.tumbling(rows, ["id"], "ts", "1 day", cnt=windows.count_of()), "k2")
+
+
+PART = 8 * DAY
+
+
+@query(
+    "k7_late_rows_stream",
+    f"""SELECT event_id, coalesce({slot(3 * HOUR)} + {3 * HOUR} + {HOUR} <=
+          (SELECT max(b.us) FROM arrived b WHERE b.part < a.part) - {HOUR}, false) AS late
+        FROM arrived a""",
+    arrived=f"""SELECT event_id, us,
+      (us + CASE WHEN event_id % 7 = 3 THEN {2 * DAY} ELSE 0 END) // {PART} AS part FROM ev""",
+)
+def _(t):
+    """Events land in parts by time of arrival; every seventh comes two days late.
+
+    The stream stops after each part and is restarted from its checkpoint for the next.
+    """
+    delay = F.when(F.col("event_id") % 7 == 3, 2 * DAY).otherwise(0)
+    arrived = t.events().select(
+        "event_id", "ts", whole_part(epoch_micros("ts") + delay, PART).alias("part")
+    )
+    first, last = arrived.agg(F.min("part"), F.max("part")).first()
+    inbox, state = fresh_path(t.spark, "k7-inbox"), fresh_path(t.spark, "k7-state")
+    router = LateRouter("ts", "3 hours", "1 hour", "1 hour", fresh_path(t.spark, "k7"))
+    for part in range(first, last + 1):
+        arrived.where(F.col("part") == part).drop("part").write.mode("append").parquet(inbox)
+        stream = t.spark.readStream.schema("event_id bigint, ts timestamp").parquet(inbox)
+        drain_batches(stream, router, "k7", checkpoint=state)
+    return router.rows(t.spark).select("event_id", "late")
+
+
 @query(
     "k6_allowed_lateness_stream",
     f"SELECT id, {slot(DAY)} AS window_start, {slot(DAY)} + {DAY} AS window_end, count(*) AS cnt FROM sensor GROUP BY 1, 2, 3",

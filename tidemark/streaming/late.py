@@ -7,7 +7,7 @@ event time of *earlier* micro-batches.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.functions.durations import epoch_micros, micros
 from tidemark.session import fresh_path
@@ -44,12 +44,16 @@ class LateRouter:
         ).parquet(f"{self.path}/rows/batch={batch_id}")
 
 
+    def rows(self, spark: SparkSession) -> DataFrame:
+        """Every row with ``late``; filter on it for either output (a folder each)."""
+        rows = spark.read.parquet(f"{self.path}/rows").drop("batch")
+        return rows.withColumn("late", F.col("late").cast("boolean"))
+
+
 def route_late(
     stream: DataFrame, ts: str, size: str, delay: str, allowed: str, label: str
 ) -> DataFrame:
-    """Every row with ``late``; filter on it for either output (a folder each)."""
     spark = stream.sparkSession
-    path = fresh_path(spark, label)
-    drain_batches(stream, LateRouter(ts, size, delay, allowed, path), label)
-    rows = spark.read.parquet(f"{path}/rows").drop("batch")
-    return rows.withColumn("late", F.col("late").cast("boolean"))
+    router = LateRouter(ts, size, delay, allowed, fresh_path(spark, label))
+    drain_batches(stream, router, label)
+    return router.rows(spark)
