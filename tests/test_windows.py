@@ -46,23 +46,24 @@ def test_sliding_from_panes_equals_sliding_rows(spark, size, slide):
 
 
 def test_sensor_sessions(sensor):
-    got = windows.sessions(sensor, ["id"], "ts", "3 seconds", "2 seconds", n=windows.count_of())
+    got = windows.sessions(sensor, ["id"], "ts", "3 seconds", "2 seconds", 2, n=windows.count_of())
     assert {(r.id, offset(r.window_start), offset(r.window_end), r.n) for r in got.collect()} == {
         ("s1", 2, 11, 5), ("s2", 5, 10, 2), ("s3", 9, 13, 2),
     }
 
 
-@pytest.mark.parametrize("width", ["4 seconds", "1 minute", "1 day"])
+@pytest.mark.parametrize("keys", [[], ["k"]])
+@pytest.mark.parametrize("width, hot_rows", [("4 seconds", 0), ("1 minute", 60), ("1 day", 0), ("1 day", 10_000)])
 @pytest.mark.parametrize("gap", ["3 seconds", "1 minute"])
-def test_sessions_equal_the_built_in_window(spark, gap, width):
+def test_sessions_equal_the_built_in_window(spark, gap, width, hot_rows, keys):
     df = as_frame(spark, skewed_events(12))
     got = windows.sessions(
-        df, ["k"], "ts", gap, width, n=windows.count_of(), t=windows.sum_of("v")
+        df, keys, "ts", gap, width, hot_rows, n=windows.count_of(), t=windows.sum_of("v")
     )
     want = (
-        df.groupBy("k", F.session_window("ts", gap).alias("w"))
+        df.groupBy(*keys, F.session_window("ts", gap).alias("w"))
         .agg(F.count("*").alias("n"), F.sum("v").alias("t"))
-        .select("k", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "n", "t")
+        .select(*keys, F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "n", "t")
     )
     same(got, want)
 
@@ -79,18 +80,21 @@ def test_distinct_counts_agree(spark):
     assert close.where(F.abs(F.col("uv") - F.col("guess")) > 2).count() == 0
 
 
-def test_full_window_function_streams_its_rows(sensor):
-    def spread(batches):
-        low, high, bounds = None, None, None
-        for batch in batches:
-            low = batch.vc.min() if low is None else min(low, batch.vc.min())
-            high = batch.vc.max() if high is None else max(high, batch.vc.max())
-            bounds = batch.iloc[:1]
-        yield bounds[["id"]].assign(spread=high - low)
+def test_full_window_function(sensor):
+    groups = ["id", "window_start", "window_end"]
 
-    got = process_window(sensor, ["id"], "ts", "5 seconds", spread, "id string, spread int")
-    assert sorted((r.id, r.spread) for r in got.collect()) == [
-        ("s1", 20), ("s1", 20), ("s2", 20), ("s3", 0), ("s3", 0),
+    def add(rows):
+        return rows.groupby(groups, as_index=False).agg(low=("vc", "min"), high=("vc", "max"))
+
+    def merge(states):
+        return states.groupby(groups, as_index=False).agg(low=("low", "min"), high=("high", "max"))
+
+    got = process_window(
+        sensor.repartition(4), ["id"], "ts", "5 seconds", add, merge, "low int, high int",
+        lambda d: d.select("id", "window_start", (F.col("high") - F.col("low")).alias("spread")),
+    )
+    assert sorted((r.id, offset(r.window_start), r.spread) for r in got.collect()) == [
+        ("s1", 0, 20), ("s1", 5, 20), ("s2", 5, 20), ("s3", 5, 0), ("s3", 10, 0),
     ]
 
 

@@ -1,4 +1,4 @@
-"""User-defined functions over rows, windows and groups, Arrow batch by batch."""
+"""User-defined functions over rows, groups and windows, Arrow batch by batch."""
 
 from __future__ import annotations
 
@@ -90,21 +90,27 @@ def process_window(
     keys: list[str],
     ts: str,
     size: str,
-    process: Callable[[Iterator[Frame]], Iterator[Frame]],
-    schema: str | T.StructType,
+    add: Callable[[Frame], Frame],
+    merge: Callable[[Frame], Frame],
+    state: str,
+    result: Callable[[DataFrame], DataFrame] = lambda d: d,
 ) -> DataFrame:
-    """Full-window function: sees every row of a key and window, as a stream of batches.
+    """User function over the rows of each key and window, with the window at hand.
 
-    For logic no mergeable aggregate can express. ``process`` gets columns
-    ``window_start`` and ``window_end`` beside the row and must not hoard its input.
+    ``add`` and ``merge`` see ``window_start`` and ``window_end`` beside the row and work
+    as in :func:`accumulate`, so a window is never gathered in one place however many
+    rows it holds. ``state`` lists the accumulator columns after the keys and bounds.
     """
-
-    def run(batches: Iterator[Frame]) -> Iterator[Frame]:
-        yield from process(batches)
-
     windowed = df.withColumn("_w", F.window(ts, size)).select(
         *df.columns,
         F.col("_w.start").alias("window_start"),
         F.col("_w.end").alias("window_end"),
     )
-    return windowed.groupBy(*keys, "window_start", "window_end").applyInPandas(run, schema)
+    kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    layout = ", ".join(
+        [f"{k} {kinds[k]}" for k in keys]
+        + ["window_start timestamp", "window_end timestamp", state]
+    )
+    return accumulate(
+        windowed, [*keys, "window_start", "window_end"], add, merge, layout, result
+    )

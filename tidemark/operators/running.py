@@ -140,7 +140,7 @@ def hot_keys(df: DataFrame, keys: list[str], hot_rows: int) -> DataFrame:
     )
 
 
-def _mark_hot(df: DataFrame, keys: list[str], hot: DataFrame, how: str) -> DataFrame:
+def mark_hot(df: DataFrame, keys: list[str], hot: DataFrame, how: str) -> DataFrame:
     """Join with the hot keys, NULL equal to NULL; their number is bounded, see above."""
     same = F.lit(True)
     for key in keys:
@@ -166,12 +166,12 @@ def running(
     slice_number = sequence.slice_number()
     if keys:
         hot = hot_keys(df, keys, sequence.hot_rows) if hot is None else hot
-        rows = _mark_hot(df, keys, hot, "left").select(
+        rows = mark_hot(df, keys, hot, "left").select(
             *df.columns,
             F.when(F.col(HOT), slice_number).otherwise(F.lit(0)).alias(SLICE),
             *lifted_columns,
         )
-        sliced = _mark_hot(df, keys, hot, "left_semi")
+        sliced = mark_hot(df, keys, hot, "left_semi")
     else:
         rows = df.select("*", slice_number.alias(SLICE), *lifted_columns)
         sliced = df

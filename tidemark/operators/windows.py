@@ -8,7 +8,7 @@ from typing import Callable
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.functions.durations import bucket, epoch_micros, micros, whole_part
-from tidemark.operators.running import Sequence, running, tally
+from tidemark.operators.running import HOT_ROWS, Sequence, hot_keys, mark_hot, running, tally
 
 
 @dataclass(frozen=True)
@@ -92,14 +92,39 @@ def sessions(
     keys: list[str],
     ts: str,
     gap: str,
-    width: str = "1 hour",
+    width: str = "1 minute",
+    hot_rows: int = HOT_ROWS,
     **measures: Measure,
 ) -> DataFrame:
     """Session windows ``[first, last + gap)``; rows at most ``gap`` apart belong together.
 
-    Sessions are built inside (key, time slice) first. Only the first and the last
-    session of a slice can continue in a neighbour, so only those - at most two rows
-    per slice - are merged along the key; the others keep a lane of their own.
+    Ordinary keys go through the built-in session window. Keys with more than
+    ``hot_rows`` rows (all rows, without a key) are cut into time slots of ``width``.
+    """
+    if not keys:
+        return _slotted_sessions(df, keys, ts, gap, width, measures)
+    hot = hot_keys(df, keys, hot_rows)
+    ordinary = (
+        mark_hot(df, keys, hot, "left_anti")
+        .groupBy(*keys, F.session_window(ts, gap).alias("_w"))
+        .agg(*_of_rows(measures))
+        .select(
+            *keys,
+            F.col("_w.start").alias("window_start"),
+            F.col("_w.end").alias("window_end"),
+            *measures,
+        )
+    )
+    crowded = mark_hot(df, keys, hot, "left_semi")
+    return ordinary.unionByName(_slotted_sessions(crowded, keys, ts, gap, width, measures))
+
+
+def _slotted_sessions(
+    df: DataFrame, keys: list[str], ts: str, gap: str, width: str, measures: dict[str, Measure]
+) -> DataFrame:
+    """Sessions are built inside (key, time slot) first. Only the first and the last
+    session of a slot can continue in a neighbour, so only those - at most two rows per
+    slot - are merged along the key; the others keep a lane of their own.
     """
     allowed = micros(gap)
     slot = Window.partitionBy(*keys, "_slot").orderBy("_at")

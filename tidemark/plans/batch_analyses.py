@@ -220,20 +220,16 @@ def _(t):
          count(*) AS cnt FROM ev GROUP BY 1, 2, 3""",
 )
 def _(t):
-    def count_rows(batches):
-        seen, bounds = 0, None
-        for batch in batches:
-            seen += len(batch)
-            bounds = batch.iloc[:1]
-        yield bounds[["event_type", "window_start", "window_end"]].assign(cnt=seen)
+    groups = ["event_type", "window_start", "window_end"]
+
+    def add(batch: pd.DataFrame) -> pd.DataFrame:
+        return batch.groupby(groups, as_index=False).agg(cnt=("ts", "size"))
+
+    def merge(states: pd.DataFrame) -> pd.DataFrame:
+        return states.groupby(groups, as_index=False).agg(cnt=("cnt", "sum"))
 
     return process_window(
-        t.events().select("event_type", "ts"),
-        ["event_type"],
-        "ts",
-        "1 day",
-        count_rows,
-        "event_type string, window_start timestamp, window_end timestamp, cnt bigint",
+        t.events().select("event_type", "ts"), ["event_type"], "ts", "1 day", add, merge, "cnt bigint"
     )
 
 
@@ -344,7 +340,6 @@ def _(t):
         ["id"],
         "ts",
         "2 hours",
-        width="6 hours",
         cnt=windows.count_of(),
         total=windows.sum_of("vc"),
     )
