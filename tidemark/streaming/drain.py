@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
+from pyspark.sql.streaming import DataStreamWriter
 
 from tidemark.session import fresh_path
 from tidemark.sinks.keyed import KeyedTable
@@ -16,21 +17,36 @@ from tidemark.sinks.keyed import KeyedTable
 BatchWriter = Callable[[DataFrame, int], None]
 
 
+def _finish(writer: DataStreamWriter, stream: DataFrame) -> None:
+    """Start, and wait until everything available now is done.
+
+    The number of state partitions is fixed for the life of a checkpoint and each costs
+    time in every micro-batch, so a stream gets at most two per core.
+    """
+    conf = stream.sparkSession.conf
+    partitions = conf.get("spark.sql.shuffle.partitions")
+    cores = stream.sparkSession.sparkContext.defaultParallelism
+    conf.set("spark.sql.shuffle.partitions", str(min(int(partitions), 2 * cores)))
+    try:
+        query = writer.trigger(availableNow=True).start()
+    finally:
+        conf.set("spark.sql.shuffle.partitions", partitions)
+    query.awaitTermination()
+
+
 def drain(
     stream: DataFrame, label: str, path: str | None = None, checkpoint: str | None = None
 ) -> DataFrame:
     """Append mode: every row once, exactly-once into Parquet files."""
     spark = stream.sparkSession
     path = path or fresh_path(spark, label)
-    (
+    writer = (
         stream.writeStream.format("parquet")
         .outputMode("append")
         .option("path", path)
         .option("checkpointLocation", checkpoint or fresh_path(spark, f"{label}-state"))
-        .trigger(availableNow=True)
-        .start()
-        .awaitTermination()
     )
+    _finish(writer, stream)
     return spark.read.schema(stream.schema).parquet(path)
 
 
@@ -39,14 +55,13 @@ def drain_batches(
     checkpoint: str | None = None,
 ) -> None:
     """Hand every micro-batch to ``write``; it may be replayed under the same number."""
-    (
+    state = checkpoint or fresh_path(stream.sparkSession, f"{label}-state")
+    writer = (
         stream.writeStream.foreachBatch(write)
         .outputMode(mode)
-        .option("checkpointLocation", checkpoint or fresh_path(stream.sparkSession, f"{label}-state"))
-        .trigger(availableNow=True)
-        .start()
-        .awaitTermination()
+        .option("checkpointLocation", state)
     )
+    _finish(writer, stream)
 
 
 def drain_updates(
