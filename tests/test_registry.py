@@ -6,13 +6,14 @@ from collections import Counter
 import pytest
 
 import __spark_entry__ as contract
+from tidemark.plans.registry import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
     "embeddings pages benchmark labels conversations"
 ).split()
-BATCH = sorted(name for name in contract.queries() if not name.endswith("_stream"))
+BATCH = sorted(name for name in QUERIES if not name.endswith("_stream"))
 
 needs_tables = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="no test tables")
 

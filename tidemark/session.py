@@ -48,10 +48,14 @@ def pin(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """Folder all executors can reach: the cluster's ``spark.checkpoint.dir``.
 
-    Only a session without that setting (unit tests) gets a local folder.
+    Without that setting only a single-process session, where driver and executors are
+    one, gets a folder of its own; anywhere else it is an error.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        master = spark.conf.get("spark.master", "")
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="tidemark-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
