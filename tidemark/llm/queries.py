@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import exact
+from tidemark.llm import exact, mixing
 from tidemark.llm.common import Query, table
 
 QUERIES: dict[str, Query] = {}
@@ -32,3 +32,40 @@ def query(name: str, oracle: str | None = None):
 )
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_groups(table(spark, sf_dir, "documents"))
+
+
+# Water filling in closed form: sources in order of limit / weight are full as long as
+# the rest, shared by weight, would put them above their limit.
+@query(
+    "op5_source_mixing",
+    r"""WITH docs AS (SELECT doc_id, source,
+        len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+        substring(md5('mix-1:' || coalesce(doc_id::VARCHAR, '')), 1, 16) AS h FROM documents),
+    per AS (SELECT source, sum(size)::BIGINT AS source_size FROM docs GROUP BY source),
+    ranked AS (SELECT source, source_size, 2 * source_size AS lim,
+        [3, 1, 2][(row_number() OVER (ORDER BY encode(source) NULLS LAST) - 1) % 3 + 1] AS weight
+      FROM per),
+    placed AS (SELECT *, row_number() OVER (ORDER BY lim / weight, weight) AS place FROM ranked),
+    filled AS (SELECT *, 1.5 * (sum(lim) OVER ()) / 2
+          - coalesce(sum(lim) OVER (ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rest,
+        sum(weight) OVER (ORDER BY place DESC) AS open_weight
+      FROM placed),
+    opened AS (SELECT min(place) AS first_open, min_by(rest, place)::DOUBLE AS rest,
+        min_by(open_weight, place) AS open_weight
+      FROM filled WHERE rest * weight <= lim * open_weight),
+    targets AS (SELECT source, source_size, CASE WHEN place < first_open THEN lim::DOUBLE
+          ELSE o.rest * weight / o.open_weight END AS target
+      FROM placed, opened o),
+    quotas AS (SELECT *, floor(target + 0.5)::BIGINT AS quota FROM targets),
+    summed AS (SELECT d.*, q.source_size, q.target,
+        CASE WHEN source_size > 0 THEN quota // source_size ELSE 0 END AS whole,
+        CASE WHEN source_size > 0 THEN quota % source_size ELSE 0 END AS need,
+        sum(size) OVER (PARTITION BY d.source ORDER BY h) AS up_to,
+        sum(size) OVER (PARTITION BY d.source, h) AS tied
+      FROM docs d JOIN quotas q ON d.source IS NOT DISTINCT FROM q.source)
+    SELECT doc_id, size, source_size, target,
+      (size * (whole + CASE WHEN 2 * up_to - tied < 2 * need THEN 1 ELSE 0 END))::BIGINT AS taken
+    FROM summed""",
+)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
