@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import exact, mixing, simhash
+from tidemark.llm import exact, license, mixing, simhash
 from tidemark.llm.common import Query, table
 
 QUERIES: dict[str, Query] = {}
@@ -74,3 +74,8 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_simhash_near_dedup")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(table(spark, sf_dir, "documents"))
+
+
+@query("op4_license_scan")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license.scan(table(spark, sf_dir, "documents"))
