@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import exact, license, mixing, simhash
+from tidemark.llm import exact, imatch, license, mixing, simhash
 from tidemark.llm.common import Query, table
 
 QUERIES: dict[str, Query] = {}
@@ -79,3 +79,8 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_license_scan")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license.scan(table(spark, sf_dir, "documents"))
+
+
+@query("op2_imatch_fingerprints")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return imatch.fingerprints(table(spark, sf_dir, "documents"))
