@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import exact, imatch, license, mixing, simhash
+from tidemark.llm import exact, imatch, langid, license, mixing, simhash
 from tidemark.llm.common import Query, table
 
 QUERIES: dict[str, Query] = {}
@@ -84,3 +84,8 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_imatch_fingerprints")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return imatch.fingerprints(table(spark, sf_dir, "documents"))
+
+
+@query("op6_language_id")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
