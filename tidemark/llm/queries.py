@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import exact, imatch, langid, license, mixing, simhash
+from tidemark.llm import exact, imatch, langid, license, mixing, simhash, toxicity
 from tidemark.llm.common import Query, table
 
 QUERIES: dict[str, Query] = {}
@@ -89,3 +89,8 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_language_id")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
+
+
+@query("op3_toxicity")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
