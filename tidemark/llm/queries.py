@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import exact, imatch, langid, license, mixing, simhash, toxicity
+from tidemark.llm import exact, imatch, langid, license, mixing, simhash, substrings, toxicity
 from tidemark.llm.common import Query, table
 
 QUERIES: dict[str, Query] = {}
@@ -94,3 +94,27 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_toxicity")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query(
+    "op1_substring_dedup",
+    r"""WITH listed AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws
+      FROM documents),
+    words AS (SELECT doc_id, unnest(ws) AS word, unnest(range(len(ws))) AS i FROM listed),
+    windows AS (SELECT *, CASE WHEN count(*) OVER f = 20 THEN string_agg(word, ' ') OVER f END AS win
+      FROM words
+      WINDOW f AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 19 FOLLOWING)),
+    judged AS (SELECT *,
+        win IS NOT NULL AND row_number() OVER (PARTITION BY win ORDER BY doc_id, i) > 1 AS later
+      FROM windows),
+    covered AS (SELECT *, bool_or(later) OVER (PARTITION BY doc_id ORDER BY i
+        ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS gone FROM judged),
+    kept AS (SELECT doc_id, count(*) FILTER (gone) AS n_removed,
+        string_agg(word, ' ' ORDER BY i) FILTER (NOT gone) AS rest
+      FROM covered GROUP BY doc_id)
+    SELECT l.doc_id, len(ws)::BIGINT AS n_words, coalesce(n_removed, 0) AS n_removed,
+      sha256(coalesce(rest, '')) AS kept_sha256
+    FROM listed l LEFT JOIN kept k ON l.doc_id = k.doc_id""",
+)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.dedup(table(spark, sf_dir, "documents"))
