@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import exact, imatch, langid, license, mixing, pieces, simhash, substrings, toxicity
+from tidemark.llm import exact, imatch, langid, license, lm, mixing, pieces, simhash, substrings, toxicity
 from tidemark.llm.common import Query, table
 
 QUERIES: dict[str, Query] = {}
@@ -123,3 +123,8 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_sentencepiece")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode(table(spark, sf_dir, "documents"))
+
+
+@query("op7_lm_scores")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"))
