@@ -1,24 +1,58 @@
-"""A corpus pipeline of the operators in ``tidemark.llm``: each stage reads what the one before kept."""
+"""A training corpus from raw documents, by the operators in ``tidemark.llm``.
+
+Every stage reads all documents that the one before kept and returns them with the columns
+of ``documents``; the last one returns their piece ids. Between stages the documents are
+written to the shared folder and read again, so a lost executor never costs more than
+tasks of the stage that runs.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import exact
+from tidemark.llm import exact, mixing, pieces, simhash, toxicity
 from tidemark.llm.common import staged, table
 
 
-def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts stays."""
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity model rejects go."""
+    return toxicity.drop_toxic(docs, table(spark, sf_dir, "labels"))
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents with equal texts the one with the smallest id stays."""
     return exact.drop_copies(docs)
 
 
-STAGES = [("exact dedup", exact_dedup)]
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of linked fingerprints the document with the smallest id stays."""
+    return simhash.drop_near_copies(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the mix takes, once for each time it takes them."""
+    return mixing.mixed(docs)
+
+
+def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Piece ids of every document, with the proof that they decode to its text."""
+    return pieces.encode(docs, with_ids=True)
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("exact dedup", drop_copies),
+    ("simhash near-dedup", drop_near_copies),
+    ("mixing", mix_sources),
+    ("sentencepiece", encode_pieces),
+]
+
+#: The classifier and the fingerprints have no SQL; ``tests/llm`` holds brute-force versions.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last stage's rows; every stage's result is written and read again."""
+    """The last stage's rows."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = staged(stage(spark, docs, sf_dir), name.replace(" ", "-"))
