@@ -163,7 +163,6 @@ def test_keyed_table_last_write_wins_and_replay(spark):
     table.upsert_batch(make(("a", 6, 3)), 1)
     expected = [("a", 6, 3), ("b", 9, 1)]
     assert sorted(map(tuple, table.read().collect())) == expected
-    assert sorted(map(tuple, table.compact().read().collect())) == expected
 
 
 def test_lifecycle_runs_per_task(spark):

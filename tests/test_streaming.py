@@ -5,6 +5,8 @@ Only the rows that come out are compared, never when they come out.
 
 import itertools
 import os
+import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -14,10 +16,11 @@ from tests.test_detections import rising_by_hand
 from tidemark.functions.durations import epoch_micros
 from tidemark.operators import distinct, joins, patterns, windows
 from tidemark.operators.running import by_time
-from tidemark.plans import ads, traffic
+from tidemark.plans import ads, batch_analyses, stream_analyses, traffic  # noqa: F401
+from tidemark.plans.registry import DISORDER, FILES_PER_TRIGGER, ORACLES, QUERIES, Tables
 from tidemark.session import fresh_path
 from tidemark.sinks.keyed import KeyedTable
-from tidemark.streaming.drain import drain, drain_batches, drain_latest, drain_updates
+from tidemark.streaming.drain import LateRowsDropped, drain, drain_batches, drain_latest, drain_updates
 from tidemark.streaming.late import route_late
 from tidemark.streaming.stateful import (
     ClickLimit, FollowedBy, History, Matcher, OneShot, Payment, Rising, stateful,
@@ -77,13 +80,17 @@ def test_late_rows_are_routed_by_earlier_batches(spark):
 
 
 def test_allowed_lateness_corrects_results(spark):
-    feed = Feed(spark, "s bigint", [(11,), (12,)], [(18,)], [(13,)], [(FAR,)], [(FAR + 1,)], [(14,)])
-    counts = windows.tumbling(
-        tolerant(feed.stream(), "ts", "2 seconds", lateness="4 seconds"), [], "ts", "5 seconds",
-        n=windows.count_of(),
-    )
-    got = drain_updates(counts, ["window_start"], "lateness")
+    feed = Feed(spark, "s bigint", [(11,), (12,)], [(18,)], [(13,)], [(FAR,)], [(FAR + 1,)])
+
+    def counts():
+        rows = tolerant(feed.stream(), "ts", "2 seconds", lateness="4 seconds")
+        return windows.tumbling(rows, [], "ts", "5 seconds", n=windows.count_of())
+
+    got = drain_updates(counts(), ["window_start"], "lateness")
     assert {int(r.window_start.timestamp()): r.n for r in got.collect()} == {10: 3, 15: 1, FAR: 2}
+    feed.land([(14,)])
+    with pytest.raises(LateRowsDropped):
+        drain_updates(counts(), ["window_start"], "lateness")
 
 
 def test_restart_neither_loses_nor_repeats(spark):
@@ -156,14 +163,24 @@ def test_interval_join(closed, spark):
     assert rows_of(drain(joined, "ij"), "l_event_id", "r_event_id") == rows_of(want, "l_event_id", "r_event_id")
 
 
+def shuffled(seed, parts=4, **kw):
+    """The events of ``in_order`` dealt over files at random, ended by a far row; plus all in order."""
+    _, rows = in_order(seed, **kw)
+    mixed = random.Random(seed).sample(rows, len(rows))
+    return [mixed[i::parts] for i in range(parts)] + [[(-1, FAR, 0, 99_999)]], rows
+
+
+SPAN = "20 days"
+
+
 def test_keyed_state(spark):
-    parts, rows = in_order(43)
+    parts, rows = shuffled(43)
     feed = Feed(spark, EVENT, *parts)
     stream = feed.stream().select(
-        F.col("k").alias("id"), "ts", F.col("v").alias("vc"), "event_id",
+        F.col("k").alias("id"), "ts", "at", F.col("v").alias("vc"), "event_id",
         F.when(F.col("v") < 50, "low").otherwise("high").alias("label"),
     )
-    got = drain(stateful(stream, ["id"], History(), History.OUTPUT, "None"), "history")
+    got = drain(stateful(stream.withWatermark("ts", SPAN), ["id"], History(), History.OUTPUT), "history")
     want, groups = [], {}
     for k, _, v, event_id in rows:
         seen = groups.setdefault(k, [])
@@ -174,37 +191,38 @@ def test_keyed_state(spark):
 
 
 def test_one_timer_per_key(spark):
-    feed = Feed(spark, EVENT, [(1, 10, 0, 0), (2, 11, 0, 1)], [(1, 12, 0, 2)], [(3, 16, 0, 3)])
-    stream = feed.stream().withColumnRenamed("k", "id").withWatermark("ts", "0 seconds")
+    feed = Feed(spark, EVENT, [(1, 12, 0, 2), (2, 11, 0, 1)], [(1, 10, 0, 0)], [(3, 18, 0, 3)])
+    stream = feed.stream().withColumnRenamed("k", "id").withWatermark("ts", "2 seconds")
     got = drain(stateful(stream, ["id"], OneShot(), OneShot.OUTPUT), "timer")
     assert rows_of(got, "id", "fired_at") == [(1, 15_000_000), (2, 16_000_000)]
 
 
 def test_rising_alarms(spark):
-    parts, rows = in_order(44, span=2000)
-    feed = Feed(spark, EVENT, *parts, [(-1, FAR, 0, 99_999)])
+    parts, rows = shuffled(44, span=2000)
+    feed = Feed(spark, EVENT, *parts)
     stream = feed.stream().select(
         F.col("k").alias("id"), F.col("v").alias("vc"), "at", "ts", "event_id"
-    ).withWatermark("ts", "0 seconds")
+    ).withWatermark("ts", SPAN)
     got = drain(stateful(stream, ["id"], Rising("30 seconds"), Rising.OUTPUT), "rising")
     want = sorted((k, s * 1_000_000) for k, s in rising_by_hand(rows, 30))
     assert rows_of(got, "id", "armed_at") == want
 
 
-def test_alarm_due_in_the_batch_that_would_clear_it(spark):
-    """The fall at second 8 comes with the watermark still at 2: the alarm of 7 stands."""
-    feed = Feed(spark, EVENT, [(1, 2, 10, 0)], [(1, 8, 5, 1)])
+def test_alarm_due_before_the_row_that_would_clear_it(spark):
+    """The fall at second 8 comes before the rise of second 2 and after the alarm of 7."""
+    feed = Feed(spark, EVENT, [(1, 8, 5, 1)], [(1, 2, 10, 0)])
     stream = feed.stream().select(F.col("k").alias("id"), F.col("v").alias("vc"), "at", "ts", "event_id")
-    got = drain(stateful(stream.withWatermark("ts", "0 seconds"), ["id"], Rising(), Rising.OUTPUT), "t1")
+    got = drain(stateful(stream.withWatermark("ts", "6500 milliseconds"), ["id"], Rising(), Rising.OUTPUT), "t1",
+                end=lambda: feed.land([(2, FAR, 1, 2)]))
     assert rows_of(got, "id", "alarm_at") == [(1, 7_000_000)]
 
 
 def test_click_limit(spark):
-    parts, rows = in_order(45, span=3 * 86_400)
+    parts, rows = shuffled(45, span=3 * 86_400)
     feed = Feed(spark, EVENT, *parts)
     stream = feed.stream().select(
         F.col("k").alias("user_id"), F.lit(1).alias("ad_id"), "at", "ts", "event_id"
-    ).withWatermark("ts", "0 seconds")
+    ).withWatermark("ts", SPAN)
     got = drain(stateful(stream, ["user_id", "ad_id"], ClickLimit(5), ClickLimit.OUTPUT), "clicks")
     clicks = as_frame(spark, rows).select(F.col("k").alias("user_id"), F.lit(1).alias("ad_id"), "ts", "event_id")
     passed, alarms = ads.blacklist_filter(clicks, by_time("ts", "event_id"), 5)
@@ -225,7 +243,7 @@ def test_payment_status(spark):
     )
     stream = feed.stream().withWatermark("ts", "20 minutes")
     got = drain_latest(stateful(stream, ["order_id"], Payment(), Payment.OUTPUT), ["order_id"], ["version"], "pay")
-    assert rows_of(got, "order_id", "status") == [
+    assert rows_of(got.where("order_id > 0"), "order_id", "status") == [
         (1, "paid"), (2, "paid_late"), (3, "paid"), (4, "unpaid"), (5, "missing_create"),
     ]
 
@@ -237,16 +255,18 @@ def test_one_to_one_matching(spark):
         [(1, "left", 5, 10), (2, "right", 5, 20)],
         [(1, "left", 6, 11), (1, "right", 9, 21), (2, "left", 7, 12)],
         [(1, "right", 8, 22), (1, "right", 8, 23), (3, "left", 1, 13)],
+        [(0, "left", FAR, 99)],
     )
-    got = drain(stateful(feed.stream(), ["tx_id"], Matcher(), Matcher.OUTPUT, "None"), "match")
-    assert rows_of(got, "tx_id", "left_id", "right_id") == [(1, 10, 21), (1, 11, 22), (2, 12, 20)]
+    stream = feed.stream().withWatermark("ts", "1 minute")
+    got = drain(stateful(stream, ["tx_id"], Matcher(), Matcher.OUTPUT), "match")
+    assert rows_of(got, "tx_id", "left_id", "right_id") == [(1, 10, 22), (1, 11, 23), (2, 12, 20)]
 
 
 def test_followed_by_and_timeouts(spark):
-    parts, rows = in_order(46, span=2000)
-    feed = Feed(spark, EVENT, *parts, [(-1, FAR, 50, 99_999)])
-    stream = feed.stream().withWatermark("ts", "0 seconds").where("v < 30 OR v > 70 OR k < 0").select(
-        F.col("k").alias("key"), "at", "event_id",
+    parts, rows = shuffled(46, span=2000)
+    feed = Feed(spark, EVENT, *parts)
+    stream = feed.stream().withWatermark("ts", SPAN).where("v < 30 OR v > 70 OR k < 0").select(
+        F.col("k").alias("key"), "at", "ts", "event_id",
         F.when(F.col("v") < 30, "first").otherwise("second").alias("step"),
     )
     got = drain(stateful(stream, ["key"], FollowedBy("20 seconds"), FollowedBy.OUTPUT), "cep")
@@ -255,3 +275,73 @@ def test_followed_by_and_timeouts(spark):
     matched = patterns.followed_by(*args).select("first.event_id", F.col("second.event_id").alias("e2"))
     assert rows_of(got.where("kind = 'match'"), "first_id", "second_id") == rows_of(matched, "event_id", "e2")
     assert rows_of(got.where("kind = 'timeout'"), "first_id") == rows_of(patterns.timed_out(*args), "event_id")
+
+
+def test_nothing_written_is_an_empty_table(spark):
+    table = KeyedTable(spark, ["k"], ["event_id"], schema=spark.createDataFrame([], EVENT).schema)
+    assert table.read().count() == 0
+
+
+def test_folds_keep_the_newest_row_per_key(spark):
+    table = KeyedTable(spark, ["k"], [], schema=None)
+    table.FOLD = 3
+    for batch in range(8):
+        table.upsert_batch(spark.createDataFrame([(batch % 2, batch)], "k bigint, v int"), batch)
+    table.upsert_batch(spark.createDataFrame([(0, 70), (5, 71)], "k bigint, v int"), 7)  # a replay
+    assert rows_of(table.read(), "k", "v") == [(0, 70), (1, 5), (5, 71)]
+
+
+def test_estimates_of_visitors(spark, tmp_path):
+    folder = "/root/testdata/sf0.001"
+    if not os.path.isdir(folder):
+        pytest.skip("no test tables")
+    tables = Tables(spark, folder)
+    views = tables.behavior().where(F.col("behavior") == "view")
+    exact = {
+        (r.window_start, r.window_end): r.uv
+        for r in distinct.windowed_distinct(views, "ts", "1 hour", "user_id").collect()
+    }
+    for name in ("g17_hourly_visitors_approx", "g17_hourly_visitors_approx_stream"):
+        guess = {
+            (r.window_start, r.window_end): r.uv
+            for r in QUERIES[name](spark, folder).withColumns({
+                c: F.timestamp_micros(c) for c in ("window_start", "window_end")
+            }).collect()
+        }
+        assert guess.keys() == exact.keys()
+        assert all(abs(guess[w] - exact[w]) <= max(1, 0.05 * exact[w]) for w in exact)
+
+
+@pytest.fixture(scope="module")
+def split_tables(spark, tmp_path_factory):
+    """The smallest tables, the streamed ones in four files each with their rows dealt at random."""
+    folder = "/root/testdata/sf0.001"
+    if not os.path.isdir(folder):
+        pytest.skip("no test tables")
+    out = str(tmp_path_factory.mktemp("split"))
+    for entry in os.listdir(folder):
+        name = entry.removesuffix(".parquet")
+        table = spark.read.parquet(f"{folder}/{entry}")
+        if name in DISORDER:
+            table = table.repartition(4, F.xxhash64(*table.columns))
+        table.write.parquet(f"{out}/{entry}")
+    spark.conf.set(FILES_PER_TRIGGER, "1")
+    yield folder, out
+    spark.conf.unset(FILES_PER_TRIGGER)
+
+
+@pytest.mark.parametrize("name", sorted(n for n in ORACLES if n.endswith("_stream")))
+def test_streams_do_not_depend_on_files(spark, split_tables, name):
+    """Four shuffled files, a micro-batch each, against the SQL over the whole table."""
+    duckdb = pytest.importorskip("duckdb")
+    folder, split = split_tables
+    connection = duckdb.connect()
+    for entry in os.listdir(folder):
+        table = entry.removesuffix(".parquet")
+        connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{folder}/{entry}'")
+    got = QUERIES[name](spark, split)
+    columns = sorted(got.columns)
+    result = connection.execute(ORACLES[name])
+    places = [[d[0] for d in result.description].index(c) for c in columns]
+    want = Counter(tuple(row[i] for i in places) for row in result.fetchall())
+    assert Counter(map(tuple, got.select(*columns).collect())) == want

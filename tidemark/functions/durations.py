@@ -37,6 +37,7 @@ def bucket(ts: str | Column, width: str) -> Column:
 
 
 def whole_part(number: Column, width: int) -> Column:
-    """Floor division of integers, exact also below zero."""
+    """Floor division of integers, exact over the whole range and below zero."""
     step = F.lit(width).cast("long")
-    return ((number - F.pmod(number, step)) / step).cast("long")
+    down = F.when(F.pmod(number, step) > number % step, 1).otherwise(0)
+    return F.call_function("div", number, step) - down

@@ -5,10 +5,16 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 Frame = pd.DataFrame
 
+# Integers that may be NULL stay integers.
+NULLABLE = {
+    pa.int8(): pd.Int8Dtype(), pa.int16(): pd.Int16Dtype(), pa.int32(): pd.Int32Dtype(), pa.int64(): pd.Int64Dtype()
+}
+
 
 def map_with_lifecycle(
     df: DataFrame,
@@ -45,10 +51,26 @@ def accumulate(
     same to accumulator rows. Tasks merge what they hold before the shuffle; behind it
     the accumulators pass in key order and a key is given out once the next one starts.
     A hot key thus costs one accumulator per task (or per ``flush_rows`` accumulators),
-    never its rows, and no task holds more than a batch.
+    never its rows, and no task holds more than a batch. NULL keys form a group if the
+    functions group with ``dropna=False``; integers come as nullable ones.
     """
+    layout = df.sparkSession.createDataFrame([], state).toArrow().schema
+
+    def frames(batches: Iterator[pa.RecordBatch]) -> Iterator[Frame]:
+        for batch in batches:
+            yield batch.to_pandas(types_mapper=NULLABLE.get)
+
+    def rows(found: Iterator[Frame]) -> Iterator[pa.RecordBatch]:
+        for frame in found:
+            yield pa.RecordBatch.from_pandas(frame, schema=layout, preserve_index=False)
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return rows(partially(frames(batches)))
+
+    def final(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return rows(finally_(frames(batches)))
 
-    def partial(batches: Iterator[Frame]) -> Iterator[Frame]:
+    def partially(batches: Iterator[Frame]) -> Iterator[Frame]:
         held: list[Frame] = []
         size = 0
         for batch in batches:
@@ -64,7 +86,7 @@ def accumulate(
         if held:
             yield merge(pd.concat(held, ignore_index=True))
 
-    def final(batches: Iterator[Frame]) -> Iterator[Frame]:
+    def finally_(batches: Iterator[Frame]) -> Iterator[Frame]:
         open_key: Frame | None = None
         for batch in batches:
             if not len(batch):
@@ -74,15 +96,16 @@ def accumulate(
             same = pd.Series(True, index=both.index)
             for key in keys:
                 value = last[key]
-                same &= both[key].isna() if pd.isna(value) else both[key] == value
+                equal = both[key].isna() if pd.isna(value) else both[key] == value
+                same &= equal.fillna(False).astype(bool)
             if not same.all():
                 yield merge(both[~same])
             open_key = merge(both[same])
         if open_key is not None:
             yield open_key
 
-    shuffled = df.mapInPandas(partial, state).repartition(*keys).sortWithinPartitions(*keys)
-    return result(shuffled.mapInPandas(final, state))
+    shuffled = df.mapInArrow(partial, state).repartition(*keys).sortWithinPartitions(*keys)
+    return result(shuffled.mapInArrow(final, state))
 
 
 def process_window(

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.functions.durations import epoch_micros
-from tidemark.session import pin
+from tidemark.session import OWN_DIR, fresh_path, pin, shared_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,24 +20,78 @@ VIEW = "view"
 FAILED = "error"
 
 
+# A property of each source: how far behind its newest row a row may come. Files of a
+# table are read in any order, so it is the time that the table spans.
+DISORDER = {"events": "31 days", "orders": "3000 days", "lineitem": "3000 days"}
+# Fixed value: the time of the row that ends a bounded stream.
+FAR = "2200-01-01 00:00:00"
+#: Session setting: files that a micro-batch takes.
+FILES_PER_TRIGGER = "tidemark.filesPerTrigger"
+
+
+class Ended:
+    """A table as a stream of its files that can be ended.
+
+    Beside the files it reads a folder that stays empty until ``end`` lands one row far
+    ahead in time there. The row moves the watermark past all others, so open windows and
+    timers come out; its own never do.
+    """
+
+    def __init__(self, tables: Tables, name: str, **last: Column):
+        self.spark, self.schema, self.last = tables.spark, tables.table(name).schema, last
+        self.path = fresh_path(tables.spark, f"end-{name}")
+        self.spark.createDataFrame([], self.schema).write.parquet(self.path)
+        end = tables.streams.readStream.schema(self.schema).parquet(self.path)
+        self.rows = tables.stream(name).unionByName(end)
+
+    def end(self) -> None:
+        columns = [
+            self.last.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in self.schema.fields
+        ]
+        self.spark.range(1).select(*columns).write.mode("append").parquet(self.path)
+
+
 class Tables:
     """The driver's Parquet tables and the views the analyses read."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = pin(spark)
         self.folder = folder
+        self._streams: SparkSession | None = None
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
-    def stream(self, name: str, files_per_trigger: int = 1000) -> DataFrame:
+    @property
+    def streams(self) -> SparkSession:
+        """A session of the same application for streams, with settings of its own.
+
+        State partitions stay as they are for the life of a checkpoint, so they follow
+        from the input, two for each file, and not from the executors of the moment.
+        """
+        if self._streams is None:
+            folder = shared_dir(self.spark)
+            self._streams = pin(self.spark.newSession())
+            self._streams.conf.set(OWN_DIR, folder)
+            files = max(len(self.table(n).inputFiles()) for n in DISORDER)
+            most = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+            self._streams.conf.set("spark.sql.shuffle.partitions", str(min(most, max(8, 2 * files))))
+        return self._streams
+
+    def stream(self, name: str) -> DataFrame:
         """The same table as a stream of its files."""
         return (
-            self.spark.readStream.schema(self.table(name).schema)
-            .option("maxFilesPerTrigger", files_per_trigger)
+            self.streams.readStream.schema(self.table(name).schema)
+            .option("maxFilesPerTrigger", self.spark.conf.get(FILES_PER_TRIGGER, "1000"))
             .parquet(f"{self.folder}/{name}.parquet*")
         )
 
+    def ended_events(self, event_type: str) -> Ended:
+        """The events as a stream that ends with one event of that type and no user."""
+        return Ended(
+            self, "events", ts=F.lit(FAR).cast("timestamp"), event_type=F.lit(event_type), value=F.lit(0.0)
+        )
+
     @staticmethod
     def as_events(raw: DataFrame) -> DataFrame:
         return raw.select(

@@ -10,6 +10,8 @@ from pyspark.sql import SparkSession
 ROCKSDB_PROVIDER = (
     "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 )
+#: Where a single-process session without spark.checkpoint.dir remembers its folder.
+OWN_DIR = "tidemark.sharedDir"
 
 
 def build_session(
@@ -41,6 +43,8 @@ def build_session(
 def pin(spark: SparkSession) -> SparkSession:
     """Runtime settings every operator relies on, for a session built elsewhere."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    # Every batch of a bounded run is looked at for lost rows afterwards.
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "100000")
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
     return spark
 
@@ -51,13 +55,13 @@ def shared_dir(spark: SparkSession) -> str:
     Without that setting only a single-process session, where driver and executors are
     one, gets a folder of its own; anywhere else it is an error.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(OWN_DIR, None)
     if not folder:
         master = spark.conf.get("spark.master", "")
         if master != "local" and not master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        spark.conf.set(OWN_DIR, folder)
     return folder.rstrip("/")
 
 

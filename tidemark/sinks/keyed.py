@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.session import fresh_path
 
@@ -19,32 +20,60 @@ def latest_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFram
 class KeyedTable:
     """Parquet folder of per-batch changes; reading it yields one row per key.
 
-    A batch writes only its own newest rows, into a folder named after the batch
-    number, so a replayed batch replaces itself and the cost of a write does not
-    grow with the table. ``compact`` folds the changes into one folder.
+    A batch writes only its own newest rows, into a folder named after the batch number,
+    so a replayed batch replaces itself. Every ``FOLD`` batches the changes since the last
+    fold are folded into a folder of their own, and reading starts from the newest fold,
+    so the cost of a read does not grow with the number of batches. ``schema`` lets a
+    table that nothing was written to be read as empty.
     """
 
+    FOLD = 20
+
     def __init__(
-        self, spark: SparkSession, keys: list[str], order: list[str], path: str | None = None
+        self, spark: SparkSession, keys: list[str], order: list[str], path: str | None = None,
+        schema: T.StructType | None = None,
     ):
         self.spark = spark
         self.keys = keys
         self.order = order
         self.path = path or fresh_path(spark, "keyed")
+        self.schema = schema
+
+    def _newest(self, changes: DataFrame) -> DataFrame:
+        return latest_per_key(changes, self.keys, [*self.order, "batch"])
+
+    def _changes(self, kind: str, first: int, last: int) -> DataFrame | None:
+        """Rows of the folders ``kind`` whose batch number lies in the range."""
+        try:
+            rows = self.spark.read.parquet(f"{self.path}/{kind}")
+        except AnalysisException:  # nothing was written yet
+            return None
+        return rows.where(F.col("batch").between(first, last))
 
     def upsert_batch(self, rows: DataFrame, batch_id: int) -> None:
         """``foreachBatch`` target; without an order a batch holds one row per key."""
         newest = latest_per_key(rows, self.keys, self.order) if self.order else rows
-        newest.write.mode("overwrite").parquet(
-            f"{self.path}/batch={batch_id}"
-        )
+        newest.write.mode("overwrite").parquet(f"{self.path}/changes/batch={batch_id}")
+        if (batch_id + 1) % self.FOLD == 0:
+            self._state(batch_id - self.FOLD, batch_id).drop("batch").write.mode("overwrite").parquet(
+                f"{self.path}/folds/batch={batch_id}"
+            )
+
+    def _state(self, fold: int, last: int) -> DataFrame | None:
+        """The fold numbered ``fold``, if there is one, under the changes after it."""
+        parts = [self._changes("folds", fold, fold), self._changes("changes", fold + 1, last)]
+        parts = [p for p in parts if p is not None]
+        if not parts:
+            return None
+        rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+        return self._newest(rows)
 
     def read(self) -> DataFrame:
-        changes = self.spark.read.parquet(self.path)
-        return latest_per_key(changes, self.keys, [*self.order, "batch"]).drop("batch")
-
-    def compact(self, path: str | None = None) -> KeyedTable:
-        """The same table as a single change in a folder of its own."""
-        folded = KeyedTable(self.spark, self.keys, self.order, path)
-        folded.upsert_batch(self.read(), -1)
-        return folded
+        folds = self._changes("folds", 0, 2**62)
+        last = folds.agg(F.max("batch")).first()[0] if folds is not None else None
+        state = self._state(-1 if last is None else last, 2**62)
+        if state is None:
+            if self.schema is None:
+                raise ValueError(f"nothing was written to {self.path} and no schema was given")
+            return self.spark.createDataFrame([], self.schema)
+        return state.drop("batch")

@@ -15,29 +15,48 @@ from tidemark.session import fresh_path
 from tidemark.sinks.keyed import KeyedTable
 
 BatchWriter = Callable[[DataFrame, int], None]
+#: Ends bounded input: lands what moves the watermark past every row.
+End = Callable[[], None]
 
 
-def _finish(writer: DataStreamWriter, stream: DataFrame) -> None:
-    """Start, and wait until everything available now is done.
+class LateRowsDropped(RuntimeError):
+    """Rows came further behind the watermark than the delay allows and were lost."""
 
-    The number of state partitions is fixed for the life of a checkpoint and each costs
-    time in every micro-batch, so a stream gets at most two per core.
-    """
-    conf = stream.sparkSession.conf
-    partitions = conf.get("spark.sql.shuffle.partitions")
-    cores = stream.sparkSession.sparkContext.defaultParallelism
-    conf.set("spark.sql.shuffle.partitions", str(min(int(partitions), 2 * cores)))
-    try:
-        query = writer.trigger(availableNow=True).start()
-    finally:
-        conf.set("spark.sql.shuffle.partitions", partitions)
+
+def _run(writer: DataStreamWriter) -> None:
+    """Start, wait until everything available now is done, and check that nothing was lost."""
+    query = writer.trigger(availableNow=True).start()
     query.awaitTermination()
+    dropped = sum(
+        operator.numRowsDroppedByWatermark
+        for progress in query.recentProgress for operator in progress.stateOperators
+    )
+    if dropped:
+        raise LateRowsDropped(
+            f"{dropped} rows came behind the watermark: give the source's disorder as delay, or route late rows"
+        )
+
+
+def _finish(writer: DataStreamWriter, end: End | None) -> None:
+    """Everything available now, then what the end of the input lets out.
+
+    The number of state partitions is the session's shuffle partitions and stays what it
+    is for the life of a checkpoint.
+    """
+    _run(writer)
+    if end is not None:
+        end()
+        _run(writer)
 
 
 def drain(
-    stream: DataFrame, label: str, path: str | None = None, checkpoint: str | None = None
+    stream: DataFrame, label: str, path: str | None = None, checkpoint: str | None = None,
+    end: End | None = None,
 ) -> DataFrame:
-    """Append mode: every row once, exactly-once into Parquet files."""
+    """Append mode: every row once, exactly-once into Parquet files.
+
+    With ``end`` windows and timers that are open at the end of the input come out too.
+    """
     spark = stream.sparkSession
     path = path or fresh_path(spark, label)
     writer = (
@@ -46,13 +65,13 @@ def drain(
         .option("path", path)
         .option("checkpointLocation", checkpoint or fresh_path(spark, f"{label}-state"))
     )
-    _finish(writer, stream)
+    _finish(writer, end)
     return spark.read.schema(stream.schema).parquet(path)
 
 
 def drain_batches(
     stream: DataFrame, write: BatchWriter, label: str, mode: str = "append",
-    checkpoint: str | None = None,
+    checkpoint: str | None = None, end: End | None = None,
 ) -> None:
     """Hand every micro-batch to ``write``; it may be replayed under the same number."""
     state = checkpoint or fresh_path(stream.sparkSession, f"{label}-state")
@@ -61,7 +80,7 @@ def drain_batches(
         .outputMode(mode)
         .option("checkpointLocation", state)
     )
-    _finish(writer, stream)
+    _finish(writer, end)
 
 
 def drain_updates(
@@ -69,15 +88,15 @@ def drain_updates(
     path: str | None = None,
 ) -> DataFrame:
     """Update mode: changed results per micro-batch; the last one per key is returned."""
-    table = KeyedTable(stream.sparkSession, keys, [], path)
+    table = KeyedTable(stream.sparkSession, keys, [], path, stream.schema)
     drain_batches(stream, table.upsert_batch, label, "update", checkpoint)
     return table.read()
 
 
 def drain_latest(
-    stream: DataFrame, keys: list[str], order: list[str], label: str
+    stream: DataFrame, keys: list[str], order: list[str], label: str, end: End | None = None
 ) -> DataFrame:
     """Append mode where later rows of a key supersede earlier ones."""
-    table = KeyedTable(stream.sparkSession, keys, order)
-    drain_batches(stream, table.upsert_batch, label)
+    table = KeyedTable(stream.sparkSession, keys, order, schema=stream.schema)
+    drain_batches(stream, table.upsert_batch, label, end=end)
     return table.read()

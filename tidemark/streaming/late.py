@@ -17,8 +17,9 @@ from tidemark.streaming.drain import drain_batches
 class LateRouter:
     """``foreachBatch`` target with an on-time and a late output.
 
-    Each batch leaves its largest event time in a folder named after its number; a
-    replayed batch reads only smaller numbers, so it decides as it did before.
+    Each batch leaves the largest event time up to and including it in a folder named
+    after its number, from that of the batch before; a replayed batch reads the same
+    folder, so it decides as it did before. Batch numbers follow each other.
     """
 
     def __init__(self, ts: str, size: str, delay: str, allowed: str, path: str):
@@ -28,21 +29,22 @@ class LateRouter:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        batch.agg(F.max(epoch_micros(self.ts)).alias("top")).write.mode("overwrite").parquet(
-            f"{self.path}/progress/batch={batch_id}"
-        )
-        top = (
-            spark.read.parquet(f"{self.path}/progress")
-            .where(F.col("batch") < batch_id)
-            .agg(F.max("top").alias("top"))
-            .first()["top"]
-        )
-        end = epoch_micros(F.window(self.ts, self.size)["end"])
-        late = F.lit(False) if top is None else end + self.allowed <= top - self.delay
-        batch.withColumn("late", F.coalesce(late, F.lit(False))).write.mode("overwrite").partitionBy(
-            "late"
-        ).parquet(f"{self.path}/rows/batch={batch_id}")
-
+        top = None
+        if batch_id > 0:
+            top = spark.read.parquet(f"{self.path}/progress/{batch_id - 1}").first()["top"]
+        batch = batch.persist()  # written, and asked for its largest time
+        try:
+            now = batch.agg(F.max(epoch_micros(self.ts)).alias("top"))
+            now.select(F.greatest("top", F.lit(top).cast("long")).alias("top")).write.mode("overwrite").parquet(
+                f"{self.path}/progress/{batch_id}"
+            )
+            end = epoch_micros(F.window(self.ts, self.size)["end"])
+            late = F.lit(False) if top is None else end + self.allowed <= top - self.delay
+            batch.withColumn("late", F.coalesce(late, F.lit(False))).write.mode("overwrite").partitionBy(
+                "late"
+            ).parquet(f"{self.path}/rows/batch={batch_id}")
+        finally:
+            batch.unpersist()
 
     def rows(self, spark: SparkSession) -> DataFrame:
         """Every row with ``late``; filter on it for either output (a folder each)."""

@@ -1,13 +1,16 @@
 """Keyed state and timers with ``transformWithState``.
 
-Rows of a key come unordered within a micro-batch and are handled before timers that
-are due, so every processor sorts its rows and settles by itself what a row's time has
-already decided; timers only serve keys that fall silent. Times are epoch microseconds,
-timers milliseconds.
+Rows of a key come in any order, within a micro-batch and across them. Processors whose
+answer depends on the order build on :class:`Ordered`: rows wait in state, in pages of
+event time, until the watermark has passed them, and are then handed over in order, a page
+at a time. So the answer never depends on how files were grouped into batches, and what a
+key holds is bounded by the watermark delay. Times are epoch microseconds, timers
+milliseconds.
 """
 
 from __future__ import annotations
 
+from collections import namedtuple
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, Row, functions as F
@@ -38,44 +41,188 @@ def timer_after(at: int, wait: int = 0) -> int:
     return -(-(at + wait) // 1000)
 
 
-class History(StatefulProcessor):
+class Ordered(StatefulProcessor):
+    """Hands the rows of a key over in event-time order once the watermark passed them.
+
+    ``KEPT`` names the columns of a row that are kept, ``at`` first and then the tie-breaker.
+    Subclasses open their state in ``open``, handle a row in ``step``, and whatever a time
+    alone decides in ``settle``; ``due`` tells when that is next.
+    """
+
+    KEPT = "at bigint, event_id bigint"
+    PAGE = micros("1 hour")
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        fields = [f.split() for f in self.KEPT.split(", ")]
+        self.row = namedtuple("Kept", [name for name, _ in fields])
+        layout = ", ".join(f"{name}: {kind}" for name, kind in fields)
+        self.pages = handle.getMapState("pages", "page bigint", f"rows array<struct<{layout}>>")
+        self.wake = handle.getValueState("wake", "at bigint")
+        self.open(handle)
+
+    def open(self, handle: StatefulProcessorHandle) -> None:
+        pass
+
+    def step(self, key, row) -> Iterator[Row]:
+        return iter(())
+
+    def settle(self, key, now: int) -> Iterator[Row]:
+        return iter(())
+
+    def due(self) -> int | None:
+        return None
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        found: dict[int, list[tuple]] = {}
+        for row in rows:
+            found.setdefault(row.at // self.PAGE, []).append(tuple(row[f] for f in self.row._fields))
+        for page, new in found.items():
+            known = _field(self.pages.getValue((page,))) or ()
+            self.pages.updateValue((page,), ([*(tuple(r) for r in known), *new],))
+        if found:
+            self._wake_by(min(found[min(found)])[0])
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        now = timerValues.getCurrentWatermarkInMs() * 1000
+        self.wake.clear()
+        later = None
+        for (page,) in sorted(self.pages.keys()):
+            if page * self.PAGE > now:
+                later = page * self.PAGE
+                break
+            rows = sorted((self.row(*r) for r in _field(self.pages.getValue((page,)))), key=lambda r: r[:2])
+            ready = sum(r.at <= now for r in rows)
+            for row in rows[:ready]:
+                yield from self.step(key, row)
+            if ready < len(rows):
+                self.pages.updateValue((page,), ([tuple(r) for r in rows[ready:]],))
+                later = rows[ready].at
+                break
+            self.pages.removeKey((page,))
+        yield from self.settle(key, now)
+        times = [t for t in (later, self.due()) if t is not None]
+        if times:
+            self._wake_by(min(times))
+
+    def _wake_by(self, at: int) -> None:
+        known = _field(self.wake.get())
+        if known is not None and known <= at:
+            return
+        if known is not None:
+            self.handle.deleteTimer(timer_after(known))
+        self.wake.update((at,))
+        self.handle.registerTimer(timer_after(at))
+
+    def close(self) -> None:
+        pass
+
+
+class History(Ordered):
     """Value, list and map state side by side.
 
     Per row: the previous value, the sum of the last ``span`` values and how often the
     row's label occurred so far.
     """
 
+    KEPT = "at bigint, event_id bigint, vc int, label string"
     OUTPUT = "id bigint, event_id bigint, previous_vc int, recent bigint, same_label bigint"
 
     def __init__(self, span: int = 3):
         self.span = span
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
+    def open(self, handle: StatefulProcessorHandle) -> None:
         self.previous = handle.getValueState("previous", "vc int")
         self.recent = handle.getListState("recent", "vc int")
         self.labels = handle.getMapState("labels", "label string", "seen bigint")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        previous = _field(self.previous.get())
-        recent = [v[0] for v in self.recent.get()]
-        for row in sorted(rows, key=lambda r: (r.ts, r.event_id)):
-            recent = [*recent, row.vc][-self.span:]
-            label = (row.label,)
-            seen = 1 + (_field(self.labels.getValue(label)) or 0)
-            self.labels.updateValue(label, (seen,))
+    def step(self, key, row) -> Iterator[Row]:
+        recent = [*(v[0] for v in self.recent.get()), row.vc][-self.span:]
+        seen = 1 + (_field(self.labels.getValue((row.label,))) or 0)
+        yield Row(
+            id=key[0], event_id=row.event_id, previous_vc=_field(self.previous.get()),
+            recent=sum(recent), same_label=seen,
+        )
+        self.labels.updateValue((row.label,), (seen,))
+        self.previous.update((row.vc,))
+        self.recent.put([(v,) for v in recent])
+
+
+class Moving(Ordered):
+    """Number and sum over the last ``span`` rows of a key, after every ``slide`` rows.
+
+    ``nth`` is the row's number within its key. With ``slide`` 1 it is a moving frame,
+    otherwise a sliding count window.
+    """
+
+    KEPT = "at bigint, event_id bigint, vc int"
+    OUTPUT = "id bigint, event_id bigint, nth bigint, cnt bigint, total bigint"
+
+    def __init__(self, span: int = 3, slide: int = 1):
+        self.span, self.slide = span, slide
+
+    def open(self, handle: StatefulProcessorHandle) -> None:
+        self.seen = handle.getValueState("seen", "n bigint")
+        self.last = handle.getListState("last", "vc int")
+
+    def step(self, key, row) -> Iterator[Row]:
+        seen = 1 + (_field(self.seen.get()) or 0)
+        last = [*(v[0] for v in self.last.get()), row.vc][-self.span:]
+        if seen % self.slide == 0:
+            known = [v for v in last if v is not None]
             yield Row(
-                id=key[0], event_id=row.event_id, previous_vc=previous,
-                recent=sum(recent), same_label=seen,
+                id=key[0], event_id=row.event_id, nth=seen, cnt=len(last), total=sum(known) if known else None
             )
-            previous = row.vc
-        self.previous.update((previous,))
-        self.recent.put([(v,) for v in recent])
+        self.seen.update((seen,))
+        self.last.put([(v,) for v in last])
 
-    def close(self) -> None:
-        pass
 
+class Changelog(Ordered):
+    """A running sum as retract and add rows: the old result goes, the new one comes."""
+
+    KEPT = "at bigint, event_id bigint, vc int"
+    OUTPUT = "id bigint, event_id bigint, added boolean, total bigint"
+
+    def open(self, handle: StatefulProcessorHandle) -> None:
+        self.total = handle.getValueState("total", "total bigint")
+
+    def step(self, key, row) -> Iterator[Row]:
+        old = _field(self.total.get())
+        if old is not None:
+            yield Row(id=key[0], event_id=row.event_id, added=False, total=old)
+        new = (old or 0) + (row.vc or 0)
+        yield Row(id=key[0], event_id=row.event_id, added=True, total=new)
+        self.total.update((new,))
+
+
+class StrictNext(Ordered):
+    """A ``first`` row and the row right after it, if that is ``second`` and strictly in time.
+
+    Rows carry ``first`` and ``second`` (booleans). Without ``within`` any time will do.
+    """
+
+    KEPT = "at bigint, event_id bigint, first boolean, second boolean"
+    OUTPUT = "key bigint, first_id bigint, second_id bigint"
+
+    def __init__(self, within: str | None = None):
+        self.within = None if within is None else micros(within)
 
-class OneShot(StatefulProcessor):
+    def open(self, handle: StatefulProcessorHandle) -> None:
+        self.before = handle.getValueState("before", "at bigint, event_id bigint")
+
+    def step(self, key, row) -> Iterator[Row]:
+        before = self.before.get()
+        in_time = before is not None and (self.within is None or row.at - before[0] < self.within)
+        if in_time and row.second:
+            yield Row(key=key[0], first_id=before[1], second_id=row.event_id)
+        if row.first:
+            self.before.update((row.at, row.event_id))
+        elif before is not None:
+            self.before.clear()
+
+
+class OneShot(Ordered):
     """One timer per key, ``wait`` after the key's first row."""
 
     OUTPUT = "id bigint, fired_at bigint"
@@ -83,74 +230,63 @@ class OneShot(StatefulProcessor):
     def __init__(self, wait: str = "5 seconds"):
         self.wait = micros(wait)
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.due = handle.getValueState("due", "at bigint")
+    def open(self, handle: StatefulProcessorHandle) -> None:
+        self.fires = handle.getValueState("fires", "at bigint, done boolean")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        first = min(row.at for row in rows)
-        if not self.due.exists():
-            self.due.update((first + self.wait,))
-            self.handle.registerTimer(timer_after(first, self.wait))
+    def step(self, key, row) -> Iterator[Row]:
+        if not self.fires.exists():
+            self.fires.update((row.at + self.wait, False))
         return iter(())
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        yield Row(id=key[0], fired_at=self.due.get()[0])
+    def settle(self, key, now: int) -> Iterator[Row]:
+        at = self.due()
+        if at is not None and at <= now:
+            self.fires.update((at, True))
+            yield Row(id=key[0], fired_at=at)
 
-    def close(self) -> None:
-        pass
+    def due(self) -> int | None:
+        fires = self.fires.get()
+        return None if fires is None or fires[1] else fires[0]
 
 
-class Rising(StatefulProcessor):
+class Rising(Ordered):
     """Alarm when a level keeps rising for ``hold``; see ``plans.sensors.rising_alarms``."""
 
+    KEPT = "at bigint, event_id bigint, vc int"
     OUTPUT = "id bigint, armed_at bigint, alarm_at bigint"
 
     def __init__(self, hold: str = "5 seconds"):
         self.hold = micros(hold)
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.level = handle.getValueState("level", "vc int")
-        self.armed = handle.getValueState("armed", "at bigint")
+    def open(self, handle: StatefulProcessorHandle) -> None:
+        self.state = handle.getValueState("state", "level int, armed bigint")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        level = _field(self.level.get()) or 0
-        before = armed = _field(self.armed.get())
-        for row in sorted(rows, key=lambda r: (r.at, r.event_id)):
-            if armed is not None and row.at > armed + self.hold:
-                yield Row(id=key[0], armed_at=armed, alarm_at=armed + self.hold)
-                armed = None
-            if row.vc > level:
-                armed = row.at if armed is None else armed
-            else:
-                armed = None
-            level = row.vc
-        self.level.update((level,))
-        if armed == before:
-            return
-        if before is not None:
-            self.handle.deleteTimer(timer_after(before, self.hold))
-        if armed is None:
-            self.armed.clear()
+    def step(self, key, row) -> Iterator[Row]:
+        level, armed = self.state.get() or (0, None)
+        if armed is not None and row.at > armed + self.hold:
+            yield Row(id=key[0], armed_at=armed, alarm_at=armed + self.hold)
+            armed = None
+        if row.vc > level:
+            armed = row.at if armed is None else armed
         else:
-            self.armed.update((armed,))
-            self.handle.registerTimer(timer_after(armed, self.hold))
+            armed = None
+        self.state.update((row.vc, armed))
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        armed = _field(self.armed.get())
-        if armed is not None:
-            self.armed.clear()
+    def settle(self, key, now: int) -> Iterator[Row]:
+        level, armed = self.state.get() or (0, None)
+        if armed is not None and armed + self.hold <= now:
+            self.state.update((level, None))
             yield Row(id=key[0], armed_at=armed, alarm_at=armed + self.hold)
 
-    def close(self) -> None:
-        pass
+    def due(self) -> int | None:
+        _, armed = self.state.get() or (0, None)
+        return None if armed is None else armed + self.hold
 
 
-class ClickLimit(StatefulProcessor):
+class ClickLimit(Ordered):
     """Pass the first ``limit`` clicks of a (user, ad) per UTC day, alarm once beyond.
 
-    Counters are kept per day and dropped by a timer once the watermark leaves the day.
+    Counters are kept per day and dropped once the watermark leaves the day.
     """
 
     OUTPUT = "kind string, user_id bigint, ad_id int, event_id bigint, at bigint"
@@ -159,43 +295,35 @@ class ClickLimit(StatefulProcessor):
     def __init__(self, limit: int = 100):
         self.limit = limit
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
+    def open(self, handle: StatefulProcessorHandle) -> None:
         self.counts = handle.getMapState("counts", "day bigint", "clicks bigint")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        counts: dict[int, int] = {}
-        for row in sorted(rows, key=lambda r: (r.at, r.event_id)):
-            day = row.at // self.DAY
-            if day not in counts:
-                known = _field(self.counts.getValue((day,)))
-                counts[day] = known or 0
-                if known is None:
-                    self.handle.registerTimer(timer_after((day + 1) * self.DAY))
-            counts[day] += 1
-            if counts[day] <= self.limit + 1:
-                yield Row(
-                    kind="pass" if counts[day] <= self.limit else "alarm",
-                    user_id=key[0], ad_id=key[1], event_id=row.event_id, at=row.at,
-                )
-        for day, clicks in counts.items():
-            self.counts.updateValue((day,), (clicks,))
+    def step(self, key, row) -> Iterator[Row]:
+        day = (row.at // self.DAY,)
+        clicks = 1 + (_field(self.counts.getValue(day)) or 0)
+        self.counts.updateValue(day, (clicks,))
+        if clicks <= self.limit + 1:
+            yield Row(
+                kind="pass" if clicks <= self.limit else "alarm",
+                user_id=key[0], ad_id=key[1], event_id=row.event_id, at=row.at,
+            )
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        day = expiredTimerInfo.getExpiryTimeInMs() * 1000 // self.DAY - 1
-        if self.counts.containsKey((day,)):
-            self.counts.removeKey((day,))
+    def settle(self, key, now: int) -> Iterator[Row]:
+        for day in [d for d in self.counts.keys() if (d[0] + 1) * self.DAY <= now]:
+            self.counts.removeKey(day)
         return iter(())
 
-    def close(self) -> None:
-        pass
+    def due(self) -> int | None:
+        return min(((d[0] + 1) * self.DAY for d in self.counts.keys()), default=None)
 
 
 class Payment(StatefulProcessor):
     """Payment status of an order, emitted whenever it changes; the last one counts.
 
     Keeps the earliest create and pay. With only one of them a timer reports the other
-    as missing ``limit`` later; a pay that still comes then corrects the status.
+    as missing ``limit`` later; a pay that still comes then corrects the status. An order
+    with both is forgotten once the watermark has passed them and the timer, as no earlier
+    event of it can come any more; one that lacks either stays, its status may change.
     """
 
     OUTPUT = "order_id bigint, status string, version int"
@@ -217,12 +345,14 @@ class Payment(StatefulProcessor):
                 created = row.at if created is None else min(created, row.at)
             else:
                 paid = row.at if paid is None else min(paid, row.at)
+        both = created is not None and paid is not None
         if known is None:
-            self.handle.registerTimer(
-                timer_after(min(t for t in (created, paid) if t is not None), self.limit)
-            )
+            first = min(t for t in (created, paid) if t is not None)
+            self.handle.registerTimer(timer_after(first, self.limit))
+        if both:
+            self.handle.registerTimer(timer_after(max(created, paid), self.limit))
         now = status
-        if created is not None and paid is not None:
+        if both:
             now = "paid_late" if paid - created > self.limit else "paid"
         if now != status:
             version += 1
@@ -230,8 +360,14 @@ class Payment(StatefulProcessor):
         self.seen.update((created, paid, now, version))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        created, paid, status, version = self.seen.get()
-        if status is None:
+        known = self.seen.get()
+        if known is None:
+            return
+        created, paid, status, version = known
+        if created is not None and paid is not None:
+            if timer_after(max(created, paid), self.limit) <= timerValues.getCurrentWatermarkInMs():
+                self.seen.clear()
+        elif status is None:
             status = "unpaid" if paid is None else "missing_create"
             self.seen.update((created, paid, status, version + 1))
             yield Row(order_id=key[0], status=status, version=version + 1)
@@ -240,87 +376,79 @@ class Payment(StatefulProcessor):
         pass
 
 
-class Matcher(StatefulProcessor):
+class Matcher(Ordered):
     """One-to-one match of two sides of a key; whichever comes first waits.
 
-    Only one side can be waiting at a time.
-
-    Rows carry ``side`` ("left" / "right"), ``at`` and ``row_id``.
+    Only one side can be waiting at a time; its rows are a queue in map state.
+    Rows carry ``at``, ``row_id`` and ``side`` ("left" / "right").
     """
 
+    KEPT = "at bigint, row_id bigint, side string"
+    PAGE = micros("30 days")
     OUTPUT = "tx_id bigint, left_id bigint, right_id bigint"
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.waiting = handle.getValueState("waiting", "side string, row_ids array<bigint>")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        queues = {"left": [], "right": []}
-        known = self.waiting.get()
-        if known is not None:
-            queues[known[0]].extend(known[1])
-        for row in sorted(rows, key=lambda r: (r.at, r.row_id)):
-            queues[row.side].append(row.row_id)
-        pairs = min(map(len, queues.values()))
-        for left, right in zip(queues["left"], queues["right"]):
-            yield Row(tx_id=key[0], left_id=left, right_id=right)
-        rest = [(side, queue[pairs:]) for side, queue in queues.items() if queue[pairs:]]
-        if rest:
-            self.waiting.update(rest[0])
-        elif known is not None:
-            self.waiting.clear()
+    def open(self, handle: StatefulProcessorHandle) -> None:
+        self.ends = handle.getValueState("ends", "side string, head bigint, tail bigint")
+        self.queue = handle.getMapState("queue", "place bigint", "row_id bigint")
 
-    def close(self) -> None:
-        pass
+    def step(self, key, row) -> Iterator[Row]:
+        side, head, tail = self.ends.get() or (row.side, 0, 0)
+        if side == row.side or head == tail:
+            self.queue.updateValue((tail,), (row.row_id,))
+            self.ends.update((row.side, head, tail + 1))
+            return
+        waited = _field(self.queue.getValue((head,)))
+        self.queue.removeKey((head,))
+        self.ends.update((side, head + 1, tail))
+        left, right = (waited, row.row_id) if side == "left" else (row.row_id, waited)
+        yield Row(tx_id=key[0], left_id=left, right_id=right)
 
 
-class FollowedBy(StatefulProcessor):
+class FollowedBy(Ordered):
     """``first`` then the next ``second`` row of the key, strictly within ``within``.
 
-    Rows carry ``step`` ("first", "second" or "both"), ``at`` and ``event_id``. Starts
-    that see no second row in time come out as ``timeout``.
+    Rows carry ``step`` ("first", "second" or "both"). Starts that see no second row in
+    time come out as ``timeout``. With ``every`` a start meets all second rows in time,
+    not only the next one, and there are no timeouts.
     """
 
+    KEPT = "at bigint, event_id bigint, step string"
     OUTPUT = "kind string, key bigint, first_id bigint, second_id bigint"
 
-    def __init__(self, within: str):
-        self.within = micros(within)
+    def __init__(self, within: str, every: bool = False):
+        self.within, self.every = micros(within), every
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
+    def open(self, handle: StatefulProcessorHandle) -> None:
         self.pending = handle.getListState("pending", "at bigint, event_id bigint")
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        known = pending = list(self.pending.get())
-        held = {start[0] for start in pending}
-        for row in sorted(rows, key=lambda r: (r.at, r.event_id)):
-            if row.step != "first":
-                for at, event_id in pending:
-                    met = row.at - at < self.within
+    def step(self, key, row) -> Iterator[Row]:
+        known = pending = [tuple(p) for p in self.pending.get()]
+        if row.step != "first":
+            for at, event_id in pending:
+                met = row.at - at < self.within
+                if met or not self.every:
                     yield Row(
                         kind="match" if met else "timeout", key=key[0], first_id=event_id,
                         second_id=row.event_id if met else None,
                     )
-                pending = []
-            if row.step != "second":
-                pending = [*pending, (row.at, row.event_id)]
+            pending = [p for p in pending if row.at - p[0] < self.within] if self.every else []
+        if row.step != "second":
+            pending = [*pending, (row.at, row.event_id)]
+        self._keep(known, pending)
+
+    def _keep(self, known: list, pending: list) -> None:
         if pending:
             self.pending.put(pending)
         elif known:
             self.pending.clear()
-        for at in {start[0] for start in pending} - held:
-            self.handle.registerTimer(timer_after(at, self.within))
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        now = expiredTimerInfo.getExpiryTimeInMs()
-        pending = list(self.pending.get())
-        due = [s for s in pending if timer_after(s[0], self.within) <= now]
-        rest = [s for s in pending if timer_after(s[0], self.within) > now]
-        for _at, event_id in due:
-            yield Row(kind="timeout", key=key[0], first_id=event_id, second_id=None)
-        if rest:
-            self.pending.put(rest)
-        elif pending:
-            self.pending.clear()
+    def settle(self, key, now: int) -> Iterator[Row]:
+        known = [tuple(p) for p in self.pending.get()]
+        if not self.every:
+            for at, event_id in known:
+                if at + self.within <= now:
+                    yield Row(kind="timeout", key=key[0], first_id=event_id, second_id=None)
+        self._keep(known, [p for p in known if p[0] + self.within > now])
 
-    def close(self) -> None:
-        pass
+    def due(self) -> int | None:
+        return min((p[0] + self.within for p in self.pending.get()), default=None)

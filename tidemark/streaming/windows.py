@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tidemark.functions.durations import micros
 from tidemark.operators.topn import top_n
 from tidemark.session import fresh_path
-from tidemark.streaming.drain import drain_batches
+from tidemark.streaming.drain import End, drain_batches
 
 
 def tolerant(df: DataFrame, ts: str, out_of_order: str, lateness: str = "0 seconds") -> DataFrame:
@@ -48,7 +48,9 @@ def sliding_counts(df: DataFrame, keys: list[str], ts: str, size: str, slide: st
     )
 
 
-def ranked(counts: DataFrame, keys: list[str], n: int, label: str) -> DataFrame:
+def ranked(
+    counts: DataFrame, keys: list[str], n: int, label: str, end: End | None = None
+) -> DataFrame:
     """Best ``n`` keys of every closed window.
 
     In append mode a window closes once, with all its keys in one micro-batch, so
@@ -62,5 +64,5 @@ def ranked(counts: DataFrame, keys: list[str], n: int, label: str) -> DataFrame:
             f"{path}/batch={batch_id}"
         )
 
-    drain_batches(counts, rank, label)
+    drain_batches(counts, rank, label, end=end)
     return spark.read.parquet(path).drop("batch")
