@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import as_frame, by_key, offset, skewed_events
+from tidemark.operators import patterns
 from tidemark.operators.running import (
     by_number, by_time, changelog, highest, lowest, opening, preceding, running,
     running_distinct, tally, total,
@@ -132,3 +133,43 @@ def test_changelog(sensor):
     s2 = sorted((offset(r.ts), r.added, r.n) for r in got.where("id = 's2'").collect())
     assert s2 == [(5, True, 1), (7, False, 1), (7, True, 2)]
     assert got.count() == 9 + 6
+
+
+def test_null_times_and_keys_do_not_depend_on_hot_keys(spark):
+    """The same rows whether a key is cut into slices or not, in either order."""
+    rows = [(k, t, v, i) for i, (k, t, v) in enumerate(
+        (k, t, v) for k in (1, None) for t, v in ((100, 1), (None, 2), (200, 3), (300, 4), (None, 5))
+    )]
+    df = as_frame(spark, rows)
+    results = []
+    for hot_rows in (1, 1_000_000):
+        order = by_time("ts", "event_id", width="1 minute", hot_rows=hot_rows)
+        for sequence in (order, order.reversed()):
+            got = running(df, ["k"], sequence, total=total(F.col("v")), before=preceding(F.col("v")))
+            results.append(sorted(map(str, got.select("k", "event_id", "total", "before").collect())))
+    assert results[0] == results[2] and results[1] == results[3]
+
+
+def test_patterns_with_null_times_do_not_depend_on_hot_keys(spark):
+    rows = [(k, t, v, i) for i, (k, t, v) in enumerate(
+        (k, t, v) for k in (1, None) for t, v in ((100, 1), (None, 2), (200, 1), (300, 2), (400, 2))
+    )]
+    df = as_frame(spark, rows)
+    for find in (patterns.strict_next, patterns.followed_by):
+        found = [
+            sorted(
+                str((r.first.event_id, r.second.event_id))
+                for r in find(df, ["k"], by_time("ts", "event_id", hot_rows=h), F.col("v") == 1, F.col("v") == 2).collect()
+            )
+            for h in (1, 1_000_000)
+        ]
+        assert found[0] == found[1] and found[0]
+
+
+def test_running_without_key_over_many_slices(spark):
+    """More slices than a group holds, so carries come by way of groups."""
+    df = spark.range(5000).select(F.col("id").alias("event_id"), F.lit(1).alias("v"))
+    got = running(df, [], by_number("event_id", rows=2), n=total(F.col("v")), first=opening(F.col("event_id")))
+    assert got.where("n <> event_id + 1 OR first <> 0").count() == 0
+    back = running(df, [], by_number("event_id", rows=2).reversed(), n=total(F.col("v")))
+    assert back.where("n <> 5000 - event_id").count() == 0

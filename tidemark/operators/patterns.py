@@ -1,9 +1,10 @@
 """Event patterns per key over bounded input.
 
 Nothing is skipped: every row that meets the first step starts a match of its own.
-A time bound is strict, last minus first ``< within``. With a bound, rows are cut
-into time slots and a slot also sees the rows that follow it within the bound, so a
-key is never held by one task. Without one, the slices of ``running`` do that.
+A time bound is strict, last minus first ``< within``. Rows without a time take no part.
+With a bound, rows are cut into time slots of twice the bound and a slot also sees the
+rows that follow it within the bound; a task holds the rows of a key in three bounds of
+time, which the caller's bound limits. Without one, the slices of ``running`` do that.
 Matches carry the rows as structs ``first`` and ``second``.
 """
 
@@ -12,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.functions.durations import epoch_micros, micros, whole_part
-from tidemark.operators.running import Sequence, preceding, running, tally
+from tidemark.operators.running import Sequence, in_order, preceding, running, split_hot, tally
 
 AT, OWN, SLOT = "_at", "_own", "_slot"
 
@@ -25,10 +26,10 @@ def single(df: DataFrame, condition: Column) -> DataFrame:
 def _slotted(df: DataFrame, ts: str, within: str) -> DataFrame:
     """Rows in their own slot plus copies in the slots that end within reach of them.
 
-    The slot is several bounds wide, so few rows are copied.
+    The slot is two bounds wide: half the rows are copied, and no slot grows with a key.
     """
     reach = micros(within)
-    width = 8 * reach
+    width = 2 * reach
     at = epoch_micros(ts)
     return (
         df.where(F.col(ts).isNotNull())
@@ -54,7 +55,8 @@ def strict_next(
     ts = sequence.order[0]
     step = F.struct(second.alias("ok"), _row(df).alias("row"))
     if within is None:
-        stepped = running(df, keys, sequence.reversed(), _next=preceding(step))
+        timed = df.where(F.col(ts).isNotNull())
+        stepped = running(timed, keys, sequence.reversed(), _next=preceding(step))
     else:
         slot = Window.partitionBy(*keys, SLOT).orderBy(AT, *sequence.order[1:])
         stepped = (
@@ -107,7 +109,7 @@ def _next_match(
 
     Only rows that can take part are shuffled.
     """
-    part = df.where(first | second)
+    part = df.where((first | second) & F.col(sequence.order[0]).isNotNull())
     if within is None:
         found = running(
             part, keys, sequence.reversed(), _next=preceding(_row(df), condition=second)
@@ -180,11 +182,13 @@ def times(
     """``least`` to ``most`` matching rows of a key, every length in the range.
 
     Rows that do not match are passed over. One output row per match: its rows in
-    order as array ``steps``. Matching rows are numbered and cut into blocks that
-    also see the next ``most - 1`` rows.
+    order as array ``steps``. Ordinary keys take one ordered window; matching rows of hot
+    keys are numbered and cut into blocks that also see the next ``most - 1`` rows.
     """
     ts = sequence.order[0]
-    numbered = running(df.where(condition), keys, sequence, _nth=tally())
+    part = df.where(condition & F.col(ts).isNotNull())
+    ordinary, crowded = split_hot(part, keys, sequence)
+    numbered = running(crowded, keys, sequence, _nth=tally())
     place = F.col("_nth") - 1
     ahead = Window.partitionBy(*keys, "_block").orderBy("_nth").rowsBetween(0, most - 1)
     runs = (
@@ -194,7 +198,13 @@ def times(
         )
         .withColumn("_run", F.collect_list(_row(df)).over(ahead))
         .where(F.col("_own") == F.col("_block"))
+        .select(*keys, "_run")
     )
+    if ordinary is not None:
+        following = in_order(keys, sequence).rowsBetween(0, most - 1)
+        runs = runs.unionByName(
+            ordinary.select(*keys, F.collect_list(_row(df)).over(following).alias("_run"))
+        )
     lengths = F.sequence(F.lit(least), F.least(F.lit(most), F.size("_run")))
     matches = (
         runs.where(F.size("_run") >= least)

@@ -40,10 +40,14 @@ class Sequence:
         return replace(self, descending=not self.descending)
 
     def slice_number(self) -> Column:
-        return -self.slice() if self.descending else self.slice()
+        """Rows without a place come first, and last in the reversed order, as in a slice."""
+        number = F.coalesce(self.slice().cast("long"), F.lit(-(2**62)).cast("long"))
+        return -number if self.descending else number
 
     def sort_columns(self) -> list[Column]:
-        return [F.col(c).desc() if self.descending else F.col(c).asc() for c in self.order]
+        return [
+            F.col(c).desc_nulls_last() if self.descending else F.col(c).asc_nulls_first() for c in self.order
+        ]
 
     def first_of(self, value: Column) -> Column:
         pick = F.max_by if self.descending else F.min_by
@@ -148,6 +152,62 @@ def mark_hot(df: DataFrame, keys: list[str], hot: DataFrame, how: str) -> DataFr
     return df.join(F.broadcast(hot), same, how)
 
 
+def split_hot(
+    df: DataFrame, keys: list[str], sequence: Sequence
+) -> tuple[DataFrame | None, DataFrame]:
+    """Rows of ordinary keys, whose order one plain window can handle, and all others."""
+    if not keys:
+        return None, df
+    hot = hot_keys(df, keys, sequence.hot_rows)
+    return mark_hot(df, keys, hot, "left_anti"), mark_hot(df, keys, hot, "left_semi")
+
+
+def in_order(keys: list[str], sequence: Sequence) -> WindowSpec:
+    return Window.partitionBy(*keys).orderBy(*sequence.sort_columns())
+
+
+#: Slices without a key whose carries one task accumulates.
+FAN = 1_000
+
+
+def _carried(reduced: DataFrame, group: list[str], at: str, folds: dict, lifts: dict) -> DataFrame:
+    """What comes before each slice of a group, in the order of ``at``; nothing for the first."""
+    along = Window.partitionBy(*group).orderBy(at)
+    earlier = along.rowsBetween(Window.unboundedPreceding, -1)
+    carried = reduced.select(
+        *group, at, F.row_number().over(along).alias("_nth"),
+        *[fold.along(F.col(lifts[n]), earlier).alias(lifts[n]) for n, fold in folds.items()],
+    )
+    return carried.where("_nth > 1").drop("_nth")
+
+
+def _carried_without_key(reduced: DataFrame, folds: dict, lifts: dict) -> DataFrame:
+    """Two levels: slices are accumulated within groups of ``FAN``, and groups one by one.
+
+    The one task at the top sees a row for every ``FAN`` slices.
+    """
+    by_slice = Sequence((SLICE,), lambda: F.col(SLICE), 0)
+    grouped = reduced.withColumn("_group", whole_part(F.col(SLICE), FAN))
+    groups = grouped.groupBy("_group").agg(
+        *[fold.per_slice(by_slice, F.col(lifts[n])).alias(lifts[n]) for n, fold in folds.items()]
+    )
+    # The group's own carry stands before its slices.
+    heads = _carried(groups, [], "_group", folds, lifts).withColumn(
+        SLICE, F.col("_group") * FAN - 1
+    )
+    both = grouped.withColumn("_head", F.lit(False)).unionByName(heads.withColumn("_head", F.lit(True)))
+    along = Window.partitionBy("_group").orderBy(SLICE)
+    earlier = along.rowsBetween(Window.unboundedPreceding, -1)
+    return (
+        both.select(
+            SLICE, "_head", F.row_number().over(along).alias("_nth"),
+            *[fold.along(F.col(lifts[n]), earlier).alias(lifts[n]) for n, fold in folds.items()],
+        )
+        .where("NOT _head AND _nth > 1")
+        .drop("_head", "_nth")
+    )
+
+
 def running(
     df: DataFrame,
     keys: list[str],
@@ -182,19 +242,11 @@ def running(
             *[fold.per_slice(sequence, F.col(lifts[n])).alias(lifts[n]) for n, fold in folds.items()]
         )
     )
-    along_key = Window.partitionBy(*keys).orderBy(SLICE)
-    earlier = along_key.rowsBetween(Window.unboundedPreceding, -1)
-    carries = (
-        reduced.select(
-            *keys,
-            SLICE,
-            F.row_number().over(along_key).alias("_nth"),
-            *[fold.along(F.col(lifts[n]), earlier).alias(lifts[n]) for n, fold in folds.items()],
-        )
-        .where("_nth > 1")
-        .drop("_nth")
-        .withColumn(ROW, F.lit(False))
-    )
+    if keys:
+        carries = _carried(reduced, keys, SLICE, folds, lifts)
+    else:
+        carries = _carried_without_key(reduced, folds, lifts)
+    carries = carries.withColumn(ROW, F.lit(False))
     inside = Window.partitionBy(*keys, SLICE).orderBy(F.col(ROW), *sequence.sort_columns())
     upto = (inside.rangeBetween if peers else inside.rowsBetween)(
         Window.unboundedPreceding, Window.currentRow

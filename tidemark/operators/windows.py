@@ -8,7 +8,16 @@ from typing import Callable
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.functions.durations import bucket, epoch_micros, micros, whole_part
-from tidemark.operators.running import HOT_ROWS, Sequence, hot_keys, mark_hot, running, tally
+from tidemark.operators.running import (
+    HOT_ROWS,
+    Sequence,
+    hot_keys,
+    in_order,
+    mark_hot,
+    running,
+    split_hot,
+    tally,
+)
 
 
 @dataclass(frozen=True)
@@ -66,17 +75,28 @@ def tumbling(
 def sliding(
     df: DataFrame, keys: list[str], ts: str, size: str, slide: str, **measures: Measure
 ) -> DataFrame:
-    """Sliding windows from panes: rows are reduced to panes of width ``slide`` and
-    only the panes are copied into the ``size / slide`` windows that hold them.
+    """Sliding windows from panes: rows are reduced to panes of width ``slide``, and the
+    panes are copied into the ``size / slide`` windows that hold them.
+
+    Panes are shuffled by key and a time slot as wide as a window, in which the windows
+    start; a pane's windows start in two slots at most, so it travels twice at most and
+    the copies are made where they are summed.
     """
     if micros(size) % micros(slide):
         raise ValueError(f"{size} is not a multiple of {slide}")
     step, back = F.expr(f"INTERVAL {slide}"), F.expr(f"INTERVAL {size}")
+    width = micros(size)
     panes = tumbling(df, keys, ts, slide, **measures)
-    starts = F.sequence(F.col("window_end") - back, F.col("window_start"), step)
+    first, last = F.col("window_end") - back, F.col("window_start")
+    slots = F.sequence(bucket(first, size), bucket(last, size))
+    dealt = panes.withColumn("_slot", F.explode(slots)).repartition(*[F.col(k) for k in keys], F.col("_slot"))
+    lowest = F.timestamp_micros(F.col("_slot") * width)
+    # The first start on the grid of slides that is not before the slot, and the last in it.
+    from_here = F.greatest(first, lowest)
+    to_here = F.least(last, F.timestamp_micros((F.col("_slot") + 1) * width - micros(slide)))
     return (
-        panes.withColumn("window_start", F.explode(starts))
-        .groupBy(*keys, "window_start")
+        dealt.withColumn("window_start", F.explode(F.sequence(from_here, to_here, step)))
+        .groupBy(*keys, "_slot", "window_start")
         .agg(*_of_parts(measures))
         .select(
             *keys,
@@ -172,9 +192,27 @@ def count_windows(
     With ``slide`` equal to ``size`` (the default) windows do not overlap and an
     incomplete last one never fires; a smaller ``slide`` also fires early windows
     that hold fewer than ``size`` rows. ``window_no`` is the ordinal of the row that
-    fires. Rows are numbered exactly, so the windows of a hot key spread over tasks.
+    fires. Ordinary keys take one ordered window; rows of hot keys are numbered exactly
+    and their windows spread over tasks.
     """
     step = slide or size
+    ordinary, crowded = split_hot(df, keys, sequence)
+    blocks = _counted_blocks(crowded, keys, sequence, size, step, aggregates)
+    if ordinary is None:
+        return blocks
+    order = in_order(keys, sequence)
+    frame = order.rowsBetween(-(size - 1), 0)
+    plain = ordinary.select(
+        *keys,
+        F.row_number().over(order).cast("long").alias("window_no"),
+        *[agg.over(frame).alias(name) for name, agg in aggregates.items()],
+    ).where(F.col("window_no") % step == 0)
+    return plain.unionByName(blocks)
+
+
+def _counted_blocks(
+    df: DataFrame, keys: list[str], sequence: Sequence, size: int, step: int, aggregates: dict[str, Column]
+) -> DataFrame:
     numbered = running(df, keys, sequence, _nth=tally())
     nth = F.col("_nth")
     first = (F.ceil(nth / step) * step).cast("long")
@@ -201,9 +239,21 @@ def moving(
 ) -> DataFrame:
     """Aggregates over the current and the ``rows_before`` preceding rows of a key.
 
-    Rows are numbered, cut into blocks of ``block`` rows, and the last rows of a
-    block are copied into the next as lead-in.
+    Ordinary keys take one ordered window. Rows of hot keys are numbered, cut into blocks
+    of ``block`` rows, and the last rows of a block are copied into the next as lead-in.
     """
+    ordinary, crowded = split_hot(df, keys, sequence)
+    blocks = _moving_blocks(crowded, keys, sequence, rows_before, block, aggregates)
+    if ordinary is None:
+        return blocks
+    frame = in_order(keys, sequence).rowsBetween(-rows_before, 0)
+    plain = ordinary.select("*", *[agg.over(frame).alias(name) for name, agg in aggregates.items()])
+    return plain.unionByName(blocks)
+
+
+def _moving_blocks(
+    df: DataFrame, keys: list[str], sequence: Sequence, rows_before: int, block: int, aggregates: dict[str, Column]
+) -> DataFrame:
     numbered = running(df, keys, sequence, _nth=tally())
     place = F.col("_nth") - 1
     own = whole_part(place, block)
