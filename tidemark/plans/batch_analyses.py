@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
@@ -807,8 +809,11 @@ def _(t):
 
 @query("n2_register_view", "SELECT id, vc FROM sensor WHERE vc >= 250")
 def _(t):
-    t.sensor().createOrReplaceTempView("sensor_view")
-    return t.spark.table("sensor_view").where("vc >= 250").select("id", "vc")
+    name = f"sensor_{uuid4().hex}"
+    t.sensor().createOrReplaceTempView(name)
+    found = t.spark.table(name).where("vc >= 250").select("id", "vc")
+    t.spark.catalog.dropTempView(name)
+    return found
 
 
 @query("n4_sql_query", "SELECT id, count(id) AS cnt FROM sensor GROUP BY id")

@@ -167,9 +167,10 @@ def _(t):
 )
 def _(t):
     path = exported(t, sensor_rows(t), "declared")
-    return lines.declare_table(
-        t.spark, "sensor_file", path, schema="name string, at bigint, level int"
-    )
+    name = path.rsplit("/", 1)[-1].replace("-", "_")
+    declared = lines.declare_table(t.spark, name, path, schema="name string, at bigint, level int")
+    t.spark.catalog.dropTempView(name)
+    return declared
 
 
 # --- sinks ---------------------------------------------------------------------------
@@ -225,7 +226,8 @@ def _(t):
     name = path.rsplit("/", 1)[-1].replace("-", "_")
     files.create_delimited_table(t.spark, name, path, schemas.SENSOR, "|")
     files.insert_into(sensor_rows(t), name)
-    return t.spark.table(name)
+    t.spark.sql(f"DROP TABLE {name}")  # its rows stay in the folder
+    return lines.read_delimited(t.spark, path, schemas.SENSOR, "|")
 
 
 # --- projections, filters, row transforms ---------------------------------------------

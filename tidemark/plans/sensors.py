@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from tidemark.functions.durations import epoch_micros, micros
 from tidemark.operators.routing import side_output
-from tidemark.operators.running import Sequence, hot_keys, preceding, running, tally
+from tidemark.operators.running import Sequence, hot_keys, in_order, mark_hot, preceding, running, tally
 
 
 def with_previous(readings: DataFrame, sequence: Sequence) -> DataFrame:
@@ -22,6 +22,27 @@ def threshold_alarms(readings: DataFrame, above: int = 5) -> tuple[DataFrame, Da
     return side_output(readings, F.col("vc") > above, message)
 
 
+def _climbs(levels: DataFrame, sequence: Sequence) -> DataFrame:
+    """(id, _at, _rises, _climb): whether a level rises, and the non-rises before it.
+
+    Ordinary meters take one ordered window, hot ones go through slices.
+    """
+    hot = hot_keys(levels, ["id"], sequence.hot_rows)
+    ordinary, crowded = mark_hot(levels, ["id"], hot, "left_anti"), mark_hot(levels, ["id"], hot, "left_semi")
+    rises = F.col("vc") > F.coalesce("_previous", F.lit(0))
+    order = in_order(["id"], sequence)
+    falls = F.sum(F.when(~F.col("_rises"), 1).otherwise(0)).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    plain = (
+        ordinary.withColumn("_previous", F.lag("vc").over(order))
+        .withColumn("_rises", rises)
+        .withColumn("_climb", F.coalesce(falls, F.lit(0)).cast("long"))
+    )
+    stepped = running(crowded, ["id"], sequence, hot=hot, _previous=preceding(F.col("vc"))).withColumn("_rises", rises)
+    sliced = running(stepped, ["id"], sequence, hot=hot, _climb=tally(~F.col("_rises"), before=True))
+    kept = ["id", epoch_micros(sequence.order[0]).alias("_at"), "_rises", "_climb"]
+    return plain.select(*kept).unionByName(sliced.select(*kept))
+
+
 def rising_alarms(
     readings: DataFrame, sequence: Sequence, hold: str = "5 seconds"
 ) -> DataFrame:
@@ -32,32 +53,28 @@ def rising_alarms(
     moment of the alarm - cancels it. Output: ``id``, ``armed_at``, ``alarm_at``.
 
     A non-rise forgets everything, so each climb (rises up to the next non-rise) can be
-    judged alone. A climb no longer than ``hold`` has one possible alarm, known from its
-    ends; only longer climbs are walked row by row, in time order, holding one value.
+    judged alone. Its ends are aggregated, map-side first. A climb no longer than ``hold``
+    has one possible alarm, known from its ends; only longer climbs are walked row by row,
+    in time order, holding one value.
     """
     wait = micros(hold)
-    levels = readings.select("id", "vc", *sequence.order)
-    hot = hot_keys(levels, ["id"], sequence.hot_rows)
-    stepped = running(
-        levels, ["id"], sequence, hot=hot, _previous=preceding(F.col("vc"))
-    ).withColumn("_rises", F.col("vc") > F.coalesce("_previous", F.lit(0)))
-    climb = Window.partitionBy("id", "_climb")
-    climbs = (
-        running(stepped, ["id"], sequence, hot=hot, _climb=tally(~F.col("_rises"), before=True))
-        .withColumn("_at", epoch_micros(sequence.order[0]))
-        .withColumn("_start", F.min(F.when(F.col("_rises"), F.col("_at"))).over(climb))
-        .withColumn("_top", F.max(F.when(F.col("_rises"), F.col("_at"))).over(climb))
-        .withColumn("_stop", F.min(F.when(~F.col("_rises"), F.col("_at"))).over(climb))
-        .where(F.col("_rises"))
-        .select("id", "_climb", "_at", "_start", "_top", "_stop")
+    rows = _climbs(readings.select("id", "vc", *sequence.order), sequence)
+    rises = F.when(F.col("_rises"), F.col("_at"))
+    ends = (
+        rows.groupBy("id", "_climb")
+        .agg(
+            F.min(rises).alias("_start"), F.max(rises).alias("_top"),
+            F.min(F.when(~F.col("_rises"), F.col("_at"))).alias("_stop"),
+        )
+        .where("_start IS NOT NULL")
     )
     long_climb = F.col("_top") - F.col("_start") > wait
     alive = F.col("_stop").isNull() | (F.col("_stop") > F.col("_start") + wait)
-    short = (
-        climbs.where(~long_climb & (F.col("_at") == F.col("_start")) & alive)
-        .select("id", "_climb", F.col("_start").alias("armed"))
-        .distinct()
+    short = ends.where(~long_climb & alive).select("id", F.col("_start").alias("armed"))
+    walked = ends.where(long_climb).select(
+        F.col("id").alias("_id"), F.col("_climb").alias("_own"), "_stop"
     )
+    climbs = rows.where("_rises").join(walked, F.expr("id <=> _id AND _climb = _own"))
 
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         armed = 0
@@ -73,8 +90,7 @@ def rising_alarms(
     kind = climbs.schema["id"].dataType.simpleString()
     in_time = Window.partitionBy("id", "_climb").orderBy("_at")
     long = (
-        climbs.where(long_climb)
-        .withColumn("_opens", F.row_number().over(in_time) == 1)
+        climbs.withColumn("_opens", F.row_number().over(in_time) == 1)
         .sortWithinPartitions("id", "_climb", "_at")
         .select(
             "id",
@@ -84,7 +100,7 @@ def rising_alarms(
             F.coalesce("_stop", F.lit(-1)).alias("stop"),
         )
         .mapInPandas(walk, f"id {kind}, climb bigint, at bigint")
-        .select("id", F.col("climb").alias("_climb"), F.col("at").alias("armed"))
+        .select("id", F.col("at").alias("armed"))
     )
     return short.unionByName(long).select(
         "id",
