@@ -35,22 +35,25 @@ def seeded(id_col: str, seed: str = SEED) -> Column:
     return F.substring(F.md5(name.cast("binary")), 1, 16)
 
 
-def targets_of(sizes: dict, weights=WEIGHTS, share: Fraction = SHARE, repeats: int = REPEATS) -> dict:
+def targets_of(
+    sizes: dict, weights=WEIGHTS, share: Fraction = SHARE, repeats: int = REPEATS, total: int | None = None
+) -> dict:
     """Words wanted from each source: its share by weight, at most ``repeats`` x its size.
 
-    Sources are in order of their code points, null last, and weights repeat along them.
+    ``total`` is the words of all documents, where sources overlap; ``share`` of them is
+    shared. Sources are in order of their code points, null last, and weights repeat along them.
     What lies above a limit is shared out again by weight until no source is above.
     """
     names = sorted((s for s in sizes if s is not None)) + [None] * (None in sizes)
     weight = {name: weights[i % len(weights)] for i, name in enumerate(names)}
     limit = {name: repeats * sizes[name] for name in names}
-    rest = share * sum(sizes.values())
+    rest = share * (sum(sizes.values()) if total is None else total)
     open_, wanted = set(names), {}
     while open_:
-        total = sum(weight[n] for n in open_)
-        full = {n for n in open_ if rest * weight[n] > limit[n] * total}
+        heft = sum(weight[n] for n in open_)
+        full = {n for n in open_ if rest * weight[n] > limit[n] * heft}
         if not full:
-            wanted |= {n: float(rest) * weight[n] / total for n in open_}
+            wanted |= {n: float(rest) * weight[n] / heft for n in open_}
             break
         wanted |= {n: float(limit[n]) for n in full}
         rest -= sum(limit[n] for n in full)
@@ -184,7 +187,7 @@ def decide(docs, id_col, text_col, source_col, weights, share, repeats, seed) ->
     for pattern, words in capacity.items():
         for source in pattern:
             sizes[source] = sizes.get(source, 0) + words
-    wanted = targets_of(sizes, weights, share, repeats)
+    wanted = targets_of(sizes, weights, share, repeats, sum(capacity.values()))
     given = route(capacity, {s: int(t + 0.5) for s, t in wanted.items()}, repeats)
     rules = [
         (list(p), sum(sizes[s] for s in p), float(sum(wanted[s] for s in p)),
