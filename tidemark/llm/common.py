@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.session import fresh_path
@@ -26,24 +27,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def staged(df: DataFrame, label: str) -> DataFrame:
+def staged(df: DataFrame, label: str, **settings: str) -> DataFrame:
     """``df`` written to the shared folder and read back.
 
     Cuts the lineage and fixes the rows, so that later passes see the same ones and a
     lost executor costs only the tasks it ran. Shuffle files of the write are dropped
-    when it ends; the table itself lives as long as the shared folder.
+    when it ends; the table itself lives as long as the shared folder. ``settings`` hold
+    for the write.
     """
     spark = df.sparkSession
     path = fresh_path(spark, label)
-    before = spark.conf.get(CLEAN_UP, None)
-    spark.conf.set(CLEAN_UP, "true")
+    settings = {CLEAN_UP: "true", **settings}
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
     try:
         df.write.parquet(path)
     finally:
-        if before is None:
-            spark.conf.unset(CLEAN_UP)
-        else:
-            spark.conf.set(CLEAN_UP, before)
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -69,3 +74,10 @@ def remainder(column: str, divisor: int) -> Column:
     """crc32 of the id as text, modulo ``divisor``; -1 for a null id."""
     crc = F.crc32(F.col(column).cast("string").cast("binary"))
     return F.coalesce(F.pmod(crc, F.lit(divisor)), F.lit(-1))
+
+
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of few rows, so that little of a batch is ever held as Python objects."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)

@@ -30,15 +30,15 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.common import staged, text_or_empty
+from tidemark.llm.common import slices, staged, text_or_empty
 
 WINDOW = 20
 #: Text bytes whose windows share a bucket, reference words in a shard, candidate words a
 #: task takes from a shard, and text bytes a task hashes at once.
-BUCKET_BYTES = 16 << 20
+BUCKET_BYTES = 8 << 20
 SHARD_WORDS = 100_000
 TASK_WORDS = 1_000_000
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 #: Bits of a window's hash that are compared.
 HASH_BYTES = 6
 #: Stands for a null id: after all others.
@@ -123,7 +123,7 @@ class Windows:
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
-        for batch in batches:
+        for batch in slices(batches):
             for key, text in zip(batch["key"].to_pylist(), batch["text"].to_pylist()):
                 if len(text) < 2 * self.width - 1:
                     continue
@@ -371,7 +371,7 @@ def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The planned ranges of each document as rows of words, references for every task of their shard."""
     names = ("shard", "turn", "reference", "id", "version", "start", "words")
     kinds = (pa.int64(), pa.int32(), pa.bool_(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
-    for batch in batches:
+    for batch in slices(batches):
         rows = []
         for key, version, text, plan in zip(*(batch[c].to_pylist() for c in ("key", "version", "text", "plan"))):
             words = text.split()
@@ -385,7 +385,7 @@ def _cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         counts, removed, digests, kept = [], [], [], []
         for text, spans in zip(batch["text"].to_pylist(), batch["spans"].to_pylist()):
             words = text.split()
@@ -407,7 +407,8 @@ def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _spans(rows: DataFrame, width: int, shard_words: int, task_words: int) -> DataFrame:
     """(key, version, start, end) of the words that occur earlier."""
     size = rows.agg(F.sum(F.length("text"))).first()[0] or 0
-    buckets = max(1, -(-size // BUCKET_BYTES))
+    least = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = max(least, -(-size // BUCKET_BYTES))
     hashed = rows.select("key", "text").mapInArrow(Windows(width, buckets), SCHEMA)
     # Ranges that a task found by itself pass the buckets by.
     lane = F.when(F.col("blob").isNull(), F.lit(buckets)).otherwise(F.lit(0)) + F.col("part")
