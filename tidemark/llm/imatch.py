@@ -34,6 +34,8 @@ MAX_LEXICON = 5_000_000
 SUBSETS = 32
 #: Distinct terms counted before a task hands its counts on.
 COUNTED_AT_ONCE = 400_000
+#: Id ranges for each task: tasks get ranges by hash, and many small ones even out.
+RANGES_PER_TASK = 16
 
 PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 _SEEDS = np.random.default_rng(20240607).integers(1, 2**63, SUBSETS, dtype=np.uint64)
@@ -126,7 +128,7 @@ def build_lexicon(docs: DataFrame, text_col: str = "text") -> np.ndarray:
 class Dealer:
     """Deals documents into id ranges; the first of each range follows the range before it.
 
-    ``cuts`` are range limits (one per task), ``heads`` maps the first document of a range
+    ``cuts`` are range limits (some per task), ``heads`` maps the first document of a range
     to the range that it follows. Neither grows with the documents of a range.
     """
 
@@ -218,7 +220,8 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         text_or_empty(text_col).cast("binary").alias("text"),
     )
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    quantiles = rows.approxQuantile("id", [i / n for i in range(1, n)], 0.1 / n) if n > 1 else []
+    ranges = RANGES_PER_TASK * n
+    quantiles = rows.approxQuantile("id", [i / ranges for i in range(1, ranges)], 0.1 / ranges)
     cuts = np.unique(np.array(quantiles, np.float64)).astype(np.int64)
     plain = Dealer(cuts, {})
     firsts = (
