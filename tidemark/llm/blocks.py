@@ -15,7 +15,7 @@ import zstandard
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.common import staged, text_or_empty
+from tidemark.llm.common import slices, staged, text_or_empty
 
 #: Bytes of text that a block holds on average.
 BLOCK_BYTES = 20 << 20
@@ -45,12 +45,12 @@ def in_blocks(docs: DataFrame, id_col: str, text_col: str, mark: Column | None =
 
 
 def pack_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The texts of each block in one compressed row for every batch."""
-    for batch in batches:
+    """The texts (binary) of each block in one compressed row for every few documents."""
+    for batch in slices(batches, 300):
         held: dict[int, list] = {}
         for block, *row in zip(*(batch[c].to_pylist() for c in ("block", "id", "mark", "text"))):
-            held.setdefault(block, []).append((*row[:2], row[2].encode("utf-8")))
-        pack = zstandard.ZstdCompressor(level=6).compress
+            held.setdefault(block, []).append(row)
+        pack = zstandard.ZstdCompressor(level=5).compress
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(list(held), pa.int64()),
@@ -63,13 +63,29 @@ def pack_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def unpack_texts(packed: pa.Table) -> Iterator[tuple[int | None, int, bytes]]:
-    """(id, mark, text) of every document of a block."""
-    for ids, marks, sizes, texts in zip(*(packed[c].to_pylist() for c in ("ids", "marks", "sizes", "texts"))):
-        raw, at = zstandard.ZstdDecompressor().decompress(texts), 0
-        for key, mark, size in zip(ids, marks, sizes):
-            yield key, mark, raw[at : at + size]
-            at += size
+def unpack_texts(packed: pa.Table) -> Iterator[tuple[list, list[bytes]]]:
+    """Ids and texts of some documents of a block at a time."""
+    for ids, sizes, texts in zip(*(packed[c].to_pylist() for c in ("ids", "sizes", "texts"))):
+        raw = zstandard.ZstdDecompressor().decompress(texts)
+        ends = np.cumsum(sizes).tolist()
+        yield ids, [raw[a:b] for a, b in zip([0, *ends], ends)]
+
+
+def marks_of(packed: pa.Table) -> list[int]:
+    """The marks of the documents of a block, in the order of ``unpack_texts``."""
+    return [mark for marks in packed["marks"].to_pylist() for mark in marks]
+
+
+def _parts(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """Start offsets (one more than rows) and the values behind them of a binary or list column."""
+    whole = column.combine_chunks()
+    if isinstance(whole, pa.ChunkedArray):
+        whole = whole.chunk(0) if whole.num_chunks else pa.array([], column.type)
+    offsets = np.frombuffer(whole.buffers()[1], np.int32)[whole.offset : whole.offset + len(whole) + 1]
+    if pa.types.is_binary(whole.type):
+        data = whole.buffers()[2]
+        return offsets, np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
+    return offsets, whole.values.to_numpy(zero_copy_only=False).astype(np.int64)
 
 
 def pack_answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -81,36 +97,49 @@ def pack_answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order = np.argsort(batch["block"].to_numpy(zero_copy_only=False), kind="stable")
         rows = pa.Table.from_batches([batch]).take(pa.array(order))
         blocks = rows["block"].to_numpy()
-        edges = np.flatnonzero(np.concatenate([[True], blocks[1:] != blocks[:-1], [True]]))
+        at, letters = _parts(rows["word"])
+        value_at, values = _parts(rows["values"])
+        edges = np.flatnonzero(np.concatenate([[True], blocks[1:] != blocks[:-1], [True]])).tolist()
         out = []
         for a, b in zip(edges[:-1], edges[1:]):
-            words = rows["word"].slice(a, b - a).to_pylist()
-            values = rows["values"].slice(a, b - a).to_pylist()
-            flat = np.fromiter((v for own in values for v in own), np.int64)
-            sizes = np.array([[len(w), len(v)] for w, v in zip(words, values)], np.int32)
-            out.append((int(blocks[a]), len(words), pack(sizes.tobytes() + flat.tobytes() + b"".join(words))))
+            raw = b"".join((
+                np.diff(at[a : b + 1]).tobytes(), np.diff(value_at[a : b + 1]).tobytes(),
+                values[value_at[a] : value_at[b]].tobytes(), letters[at[a] : at[b]].tobytes(),
+            ))
+            out.append((int(blocks[a]), b - a, pack(raw)))
         kinds = (pa.int64(), pa.int32(), pa.binary())
         yield pa.RecordBatch.from_arrays(
             [pa.array([r[i] for r in out], t) for i, t in enumerate(kinds)], names=["block", "n", "answers"]
         )
 
 
-def unpack_answers(packed: pa.Table) -> Iterator[tuple[bytes, np.ndarray]]:
-    """(word, values) of every word of a block."""
+def unpack_raw(packed: pa.Table) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
+    """The words of a block in a row, the bytes of each, how many values each has, and all values."""
+    words, sizes, counts, values = [], [np.zeros(0, np.int32)], [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
     for n, answers in zip(packed["n"].to_pylist(), packed["answers"].to_pylist()):
         raw = zstandard.ZstdDecompressor().decompress(answers)
-        sizes = np.frombuffer(raw[: 8 * n], np.int32).reshape(n, 2)
-        total = int(sizes[:, 1].sum())
-        flat = np.frombuffer(raw[8 * n : 8 * n + 8 * total], np.int64)
-        at, text = 0, 8 * n + 8 * total
-        for word_size, count in sizes.tolist():
-            yield raw[text : text + word_size], flat[at : at + count]
-            at, text = at + count, text + word_size
+        size, count = np.frombuffer(raw[: 8 * n], np.int32).reshape(2, n)
+        end = 8 * n + 8 * int(count.sum())
+        sizes.append(size)
+        counts.append(count)
+        values.append(np.frombuffer(raw[8 * n : end], np.int64))
+        words.append(raw[end:])
+    return b"".join(words), np.concatenate(sizes), np.concatenate(counts), np.concatenate(values)
+
+
+def unpack_answers(packed: pa.Table) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """The words of a block, how many values each has, and all values in a row."""
+    raw, sizes, counts, values = unpack_raw(packed)
+    ends = np.cumsum(sizes, dtype=np.int64).tolist()
+    return [raw[a:b] for a, b in zip([0, *ends], ends)], counts, values
 
 
 def answered(wanted: DataFrame, answers: DataFrame, label: str) -> DataFrame:
-    """``wanted`` (block, word) joined with ``answers`` (word, values), packed by block and written."""
-    joined = wanted.join(answers.hint("merge"), "word").select("block", F.col("word").cast("binary").alias("word"), "values")
+    """``wanted`` (block, word) joined with ``answers`` (word, values), packed by block and written.
+
+    A word without an answer has no values.
+    """
+    joined = wanted.join(answers.hint("merge"), "word", "left").select("block", F.col("word").cast("binary").alias("word"), "values")
     return staged(joined.mapInArrow(pack_answers, ANSWERS), label)
 
 
@@ -118,7 +147,7 @@ def for_each_block(
     rows: DataFrame, answers: DataFrame, work: Callable[[pa.Table, pa.Table], pa.Table], schema: str
 ) -> DataFrame:
     """``work`` on every block's packed texts and packed answers."""
-    texts = rows.select("block", "id", "mark", "text").mapInArrow(pack_texts, TEXTS)
+    texts = rows.select("block", "id", "mark", F.col("text").cast("binary").alias("text")).mapInArrow(pack_texts, TEXTS)
     return texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
         lambda packed, found: work(packed, found), schema
     )

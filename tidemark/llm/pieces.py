@@ -1,9 +1,9 @@
 """SentencePiece encoding and decoding over a relational lattice.
 
-A text is cut where no piece can cross: into *units*, mostly a word with the space before
-it. Each distinct unit is encoded once: its substrings of bounded length are exploded and
-joined by equality to the piece table, which gives the lattice; the edges are grouped by
-unit and folded by a higher-order ``aggregate``.
+A text is cut where no piece can cross: into *units*, mostly the letters of a word with
+the space before it. Each distinct unit is encoded once: its substrings of bounded length
+are exploded and joined by equality to the piece table, which gives the lattice; the edges
+are grouped by unit and folded by a higher-order ``aggregate`` into the cuts of the unit.
 
 * ``merge``, for piece files of the byte-pair kind such as the public one: their scores
   are ranks, not log probabilities, so the best path of added scores is not what the
@@ -22,7 +22,6 @@ packed texts in one cogroup. No unit, however frequent, has more than one row pe
 from __future__ import annotations
 
 import heapq
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from hashlib import sha256
@@ -31,8 +30,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tidemark.llm.blocks import answered, for_each_block, in_blocks, unpack_answers, unpack_texts
-from tidemark.llm.common import staged
+from tidemark.llm.blocks import answered, for_each_block, in_blocks, unpack_raw, unpack_texts
+from tidemark.llm.common import slices, staged
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 #: The mark that stands for a space, and the longest unit that the mask fold takes.
@@ -40,6 +39,11 @@ SPACE = "▁"
 MASK_CHARS = 60
 #: From this many spaces in a row on, ranks of merges need not rise.
 SPACE_RUN = 15
+#: Units whose edges a task groups in memory before it sorts them instead (some 500 bytes each).
+HASHED = "spark.sql.objectHashAggregate.sortBased.fallbackThreshold"
+HASHED_UNITS = 100_000
+#: Units of a block whose ids are looked up at once.
+UNITS_AT_ONCE = 40_000
 
 
 @dataclass(frozen=True)
@@ -73,20 +77,23 @@ class Pieces:
     def longest(self) -> int:
         return max(map(len, self.normal), default=1)
 
-    def unit_pattern(self) -> re.Pattern:
-        """Units: spaces and the characters that stand together in some piece, or one other character."""
-        inner = sorted(set("".join(p for p in self.normal if len(p) > 1)) - {SPACE})
+    def classes(self) -> list[set[str]]:
+        """Characters that pieces connect: side by side in a piece, directly or by way of others."""
         if any(SPACE in p.lstrip(SPACE) for p in self.normal):
             raise ValueError("pieces that go on behind a space are not supported")
-        if not inner:
-            return re.compile(f"{SPACE}+|[^{SPACE}]", re.DOTALL)
-        letters = "".join(map(re.escape, inner))
-        return re.compile(f"{SPACE}*[{letters}]+|{SPACE}+|[^{letters}{SPACE}]", re.DOTALL)
+        group: dict[str, set[str]] = {}
+        for piece in self.normal:
+            inner = set(piece) - {SPACE}
+            if len(piece) > 1 and inner:
+                joined = set().union(inner, *(group[c] for c in inner if c in group))
+                group.update(dict.fromkeys(joined, joined))
+        return [set(own) for own in sorted({"".join(sorted(own)) for own in group.values()})]
 
     def frame(self, spark: SparkSession) -> DataFrame:
-        """(piece, piece_id, score); its size is that of the model."""
-        rows = [(p, i, s) for p, (i, s) in self.normal.items()]
-        return spark.createDataFrame(rows, "piece string, piece_id int, score double")
+        """(piece, score, rank from the best score on) of pieces that join characters."""
+        ranks = {score: i for i, score in enumerate(sorted({s for _, s in self.normal.values()}, reverse=True))}
+        rows = [(p, s, ranks[s]) for p, (_, s) in self.normal.items() if len(p) > 1 or self.kind == "viterbi"]
+        return spark.createDataFrame(rows, "piece string, score double, rank int")
 
     def decoder(self) -> list[bytes]:
         """The bytes of every id; control pieces stand for nothing."""
@@ -98,82 +105,125 @@ class Pieces:
         return found
 
 
-def units_of(text: str, pattern: re.Pattern) -> list[str]:
-    """Units of a text; spaces are marked and one is put in front, as the model does."""
-    return pattern.findall(SPACE + text.replace(" ", SPACE)) if text else []
+class Cutter:
+    """Cuts texts into units, many at once.
+
+    A unit is a run of characters of one class with the spaces before it, or spaces alone,
+    or one character of no class. No piece reaches from one unit into the next.
+    """
+
+    MARK, ALONE = 0, 1
+
+    def __init__(self, pieces: Pieces):
+        self.of = np.full(0x110000, self.ALONE, np.uint16)
+        self.of[ord(SPACE)] = self.MARK
+        for i, own in enumerate(pieces.classes()):
+            self.of[[ord(c) for c in own]] = i + 2
+
+    def cut(self, texts: list[str]) -> tuple[str, np.ndarray, np.ndarray, np.ndarray]:
+        """All texts in a row as the model sees them, the start, length and hash of each unit,
+        and how many units each text has.
+
+        Spaces are marked and one is put in front of a text, as the model does.
+        """
+        whole = "".join([SPACE + t for t in texts if t]).replace(" ", SPACE)
+        codes = np.frombuffer(whole.encode("utf-32-le", "surrogatepass"), np.uint32)
+        kind = self.of[codes]
+        size = np.fromiter(((len(t) + 1) if t else 0 for t in texts), np.int64, len(texts))
+        ends = np.cumsum(size)
+        new = np.ones(len(codes), bool)
+        if len(codes):
+            here, before = kind[1:], kind[:-1]
+            apart = (here == self.ALONE) | (before == self.ALONE)
+            new[1:] = apart | ((here != before) & (before != self.MARK))
+            new[ends[:-1][ends[:-1] < len(codes)]] = True
+        start = np.flatnonzero(new)
+        length = np.diff(start, append=len(codes))
+        counts = np.diff(np.searchsorted(start, ends), prepend=0)
+        return whole, start, length, part_hashes(codes, length), counts
+
+
+_POWERS = np.random.default_rng(11).integers(1, 2**63, 4096, dtype=np.uint64) | np.uint64(1)
+
+
+def part_hashes(codes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each of the parts that make up a row of characters."""
+    if not len(lengths):
+        return np.zeros(0, np.uint64)
+    start = np.cumsum(lengths) - lengths
+    place = np.arange(len(codes)) - np.repeat(start, lengths)
+    h = np.add.reduceat(codes * _POWERS[place % len(_POWERS)], start)
+    h = (h + lengths.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+    return h ^ (h >> np.uint64(32))
 
 
 # Lattice ---------------------------------------------------------------------------
 
 
-def lattice(units: DataFrame, pieces: Pieces) -> DataFrame:
-    """(unit, n, edges): every piece that stands in a unit, from ``s`` to ``e``, by rank."""
-    table = F.broadcast(pieces.frame(units.sparkSession))  # as large as the model
-    starts = units.withColumn("n", F.length("unit")).withColumn("s", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
-    spans = starts.withColumn(
-        "e", F.explode(F.sequence(F.col("s") + 1, F.least(F.col("s") + F.lit(pieces.longest), F.col("n"))))
+def lattice(units: DataFrame, pieces: Pieces, edge: Column) -> DataFrame:
+    """(unit, n, edges): ``edge`` of every piece that stands in a unit from ``s`` to ``e``, in order."""
+    least = 1 if pieces.kind == "viterbi" else 2
+    starts = units.withColumn("n", F.length("unit")).withColumn(
+        "s", F.explode(F.sequence(F.lit(0), F.greatest(F.col("n") - least, F.lit(0))))
     )
-    edges = spans.withColumn("piece", F.expr("substring(unit, s + 1, e - s)")).join(table, "piece", "left")
-    # A character without a piece is an edge without an id; longer substrings need a piece.
-    edges = edges.filter("piece_id IS NOT NULL OR e = s + 1")
-    order = F.when(F.col("e") - F.col("s") > 1, -F.col("score")).otherwise(F.lit(float("inf")))
-    if pieces.kind == "viterbi":
-        order = F.col("e").cast("double")
-    edge = F.struct(order.alias("rank"), "s", "e", F.col("piece_id").alias("id"), "score")
+    last = F.least(F.col("s") + F.lit(pieces.longest), F.col("n"))
+    spans = starts.withColumn("e", F.explode(F.sequence(F.least(F.col("s") + least, last), last)))
+    table = F.broadcast(pieces.frame(units.sparkSession))  # as large as the model
+    edges = spans.withColumn("piece", F.expr("substring(unit, s + 1, e - s)")).join(table, "piece")
     return edges.groupBy("unit", "n").agg(F.sort_array(F.collect_list(edge)).alias("edges"))
 
 
-def _merged_ids(first_byte: int) -> Column:
-    """Ids of a unit: fold the edges over a mask of cuts, then look up what lies between cuts."""
-    inside = "(shiftleft(1L, x.e) - shiftleft(1L, x.s + 1))"
-    joins = f"x.e > x.s + 1 AND bit_get(m, x.s) = 1 AND bit_get(m, x.e) = 1 AND bit_count(m & {inside}) = 1"
-    cuts = (
-        "aggregate(edges, shiftleft(1L, n + 1) - 1L, (m, x) -> "
-        f"if({joins}, m & ~{inside}, m), m -> filter(sequence(0, n), k -> bit_get(m, k) = 1))"
-    )
-    return _ids_between(F.expr(cuts), first_byte)
+def _packed_edge() -> Column:
+    """rank, s and e in one number that orders like them."""
+    return F.expr(f"(rank * {MASK_CHARS + 4} + s) * {MASK_CHARS + 4} + e")
 
 
-def _viterbi_ids(first_byte: int) -> Column:
-    """Ids of a unit: fold the edges, in order of their ends, over the best way to each position.
+def _merge_cuts() -> Column:
+    """Mask of the cuts that are left: bit k is a cut before character k.
 
-    A character without a piece costs ten below the worst score.
+    An edge joins the two parts it spans, if there are just two: both its ends are cuts and
+    one cut lies between.
     """
-    worst = "(array_min(transform(edges, x -> coalesce(x.score, 0D))) - 10D)"
-    way = "named_struct('score', b[x.s].score + coalesce(x.score, w), 'at', x.s)"
-    best = (
-        f"aggregate(edges, transform(sequence(0, n), k -> named_struct('score', if(k = 0, 0D, -1.0E300D), 'at', -1)), "
-        f"(b, x) -> if(b[x.s].score + coalesce(x.score, w) > b[x.e].score, "
-        f"transform(b, (y, k) -> if(k = x.e, {way}, y)), b))"
-    ).replace(", w)", f", {worst})")
-    back = (
-        f"aggregate(sequence(0, n), named_struct('b', {best}, 'cuts', array(n)), (a, k) -> "
-        "if(a.cuts[0] = 0, a, named_struct('b', a.b, 'cuts', concat(array(a.b[a.cuts[0]].at), a.cuts))), a -> a.cuts)"
-    )
-    return _ids_between(F.expr(back), first_byte)
+    base = MASK_CHARS + 4
+    s, e = f"cast((x div {base}) % {base} as int)", f"cast(x % {base} as int)"
+    inside = f"(shiftleft(1L, {e}) - shiftleft(1L, {s} + 1))"
+    joins = f"bit_count(m & {inside}) = 1 AND bit_get(m, {s}) = 1 AND bit_get(m, {e}) = 1"
+    fold = f"aggregate(edges, shiftleft(1L, n + 1) - 1L, (m, x) -> if({joins}, m & ~{inside}, m))"
+    return F.array(F.expr(fold))
 
 
-def _ids_between(cuts: Column, first_byte: int) -> Column:
-    """Ids of the edges between neighbouring cuts; a character without a piece gives its bytes."""
-    pairs = F.zip_with(F.slice(cuts, 1, F.size(cuts) - 1), F.slice(cuts, 2, F.size(cuts)), lambda s, e: F.struct(s.alias("s"), e.alias("e")))
+def _viterbi_cuts(worst: float) -> Column:
+    """Cut positions behind a -1: the best way to each position, then back from the end.
+
+    Edges come in order of their ends. A character without a piece costs ``worst``.
+    """
+    way = "named_struct('score', b[x.s].score + x.score, 'at', x.s)"
+    one = f"named_struct('score', b[k - 1].score + {worst}D, 'at', k - 1)"
+    step = (
+        f"(b, k) -> aggregate(filter(edges, x -> x.e = k), concat(b, array({one})), "
+        f"(b, x) -> if(b[x.s].score + x.score > b[k].score, concat(slice(b, 1, k), array({way})), b))"
+    )
+    start = "array(named_struct('score', 0D, 'at', -1))"
+    best = f"aggregate(sequence(1, n), {start}, {step})"
+    back = (
+        f"aggregate(sequence(1, n), named_struct('b', {best}, 'cuts', array(n)), (a, k) -> if(a.cuts[0] <= 0, a, "
+        "named_struct('b', a.b, 'cuts', concat(array(a.b[a.cuts[0]].at), a.cuts))), "
+        "a -> transform(filter(a.cuts, c -> c > 0 AND c < n), c -> bigint(c)))"
+    )
+    return F.concat(F.array(F.lit(-1).cast("long")), F.expr(back))
 
-    def ids(pair: Column) -> Column:
-        edge = F.filter("edges", lambda x: (x["s"] == pair["s"]) & (x["e"] == pair["e"]))[0]
-        digits = F.hex(F.encode(F.substring(F.col("unit"), pair["s"] + 1, F.lit(1)), "UTF-8"))
-        raw = F.transform(
-            F.sequence(F.lit(1), F.length(digits), F.lit(2)),
-            lambda i: F.conv(F.substring(digits, i, F.lit(2)), 16, 10).cast("int") + F.lit(first_byte),
-        )
-        return F.when(edge["id"].isNotNull(), F.array(edge["id"])).otherwise(raw)
 
-    return F.flatten(F.transform(pairs, ids))
+def cuts_of(values: list[int], n: int) -> list[int]:
+    """Positions inside a unit from its answer: a mask, or -1 and the positions."""
+    if values[0] < 0:
+        return values[1:]
+    mask = values[0]
+    return [k for k in range(1, n) if mask >> k & 1]
 
 
-def merge_by_heap(unit: str, edges: list[dict], first_byte: int) -> list[int]:
-    """Ids of one unit: join the neighbours with the best rank, the leftmost of equal ones first."""
-    rank = {(x["s"], x["e"]): x["rank"] for x in edges if x["e"] > x["s"] + 1}
-    ids = {(x["s"], x["e"]): x["id"] for x in edges}
-    n = len(unit)
+def merge_by_heap(n: int, edges: list[dict]) -> list[int]:
+    """-1 and the cuts of one unit: neighbours with the best rank are joined, the leftmost of equal ones first."""
+    rank = {(x["s"], x["e"]): x["rank"] for x in edges}
     end, before = list(range(1, n + 1)), list(range(-1, n))
     heap = [(rank[s, s + 2], s, s + 1, s + 2) for s in range(n - 1) if (s, s + 2) in rank]
     heapq.heapify(heap)
@@ -190,96 +240,188 @@ def merge_by_heap(unit: str, edges: list[dict], first_byte: int) -> list[int]:
                 heapq.heappush(heap, (rank[s, end[e]], s, e, end[e]))
         if s > 0 and (before[s], e) in rank:
             heapq.heappush(heap, (rank[before[s], e], before[s], s, e))
-    found, s = [], 0
-    while s < n:
-        piece = ids.get((s, end[s]))
-        found += [first_byte + b for b in unit[s : end[s]].encode("utf-8")] if piece is None else [piece]
-        s = end[s]
-    return found
+    return [-1, *(k for k in range(1, n) if not gone[k])]
+
+
+def _by_heap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        cuts = [merge_by_heap(n, edges) for n, edges in zip(batch["n"].to_pylist(), batch["edges"].to_pylist())]
+        yield pa.RecordBatch.from_arrays([batch["unit"], pa.array(cuts, pa.list_(pa.int64()))], names=["unit", "cuts"])
 
 
 def encode_units(units: DataFrame, pieces: Pieces) -> DataFrame:
-    """(unit, ids) for distinct, non-empty units."""
-    first_byte = pieces.first_byte
-    edges = lattice(units, pieces)
+    """(unit, cuts) for distinct, non-empty units; see ``cuts_of``. A unit without edges is left out."""
     if pieces.kind == "viterbi":
-        return edges.select("unit", _viterbi_ids(first_byte).alias("ids"))
-
-    def by_heap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = batch["ids"]
-            if batch["edges"].null_count < batch.num_rows:
-                rows = zip(batch["unit"].to_pylist(), ids.to_pylist(), batch["edges"].to_pylist())
-                ids = pa.array([i if e is None else merge_by_heap(u, e, first_byte) for u, i, e in rows], ids.type)
-            yield pa.RecordBatch.from_arrays([batch["unit"], ids], names=["unit", "ids"])
-
-    long = (F.col("n") > MASK_CHARS) | F.col("unit").contains(SPACE * SPACE_RUN)
-    folded = edges.select(
-        "unit", F.when(~long, _merged_ids(first_byte)).alias("ids"), F.when(long, F.col("edges")).alias("edges")
+        worst = min(score for _, score in pieces.normal.values()) - 10
+        edges = lattice(units, pieces, F.struct("e", "s", "score"))
+        return edges.select("unit", _viterbi_cuts(worst).alias("cuts"))
+    long = (F.length("unit") > MASK_CHARS) | F.col("unit").contains(SPACE * SPACE_RUN)
+    usual = lattice(units.filter(~long), pieces, _packed_edge())
+    rest = lattice(units.filter(long), pieces, F.struct("rank", "s", "e"))
+    return usual.select("unit", _merge_cuts().alias("cuts")).unionByName(
+        rest.mapInArrow(_by_heap, "unit string, cuts array<long>")
     )
-    return folded.mapInArrow(by_heap, "unit string, ids array<int>")
 
 
 # Documents -------------------------------------------------------------------------
 
 
 class Wanted:
-    """The distinct units of each block that a task reads."""
+    """The distinct units of each block that a task reads; a block is held as hashes and bytes."""
 
-    def __init__(self, pattern: re.Pattern):
-        self.pattern = pattern
+    def __init__(self, cutter: Cutter):
+        self.cutter = cutter
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, set[str]] = {}
-        for batch in batches:
-            for block, text in zip(batch["block"].to_pylist(), batch["text"].to_pylist()):
-                if block not in held and len(held) > 1:
-                    yield from self.rows(held)
-                    held = {}
-                held.setdefault(block, set()).update(units_of(text, self.pattern))
-        yield from self.rows(held)
+        current, known, found = None, np.zeros(0, np.uint64), []
+        for batch in slices(batches):
+            blocks, texts = batch["block"].to_numpy(zero_copy_only=False), batch["text"].to_pylist()
+            edges = np.flatnonzero(np.concatenate([[True], blocks[1:] != blocks[:-1], [True]])).tolist()
+            for a, b in zip(edges[:-1], edges[1:]):
+                if blocks[a] != current:
+                    yield from self.rows(current, found)
+                    current, known, found = int(blocks[a]), np.zeros(0, np.uint64), []
+                whole, start, length, hashes, _ = self.cutter.cut(texts[a:b])
+                # The same hash is the same unit; if not, the round trip of a text would fail.
+                hashes, first = np.unique(hashes, return_index=True)
+                at = np.minimum(np.searchsorted(known, hashes), max(len(known) - 1, 0))
+                new = known[at] != hashes if len(known) else np.ones(len(hashes), bool)
+                found.append(_strings(whole, start[first[new]], length[first[new]]))
+                known = np.sort(np.concatenate([known, hashes[new]]))
+        yield from self.rows(current, found)
 
     @staticmethod
-    def rows(held: dict[int, set[str]]) -> Iterator[pa.RecordBatch]:
-        for block, units in held.items():
+    def rows(block: int | None, found: list[pa.Array]) -> Iterator[pa.RecordBatch]:
+        for units in found:
             yield pa.RecordBatch.from_arrays(
-                [pa.array([block] * len(units), pa.int64()), pa.array(units, pa.string())], names=["block", "word"]
+                [pa.array(np.full(len(units), block, np.int64)), units], names=["block", "word"]
             )
 
 
+def _strings(whole: str, start: np.ndarray, length: np.ndarray) -> pa.Array:
+    """The parts of a text from ``start`` (characters) on."""
+    raw = np.frombuffer(whole.encode("utf-8"), np.uint8)
+    place = np.append(np.flatnonzero((raw & 0xC0) != 0x80), len(raw))
+    begin, size = place[start], place[start + length] - place[start]
+    ends = np.cumsum(size)
+    data = raw[np.repeat(begin - (ends - size), size) + np.arange(int(ends[-1]) if len(ends) else 0)]
+    offsets = np.concatenate([[0], ends]).astype(np.int32)
+    return pa.StringArray.from_buffers(len(start), pa.py_buffer(offsets.tobytes()), pa.py_buffer(data.tobytes()))
+
+
+class Vocabulary:
+    """Ids of many parts of units at once, and the bytes of many ids."""
+
+    def __init__(self, pieces: Pieces):
+        names = list(pieces.normal)
+        ids = np.array([pieces.normal[n][0] for n in names], np.int64)
+        self.first_byte = pieces.first_byte
+        letters = np.frombuffer("".join(names).encode("utf-32-le"), np.uint32)
+        hashes = part_hashes(letters, np.fromiter(map(len, names), np.int64, len(names)))
+        order = np.argsort(hashes)
+        self.hashes, self.ids = hashes[order], ids[order]
+        if (self.hashes[1:] == self.hashes[:-1]).any():
+            raise ValueError("two pieces share a hash")
+        parts = pieces.decoder()
+        self.size = np.fromiter(map(len, parts), np.int64, len(parts))
+        self.start = np.cumsum(self.size) - self.size
+        self.bytes = np.frombuffer(b"".join(parts), np.uint8)
+
+    def encode(self, text: str, size: np.ndarray, is_cut: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all units that make up the text, and how many each unit has.
+
+        ``size`` is the length of each unit; ``is_cut`` tells for every character whether a
+        part starts with it. A part that is no piece is one character and gives its bytes.
+        """
+        if not len(size):
+            return np.zeros(0, np.int32), np.zeros(0, np.int64)
+        begins = np.flatnonzero(is_cut)
+        lengths = np.diff(begins, append=len(text))
+        hashes = part_hashes(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32), lengths)
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        known = self.hashes[at] == hashes
+        ids, times = self.ids[at], np.ones(len(begins), np.int64)
+        strangers = np.flatnonzero(~known).tolist()
+        raw = [text[begins[i]].encode("utf-8") for i in strangers]
+        times[strangers] = list(map(len, raw))
+        flat = np.repeat(ids, times)
+        ends = np.cumsum(times)
+        for i, own in zip(strangers, raw):
+            flat[ends[i] - len(own) : ends[i]] = [self.first_byte + b for b in own]
+        first = np.searchsorted(begins, np.cumsum(size) - size)
+        return flat.astype(np.int32), np.add.reduceat(times, first)
+
+    def decode(self, ids: np.ndarray) -> bytes:
+        """The bytes of the ids in a row."""
+        size = self.size[ids]
+        at = np.repeat(self.start[ids] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+        return self.bytes[at].tobytes()
+
+
 class Assembler:
     """Encodes the documents of a block from its answered units, and decodes them again."""
 
-    def __init__(self, pattern: re.Pattern, decoder: list[bytes], with_ids: bool):
-        self.pattern, self.decoder, self.with_ids = pattern, decoder, with_ids
+    def __init__(self, pieces: Pieces, cutter: Cutter, with_ids: bool):
+        self.vocabulary, self.cutter, self.with_ids = Vocabulary(pieces), cutter, with_ids
+
+    def _units(self, answers: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Sorted hashes of the block's units, and of each the first id and the number of ids."""
+        raw, bytes_of, sizes, values = unpack_raw(answers)
+        byte_at = np.concatenate([[0], np.cumsum(bytes_of, dtype=np.int64)]).tolist()
+        value_at = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)]).tolist()
+        hashes, flat, counts = [np.zeros(0, np.uint64)], [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+        for a in range(0, len(sizes), UNITS_AT_ONCE):
+            b = min(a + UNITS_AT_ONCE, len(sizes))
+            found = self._encoded(
+                raw[byte_at[a] : byte_at[b]], bytes_of[a:b], sizes[a:b], values[value_at[a] : value_at[b]]
+            )
+            for own, part in zip((hashes, flat, counts), found):
+                own.append(part)
+        hashes, flat, count = (np.concatenate(own) for own in (hashes, flat, counts))
+        order = np.argsort(hashes)
+        return hashes[order], flat, np.stack([(np.cumsum(count) - count)[order], count[order]])
+
+    def _encoded(self, raw: bytes, bytes_of, sizes, values) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Hashes of some units, their ids in a row, and how many each has."""
+        text, units = raw.decode("utf-8"), len(sizes)
+        ahead = np.cumsum((np.frombuffer(raw, np.uint8) & 0xC0) != 0x80)  # characters up to each byte
+        ends = np.concatenate([[0], ahead])[np.cumsum(bytes_of, dtype=np.int64)]
+        length = np.diff(ends, prepend=0)
+        start = ends - length
+        place = np.arange(len(text)) - np.repeat(start, length)
+        value_at = np.cumsum(sizes, dtype=np.int64) - sizes
+        # Without an edge every character is a part: all cuts are set.
+        masks = np.full(units, 2**63 - 1, np.int64)
+        masks[sizes > 0] = values[value_at[sizes > 0]]
+        is_cut = (np.repeat(masks, length) >> np.minimum(place, 62)) & 1 == 1
+        for i in np.flatnonzero(masks < 0).tolist():  # cuts are listed
+            own = np.zeros(length[i], bool)
+            own[[0, *cuts_of(values[value_at[i] : value_at[i] + sizes[i]].tolist(), int(length[i]))]] = True
+            is_cut[start[i] : start[i] + length[i]] = own
+        flat, count = self.vocabulary.encode(text, length, is_cut)
+        codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+        return part_hashes(codes, length), flat, count
 
     def block(self, texts: pa.Table, answers: pa.Table) -> pa.Table:
-        known: dict[str, int] = {}
-        ids, decoded = [], []
-        for unit, own in unpack_answers(answers):
-            known[unit.decode("utf-8")] = len(ids)
-            ids.append(own.astype(np.int32))
-            decoded.append(b"".join([self.decoder[i] for i in own]))
-        counts = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.concatenate(ids) if ids else np.zeros(0, np.int32)
-        starts = np.cumsum(counts) - counts
-        out: list[tuple] = []
-        for key, _, text in unpack_texts(texts):
-            units = [known[u] for u in units_of(text.decode("utf-8"), self.pattern)]
-            which = np.array(units, np.int64)
-            count = counts[which]
-            own = flat[np.repeat(starts[which] - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))]
-            back = b"".join([decoded[u] for u in units])[1:]
-            digest = sha256(own.astype("<i4").tobytes()).hexdigest()
-            out.append((key, len(own), digest, back == text, own if self.with_ids else None))
-        columns = [
-            pa.array([r[0] for r in out], pa.int64()), pa.array([r[1] for r in out], pa.int64()),
-            pa.array([r[2] for r in out], pa.string()), pa.array([r[3] for r in out], pa.bool_()),
-        ]
-        names = ["id", "n_pieces", "ids_sha256", "round_trip"]
+        known, flat, at = self._units(answers)
+        kinds = [("id", pa.int64()), ("n_pieces", pa.int64()), ("ids_sha256", pa.string()), ("round_trip", pa.bool_())]
         if self.with_ids:
-            columns, names = [*columns, pa.array([r[4] for r in out], pa.list_(pa.int32()))], [*names, "pieces"]
-        return pa.table(columns, names=names)
+            kinds.append(("pieces", pa.list_(pa.int32())))
+        rows: list[tuple] = []
+        for keys, packed in unpack_texts(texts):
+            whole, _, _, hashes, counts = self.cutter.cut([t.decode("utf-8") for t in packed])
+            del whole
+            which = np.searchsorted(known, hashes) if len(known) else np.zeros(0, np.int64)
+            begins, sizes = at[0][which], at[1][which]
+            ends = np.cumsum(sizes)
+            ids = flat[np.repeat(begins - (ends - sizes), sizes) + np.arange(int(ends[-1]) if len(ends) else 0)]
+            last = np.concatenate([[0], ends])[np.cumsum(counts)]
+            for key, text, a, b in zip(keys, packed, [0, *last[:-1].tolist()], last.tolist()):
+                own = ids[a:b]
+                back = self.vocabulary.decode(own)[1:]  # without the space put in front
+                digest = sha256(own.astype("<i4").tobytes()).hexdigest()
+                rows.append((key, len(own), digest, back == text, own if self.with_ids else None))
+        return pa.table({name: pa.array([r[i] for r in rows], kind) for i, (name, kind) in enumerate(kinds)})
 
 
 def encode(
@@ -294,13 +436,14 @@ def encode(
     not read.
     """
     pieces = Pieces.load(model_file)
-    pattern = pieces.unit_pattern()
+    cutter = Cutter(pieces)
     rows = in_blocks(docs, id_col, text_col)
-    wanted = rows.select("block", "text").mapInArrow(Wanted(pattern), "block long, word string")
-    encoded = staged(encode_units(wanted.select(F.col("word").alias("unit")).distinct(), pieces), "units")
-    found = encoded.select(F.col("unit").alias("word"), F.col("ids").cast("array<long>").alias("values"))
+    wanted = staged(rows.select("block", "text").mapInArrow(Wanted(cutter), "block long, word string"), "wanted")
+    units = wanted.select(F.col("word").alias("unit")).distinct()
+    encoded = staged(encode_units(units, pieces), "units", **{HASHED: str(HASHED_UNITS)})
+    found = encoded.select(F.col("unit").alias("word"), F.col("cuts").alias("values"))
     schema = "id long, n_pieces long, ids_sha256 string, round_trip boolean" + (", pieces array<int>" if with_ids else "")
-    assembler = Assembler(pattern, pieces.decoder(), with_ids)
+    assembler = Assembler(pieces, cutter, with_ids)
     whole = for_each_block(rows, answered(wanted, found, "answers"), assembler.block, schema)
     return whole.withColumnRenamed("id", id_col)
 
