@@ -404,13 +404,10 @@ class Assembler:
 
     def block(self, texts: pa.Table, answers: pa.Table) -> pa.Table:
         known, flat, at = self._units(answers)
-        kinds = [("id", pa.int64()), ("n_pieces", pa.int64()), ("ids_sha256", pa.string()), ("round_trip", pa.bool_())]
-        if self.with_ids:
-            kinds.append(("pieces", pa.list_(pa.int32())))
         rows: list[tuple] = []
+        pieces = [np.zeros(0, np.int32)]
         for keys, packed in unpack_texts(texts):
-            whole, _, _, hashes, counts = self.cutter.cut([t.decode("utf-8") for t in packed])
-            del whole
+            _, _, _, hashes, counts = self.cutter.cut([t.decode("utf-8") for t in packed])
             which = np.searchsorted(known, hashes) if len(known) else np.zeros(0, np.int64)
             begins, sizes = at[0][which], at[1][which]
             ends = np.cumsum(sizes)
@@ -419,9 +416,15 @@ class Assembler:
             for key, text, a, b in zip(keys, packed, [0, *last[:-1].tolist()], last.tolist()):
                 own = ids[a:b]
                 back = self.vocabulary.decode(own)[1:]  # without the space put in front
-                digest = sha256(own.astype("<i4").tobytes()).hexdigest()
-                rows.append((key, len(own), digest, back == text, own if self.with_ids else None))
-        return pa.table({name: pa.array([r[i] for r in rows], kind) for i, (name, kind) in enumerate(kinds)})
+                rows.append((key, len(own), sha256(own.astype("<i4").tobytes()).hexdigest(), back == text))
+            if self.with_ids:
+                pieces.append(ids)
+        kinds = [("id", pa.int64()), ("n_pieces", pa.int64()), ("ids_sha256", pa.string()), ("round_trip", pa.bool_())]
+        columns = {name: pa.array([r[i] for r in rows], kind) for i, (name, kind) in enumerate(kinds)}
+        if self.with_ids:
+            ends = np.concatenate([[0], np.cumsum([r[1] for r in rows], dtype=np.int64)]).astype(np.int32)
+            columns["pieces"] = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(pieces)))
+        return pa.table(columns)
 
 
 def encode(
