@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.common import remainder, text_or_empty
+from tidemark.llm.common import remainder, slices, text_or_empty
 
 PER_CLASS = 2_000
 LONGEST = 12_000
@@ -37,10 +37,10 @@ THRESHOLD = 0.7
 FOLDS = 3
 HELD_OUT = 1
 #: Words whose logit a task remembers.
-CACHED = 600_000
+CACHED = 300_000
 #: Words hashed and texts split at once.
 WORDS_AT_ONCE = 30_000
-TEXTS_AT_ONCE = 500
+TEXTS_AT_ONCE = 300
 
 EDGE = ".,;:!?\"'()[]{}*&%$#|"
 
@@ -275,18 +275,20 @@ def learn(
         F.col("label").isin(0, 1) & (remainder("id", FOLDS) >= 0) & (remainder("id", FOLDS) != HELD_OUT)
     )
     counts = {r["label"]: r["n"] for r in marked.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
-    order = [F.xxhash64(F.lit("sample"), "id"), F.col("id")]
-    sample = marked.filter("label = 1").orderBy(*order).limit(per_class).unionByName(
-        marked.filter("label = 0").orderBy(*order).limit(per_class)
-    )
+    # Ids below a hash that about so many of a class lie below, so few more reach the driver.
+    place = F.pmod(F.xxhash64(F.lit("sample"), "id"), F.lit(1_000_000))
+    share = {c: min(1.0, 1.2 * per_class / n) for c, n in counts.items()}
+    below = F.when(F.col("label") == 1, int(share.get(1, 0) * 1_000_000) + 1).otherwise(int(share.get(0, 0) * 1_000_000) + 1)
+    sample = marked.filter(place < below)
     rows = (
         docs.filter((fold >= 0) & (fold != HELD_OUT))
         .select(F.col(id_col).cast("long").alias("id"), text_or_empty(text_col).alias("text"))
         .filter(F.length("text") <= LONGEST)
-        .join(F.broadcast(sample), "id")  # at most 2 * per_class ids
-        .orderBy(F.xxhash64("id", "text"), "id").limit(4 * per_class)
-        .toPandas()
+        .join(F.broadcast(sample), "id")  # some 1.2 * per_class ids of each class
+        .withColumn("place", F.xxhash64("id", "text", "label"))
+        .toPandas().sort_values(["place", "id"], kind="stable")
     )
+    rows = rows.groupby("label").head(per_class).sort_values(["place", "id"], kind="stable")
     total = sum(counts.values())
     prevalence = counts.get(1, 0) / total if total else 0.0
     return train(rows["text"].tolist(), rows["label"].to_numpy(), prevalence)
@@ -310,7 +312,7 @@ def score(
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words: dict[str, float] = {}
-        for batch in batches:
+        for batch in slices(batches):
             scores = known.value.scores(batch["text"].to_pylist(), words)
             yield pa.RecordBatch.from_arrays(
                 [batch["id"], batch["held_out"], pa.array(scores), pa.array((scores >= THRESHOLD).astype(np.int32))],
@@ -327,7 +329,7 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words: dict[str, float] = {}
-        for batch in batches:
+        for batch in slices(batches):
             scores = known.value.scores(batch.column(position).to_pylist(), words)
             yield batch.filter(pa.array(scores < THRESHOLD))
 
