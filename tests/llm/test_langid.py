@@ -58,6 +58,25 @@ def test_ngrams_stay_inside_words():
     assert len(langid.ngrams(codes)) == len({" a", "ab", "b ", " c", "c ", " ab", "ab ", " c ", " ab "})
 
 
+def test_filters_hold_every_ngram_of_a_language(spark):
+    rng = random.Random(6)
+    han = "".join(chr(0x4E00 + rng.randrange(3000)) for _ in range(9000))
+    rows = [(1, han, "zh", "s", None), (2, "the " * 5000 + "theory", "en", "s", None), (3, "theorie " * 50, "de", "s", None)]
+    filters = langid.learn(frame(spark, rows))
+    for _, text, lang, *_ in rows:
+        grams = langid.ngrams(langid.letters(text))
+        bit = np.uint64(1) << np.uint64(filters.languages.index(lang))
+        assert (filters.masks(grams)[:, 0] & bit != 0).all()
+    assert max(filters.false_rate) < 0.02
+    assert all(filters.decide(han[i : i + 2])[0] == "zh" for i in range(0, 9000, 97))
+
+
+def test_single_letters_decide_where_no_ngram_does():
+    grams = {"en": langid.characters(langid.letters("abc")), "ru": langid.characters(langid.letters("где"))}
+    filters = langid.Filters.build(["en", "ru"], grams)
+    assert filters.decide("едг") == ("ru", 1.0) and filters.decide("日") == ("en", 0.0)
+
+
 def test_awkward_documents(spark):
     rows = awkward_rows()
     got = langid.identify(frame(spark, rows)).collect()
