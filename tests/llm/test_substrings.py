@@ -1,6 +1,8 @@
 import random
 from hashlib import sha256
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -93,5 +95,18 @@ def test_automaton_knows_every_substring_and_its_first_end():
         assert dict(automaton.matches(probe, 4)) == want
 
 
+def test_windows_that_share_the_upper_bits_of_their_hash_are_told_apart(monkeypatch):
+    whole = substrings.window_hashes
+    monkeypatch.setattr(substrings, "window_hashes", lambda words, width: whole(words, width) & np.uint64(0xFFFF))
+    docs = [(i, " ".join(f"{name}{k}" for k in range(20)).encode()) for i, name in enumerate("abb")]
+    want = [(1, 1, True, 0, 20), (2, 1, False, 0, 20)]
+    together = pa.Table.from_batches([substrings.Windows(20, 1).chunk(docs)])
+    apart = pa.Table.from_batches([substrings.Windows(20, 1).chunk([d]) for d in docs])
+    ranges = together.filter(pa.compute.is_null(together["blob"]))
+    for rows in (ranges, substrings._resolve(apart, 1)):
+        found = substrings._join_ranges(rows, 20).to_pylist()
+        assert sorted(tuple(r.values()) for r in found) == want
+
+
 def test_empty_table(spark):
     assert substrings.dedup(empty(spark)).count() == 0

@@ -6,8 +6,10 @@ cut down to what repeats at all, and a document meets only the shards it shares
 
 1. Hashes of all windows are counted in buckets. A window whose hash occurs again names a
    *reference* (the stretch around its first occurrence) and a *candidate* (the stretch
-   around a later one, with the document it was first seen in). Hashes only select; a
-   false one costs a comparison and changes nothing.
+   around a later one, with the document it was first seen in). Windows count as
+   equal here if all 64 bits of their hashes are. What goes is decided on words, so a false
+   one removes nothing; but of two windows with one hash only the first is a reference, and
+   a repeat of the other stays. About 0.7 such pairs are expected among 5e9 windows (30 GB).
 2. References go to shards of bounded size by their document, candidates to the shard of
    the document they name. In each shard a suffix automaton is built over the references
    and the candidates stream through it. Their matching statistics tell, for each word,
@@ -39,8 +41,8 @@ BUCKET_BYTES = 8 << 20
 SHARD_WORDS = 100_000
 TASK_WORDS = 1_000_000
 CHUNK_BYTES = 4 << 20
-#: Bits of a window's hash that are compared.
-HASH_BYTES = 6
+#: Bytes of a window's hash that are compared: all.
+HASH_BYTES = 8
 #: Stands for a null id: after all others.
 LAST = 2**63 - 1
 
