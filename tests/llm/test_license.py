@@ -60,6 +60,35 @@ def test_whole_notices_are_found(spark):
             assert {label for label, whole in by_hand(r[1])[3] if whole} <= got[r[0]]
 
 
+ALTERED = [
+    "Permission is hereby granted, free of charge, to any individual acquiring a copy",
+    "Permission is hereby granted, free of charge, for ever",
+    "Permission is hereby granted but never free of charge",
+    "Redistribution and use in all compiled and binary forms are allowed",
+    "Redistribution and use in source and binary forms, changed or not, is allowed",
+    "Licensed by us, the Apache License, Version 2", "x licensed beneath one apache license version 2",
+    "This is free code: you can redistribute it and/or modify it under the terms of any licence",
+    "offered under CC BY-NC, offered under CC BY-SA",
+]
+
+
+def test_altered_notices_are_found_by_their_key_phrases(spark):
+    for texts in [[t] for t in ALTERED] + [ALTERED + TEXTS]:
+        rows = [(i, t, None, None, None) for i, t in enumerate(texts)]
+        got = {r.doc_id: r for r in license.scan(frame(spark, rows)).collect()}
+        for i, text in enumerate(texts):
+            _, _, labels, notices = by_hand(text)
+            assert got[i].labels == ",".join(sorted(labels | {label for label, _ in notices})), text
+    assert "mit-notice" in got[0].labels and got[0].score == 11 / 13 and got[2].labels == ""
+
+
+def test_notices_without_their_first_words_are_found_at_the_start_of_a_file(spark):
+    texts = ["you can redistribute it and or modify it under the terms", "Apache License, Version 2", "cc by nc", "binary forms"]
+    rows = [(i, t, None, None, None) for i, t in enumerate(texts)]
+    got = {r.doc_id: r.labels for r in license.scan(frame(spark, rows)).collect()}
+    assert got == {0: "gpl-notice", 1: "apache,apache-2.0", 2: "cc-by-nc", 3: ""}
+
+
 def test_plan_has_no_python(spark):
     plan = license.scan(frame(spark, awkward_rows()))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan

@@ -1,11 +1,14 @@
 """License scans with a positional rare-token index, in DataFrame functions only.
 
 A template is the word sequence of a licence name or notice. Its postings say at which
-positions a word stands in it. Of each template the words that are rarest in the corpus
-(highest inverse document frequency over all documents) are looked up in a file; the file
-positions found, less the template positions, are the places where the template may start,
-and the places of two rare words are intersected. A place counts only after verification:
-a name needs all its words, a notice its mandatory key phrases.
+positions a word stands in it. A place of a template counts if all of its key phrases stand
+there: a name needs all its words, a notice its mandatory phrases, whatever became of the
+words between. So places are looked up by words of the key phrases alone. Those of them
+that are rarest (highest inverse document frequency over all documents) are looked up in a
+file; the file positions found, less the template positions, are the places where the
+template may start, and the places of two rare words are intersected. A file that holds a
+template has all of these words, so its rarest are the same in each such file, and a file
+without one of them cannot hold the template. The key phrases are verified at every place.
 
 The word statistics are the one pass that shuffles, and they shuffle a row per template
 word and task. The scan itself works on each row's word array, so no document is moved and
@@ -46,7 +49,7 @@ NOTICES = {
     "cc-by-sa": ("licensed under cc by sa", ("cc by sa",)),
 }
 
-#: Rare words of a template that are looked up; the places of all of them are intersected.
+#: Rare words of a template's key phrases that are looked up; their places are intersected.
 RARE = 2
 
 
@@ -91,9 +94,20 @@ def rarity(docs: DataFrame, text_col: str, lexicon: list[str]) -> dict[str, floa
     return {w: math.log((total + 1) / (counts.get(w, 0) + 1)) for w in lexicon}
 
 
+def _rare(template: Template, idf: dict[str, float]) -> list[int]:
+    """Positions of the rarest words that must stand: those of the key phrases."""
+    must = [at + k for at, phrase in template.keys for k in range(len(phrase))]
+    return sorted(must, key=lambda i: (-idf[template.words[i]], i))[:RARE]
+
+
 def _places(template: Template, idf: dict[str, float]) -> Column:
-    """Where the template may start: places that its rarest words agree on."""
-    at = sorted(range(len(template.words)), key=lambda i: (-idf[template.words[i]], i))[:RARE]
+    """Where the template may start: places that its rarest key words agree on.
+
+    Words before the first key phrase may be missing at the start of a file, so a place
+    may be negative as long as that phrase is inside.
+    """
+    at = _rare(template, idf)
+    least = -min(k for k, _ in template.keys)
 
     def starts(i: int) -> Column:
         own = F.filter("marks", lambda m: m["word"] == F.lit(template.words[i]))
@@ -102,7 +116,7 @@ def _places(template: Template, idf: dict[str, float]) -> Column:
     places = starts(at[0])
     for i in at[1:]:
         places = F.array_intersect(places, starts(i))
-    return F.filter(places, lambda p: p >= 0)
+    return F.filter(places, lambda p: p >= F.lit(least))
 
 
 def _holds(place: Column, at: int, phrase: tuple[str, ...]) -> Column:
@@ -148,9 +162,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     every = templates()
     lexicon = sorted({w for t in every for w in t.words})
     idf = rarity(docs, text_col, lexicon)
-    rare = sorted({
-        w for t in every for w in sorted(t.words, key=lambda w: (-idf[w], t.words.index(w)))[:RARE]
-    })
+    rare = sorted({t.words[i] for t in every for i in _rare(t, idf)})
     rows = docs.select(F.col(id_col).alias("id"), words_of(text_col).alias("words")).withColumn(
         "marks",
         F.array_compact(F.transform(
