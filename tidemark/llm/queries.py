@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import exact, imatch, langid, license, lm, mixing, pieces, simhash, substrings, toxicity
-from tidemark.llm.common import Query, table
+from tidemark.llm import exact, imatch, langid, license, lm, merkle, mixing, pieces, simhash, substrings, toxicity
+from tidemark.llm.common import Query, remainder, table
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -128,3 +128,65 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_lm_scores")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(table(spark, sf_dir, "documents"))
+
+
+# crc32 bit by bit: a byte enters with the first of its eight shifts. Steps of a proof are
+# the side of the sibling and its digest; a node without one is hashed alone.
+@query(
+    "op12_merkle_manifest",
+    r"""WITH RECURSIVE crc AS (SELECT *, xor(4294967295::BIGINT, list_reduce(list_prepend(4294967295::BIGINT,
+        flatten(list_transform(string_split(doc_id::VARCHAR, ''), lambda c: [ascii(c)::BIGINT, 0, 0, 0, 0, 0, 0, 0]))),
+        lambda a, e: xor(xor(a, e) >> 1, 3988292384 * (xor(a, e) & 1)))) AS crc FROM documents),
+    parts AS (SELECT *, n_chars + CASE WHEN crc % 7 = 0 THEN 1 ELSE 0 END AS claimed FROM crc),
+    leaves AS (SELECT doc_id, coalesce('=' || lang, '-') AS tree,
+        sha256(concat(
+          coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-'), coalesce(strlen(source) || ':' || source, '-'),
+          coalesce(strlen(lang) || ':' || lang, '-'), coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-'),
+          coalesce(strlen(text) || ':' || text, '-'))) AS leaf,
+        sha256(concat(
+          coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-'), coalesce(strlen(source) || ':' || source, '-'),
+          coalesce(strlen(lang) || ':' || lang, '-'), coalesce(strlen(claimed::VARCHAR) || ':' || claimed, '-'),
+          coalesce(strlen(text) || ':' || text, '-'))) AS claim
+      FROM parts),
+    placed AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf, claim) - 1 AS p
+      FROM leaves),
+    levels AS (
+      SELECT tree, 0 AS level, list(leaf ORDER BY p) AS nodes FROM placed GROUP BY tree
+      UNION ALL
+      SELECT tree, level + 1, list_transform(range(0, (len(nodes) + 1) // 2),
+          lambda i: sha256(nodes[2 * i + 1] || coalesce(nodes[2 * i + 2], '')))
+      FROM levels WHERE len(nodes) > 1),
+    subroots AS (SELECT tree, nodes[1] AS subroot, row_number() OVER (ORDER BY tree) - 1 AS q
+      FROM levels WHERE len(nodes) = 1),
+    tops AS (
+      SELECT 0 AS level, list(subroot ORDER BY q) AS nodes FROM subroots HAVING count(*) > 0
+      UNION ALL
+      SELECT level + 1, list_transform(range(0, (len(nodes) + 1) // 2),
+          lambda i: sha256(nodes[2 * i + 1] || coalesce(nodes[2 * i + 2], '')))
+      FROM tops WHERE len(nodes) > 1),
+    steps AS (
+      SELECT tree, p, level AS nth, CASE WHEN (p >> level) % 2 = 1 THEN 'L' || nodes[p >> level]
+          ELSE 'R' || coalesce(nodes[(p >> level) + 2], '') END AS step
+      FROM placed JOIN levels USING (tree) WHERE len(nodes) > 1
+      UNION ALL
+      SELECT tree, p, 1000 + level, CASE WHEN (q >> level) % 2 = 1 THEN 'L' || nodes[q >> level]
+          ELSE 'R' || coalesce(nodes[(q >> level) + 2], '') END
+      FROM placed JOIN subroots USING (tree), tops WHERE len(nodes) > 1),
+    proofs AS (SELECT tree, p, list(step ORDER BY nth) AS steps,
+        string_agg(substring(step, 2), '' ORDER BY nth) AS siblings FROM steps GROUP BY tree, p),
+    folded AS (SELECT doc_id, leaf, subroot, (SELECT nodes[1] FROM tops WHERE len(nodes) = 1) AS root,
+        sha256(coalesce(siblings, '')) AS proof_sha256,
+        list_reduce(list_prepend(claim, coalesce(steps, [])), lambda a, s: sha256(
+          CASE WHEN s[1] = 'L' THEN s[2:] || a ELSE a || s[2:] END)) AS folded_root
+      FROM placed JOIN subroots USING (tree) LEFT JOIN proofs USING (tree, p))
+    SELECT *, folded_root = root AS verified FROM folded""",
+)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    fields = ("doc_id", "source", "lang", "n_chars", "text")
+    leaf = merkle.leaf_digest(*[F.col(name) for name in fields])
+    altered = merkle.leaf_digest(*[F.col(name) + 1 if name == "n_chars" else F.col(name) for name in fields])
+    claim = F.when(remainder("doc_id", 7) == 0, altered).otherwise(leaf)
+    return merkle.checked(merkle.manifest(docs, leaf, claim=claim)).select(
+        "doc_id", F.col("digest").alias("leaf"), "subroot", "root", "proof_sha256", "folded_root", "verified"
+    )
