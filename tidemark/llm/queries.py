@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import exact, imatch, langid, license, lm, merkle, mixing, pieces, simhash, substrings, toxicity
+from tidemark.llm import (
+    alignment, exact, imatch, langid, license, lm, merkle, minhash, mixing, pieces, simhash, substrings, toxicity,
+)
 from tidemark.llm.common import Query, remainder, table
 
 QUERIES: dict[str, Query] = {}
@@ -190,3 +192,33 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.checked(merkle.manifest(docs, leaf, claim=claim)).select(
         "doc_id", F.col("digest").alias("leaf"), "subroot", "root", "proof_sha256", "folded_root", "verified"
     )
+
+
+# Linked pairs from the inverted shingles; the component is a walk over links from each text.
+@query(
+    "op13_minhash_near_dedup",
+    r"""WITH RECURSIVE listed AS (SELECT row_number() OVER () AS r, doc_id,
+        regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+          'abcdefghijklmnopqrstuvwxyz'), '[^ 	-
+]+') AS ws FROM documents),
+    sets AS (SELECT r, doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')]
+        ELSE list_sort(list_distinct(list_transform(range(1, len(ws) - 2),
+          lambda i: array_to_string(ws[i : i + 3], ' ')))) END AS s FROM listed),
+    texts AS (SELECT row_number() OVER () AS t, s, len(s) AS n, min(doc_id) AS least FROM sets
+      WHERE len(s) > 0 GROUP BY s),
+    inverted AS (SELECT t, n, unnest(s) AS shingle FROM texts),
+    links AS (SELECT a.t AS u, b.t AS v FROM inverted a JOIN inverted b ON a.shingle = b.shingle AND a.t <> b.t
+      GROUP BY a.t, b.t, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+    walk AS (SELECT t AS u, t AS v FROM texts UNION SELECT w.u, l.v FROM walk w JOIN links l ON w.v = l.u),
+    found AS (SELECT u, min(least) AS component_id FROM walk JOIN texts ON v = t GROUP BY u)
+    SELECT doc_id, len(sets.s)::BIGINT AS n_shingles, CASE WHEN len(sets.s) = 0 THEN doc_id ELSE component_id END AS component_id,
+      CASE WHEN len(sets.s) = 0 THEN doc_id ELSE component_id END IS NOT DISTINCT FROM doc_id AS kept
+    FROM sets LEFT JOIN texts ON sets.s = texts.s LEFT JOIN found ON t = u""",
+)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_groups(table(spark, sf_dir, "documents"))
+
+
+@query("op11_cross_tokenizer_alignment")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.aligned(table(spark, sf_dir, "documents"))
