@@ -71,14 +71,14 @@ def test_chains_of_near_copies_equal_brute_force(spark, percent, tile):
 
 
 def test_a_bucket_keeps_links_that_its_least_member_does_not_have(spark, monkeypatch):
-    """All texts share one bucket, and it alone: the tiles have to find every link."""
+    """All texts share one bucket a band, and it alone: the tiles have to find every link."""
     rows = near_rows(5, 8, 12, 70)
     texts = frame(spark, rows)
     described = minhash._described
 
     def one_bucket(batches):
         for batch in described(batches):
-            bands = minhash.pa.array([[7]] * batch.num_rows, minhash.pa.list_(minhash.pa.int64()))
+            bands = minhash.pa.array([[*range(minhash.BANDS)]] * batch.num_rows, minhash.pa.list_(minhash.pa.int64()))
             yield batch.set_column(batch.schema.get_field_index("bands"), "bands", bands)
 
     monkeypatch.setattr(minhash, "_described", one_bucket)
@@ -86,6 +86,16 @@ def test_a_bucket_keeps_links_that_its_least_member_does_not_have(spark, monkeyp
         assert collected(minhash.near_groups(texts, tile=tile)) == groups_by_hand(rows)
 
 
+def test_matrix_product_counts_what_sets_share(monkeypatch):
+    rng = np.random.default_rng(9)
+    left = [np.unique(rng.integers(0, 60, n, dtype=np.uint64)) for n in (1, 5, 40, 60)]
+    right = [np.unique(rng.integers(0, 60, n, dtype=np.uint64)) for n in (3, 50, 7)]
+    for cells in (1 << 22, 30):
+        monkeypatch.setattr(minhash, "CELLS", cells)
+        got = minhash.common(left, right)
+        assert got.tolist() == [[len(np.intersect1d(a, b)) for b in right] for a in left]
+
+
 def test_hot_class_and_rows_without_text(spark):
     docs = spark.range(3000).select(
         F.col("id").alias("doc_id"),

@@ -13,13 +13,17 @@ a similarity of 0.8 miss each other in all 40 bands of four with a probability o
 two with 0.9 with 3e-19. Every link is confirmed on the full sets.
 
 Documents with equal sets are one class, so copies meet as one row. Classes of a bucket are
-not paired with each other: first each is confirmed against the least one of the bucket,
-and the confirmed links make components. Only buckets that still hold several components
-are looked at again: members of the largest component meet the others, and these each
-other, in tiles of ``TILE`` classes, and tiles inside one component are never made. A tile
-pair is judged by the sketches (those of a link agree in less than ``ALIKE`` of the expected
-coordinates with a probability under 1e-15), and what passes is confirmed on the full sets.
-So no link that a bucket holds is lost, and a bucket of near copies costs a test for each.
+not paired with each other: first each is confirmed against one of the bucket, the class
+that meets most others in all its buckets, and the confirmed links make components. Only
+buckets that still hold several components are looked at again: members of the largest
+component meet the others, and these each other, in tiles of ``TILE`` classes, and tiles
+inside one component are never made. Two passes go over a tile pair. The first compares
+sketches and keeps the classes that have a partner of another component with a like one, in
+the first bucket the two share; sketches of a link agree in less than ``ALIKE`` of the
+expected coordinates with a probability of 1e-10. The second gets the full sets of these,
+takes all their intersections as one matrix product and returns only links that connect
+what was not connected, so it gives fewer rows than it gets. No link that a bucket holds is
+lost, no pairs are written, and a bucket of near copies costs a test for each.
 
 Only classes of candidate pairs send their shingles, once to their own key and once to that
 of the pair's first class and a salt, so a class that a third of all documents is compared
@@ -47,7 +51,9 @@ PERCENT = 80
 BANDS, ROWS = 40, 4
 SKETCH = BANDS * ROWS
 #: Share of the coordinates that a link expects to be equal, below which a pair is not confirmed.
-ALIKE = 0.625
+ALIKE = 0.7
+#: Places of a matrix of classes and shingles that is multiplied at once.
+CELLS = 1 << 22
 #: Classes of a tile, and words that a task remembers the hashes of.
 TILE = 128
 WORDS_HELD = 200_000
@@ -57,6 +63,8 @@ VALUE_BITS = 40
 
 SETS = "id long, key long, n long, digest binary, sketch binary, bands array<long>"
 PAIRS = "a long, b long"
+TILE_PAIR = ("bucket", "tile", "other")
+MEMBERS = "bucket long, tile int, other int, side int, node long, comp long"
 
 
 # Sets and sketches ----------------------------------------------------------------------
@@ -192,45 +200,115 @@ def _confirm(percent: int):
     return confirm
 
 
-def _compare_tiles(percent: int):
-    least = int(SKETCH * percent * ALIKE / 100)
+def _by_tile_pair(batches: Iterator[pa.RecordBatch], *names: str) -> Iterator[tuple[tuple, list[tuple]]]:
+    """Rows sorted by tile pair (bucket, tile, other); one may run on into the next batch."""
+
+    def rows():
+        for batch in batches:
+            yield from zip(*(batch[name].to_pylist() for name in (*TILE_PAIR, *names)))
 
-    def alike(rows: list[tuple]) -> pa.RecordBatch:
-        """Pairs of a tile pair that are in different components and have like sketches."""
-        sides = [[r for r in rows if r[3] != 1], [r for r in rows if r[3] != 0]]
-        sides.sort(key=len)
-        marks, comps, nodes = [], [], []
-        for side in sides:
-            marks.append(np.frombuffer(b"".join(r[6] for r in side), np.uint16).reshape(len(side), SKETCH))
-            comps.append(np.array([r[5] for r in side], np.int64))
-            nodes.append(np.array([r[4] for r in side], np.int64))
-        found = [np.zeros((2, 0), np.int64)]
-        for mark, comp, node in zip(marks[0], comps[0], nodes[0]):
-            near = np.flatnonzero(((marks[1] == mark).sum(axis=1) >= least) & (comps[1] != comp))
-            found.append(np.stack([np.minimum(nodes[1][near], node), np.maximum(nodes[1][near], node)]))
-        a, b = np.concatenate(found, axis=1)
-        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+    for key, group in groupby(rows(), key=lambda row: row[:3]):
+        yield key, [row[3:] for row in group]
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows sorted by (bucket, tile, other); a tile pair may run on into the next batch."""
 
-        def rows():
-            for batch in batches:
-                yield from zip(*(batch[n].to_pylist() for n in ("bucket", "tile", "other", "side", "node", "comp", "sketch")))
+def _sides(rows: list[tuple]) -> tuple[list[tuple], list[tuple]]:
+    """Members of both tiles, whose side is 0 or 1; those of a tile that meets itself (2) are on both."""
+    return [r for r in rows if r[0] != 1], [r for r in rows if r[0] != 0]
 
-        for _, group in groupby(rows(), key=lambda row: row[:3]):
-            yield alike(list(group))
 
-    return compare
+def _likely(percent: int):
+    """Members of a tile pair that have a like sketch on the other side, in another component."""
+    least = int(SKETCH * percent * ALIKE / 100)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: list[tuple] = []
+        for key, rows in _by_tile_pair(batches, "side", "node", "comp", "band", "sketch"):
+            sides = sorted(_sides(rows), key=len)
+            marks = [np.frombuffer(b"".join(r[4] for r in side), np.uint16).reshape(len(side), SKETCH) for side in sides]
+            comps = np.array([r[2] for r in sides[1]], np.int64)
+            wanted = set()
+            for row, mark in zip(sides[0], marks[0]):
+                equal = marks[1] == mark
+                # Pairs that share several buckets are looked at in the first of them.
+                first = equal.reshape(-1, BANDS, ROWS).all(axis=2).argmax(axis=1) == row[3]
+                near = np.flatnonzero((equal.sum(axis=1) >= least) & first & (comps != row[2]))
+                if len(near):
+                    wanted.add(row[1])
+                    wanted.update(sides[1][i][1] for i in near.tolist())
+            found += [(*key, *row[:3]) for row in rows if row[1] in wanted]
+            if len(found) >= 10_000:
+                yield _kept(found)
+                found = []
+        if found:
+            yield _kept(found)
+
+    return keep
+
+
+def _kept(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64())
+    names = [*TILE_PAIR, "side", "node", "comp"]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
+
+
+def common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of each set on the left with each on the right."""
+    sets = left + right
+    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    _, shingle, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = times > 1
+    use = shared[shingle]
+    column = (np.cumsum(shared) - 1)[shingle[use]]
+    row, width = owner[use], int(shared.sum())
+    out = np.zeros((len(left), len(right)), np.float32)
+    step = max(1, CELLS // len(sets))
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    for start in range(0, width, step):
+        a, b = np.searchsorted(column, (start, start + step))
+        part = np.zeros((len(sets), min(step, width - start)), np.float32)
+        part[row[a:b], column[a:b] - start] = 1
+        out += part[: len(left)] @ part[len(left) :].T
+    return out.astype(np.int64)
+
+
+def _connecting(percent: int):
+    """Links between the members of a tile pair that connect different components."""
+
+    def find(parent: dict[int, int], x: int) -> int:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    def connect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, rows in _by_tile_pair(batches, "side", "node", "comp", "shingles"):
+            left, right = _sides(rows)
+            sets = [[np.frombuffer(r[3], np.uint64) for r in side] for side in (left, right)]
+            if not left or not right:
+                continue
+            both = common(*sets)
+            sizes = [np.array([len(x) for x in side], np.int64) for side in sets]
+            close = 100 * both >= percent * (sizes[0][:, None] + sizes[1][None, :] - both)
+            parent = {comp: comp for _, _, comp, _ in rows}
+            found = []
+            for i, j in np.argwhere(close).tolist():
+                a, b = find(parent, left[i][2]), find(parent, right[j][2])
+                if a != b:
+                    parent[max(a, b)] = min(a, b)
+                    found.append((left[i][1], right[j][1]))
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], names=["a", "b"])
+
+    return connect
 
 
 # Spark side -----------------------------------------------------------------------------
 
 
-def _sets_of(texts: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(node, shingles) of the classes in ``pairs``, each from the one document that stands for it."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    places = classes.select("node", "digest", "key").join(wanted, "node")
+def _sets_of(texts: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(node, shingles) of the classes in ``wanted``, each from the one document that stands for it."""
+    places = classes.select("node", "digest", "key").join(wanted.select("node").distinct(), "node")
     # Rows that are repeated with their id share a key; partitioned by it, they are reduced in place.
     found = texts.join(places, "key").select("key", "node", "digest", "text").distinct()
     return staged(found.mapInArrow(_sets, "node long, shingles binary"), "sets")
@@ -255,7 +333,8 @@ def _tiles(entries: DataFrame, roots: DataFrame, classes: DataFrame, size: int)
     rest. A tile meets itself, if it is of the rest, and every later one of the rest.
     """
     members = staged(
-        entries.join(roots, "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("comp")), "members"
+        entries.join(roots, "node", "left").select("bucket", "band", "node", F.coalesce("root", "node").alias("comp")),
+        "members",
     )
     sizes = members.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n"))
     several = sizes.groupBy("bucket").agg(
@@ -276,29 +355,36 @@ def _tiles(entries: DataFrame, roots: DataFrame, classes: DataFrame, size: int)
         "bucket", F.least("own", "met").alias("tile"), F.greatest("own", "met").alias("other"),
         # The first tile's members, the other's, or both of a tile that meets itself.
         F.when(F.col("own") < F.col("met"), 0).when(F.col("own") > F.col("met"), 1).otherwise(2).alias("side"),
-        "node", "comp",
-    )
-    return pairs.join(classes.select("node", "sketch"), "node").select(
-        "bucket", "tile", "other", "side", "node", "comp", "sketch"
+        "node", "comp", "band",
     )
+    return pairs.join(classes.select("node", "sketch"), "node")
+
+
+def _in_tile_pairs(rows: DataFrame) -> DataFrame:
+    return rows.repartition(*TILE_PAIR).sortWithinPartitions(*TILE_PAIR)
 
 
 def _links(texts: DataFrame, classes: DataFrame, percent: int, tile: int) -> DataFrame:
     """Confirmed links that connect whatever all links connect."""
-    entries = classes.select("node", F.explode("bands").alias("bucket"))
-    shared = entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("b")).filter("n > 1")
-    entries = staged(entries.join(shared.select("bucket", "b"), "bucket"), "entries")
-    first = staged(entries.filter("node <> b").select(F.col("node").alias("a"), "b").distinct(), "candidates")
-    links = _confirmed(first, _sets_of(texts, classes, first), percent)
+    entries = classes.select("node", F.posexplode("bands").alias("band", "bucket"))
+    shared = entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    entries = staged(entries.join(shared, "bucket"), "entries")
+    # Who meets most others in all its buckets stands in the middle, if anyone does.
+    weighed = entries.join(entries.groupBy("node").agg(F.sum("n").alias("weight")), "node")
+    middles = weighed.groupBy("bucket").agg(F.max_by("node", F.struct("weight", "node")).alias("b"))
+    first = staged(
+        entries.join(middles, "bucket").filter("node <> b").select(F.col("node").alias("a"), "b").distinct(), "candidates"
+    )
+    sets = _sets_of(texts, classes, first.select(F.explode(F.array("a", "b")).alias("node")))
+    links = _confirmed(first, sets, percent)
     roots = staged(components(links), "roots")
-    tiles = _tiles(entries.select("bucket", "node"), roots, classes, tile)
-    keys = ["bucket", "tile", "other"]
-    second = tiles.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_compare_tiles(percent), PAIRS).distinct()
-    tried = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    second = staged(second.join(tried, ["a", "b"], "left_anti"), "candidates")
-    if second.isEmpty():
+    tiles = _tiles(entries, roots, classes, tile)
+    likely = staged(_in_tile_pairs(tiles).mapInArrow(_likely(percent), MEMBERS), "likely")
+    if likely.isEmpty():
         return links
-    return links.unionByName(_confirmed(second, _sets_of(texts, classes, second), percent))
+    sets = _sets_of(texts, classes, likely)
+    found = _in_tile_pairs(likely.join(sets, "node")).mapInArrow(_connecting(percent), PAIRS)
+    return links.unionByName(staged(found, "links"))
 
 
 def near_groups(
