@@ -55,7 +55,7 @@ ALIKE = 0.7
 #: Places of a matrix of classes and shingles that is multiplied at once.
 CELLS = 1 << 22
 #: Classes of a tile, and words that a task remembers the hashes of.
-TILE = 128
+TILE = 256
 WORDS_HELD = 200_000
 #: Shingle x round places that are hashed at once: what mostly fills a sketch, and at most.
 ENOUGH, AT_ONCE = 8 * SKETCH, 1 << 16
@@ -350,8 +350,9 @@ def _tiles(entries: DataFrame, roots: DataFrame, classes: DataFrame, size: int)
         .otherwise(F.col("mains") + F.pmod(own, F.col("others"))).cast("int"),
     )
     last = F.col("mains") + F.col("others") - 1
-    met = F.explode(F.sequence(F.lit(0), last)).alias("met")
-    pairs = rows.select("*", met).filter("own >= mains OR met >= mains").select(
+    # Tiles of the largest component do not meet each other.
+    met = F.sequence(F.when(F.col("own") < F.col("mains"), F.col("mains")).otherwise(0), last)
+    pairs = rows.select("*", F.explode(met).alias("met")).select(
         "bucket", F.least("own", "met").alias("tile"), F.greatest("own", "met").alias("other"),
         # The first tile's members, the other's, or both of a tile that meets itself.
         F.when(F.col("own") < F.col("met"), 0).when(F.col("own") > F.col("met"), 1).otherwise(2).alias("side"),
