@@ -19,7 +19,7 @@ by the product of the vocabularies, and a task holds ``FAN`` parts of heads or o
 Nothing but the number of runs reaches the driver.
 
 Texts are cut at single spaces between other characters, where no token of either side goes
-on, and each distinct piece of text is tokenized and aligned once by a task.
+on, and a worker tokenizes and aligns a distinct piece once as long as it remembers it.
 """
 
 from __future__ import annotations
@@ -48,7 +48,7 @@ RUN_RECORDS = 500_000
 RADIX = 128
 FAN = 256
 #: Pieces of text and characters of them that a task remembers.
-PIECES_HELD, CHARS_HELD = 200_000, 4 << 20
+PIECES_HELD, CHARS_HELD = 500_000, 12 << 20
 #: Documents that are aligned at once.
 DOCS_AT_ONCE = 100
 #: The row of a run that holds what is known of its documents.
@@ -116,6 +116,29 @@ class Tokenizers:
         a = [found.ids for found in self.a.encode_batch([" " + p for p in parts], add_special_tokens=False)]
         return a, self.b.encode(parts, num_threads=1)
 
+    def together(self, parts: list[str]) -> list[tuple[np.ndarray, np.ndarray]] | None:
+        """Ids of both sides for all parts in a row, and how many each part has, from one text.
+
+        None if a part cannot stand between single spaces, or does not get its own bytes back.
+        """
+        if not self.local or any(not p or p[0].isspace() or p[-1].isspace() for p in parts):
+            return None
+        text = " ".join(parts)
+        raw = f" {text}".encode("utf-8", "surrogatepass")
+        ends = np.cumsum([len(p.encode("utf-8", "surrogatepass")) + 1 for p in parts])
+        found = []
+        ids = self.a.encode(" " + text, add_special_tokens=False).ids, self.b.encode(text)
+        for own, of, sizes in zip(ids, (self.a_bytes, self.b_bytes), self.sizes):
+            if b"".join(map(of.__getitem__, own)) != raw:
+                return None
+            flat = np.array(own, np.int64)
+            at = np.cumsum(sizes[flat])
+            last = np.searchsorted(at, ends)
+            if (at[last] != ends).any():
+                return None
+            found.append((flat, np.diff(last + 1, prepend=0)))
+        return found
+
 
 # Alignment ------------------------------------------------------------------------------
 
@@ -130,11 +153,11 @@ class Aligned:
     groups: list[str]
 
 
-def align(parts: list[str], tokenizers: Tokenizers) -> Aligned:
-    """Alignment of each text; one whose tokens do not give its bytes has none."""
-    all_a, all_b = tokenizers.encode(parts)
+def _one_by_one(parts: list[str], tokenizers: Tokenizers) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
+    """As ``Tokenizers.together``, and which parts get their bytes back; the others have no ids."""
+    sides = tokenizers.encode(parts)
     exact = np.zeros(len(parts), bool)
-    for i, (part, a, b) in enumerate(zip(parts, all_a, all_b)):
+    for i, (part, a, b) in enumerate(zip(parts, *sides)):
         raw = f" {part}".encode("utf-8", "surrogatepass")
         exact[i] = (
             b"".join(map(tokenizers.a_bytes.__getitem__, a)) == raw == b"".join(map(tokenizers.b_bytes.__getitem__, b))
@@ -142,11 +165,19 @@ def align(parts: list[str], tokenizers: Tokenizers) -> Aligned:
         if not exact[i]:
             a.clear()
             b.clear()
-    ids, ends, owner = [], [], []
-    for found, sizes in zip((all_a, all_b), tokenizers.sizes):
-        ids.append(np.array([i for one in found for i in one], np.int64))
-        ends.append(np.cumsum(sizes[ids[-1]]))
-        owner.append(np.repeat(np.arange(len(parts)), [len(one) for one in found]))
+    return exact, [
+        (np.array([i for one in side for i in one], np.int64), np.array([len(one) for one in side], np.int64))
+        for side in sides
+    ]
+
+
+def align(parts: list[str], tokenizers: Tokenizers) -> Aligned:
+    """Alignment of each text; one whose tokens do not give its bytes has none."""
+    together = tokenizers.together(parts)
+    exact, sides = _one_by_one(parts, tokenizers) if together is None else (np.ones(len(parts), bool), together)
+    ids = [flat for flat, _ in sides]
+    ends = [np.cumsum(sizes[flat]) for flat, sizes in zip(ids, tokenizers.sizes)]
+    owner = [np.repeat(np.arange(len(parts)), many) for _, many in sides]
     every = np.union1d(*ends)
     common = np.intersect1d(*ends, assume_unique=True)
     at = [np.searchsorted(own, every) for own in ends]
@@ -174,10 +205,19 @@ def _written(ids, ends, owner, common, parts: int) -> list[str]:
 class Remembered:
     """Alignments of the pieces of text seen lately, by number."""
 
+    #: By tokenizer files: a worker's tasks go on with what earlier ones know.
+    loaded: dict[tuple[str, str], Remembered] = {}
+
     def __init__(self, tokenizers: Tokenizers):
         self.tokenizers = tokenizers
         self.clear()
 
+    @classmethod
+    def of(cls, a_file: str, b_file: str) -> Remembered:
+        if (a_file, b_file) not in cls.loaded:
+            cls.loaded[a_file, b_file] = cls(Tokenizers(a_file, b_file))
+        return cls.loaded[a_file, b_file]
+
     def clear(self) -> None:
         self.number: dict[str, int] = {}
         self.exact, self.counts = np.zeros(0, bool), np.zeros((4, 0), np.int64)
@@ -189,6 +229,14 @@ class Remembered:
         new = [part for part in parts if part not in self.number]
         if not new:
             return
+        # Those that cannot stand between spaces go last, and are tokenized by themselves.
+        plain = [p for p in new if p and not p[0].isspace() and not p[-1].isspace()]
+        odd = [p for p in new if not p or p[0].isspace() or p[-1].isspace()]
+        for part in (plain, odd):
+            if part:
+                self._add(part)
+
+    def _add(self, new: list[str]) -> None:
         found = align(new, self.tokenizers)
         self.number.update(zip(new, range(len(self.number), len(self.number) + len(new))))
         self.exact = np.concatenate([self.exact, found.exact])
@@ -283,8 +331,9 @@ class Spill:
 
 def _described(a_file: str, b_file: str, keep_groups: bool, run_records: int):
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizers = Tokenizers(a_file, b_file)
-        known, b_size = Remembered(tokenizers), len(tokenizers.b_bytes)
+        known = Remembered.of(a_file, b_file)
+        tokenizers = known.tokenizers
+        b_size = len(tokenizers.b_bytes)
         pair_count = len(tokenizers.a_bytes) * b_size
         spill = Spill(b_size, TaskContext.get().partitionId() << 32)
         for batch in slices(batches, DOCS_AT_ONCE):
