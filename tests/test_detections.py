@@ -131,8 +131,22 @@ def test_blacklist_counts_per_day_and_alarms_once(spark):
 
 
 def test_clicks_by_province(spark):
-    clicks = spark.createDataFrame([("p1", 1), ("p1", 1), ("p2", 1)], "province string, ad_id int")
-    assert {(r.key, r.cnt) for r in ads.clicks_by_province(clicks).collect()} == {("p1_1", 2), ("p2_1", 1)}
+    clicks = spark.createDataFrame([(1, 1), (1, 1), (2, 1), (3, 1), (3, 2), (4, 1)], "user_id bigint, ad_id int")
+    people = spark.createDataFrame([(1, "p1"), (2, "p2"), (3, "p1")], "user_id bigint, province string")
+    got = ads.clicks_by_province(clicks, people)
+    assert {(r.key, r.cnt) for r in got.collect()} == {("p1_1", 3), ("p2_1", 1), ("p1_2", 1)}
+
+
+def test_few_groups_are_numbered(spark):
+    """Only groups over the limit are numbered; the others, those without a user too, pass as they are."""
+    rows = [(u, 1, 10 * 86_400 + i, 10 * u + i) for u in range(5) for i in range(u)]
+    rows += [(None, 1, 10 * 86_400 + i, 100 + i) for i in range(4)]
+    clicks = timed(spark, rows, "user_id bigint, ad_id int, s bigint, event_id bigint")
+    passed, alarms = ads.blacklist_filter(clicks, ORDER, limit=2)
+    assert sorted(r.event_id for r in passed.collect()) == sorted(
+        r[3] for r in rows if (r[3] - 10 * r[0] if r[0] is not None else r[3] - 100) < 2
+    )
+    assert sorted(str(r.user_id) for r in alarms.collect()) == ["3", "4", "None"]
 
 
 # --- logins --------------------------------------------------------------------------------

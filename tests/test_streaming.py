@@ -17,7 +17,7 @@ from tidemark.functions.durations import epoch_micros
 from tidemark.operators import distinct, joins, patterns, windows
 from tidemark.operators.running import by_time
 from tidemark.plans import ads, batch_analyses, stream_analyses, traffic  # noqa: F401
-from tidemark.plans.registry import DISORDER, FILES_PER_TRIGGER, ORACLES, QUERIES, Tables
+from tidemark.plans.registry import FILES_PER_TRIGGER, SLICES, ORACLES, QUERIES, Tables
 from tidemark.session import fresh_path
 from tidemark.sinks.keyed import KeyedTable
 from tidemark.streaming.drain import LateRowsDropped, drain, drain_batches, drain_latest, drain_updates
@@ -248,6 +248,23 @@ def test_payment_status(spark):
     ]
 
 
+def test_orders_are_forgotten(spark):
+    """Two days after its event an order is gone: what comes then is an order of its own."""
+    day, ddl = 86_400, "order_id bigint, event_type string, s bigint"
+    feed = Feed(
+        spark, ddl,
+        [(1, "create", day), (2, "create", day), (3, "pay", day)], [(1, "pay", day + 60)],
+        [(4, "create", 3 * day)], [(4, "pay", 3 * day + 60)], [(2, "pay", 6 * day)], [(0, "create", FAR)],
+    )
+    stream = feed.stream().withWatermark("ts", "20 minutes")
+    got = drain_latest(
+        stateful(stream, ["order_id"], Payment(keep="2 days"), Payment.OUTPUT), ["order_id", "status"], ["version"], "gone"
+    )
+    assert rows_of(got.where("order_id > 0"), "order_id", "status") == [
+        (1, "paid"), (2, "missing_create"), (2, "unpaid"), (3, "missing_create"), (4, "paid"),
+    ]
+
+
 def test_one_to_one_matching(spark):
     ddl = "tx_id bigint, side string, s bigint, row_id bigint"
     feed = Feed(
@@ -301,7 +318,10 @@ def test_estimates_of_visitors(spark, tmp_path):
         (r.window_start, r.window_end): r.uv
         for r in distinct.windowed_distinct(views, "ts", "1 hour", "user_id").collect()
     }
-    for name in ("g17_hourly_visitors_approx", "g17_hourly_visitors_approx_stream"):
+    for name in (
+        "g17_hourly_visitors_approx", "g17_hourly_visitors_approx_stream",
+        "g17_hourly_visitors_sketch", "g17_hourly_visitors_sketch_stream",
+    ):
         guess = {
             (r.window_start, r.window_end): r.uv
             for r in QUERIES[name](spark, folder).withColumns({
@@ -312,6 +332,36 @@ def test_estimates_of_visitors(spark, tmp_path):
         assert all(abs(guess[w] - exact[w]) <= max(1, 0.05 * exact[w]) for w in exact)
 
 
+def test_runs_are_folded_level_by_level(spark):
+    table = KeyedTable(spark, ["k"], [])
+    table.FOLD = 3
+    written, batches = 0, 27
+    for batch in range(batches):
+        table.upsert_batch(spark.range(10 * batch, 10 * batch + 15).select(F.col("id").alias("k"), F.lit(batch).alias("v")), batch)
+    assert table.cover() == [(3, 0)]
+    assert rows_of(table.read(), "k", "v") == [(k, min(k // 10, batches - 1)) for k in range(10 * batches + 5)]
+    for level, run in table._done():
+        written += spark.read.parquet(table._folder(level, run)).count()
+    # Each level holds a row for each batch it comes from at most, however long the table.
+    assert written <= 4 * 15 * batches
+
+
+def test_a_fold_that_was_cut_off_is_not_read(spark):
+    table = KeyedTable(spark, ["k"], [])
+    table.FOLD = 3
+    for batch in range(9):
+        table.upsert_batch(spark.range(6).select(F.col("id").alias("k"), F.lit(batch).alias("v")).repartition(3), batch)
+    assert table.cover() == [(2, 0)]
+    folder = table._folder(2, 0)
+    parts = sorted(f for f in os.listdir(folder) if f.startswith("part-"))
+    os.remove(f"{folder}/{parts[0]}")
+    os.remove(f"{folder}/{table.DONE}")
+    assert table.cover() == [(1, 0), (1, 1), (1, 2)]
+    assert rows_of(table.read(), "k", "v") == [(k, 8) for k in range(6)]
+    table.upsert_batch(spark.range(6).select(F.col("id").alias("k"), F.lit(8).alias("v")), 8)  # the replay mends it
+    assert table.cover() == [(2, 0)]
+
+
 @pytest.fixture(scope="module")
 def split_tables(spark, tmp_path_factory):
     """The smallest tables, the streamed ones in four files each with their rows dealt at random."""
@@ -322,7 +372,7 @@ def split_tables(spark, tmp_path_factory):
     for entry in os.listdir(folder):
         name = entry.removesuffix(".parquet")
         table = spark.read.parquet(f"{folder}/{entry}")
-        if name in DISORDER:
+        if name in SLICES:
             table = table.repartition(4, F.xxhash64(*table.columns))
         table.write.parquet(f"{out}/{entry}")
     spark.conf.set(FILES_PER_TRIGGER, "1")

@@ -10,6 +10,10 @@ Matches carry the rows as structs ``first`` and ``second``.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+from typing import Any
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidemark.functions.durations import epoch_micros, micros, whole_part
@@ -228,3 +232,71 @@ def _matches(
     if within is not None:
         stepped = stepped.where(_gap(found, ts) < micros(within))
     return stepped.select(*keys, _row(df).alias("first"), found.alias("second"))
+
+
+#: How a step follows the one before: the very next row, the first later row that meets the
+#: condition, or every one.
+NEXT, LATER, ANY = "next", "later", "any"
+
+
+@dataclass(frozen=True)
+class Step:
+    """One step of a pattern.
+
+    ``condition`` gets the row and the rows of the earlier steps by name, and reads their
+    columns by subscript: ``lambda row, seen: row["vc"] > seen["first"]["vc"]``. The same
+    function serves columns here and values in ``streaming.stateful.Automaton``. A condition
+    that is NULL is not met.
+    """
+
+    name: str
+    condition: Callable[[Any, dict[str, Any]], Any]
+    follows: str = LATER
+
+
+def matched(
+    df: DataFrame, keys: list[str], sequence: Sequence, steps: list[Step], within: str
+) -> DataFrame:
+    """Matches of any number of steps whose conditions may read the rows matched so far.
+
+    A match is a row with a struct for each step. Every row that meets the first step starts
+    one; with ``ANY`` a match so far goes on with each row that may follow, so it branches.
+    Each step is an equi-join on the key and its time slot, so a task holds a key's rows of
+    three bounds of time, and a hot slot is split by the engine.
+    """
+    if steps[0].follows == ANY or len({s.name for s in steps}) < len(steps):
+        raise ValueError("the first step follows nothing, and names are unique")
+    ties = sequence.order[1:]
+    by = [F.col(k) for k in keys]
+    placed = _slotted(df, sequence.order[0], within).withColumn("_order", F.struct(AT, *ties))
+    rows = placed.select(
+        *[c.alias(f"_k{i}") for i, c in enumerate(by)], F.col(SLOT).alias("_slot_of"), "_order",
+        F.lag("_order").over(Window.partitionBy(*keys, SLOT).orderBy("_order")).alias("_before"),
+        _row(df).alias("_row"),
+    )
+    first = steps[0]
+    found = placed.where((F.col(OWN) == F.col(SLOT)) & first.condition(_row(df), {})).select(
+        *[c.alias(f"_p{i}") for i, c in enumerate(by)], F.col(SLOT).alias("_slot_in"),
+        F.array("_order").alias("_path"), _row(df).alias(first.name),
+    )
+    names = [first.name]
+    for step in steps[1:]:
+        same = F.col("_slot_of") == F.col("_slot_in")
+        for i in range(len(keys)):
+            same = same & F.col(f"_k{i}").eqNullSafe(F.col(f"_p{i}"))
+        last = F.element_at("_path", -1)
+        after = F.col("_before") == last if step.follows == NEXT else F.col("_order") > last
+        in_time = F.col("_order")[AT] - F.col("_path")[0][AT] < micros(within)
+        meets = step.condition(F.col("_row"), {name: F.col(name) for name in names})
+        joined = found.join(rows, same & after & in_time & meets)
+        own = [f"_p{i}" for i in range(len(keys))] + ["_slot_in"]
+        if step.follows == LATER:
+            joined = joined.groupBy(*own, "_path").agg(
+                *[F.first(name).alias(name) for name in names], F.min("_order").alias("_order"),
+                F.min_by("_row", "_order").alias("_row"),
+            )
+        found = joined.select(
+            *own, F.concat("_path", F.array("_order")).alias("_path"), *names, F.col("_row").alias(step.name)
+        )
+        names.append(step.name)
+    return found.select(*[F.col(f"_p{i}").alias(k) for i, k in enumerate(keys)], *names)

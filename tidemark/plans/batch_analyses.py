@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tidemark.functions.columns import tokens
 from tidemark.functions.durations import epoch_micros
 from tidemark.operators import distinct, joins, patterns, windows
-from tidemark.operators.accumulate import accumulate, process_window
+from tidemark.operators.accumulate import accumulate, nth_value, ordered_window, process_window
 from tidemark.operators.running import (
     by_number,
     by_time,
@@ -191,7 +191,7 @@ def _(t):
        FROM clicks GROUP BY province, ad_id""",
 )
 def _(t):
-    return ads.clicks_by_province(t.ad_clicks())
+    return ads.clicks_by_province(t.user_clicks(), t.people())
 
 
 def slot(size: int, column: str = "us") -> str:
@@ -271,15 +271,46 @@ def _(t):
     )
 
 
-@query("g17_hourly_visitors_approx")
+@query(
+    "g13_window_median",
+    f"""SELECT event_type, window_start, window_start + {DAY} AS window_end, vc AS median FROM (
+          SELECT event_type, vc, window_start, count(*) OVER w AS n,
+            row_number() OVER (PARTITION BY event_type, window_start ORDER BY vc, event_id) AS nth
+          FROM (SELECT event_type, CAST(floor(value) AS INTEGER) AS vc, event_id, {slot(DAY)} AS window_start FROM ev)
+          WINDOW w AS (PARTITION BY event_type, window_start)) WHERE nth = (n + 1) // 2""",
+)
 def _(t):
-    """Estimates from a sketch of constant size; tests hold them against the exact numbers."""
-    views = t.behavior().where(F.col("behavior") == VIEW)
-    return distinct.windowed_approx(views, "ts", "1 hour", "user_id", 0.01)
+    """A function that does not merge: the lower median of all rows of a window."""
+    rows = t.events().select("event_type", "ts", "event_id", F.col("value").cast("int").alias("vc"))
+    middle = nth_value("vc", lambda rows: (rows - 1) // 2)
+    return ordered_window(rows, ["event_type"], "ts", "1 day", ["vc", "event_id"], middle, "median int")
 
 
 POSITION = """list_reduce(list_transform(string_split(CAST(user_id AS VARCHAR), ''),
   lambda c: CAST(ascii(c) AS BIGINT)), lambda h, c: (h * 61 + c) & 1073741823)"""
+#: Some 20,000 visitors an hour, one in a hundred taken for another.
+VISITORS = distinct.Bloom.sized(20_000, 0.01)
+BLOOM_UV = f"""SELECT window_start, window_end, bits,
+    CAST(floor(-({VISITORS.bits} / CAST({VISITORS.hashes} AS DOUBLE)) * ln(1 - bits / CAST({VISITORS.bits} AS DOUBLE)) + 0.5) AS BIGINT) AS uv,
+    CAST(ceil(bits / CAST({VISITORS.hashes} AS DOUBLE)) AS BIGINT) AS at_least
+  FROM ({HOURLY} count(DISTINCT p) AS bits FROM (
+    SELECT us, unnest(list_transform(range({VISITORS.hashes}), lambda i:
+      ((h + 1) * {VISITORS.FIRST} % {VISITORS.MODULUS} + i * ((h + 1) * {VISITORS.STEP} % {VISITORS.MODULUS}))
+        % {VISITORS.bits})) AS p
+    FROM (SELECT us, {POSITION} AS h FROM pv)) GROUP BY 1, 2)"""
+
+
+@query("g17_hourly_visitors_approx", BLOOM_UV)
+def _(t):
+    views = t.behavior().where(F.col("behavior") == VIEW)
+    return distinct.windowed_bloom(views, "ts", "1 hour", "user_id", VISITORS)
+
+
+@query("g17_hourly_visitors_sketch")
+def _(t):
+    """Estimates from a sketch of constant size; tests hold them against the exact numbers."""
+    views = t.behavior().where(F.col("behavior") == VIEW)
+    return distinct.windowed_approx(views, "ts", "1 hour", "user_id", 0.01)
 
 
 @query(
@@ -522,7 +553,7 @@ def _(t):
 
 @query("j3_hot_ads_by_province", ranked("clicks", "province, ad_id", HOUR, 5 * MINUTE, 3))
 def _(t):
-    return ads.hot_ads_by_province(t.ad_clicks())
+    return ads.hot_ads_by_province(t.user_clicks(), t.people())
 
 
 @query("j4_hot_ads_by_user", ranked("clicks", "user_id, ad_id", HOUR, 5 * MINUTE, 3))
@@ -674,6 +705,31 @@ def _(t):
     return partial.select("user_id", "event_id")
 
 
+# High, then low, then above where it began: the last step reads the first row.
+SWING = [
+    patterns.Step("first", lambda row, seen: row["vc"] >= 60),
+    patterns.Step("second", lambda row, seen: row["vc"] < 30),
+    patterns.Step("third", lambda row, seen: row["vc"] > seen["first"]["vc"]),
+]
+SWING_BOUND = "3 days"
+SWINGS = f"""SELECT {{columns}} FROM (
+    SELECT d.*, arg_min(c.event_id, (c.us, c.event_id)) AS third_id, min(c.us) AS u3 FROM (
+        SELECT a.id, a.event_id AS first_id, a.us AS u1, a.vc AS v1,
+          arg_min(b.event_id, (b.us, b.event_id)) AS second_id, min(b.us) AS u2
+        FROM sensor a JOIN sensor b
+          ON b.id = a.id AND (b.us, b.event_id) > (a.us, a.event_id) AND b.vc < 30 AND b.us - a.us < {3 * DAY}
+        WHERE a.vc >= 60 GROUP BY ALL) d
+      JOIN sensor c ON c.id = d.id AND (c.us, c.event_id) > (d.u2, d.second_id) AND c.vc > d.v1
+        AND c.us - d.u1 < {3 * DAY}
+    GROUP BY ALL)"""
+
+
+@query("o7_swings", SWINGS.format(columns="id, first_id, second_id, third_id"))
+def _(t):
+    found = patterns.matched(t.sensor(), ["id"], IN_TIME, SWING, SWING_BOUND)
+    return found.select("id", *[F.col(s.name)["event_id"].alias(f"{s.name}_id") for s in SWING])
+
+
 # --- detections --------------------------------------------------------------------------------
 
 

@@ -75,7 +75,7 @@ def _(t):
        us // 1000000 AS ts FROM clicks""",
 )
 def _(t):
-    rows = t.ad_clicks().select(
+    rows = t.user_clicks().join(t.people(), "user_id").select(
         "user_id", "ad_id", "province", F.lit("city").alias("city"),
         F.unix_seconds("ts").alias("ts"),
     )

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from tidemark.functions.durations import epoch_micros
 from tidemark.session import OWN_DIR, fresh_path, pin, shared_dir
+from tidemark.sources.landing import land
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,9 +21,11 @@ VIEW = "view"
 FAILED = "error"
 
 
-# A property of each source: how far behind its newest row a row may come. Files of a
-# table are read in any order, so it is the time that the table spans.
-DISORDER = {"events": "31 days", "orders": "3000 days", "lineitem": "3000 days"}
+#: Tables that are streamed, and the time that a slice of them holds when they are landed
+#: in order: how far behind its newest row a row may come, and what a micro-batch reads.
+SLICES = {"events": "8 days", "orders": "400 days", "lineitem": "400 days"}
+#: Slices that a micro-batch reads; what a micro-batch costs besides its rows is paid less often.
+SLICES_PER_BATCH = 2
 # Fixed value: the time of the row that ends a bounded stream.
 FAR = "2200-01-01 00:00:00"
 #: Session setting: files that a micro-batch takes.
@@ -30,19 +33,19 @@ FILES_PER_TRIGGER = "tidemark.filesPerTrigger"
 
 
 class Ended:
-    """A table as a stream of its files that can be ended.
+    """Rows landed in order of time, as a stream that can be ended.
 
-    Beside the files it reads a folder that stays empty until ``end`` lands one row far
-    ahead in time there. The row moves the watermark past all others, so open windows and
-    timers come out; its own never do.
+    Beside the landed files it reads a folder that stays empty until ``end`` lands one row
+    far ahead in time there. The row moves the watermark past all others, so open windows
+    and timers come out; its own never do.
     """
 
-    def __init__(self, tables: Tables, name: str, **last: Column):
-        self.spark, self.schema, self.last = tables.spark, tables.table(name).schema, last
-        self.path = fresh_path(tables.spark, f"end-{name}")
+    def __init__(self, tables: Tables, rows: DataFrame, by: str, width: str, /, **last: Column):
+        self.spark, self.schema, self.last = tables.spark, rows.schema, last
+        self.path = fresh_path(tables.spark, "end")
         self.spark.createDataFrame([], self.schema).write.parquet(self.path)
         end = tables.streams.readStream.schema(self.schema).parquet(self.path)
-        self.rows = tables.stream(name).unionByName(end)
+        self.rows = land(rows, by, width).stream(tables.streams, SLICES_PER_BATCH).unionByName(end)
 
     def end(self) -> None:
         columns = [
@@ -73,7 +76,7 @@ class Tables:
             folder = shared_dir(self.spark)
             self._streams = pin(self.spark.newSession())
             self._streams.conf.set(OWN_DIR, folder)
-            files = max(len(self.table(n).inputFiles()) for n in DISORDER)
+            files = max(len(self.table(n).inputFiles()) for n in SLICES)
             most = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
             self._streams.conf.set("spark.sql.shuffle.partitions", str(min(most, max(8, 2 * files))))
         return self._streams
@@ -86,11 +89,14 @@ class Tables:
             .parquet(f"{self.folder}/{name}.parquet*")
         )
 
+    def landed(self, name: str, ts: str) -> DataFrame:
+        """The table as a stream in order of time."""
+        return land(self.table(name), ts, SLICES[name]).stream(self.streams, SLICES_PER_BATCH)
+
     def ended_events(self, event_type: str) -> Ended:
         """The events as a stream that ends with one event of that type and no user."""
-        return Ended(
-            self, "events", ts=F.lit(FAR).cast("timestamp"), event_type=F.lit(event_type), value=F.lit(0.0)
-        )
+        last = {"ts": F.lit(FAR).cast("timestamp"), "event_type": F.lit(event_type), "value": F.lit(0.0)}
+        return Ended(self, self.table("events"), "ts", SLICES["events"], **last)
 
     @staticmethod
     def as_events(raw: DataFrame) -> DataFrame:
@@ -129,17 +135,16 @@ class Tables:
             F.col("event_type").alias("behavior"), (F.col("k") % 4).alias("channel")
         )
 
-    def ad_clicks(self) -> DataFrame:
-        """Events with the province of their user; the nation table is fixed in size."""
-        people = (
+    def people(self) -> DataFrame:
+        """Users and their province; the nation table is fixed in size."""
+        return (
             self.table("customer")
             .join(F.broadcast(self.table("nation")), F.expr("c_nationkey = n_nationkey"))
             .select(F.col("c_custkey").alias("user_id"), F.col("n_name").alias("province"))
         )
-        return self.user_clicks().join(people, "user_id")
 
     def user_clicks(self) -> DataFrame:
-        """Ad clicks without the province, for analyses that do not use it."""
+        """Ad clicks; the province is a property of the user."""
         return self.events().select("user_id", F.col("k").alias("ad_id"), "ts", "event_id")
 
     def logins(self, raw: DataFrame | None = None) -> DataFrame:

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-import pandas as pd
-from pyspark.sql import DataFrame, Window, functions as F
-
-from tidemark.functions.durations import epoch_micros, micros
+from tidemark.functions.durations import epoch_micros, micros, whole_part
 from tidemark.operators.routing import side_output
 from tidemark.operators.running import Sequence, hot_keys, in_order, mark_hot, preceding, running, tally
+from tidemark.session import staged
 
 
 def with_previous(readings: DataFrame, sequence: Sequence) -> DataFrame:
@@ -43,6 +41,43 @@ def _climbs(levels: DataFrame, sequence: Sequence) -> DataFrame:
     return plain.select(*kept).unionByName(sliced.select(*kept))
 
 
+def _pointers(points: DataFrame, wait: int, hot_rows: int) -> DataFrame:
+    """(id, climb, at, next): the first rise of the climb that is later than ``at + wait``."""
+    asked = points.select("id", "climb", (F.col("at") + wait).alias("at"), F.lit(1).alias("asks"))
+    both = points.withColumn("asks", F.lit(0)).unionByName(asked)
+    # A slice holds a few waits of one climb.
+    backwards = Sequence(("at", "asks"), lambda: whole_part(F.col("at"), max(1, 64 * wait)), hot_rows).reversed()
+    stepped = running(both, ["id", "climb"], backwards, next=preceding(F.col("at"), F.col("asks") == 0))
+    return stepped.where("asks = 1 AND next IS NOT NULL").select(
+        "id", "climb", (F.col("at") - wait).alias("at"), "next"
+    )
+
+
+def _followed(pointers: DataFrame, starts: DataFrame, most: int) -> DataFrame:
+    """All points that are up to ``most`` pointers away from a start, by doubling.
+
+    Pointers of 1, 2, 4, ... steps are joined from each other; from the longest on, the
+    points reached so far take each of them once, which reaches every number of steps.
+    """
+
+    def hop(places: DataFrame, jumps: DataFrame, at: str, *kept: Column) -> DataFrame:
+        to = jumps.select(
+            F.col("id").alias("_id"), F.col("climb").alias("_climb"), F.col("at").alias("_at"), F.col("next").alias("_next")
+        )
+        same = places["id"].eqNullSafe(to["_id"]) & (places["climb"] == to["_climb"]) & (places[at] == to["_at"])
+        return places.join(to, same).select("id", "climb", *kept, "_next")
+
+    jumps = [staged(pointers, "jumps")]
+    while 2 ** len(jumps) <= most:
+        last = jumps[-1]
+        jumps.append(staged(hop(last, last, "next", F.col("at")).withColumnRenamed("_next", "next"), "jumps"))
+    reached = starts
+    for jump in reversed(jumps):
+        farther = hop(reached, jump, "at").withColumnRenamed("_next", "at")
+        reached = staged(reached.unionByName(farther), "reached")
+    return reached
+
+
 def rising_alarms(
     readings: DataFrame, sequence: Sequence, hold: str = "5 seconds"
 ) -> DataFrame:
@@ -54,8 +89,9 @@ def rising_alarms(
 
     A non-rise forgets everything, so each climb (rises up to the next non-rise) can be
     judged alone. Its ends are aggregated, map-side first. A climb no longer than ``hold``
-    has one possible alarm, known from its ends; only longer climbs are walked row by row,
-    in time order, holding one value.
+    has one possible alarm, known from its ends. In a longer one every rise points to the
+    one that would arm next, and the pointers are followed by doubling, so a climb is never
+    in one task, however many of the rows it holds.
     """
     wait = micros(hold)
     rows = _climbs(readings.select("id", "vc", *sequence.order), sequence)
@@ -71,38 +107,25 @@ def rising_alarms(
     long_climb = F.col("_top") - F.col("_start") > wait
     alive = F.col("_stop").isNull() | (F.col("_stop") > F.col("_start") + wait)
     short = ends.where(~long_climb & alive).select("id", F.col("_start").alias("armed"))
-    walked = ends.where(long_climb).select(
-        F.col("id").alias("_id"), F.col("_climb").alias("_own"), "_stop"
-    )
-    climbs = rows.where("_rises").join(walked, F.expr("id <=> _id AND _climb = _own"))
-
-    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        armed = 0
-        for batch in batches:
-            hits = []
-            for place, row in enumerate(batch.itertuples(index=False)):
-                if row.opens or row.at > armed + wait:
-                    armed = row.at
-                    if row.stop < 0 or row.stop > armed + wait:
-                        hits.append(place)
-            yield batch.iloc[hits][["id", "climb", "at"]]
-
-    kind = climbs.schema["id"].dataType.simpleString()
-    in_time = Window.partitionBy("id", "_climb").orderBy("_at")
-    long = (
-        climbs.withColumn("_opens", F.row_number().over(in_time) == 1)
-        .sortWithinPartitions("id", "_climb", "_at")
-        .select(
-            "id",
-            F.col("_climb").alias("climb"),
-            F.col("_at").alias("at"),
-            F.col("_opens").alias("opens"),
-            F.coalesce("_stop", F.lit(-1)).alias("stop"),
-        )
-        .mapInPandas(walk, f"id {kind}, climb bigint, at bigint")
-        .select("id", F.col("at").alias("armed"))
+    walked = staged(
+        ends.where(long_climb).select(
+            F.col("id").alias("_id"), F.col("_climb").alias("_own"), "_start", "_stop",
+            F.ceil((F.col("_top") - F.col("_start")) / wait).cast("long").alias("_most"),
+        ),
+        "climbs",
     )
-    return short.unionByName(long).select(
+    most = walked.agg(F.max("_most")).first()[0]
+    found = short
+    if most is not None:
+        climbs = rows.where("_rises").join(walked, F.expr("id <=> _id AND _climb = _own"))
+        points = climbs.select("id", F.col("_climb").alias("climb"), F.col("_at").alias("at")).distinct()
+        starts = walked.select(F.col("_id").alias("id"), F.col("_own").alias("climb"), F.col("_start").alias("at"))
+        stops = walked.select(F.col("_id"), F.col("_own"), "_stop")
+        armed = _followed(_pointers(points, wait, sequence.hot_rows), starts, most)
+        alive = F.col("_stop").isNull() | (F.col("_stop") > F.col("at") + wait)
+        long = armed.join(stops, F.expr("id <=> _id AND climb = _own")).where(alive)
+        found = short.unionByName(long.select("id", F.col("at").alias("armed")))
+    return found.select(
         "id",
         F.timestamp_micros("armed").alias("armed_at"),
         F.timestamp_micros(F.col("armed") + wait).alias("alarm_at"),

@@ -1,8 +1,8 @@
 """Registered queries: the streaming forms, run over the tables as file streams.
 
-The watermark delay is the disorder of the source, so files may come in any order and any
-number of micro-batches. Where a stream settles only what its watermark has passed, the
-end of the input lets the rest out.
+Where time matters the table is landed in order first, so the watermark trails by one slice
+whatever the table spans, and state holds a slice or two. Where a stream settles only what
+its watermark has passed, the end of the input lets the rest out.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from tidemark.operators import distinct, windows
 from tidemark.operators.joins import stream_interval_join
 from tidemark.plans.batch_analyses import (
     AFTER,
+    BLOOM_UV,
     CLIMB_VIEWS,
     COUNTED,
     HOURLY,
@@ -23,34 +24,40 @@ from tidemark.plans.batch_analyses import (
     PAIRED,
     SO_FAR,
     STRICT,
+    SWING,
+    SWING_BOUND,
+    SWINGS,
+    VISITORS,
     hops,
     ranked as ranked_sql,
     slot,
 )
 from tidemark.plans.batch_rows import SENSOR_ROWS, exported, sensor_rows
-from tidemark.plans.registry import DAY, DISORDER, FAILED, FAR, HOUR, MINUTE, VIEW, Ended, Tables, query
+from tidemark.plans.registry import DAY, FAILED, FAR, HOUR, MINUTE, SLICES, VIEW, Ended, Tables, query
 from tidemark.session import fresh_path
 from tidemark.sinks.keyed import KeyedTable
 from tidemark.sources import lines
 from tidemark.streaming.drain import drain, drain_batches, drain_latest, drain_updates
 from tidemark.streaming.late import LateRouter
+from tidemark.streaming.sliced import Changelog, Moving, StrictNext, sliced
 from tidemark.streaming.stateful import (
-    Changelog,
+    Automaton,
     ClickLimit,
     FollowedBy,
     History,
     Matcher,
-    Moving,
     OneShot,
     Payment,
     Rising,
-    StrictNext,
+    Visitors,
     stateful,
 )
-from tidemark.streaming.windows import ranked, session_counts, sliding_counts, tolerant
+from tidemark.streaming.windows import distinct_per, ranked, session_counts, sliding_counts, tolerant
 
-EVENTS_LATE = DISORDER["events"]
-ORDERS_LATE = DISORDER["orders"]
+EVENTS_LATE = SLICES["events"]
+ORDERS_LATE = SLICES["orders"]
+#: The time of a key that one task takes at once in streams with hot keys.
+KEY_SLICE = "2 days"
 
 
 def sensor_stream(t: Tables, raw: DataFrame | None = None) -> DataFrame:
@@ -85,6 +92,19 @@ def _(t):
     return drain(both.dropDuplicates(), "e2")
 
 
+@query(
+    "e2_union_distinct_daily_stream",
+    f"""SELECT id, vc, {slot(DAY)} AS window_start FROM sensor
+        UNION SELECT user_id, k, {slot(DAY)} FROM ev""",
+)
+def _(t):
+    """Distinct within a day: a value leaves the state when its day closes."""
+    events = t.landed("events", "ts")
+    other = t.as_events(events).select(F.col("user_id").alias("id"), F.col("k").alias("vc"), "ts")
+    both = sensor_stream(t, events).select("id", "vc", "ts").unionByName(other).withWatermark("ts", EVENTS_LATE)
+    return drain(distinct_per(both, ["id", "vc"], "ts", "1 day"), "e2")
+
+
 @query(
     "f2_reconcile_stream",
     f"""SELECT l_tx_id AS tx_id, l_tx_id AS left_id,
@@ -92,21 +112,24 @@ def _(t):
         FROM ({PAIRED.format(how='INNER')})""",
 )
 def _(t):
-    orders = Ended(t, "orders", o_orderdate=F.lit(FAR))
-    left = orders.rows.select(
+    left = t.table("orders").select(
         F.col("o_orderkey").alias("tx_id"),
         F.lit("left").alias("side"),
         F.col("o_orderdate").cast("timestamp").alias("ts"),
         F.col("o_orderkey").alias("row_id"),
     )
-    right = t.stream("lineitem").select(
+    right = t.table("lineitem").select(
         F.col("l_orderkey").alias("tx_id"),
         F.lit("right").alias("side"),
         F.col("l_shipdate").cast("timestamp").alias("ts"),
         (F.col("l_linenumber") * F.lit(1_000_000_000).cast("long") + F.col("l_partkey")).alias("row_id"),
     )
-    both = timed(left.unionByName(right).where(f"tx_id IS NOT NULL OR ts = TIMESTAMP '{FAR}'"), ORDERS_LATE)
-    return drain(stateful(both, ["tx_id"], Matcher(), Matcher.OUTPUT), "f2", end=orders.end)
+    both = Ended(
+        t, left.unionByName(right).where("tx_id IS NOT NULL"), "ts", ORDERS_LATE,
+        side=F.lit("left"), ts=F.lit(FAR),
+    )
+    rows = timed(both.rows, ORDERS_LATE)
+    return drain(stateful(rows, ["tx_id"], Matcher(), Matcher.OUTPUT), "f2", end=both.end)
 
 
 @query(
@@ -116,10 +139,10 @@ def _(t):
          ON p.tx_id = r.tx_id AND r.us BETWEEN p.us - {15 * DAY} AND p.us + {15 * DAY}""",
 )
 def _(t):
-    left = t.stream("orders").select(
+    left = t.landed("orders", "o_orderdate").select(
         F.col("o_orderkey").alias("tx_id"), F.col("o_orderdate").cast("timestamp").alias("ts")
     )
-    right = t.stream("lineitem").select(
+    right = t.landed("lineitem", "l_shipdate").select(
         F.col("l_orderkey").alias("tx_id"), F.col("l_shipdate").cast("timestamp").alias("ts")
     )
     joined = stream_interval_join(left, right, "tx_id", "ts", "15 days", "15 days", ORDERS_LATE)
@@ -141,11 +164,18 @@ def _(t):
     )
 
 
-@query("g17_hourly_visitors_approx_stream")
+@query("g17_hourly_visitors_approx_stream", BLOOM_UV)
+def _(t):
+    events = t.ended_events(VIEW)
+    rows = views(t, events.rows).withWatermark("ts", EVENTS_LATE)
+    return drain(distinct.windowed_bloom(rows, "ts", "1 hour", "user_id", VISITORS), "g17", end=events.end)
+
+
+@query("g17_hourly_visitors_sketch_stream")
 def _(t):
     """Estimates as they stand at the end; tests hold them against the exact numbers."""
     guesses = distinct.windowed_approx(
-        views(t).withWatermark("ts", EVENTS_LATE), "ts", "1 hour", "user_id", 0.01
+        views(t, t.landed("events", "ts")).withWatermark("ts", EVENTS_LATE), "ts", "1 hour", "user_id", 0.01
     )
     return drain_updates(guesses, ["window_start", "window_end"], "g17")
 
@@ -157,7 +187,7 @@ def _(t):
 )
 def _(t):
     tumbled = windows.tumbling(
-        sensor_stream(t).withWatermark("ts", EVENTS_LATE), ["id"], "ts", "1 hour",
+        sensor_stream(t, t.landed("events", "ts")).withWatermark("ts", EVENTS_LATE), ["id"], "ts", "1 hour",
         total=windows.sum_of("vc"),
     )
     return drain_updates(tumbled, ["id", "window_start"], "h1")
@@ -208,7 +238,7 @@ DAYS = f"""SELECT id, {slot(DAY)} AS window_start, {slot(DAY)} + {DAY} AS window
 
 @query("k1_ascending_watermark_stream", DAYS)
 def _(t):
-    """Rows of one file ascend and files do not: the watermark trails by the disorder of files."""
+    """Slices ascend and rows inside one do not: the watermark trails by one slice."""
     events = t.ended_events(VIEW)
     rows = sensor_stream(t, events.rows).withWatermark("ts", EVENTS_LATE)
     return drain(windows.tumbling(rows, ["id"], "ts", "1 day", cnt=windows.count_of()), "k1", end=events.end)
@@ -256,7 +286,7 @@ def _(t):
     f"SELECT id, {slot(DAY)} AS window_start, {slot(DAY)} + {DAY} AS window_end, count(*) AS cnt FROM sensor GROUP BY 1, 2, 3",
 )
 def _(t):
-    rows = tolerant(sensor_stream(t), "ts", EVENTS_LATE, lateness="2 seconds")
+    rows = tolerant(sensor_stream(t, t.landed("events", "ts")), "ts", EVENTS_LATE, lateness="2 seconds")
     counts = windows.tumbling(rows, ["id"], "ts", "1 day", cnt=windows.count_of())
     return drain_updates(counts, ["id", "window_start"], "k6")
 
@@ -289,6 +319,19 @@ def _(t):
     return drain(stateful(rows, ["id"], OneShot("1 day"), OneShot.OUTPUT), "k10", end=events.end)
 
 
+@query(
+    "h12_per_row_visitors_stream",
+    f"""SELECT event_id, w AS window_start, CAST(sum(CASE WHEN n = 1 THEN 1 ELSE 0 END) OVER (
+         PARTITION BY w ORDER BY us, event_id ROWS UNBOUNDED PRECEDING) AS BIGINT) AS uv
+       FROM (SELECT us, event_id, w, row_number() OVER (PARTITION BY w, user_id ORDER BY us, event_id)
+         AS n FROM (SELECT *, {slot(DAY)} AS w FROM pv))""",
+)
+def _(t):
+    events = t.ended_events(VIEW)
+    rows = timed(views(t, events.rows)).withColumn("day", whole_part(F.col("at"), DAY) * DAY)
+    return drain(stateful(rows, ["day"], Visitors("1 day"), Visitors.OUTPUT), "h12", end=events.end)
+
+
 @query(
     "m1_rising_alarms_stream",
     f"""SELECT id, armed AS armed_at, armed + {12 * HOUR} AS alarm_at FROM chain c
@@ -325,21 +368,23 @@ def _(t):
         FROM created c LEFT JOIN paid p USING (order_id)""",
 )
 def _(t):
-    orders = Ended(t, "orders", o_orderdate=F.lit(FAR))
-    created = orders.rows.select(
+    created = t.table("orders").select(
         F.col("o_orderkey").alias("order_id"),
         F.lit("create").alias("event_type"),
         F.col("o_orderdate").cast("timestamp").alias("ts"),
     )
-    paid = t.stream("lineitem").select(
+    paid = t.table("lineitem").select(
         F.col("l_orderkey").alias("order_id"),
         F.lit("pay").alias("event_type"),
         F.col("l_shipdate").cast("timestamp").alias("ts"),
     )
-    statuses = stateful(
-        timed(created.unionByName(paid), ORDERS_LATE), ["order_id"], Payment("60 days"), Payment.OUTPUT
+    both = Ended(
+        t, created.unionByName(paid), "ts", ORDERS_LATE, event_type=F.lit("create"), ts=F.lit(FAR)
     )
-    return drain_latest(statuses, ["order_id"], ["version"], "m7", end=orders.end).drop("version")
+    # Lines of these tables ship up to years from their order.
+    payment = Payment("60 days", keep="3000 days")
+    statuses = stateful(timed(both.rows, ORDERS_LATE), ["order_id"], payment, Payment.OUTPUT)
+    return drain_latest(statuses, ["order_id"], ["version"], "m7", end=both.end).drop("version")
 
 
 @query(
@@ -377,8 +422,8 @@ def _(t):
 )
 def _(t):
     events = t.ended_events(VIEW)
-    rows = timed(sensor_stream(t, events.rows))
-    return drain(stateful(rows, ["id"], Changelog(), Changelog.OUTPUT), "n7", end=events.end)
+    changes = sliced(sensor_stream(t, events.rows), "id", "ts", KEY_SLICE, EVENTS_LATE, Changelog())
+    return drain(changes, "n7", end=events.end)
 
 
 @query(
@@ -390,8 +435,7 @@ def _(t):
 )
 def _(t):
     events = t.ended_events(VIEW)
-    rows = timed(sensor_stream(t, events.rows))
-    sums = stateful(rows, ["id"], Moving(3, slide=2), Moving.OUTPUT)
+    sums = sliced(sensor_stream(t, events.rows), "id", "ts", KEY_SLICE, EVENTS_LATE, Moving(3, slide=2))
     return drain(sums.select("id", F.col("nth").alias("window_no"), "total"), "h5", end=events.end)
 
 
@@ -402,19 +446,17 @@ def _(t):
 )
 def _(t):
     events = t.ended_events(VIEW)
-    rows = timed(sensor_stream(t, events.rows))
-    moved = stateful(rows, ["id"], Moving(3), Moving.OUTPUT)
+    moved = sliced(sensor_stream(t, events.rows), "id", "ts", KEY_SLICE, EVENTS_LATE, Moving(3))
     return drain(moved.select("id", "event_id", "cnt", "total"), "i1", end=events.end)
 
 
 def strict_pairs(t: Tables, label: str, rows_of: str, first: str, second: str, within: str | None) -> DataFrame:
     events = t.ended_events(first)
-    rows = timed(t.logins(events.rows)).where(rows_of)
-    steps = rows.select(
-        "user_id", "ts", "at", "event_id",
+    steps = t.logins(events.rows).where(rows_of).select(
+        "user_id", "ts", "event_id",
         (F.col("event_type") == first).alias("first"), (F.col("event_type") == second).alias("second"),
     )
-    found = stateful(steps, ["user_id"], StrictNext(within), StrictNext.OUTPUT)
+    found = sliced(steps, "user_id", "ts", KEY_SLICE, EVENTS_LATE, StrictNext(within))
     return drain(found, label, end=events.end).withColumnRenamed("key", "user_id")
 
 
@@ -444,6 +486,16 @@ def _(t):
     return strict_pairs(t, "m5", f"event_type = '{FAILED}'", FAILED, FAILED, "2 hours 1 microsecond")
 
 
+@query("o7_swings_stream", SWINGS.format(columns="id, first_id, second_id, third_id"))
+def _(t):
+    events = t.ended_events(VIEW)
+    rows = timed(sensor_stream(t, events.rows))
+    found = drain(stateful(rows, ["id"], Automaton(SWING, SWING_BOUND), Automaton.OUTPUT), "o7", end=events.end)
+    return found.select(
+        F.col("key").alias("id"), *[F.col("events")[i].alias(f"{s.name}_id") for i, s in enumerate(SWING)]
+    )
+
+
 @query(
     "l4_followed_by_any_stream",
     f"""SELECT a.user_id AS key, a.event_id AS first_id, b.event_id AS second_id

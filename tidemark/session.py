@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 from uuid import uuid4
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 ROCKSDB_PROVIDER = (
     "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -43,8 +43,8 @@ def build_session(
 def pin(spark: SparkSession) -> SparkSession:
     """Runtime settings every operator relies on, for a session built elsewhere."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    # Every batch of a bounded run is looked at for lost rows afterwards.
-    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "100000")
+    # A run's progress is read every few seconds; so many batches do not pass between.
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "1000")
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
     return spark
 
@@ -68,3 +68,11 @@ def shared_dir(spark: SparkSession) -> str:
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A path below :func:`shared_dir` that nothing else uses."""
     return f"{shared_dir(spark)}/{label}-{uuid4().hex}"
+
+
+def staged(df: DataFrame, label: str) -> DataFrame:
+    """``df`` written below the shared folder and read back: later uses do not compute it again,
+    and a lost executor costs only the tasks it ran."""
+    path = fresh_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

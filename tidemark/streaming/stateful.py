@@ -2,21 +2,23 @@
 
 Rows of a key come in any order, within a micro-batch and across them. Processors whose
 answer depends on the order build on :class:`Ordered`: rows wait in state, in pages of
-event time, until the watermark has passed them, and are then handed over in order, a page
-at a time. So the answer never depends on how files were grouped into batches, and what a
-key holds is bounded by the watermark delay. Times are epoch microseconds, timers
-milliseconds.
+event time, until the watermark has passed the page, and are then handed over in order. So
+the answer never depends on how files were grouped into batches, and what a key holds is
+bounded by the watermark delay. What a processor knows of a key is read once before it is
+handed rows and written once after them. Times are epoch microseconds, timers milliseconds.
 """
 
 from __future__ import annotations
 
-from collections import namedtuple
+from collections import deque, namedtuple
 from collections.abc import Iterator
+from heapq import merge
 
 from pyspark.sql import DataFrame, Row, functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from tidemark.functions.durations import micros
+from tidemark.operators.patterns import ANY, LATER, Step
 
 
 def stateful(
@@ -44,9 +46,15 @@ def timer_after(at: int, wait: int = 0) -> int:
 class Ordered(StatefulProcessor):
     """Hands the rows of a key over in event-time order once the watermark passed them.
 
+    Rows wait in pages of event time. A micro-batch appends what it brings for a page as one
+    chunk and reads nothing that is there already; a page is read once, when the watermark
+    has passed its end, chunk by chunk. So a row costs the same however many micro-batches
+    fill its page.
+
     ``KEPT`` names the columns of a row that are kept, ``at`` first and then the tie-breaker.
-    Subclasses open their state in ``open``, handle a row in ``step``, and whatever a time
-    alone decides in ``settle``; ``due`` tells when that is next.
+    Subclasses open their state in ``open``, take it out in ``load`` and put it back in
+    ``save``, handle a row in ``step``, and whatever a time alone decides in ``settle``;
+    ``due`` tells when that is next.
     """
 
     KEPT = "at bigint, event_id bigint"
@@ -57,13 +65,20 @@ class Ordered(StatefulProcessor):
         fields = [f.split() for f in self.KEPT.split(", ")]
         self.row = namedtuple("Kept", [name for name, _ in fields])
         layout = ", ".join(f"{name}: {kind}" for name, kind in fields)
-        self.pages = handle.getMapState("pages", "page bigint", f"rows array<struct<{layout}>>")
+        self.chunks = handle.getMapState("chunks", "page bigint, nth int", f"rows array<struct<{layout}>>")
+        self.pages = handle.getMapState("pages", "page bigint", "chunks int")
         self.wake = handle.getValueState("wake", "at bigint")
         self.open(handle)
 
     def open(self, handle: StatefulProcessorHandle) -> None:
         pass
 
+    def load(self) -> None:
+        pass
+
+    def save(self) -> None:
+        pass
+
     def step(self, key, row) -> Iterator[Row]:
         return iter(())
 
@@ -78,34 +93,43 @@ class Ordered(StatefulProcessor):
         for row in rows:
             found.setdefault(row.at // self.PAGE, []).append(tuple(row[f] for f in self.row._fields))
         for page, new in found.items():
-            known = _field(self.pages.getValue((page,))) or ()
-            self.pages.updateValue((page,), ([*(tuple(r) for r in known), *new],))
+            chunks = _field(self.pages.getValue((page,))) or 0
+            self.chunks.updateValue((page, chunks), (sorted(new, key=lambda r: r[:2]),))
+            self.pages.updateValue((page,), (chunks + 1,))
         if found:
-            self._wake_by(min(found[min(found)])[0])
+            self._wake_by((min(found) + 1) * self.PAGE)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         now = timerValues.getCurrentWatermarkInMs() * 1000
         self.wake.clear()
-        later = None
+        # What is due is settled up to the first page that may still get rows.
+        passed, later = now, None
+        self.load()
         for (page,) in sorted(self.pages.keys()):
-            if page * self.PAGE > now:
-                later = page * self.PAGE
+            if (page + 1) * self.PAGE > now:
+                passed, later = min(now, page * self.PAGE), (page + 1) * self.PAGE
                 break
-            rows = sorted((self.row(*r) for r in _field(self.pages.getValue((page,)))), key=lambda r: r[:2])
-            ready = sum(r.at <= now for r in rows)
-            for row in rows[:ready]:
+            for row in self._read(page):
                 yield from self.step(key, row)
-            if ready < len(rows):
-                self.pages.updateValue((page,), ([tuple(r) for r in rows[ready:]],))
-                later = rows[ready].at
-                break
-            self.pages.removeKey((page,))
-        yield from self.settle(key, now)
-        times = [t for t in (later, self.due()) if t is not None]
+        yield from self.settle(key, passed)
+        self.save()
+        due = self.due()
+        if due is not None and due <= now:
+            due = later
+        times = [t for t in (later, due) if t is not None]
         if times:
             self._wake_by(min(times))
 
+    def _read(self, page: int) -> Iterator[tuple]:
+        """The rows of a page in order; it is forgotten."""
+        chunks = []
+        for nth in range(_field(self.pages.getValue((page,)))):
+            chunks.append([self.row(*r) for r in _field(self.chunks.getValue((page, nth)))])
+            self.chunks.removeKey((page, nth))
+        self.pages.removeKey((page,))
+        return merge(*chunks, key=lambda r: r[:2])
+
     def _wake_by(self, at: int) -> None:
         known = _field(self.wake.get())
         if known is not None and known <= at:
@@ -137,116 +161,108 @@ class History(Ordered):
         self.recent = handle.getListState("recent", "vc int")
         self.labels = handle.getMapState("labels", "label string", "seen bigint")
 
+    def load(self) -> None:
+        self.last, self.seen = _field(self.previous.get()), {}
+        self.window = [v[0] for v in self.recent.get()]
+
     def step(self, key, row) -> Iterator[Row]:
-        recent = [*(v[0] for v in self.recent.get()), row.vc][-self.span:]
-        seen = 1 + (_field(self.labels.getValue((row.label,))) or 0)
+        self.window = [*self.window, row.vc][-self.span:]
+        if row.label not in self.seen:
+            self.seen[row.label] = _field(self.labels.getValue((row.label,))) or 0
+        self.seen[row.label] += 1
         yield Row(
-            id=key[0], event_id=row.event_id, previous_vc=_field(self.previous.get()),
-            recent=sum(recent), same_label=seen,
+            id=key[0], event_id=row.event_id, previous_vc=self.last,
+            recent=sum(self.window), same_label=self.seen[row.label],
         )
-        self.labels.updateValue((row.label,), (seen,))
-        self.previous.update((row.vc,))
-        self.recent.put([(v,) for v in recent])
+        self.last = row.vc
 
+    def save(self) -> None:
+        if self.seen:
+            for label, seen in self.seen.items():
+                self.labels.updateValue((label,), (seen,))
+            self.previous.update((self.last,))
+            self.recent.put([(v,) for v in self.window])
 
-class Moving(Ordered):
-    """Number and sum over the last ``span`` rows of a key, after every ``slide`` rows.
 
-    ``nth`` is the row's number within its key. With ``slide`` 1 it is a moving frame,
-    otherwise a sliding count window.
-    """
+class OneShot(Ordered):
+    """One timer per key, ``wait`` after the key's first row."""
 
-    KEPT = "at bigint, event_id bigint, vc int"
-    OUTPUT = "id bigint, event_id bigint, nth bigint, cnt bigint, total bigint"
+    OUTPUT = "id bigint, fired_at bigint"
 
-    def __init__(self, span: int = 3, slide: int = 1):
-        self.span, self.slide = span, slide
+    def __init__(self, wait: str = "5 seconds"):
+        self.wait = micros(wait)
 
     def open(self, handle: StatefulProcessorHandle) -> None:
-        self.seen = handle.getValueState("seen", "n bigint")
-        self.last = handle.getListState("last", "vc int")
-
-    def step(self, key, row) -> Iterator[Row]:
-        seen = 1 + (_field(self.seen.get()) or 0)
-        last = [*(v[0] for v in self.last.get()), row.vc][-self.span:]
-        if seen % self.slide == 0:
-            known = [v for v in last if v is not None]
-            yield Row(
-                id=key[0], event_id=row.event_id, nth=seen, cnt=len(last), total=sum(known) if known else None
-            )
-        self.seen.update((seen,))
-        self.last.put([(v,) for v in last])
+        self.fires = handle.getValueState("fires", "at bigint, done boolean")
 
+    def load(self) -> None:
+        self.at, self.done = self.fires.get() or (None, False)
 
-class Changelog(Ordered):
-    """A running sum as retract and add rows: the old result goes, the new one comes."""
+    def save(self) -> None:
+        self.fires.update((self.at, self.done))
 
-    KEPT = "at bigint, event_id bigint, vc int"
-    OUTPUT = "id bigint, event_id bigint, added boolean, total bigint"
+    def step(self, key, row) -> Iterator[Row]:
+        if self.at is None:
+            self.at = row.at + self.wait
+        return iter(())
 
-    def open(self, handle: StatefulProcessorHandle) -> None:
-        self.total = handle.getValueState("total", "total bigint")
+    def settle(self, key, now: int) -> Iterator[Row]:
+        at = self.due()
+        if at is not None and at <= now:
+            self.done = True
+            yield Row(id=key[0], fired_at=at)
 
-    def step(self, key, row) -> Iterator[Row]:
-        old = _field(self.total.get())
-        if old is not None:
-            yield Row(id=key[0], event_id=row.event_id, added=False, total=old)
-        new = (old or 0) + (row.vc or 0)
-        yield Row(id=key[0], event_id=row.event_id, added=True, total=new)
-        self.total.update((new,))
+    def due(self) -> int | None:
+        return None if self.done else self.at
 
 
-class StrictNext(Ordered):
-    """A ``first`` row and the row right after it, if that is ``second`` and strictly in time.
+class Visitors(Ordered):
+    """Different visitors of a window so far, after each of its rows; the key is the window's start.
 
-    Rows carry ``first`` and ``second`` (booleans). Without ``within`` any time will do.
+    Visitors seen are map state, looked up once a visitor and timer; all of it is dropped
+    when the watermark has passed the window.
     """
 
-    KEPT = "at bigint, event_id bigint, first boolean, second boolean"
-    OUTPUT = "key bigint, first_id bigint, second_id bigint"
+    KEPT = "at bigint, event_id bigint, user_id bigint"
+    OUTPUT = "window_start bigint, event_id bigint, uv bigint"
 
-    def __init__(self, within: str | None = None):
-        self.within = None if within is None else micros(within)
+    def __init__(self, size: str = "1 day"):
+        self.size = micros(size)
 
     def open(self, handle: StatefulProcessorHandle) -> None:
-        self.before = handle.getValueState("before", "at bigint, event_id bigint")
-
-    def step(self, key, row) -> Iterator[Row]:
-        before = self.before.get()
-        in_time = before is not None and (self.within is None or row.at - before[0] < self.within)
-        if in_time and row.second:
-            yield Row(key=key[0], first_id=before[1], second_id=row.event_id)
-        if row.first:
-            self.before.update((row.at, row.event_id))
-        elif before is not None:
-            self.before.clear()
+        self.seen = handle.getMapState("seen", "user_id bigint", "first bigint")
+        self.count = handle.getValueState("count", "uv bigint, until bigint")
 
-
-class OneShot(Ordered):
-    """One timer per key, ``wait`` after the key's first row."""
-
-    OUTPUT = "id bigint, fired_at bigint"
-
-    def __init__(self, wait: str = "5 seconds"):
-        self.wait = micros(wait)
-
-    def open(self, handle: StatefulProcessorHandle) -> None:
-        self.fires = handle.getValueState("fires", "at bigint, done boolean")
+    def load(self) -> None:
+        self.uv, self.until = self.count.get() or (0, None)
+        self.known, self.new = {}, []
 
     def step(self, key, row) -> Iterator[Row]:
-        if not self.fires.exists():
-            self.fires.update((row.at + self.wait, False))
-        return iter(())
+        self.until = key[0] + self.size
+        user = row.user_id
+        if user is not None and user not in self.known:
+            self.known[user] = self.seen.containsKey((user,))
+            if not self.known[user]:
+                self.uv += 1
+                self.new.append((user, row.at))
+        yield Row(window_start=key[0], event_id=row.event_id, uv=self.uv)
 
     def settle(self, key, now: int) -> Iterator[Row]:
-        at = self.due()
-        if at is not None and at <= now:
-            self.fires.update((at, True))
-            yield Row(id=key[0], fired_at=at)
+        if self.until is not None and self.until <= now:
+            self.until = None
+        return iter(())
+
+    def save(self) -> None:
+        if self.until is None:
+            self.seen.clear()
+            self.count.clear()
+            return
+        for user, at in self.new:
+            self.seen.updateValue((user,), (at,))
+        self.count.update((self.uv, self.until))
 
     def due(self) -> int | None:
-        fires = self.fires.get()
-        return None if fires is None or fires[1] else fires[0]
+        return self.until
 
 
 class Rising(Ordered):
@@ -261,26 +277,28 @@ class Rising(Ordered):
     def open(self, handle: StatefulProcessorHandle) -> None:
         self.state = handle.getValueState("state", "level int, armed bigint")
 
+    def load(self) -> None:
+        self.level, self.armed = self.state.get() or (0, None)
+
+    def save(self) -> None:
+        self.state.update((self.level, self.armed))
+
     def step(self, key, row) -> Iterator[Row]:
-        level, armed = self.state.get() or (0, None)
-        if armed is not None and row.at > armed + self.hold:
-            yield Row(id=key[0], armed_at=armed, alarm_at=armed + self.hold)
-            armed = None
-        if row.vc > level:
-            armed = row.at if armed is None else armed
-        else:
-            armed = None
-        self.state.update((row.vc, armed))
+        yield from self.settle(key, row.at - 1)
+        if row.vc <= self.level:
+            self.armed = None
+        elif self.armed is None:
+            self.armed = row.at
+        self.level = row.vc
 
     def settle(self, key, now: int) -> Iterator[Row]:
-        level, armed = self.state.get() or (0, None)
-        if armed is not None and armed + self.hold <= now:
-            self.state.update((level, None))
-            yield Row(id=key[0], armed_at=armed, alarm_at=armed + self.hold)
+        at = self.due()
+        if at is not None and at <= now:
+            yield Row(id=key[0], armed_at=self.armed, alarm_at=at)
+            self.armed = None
 
     def due(self) -> int | None:
-        _, armed = self.state.get() or (0, None)
-        return None if armed is None else armed + self.hold
+        return None if self.armed is None else self.armed + self.hold
 
 
 class ClickLimit(Ordered):
@@ -298,10 +316,20 @@ class ClickLimit(Ordered):
     def open(self, handle: StatefulProcessorHandle) -> None:
         self.counts = handle.getMapState("counts", "day bigint", "clicks bigint")
 
+    def load(self) -> None:
+        self.known = {day: clicks[0] for (day,), clicks in self.counts.iterator()}
+        self.days = dict(self.known)
+
+    def save(self) -> None:
+        for day in self.known.keys() - self.days.keys():
+            self.counts.removeKey((day,))
+        for day, clicks in self.days.items():
+            if self.known.get(day) != clicks:
+                self.counts.updateValue((day,), (clicks,))
+
     def step(self, key, row) -> Iterator[Row]:
-        day = (row.at // self.DAY,)
-        clicks = 1 + (_field(self.counts.getValue(day)) or 0)
-        self.counts.updateValue(day, (clicks,))
+        day = row.at // self.DAY
+        self.days[day] = clicks = self.days.get(day, 0) + 1
         if clicks <= self.limit + 1:
             yield Row(
                 kind="pass" if clicks <= self.limit else "alarm",
@@ -309,12 +337,11 @@ class ClickLimit(Ordered):
             )
 
     def settle(self, key, now: int) -> Iterator[Row]:
-        for day in [d for d in self.counts.keys() if (d[0] + 1) * self.DAY <= now]:
-            self.counts.removeKey(day)
+        self.days = {day: clicks for day, clicks in self.days.items() if (day + 1) * self.DAY > now}
         return iter(())
 
     def due(self) -> int | None:
-        return min(((d[0] + 1) * self.DAY for d in self.counts.keys()), default=None)
+        return min(((day + 1) * self.DAY for day in self.days), default=None)
 
 
 class Payment(StatefulProcessor):
@@ -322,14 +349,15 @@ class Payment(StatefulProcessor):
 
     Keeps the earliest create and pay. With only one of them a timer reports the other
     as missing ``limit`` later; a pay that still comes then corrects the status. An order
-    with both is forgotten once the watermark has passed them and the timer, as no earlier
-    event of it can come any more; one that lacks either stays, its status may change.
+    is forgotten ``keep`` after the events it is judged by, whether it has both or lacks one:
+    ``keep`` is to be longer than orders have events, as what comes later is taken for an
+    order of its own.
     """
 
     OUTPUT = "order_id bigint, status string, version int"
 
-    def __init__(self, limit: str = "15 minutes"):
-        self.limit = micros(limit)
+    def __init__(self, limit: str = "15 minutes", keep: str = "365 days"):
+        self.limit, self.keep = micros(limit), micros(keep)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -349,8 +377,6 @@ class Payment(StatefulProcessor):
         if known is None:
             first = min(t for t in (created, paid) if t is not None)
             self.handle.registerTimer(timer_after(first, self.limit))
-        if both:
-            self.handle.registerTimer(timer_after(max(created, paid), self.limit))
         now = status
         if both:
             now = "paid_late" if paid - created > self.limit else "paid"
@@ -364,13 +390,15 @@ class Payment(StatefulProcessor):
         if known is None:
             return
         created, paid, status, version = known
-        if created is not None and paid is not None:
-            if timer_after(max(created, paid), self.limit) <= timerValues.getCurrentWatermarkInMs():
-                self.seen.clear()
-        elif status is None:
+        if status is None:
             status = "unpaid" if paid is None else "missing_create"
             self.seen.update((created, paid, status, version + 1))
             yield Row(order_id=key[0], status=status, version=version + 1)
+        forgets = timer_after(max(t for t in (created, paid) if t is not None), self.keep)
+        if forgets <= timerValues.getCurrentWatermarkInMs():
+            self.seen.clear()
+        else:
+            self.handle.registerTimer(forgets)
 
     def close(self) -> None:
         pass
@@ -391,15 +419,21 @@ class Matcher(Ordered):
         self.ends = handle.getValueState("ends", "side string, head bigint, tail bigint")
         self.queue = handle.getMapState("queue", "place bigint", "row_id bigint")
 
+    def load(self) -> None:
+        self.side, self.head, self.tail = self.ends.get() or (None, 0, 0)
+
+    def save(self) -> None:
+        self.ends.update((self.side, self.head, self.tail))
+
     def step(self, key, row) -> Iterator[Row]:
-        side, head, tail = self.ends.get() or (row.side, 0, 0)
-        if side == row.side or head == tail:
-            self.queue.updateValue((tail,), (row.row_id,))
-            self.ends.update((row.side, head, tail + 1))
+        if self.side == row.side or self.head == self.tail:
+            self.queue.updateValue((self.tail,), (row.row_id,))
+            self.side, self.tail = row.side, self.tail + 1
             return
-        waited = _field(self.queue.getValue((head,)))
-        self.queue.removeKey((head,))
-        self.ends.update((side, head + 1, tail))
+        side = self.side
+        waited = _field(self.queue.getValue((self.head,)))
+        self.queue.removeKey((self.head,))
+        self.head += 1
         left, right = (waited, row.row_id) if side == "left" else (row.row_id, waited)
         yield Row(tx_id=key[0], left_id=left, right_id=right)
 
@@ -421,34 +455,93 @@ class FollowedBy(Ordered):
     def open(self, handle: StatefulProcessorHandle) -> None:
         self.pending = handle.getListState("pending", "at bigint, event_id bigint")
 
+    def load(self) -> None:
+        self.known = [tuple(p) for p in self.pending.get()]
+        self.open_starts = deque(self.known)
+
+    def save(self) -> None:
+        now = list(self.open_starts)
+        if now and now != self.known:
+            self.pending.put(now)
+        elif self.known and not now:
+            self.pending.clear()
+
     def step(self, key, row) -> Iterator[Row]:
-        known = pending = [tuple(p) for p in self.pending.get()]
+        yield from self.settle(key, row.at)
         if row.step != "first":
-            for at, event_id in pending:
-                met = row.at - at < self.within
-                if met or not self.every:
-                    yield Row(
-                        kind="match" if met else "timeout", key=key[0], first_id=event_id,
-                        second_id=row.event_id if met else None,
-                    )
-            pending = [p for p in pending if row.at - p[0] < self.within] if self.every else []
+            for _, event_id in self.open_starts:
+                yield Row(kind="match", key=key[0], first_id=event_id, second_id=row.event_id)
+            if not self.every:
+                self.open_starts.clear()
         if row.step != "second":
-            pending = [*pending, (row.at, row.event_id)]
-        self._keep(known, pending)
-
-    def _keep(self, known: list, pending: list) -> None:
-        if pending:
-            self.pending.put(pending)
-        elif known:
-            self.pending.clear()
+            self.open_starts.append((row.at, row.event_id))
 
     def settle(self, key, now: int) -> Iterator[Row]:
-        known = [tuple(p) for p in self.pending.get()]
-        if not self.every:
-            for at, event_id in known:
-                if at + self.within <= now:
-                    yield Row(kind="timeout", key=key[0], first_id=event_id, second_id=None)
-        self._keep(known, [p for p in known if p[0] + self.within > now])
+        """Starts, oldest first, that nothing from ``now`` on can be in time for."""
+        while self.open_starts and self.open_starts[0][0] + self.within <= now:
+            _, event_id = self.open_starts.popleft()
+            if not self.every:
+                yield Row(kind="timeout", key=key[0], first_id=event_id, second_id=None)
 
     def due(self) -> int | None:
-        return min((p[0] + self.within for p in self.pending.get()), default=None)
+        return self.open_starts[0][0] + self.within if self.open_starts else None
+
+
+class Automaton(Ordered):
+    """Patterns of any number of steps whose conditions may read the rows matched so far.
+
+    ``steps`` as in ``operators.patterns.matched``. A match so far is a version of its own:
+    it holds its rows, moves on when a row meets its next step, and with ``ANY`` stays for
+    others too. What the bound has passed is dropped. Rows carry ``vc``.
+    """
+
+    KEPT = "at bigint, event_id bigint, vc int"
+    OUTPUT = "key bigint, events array<bigint>"
+
+    def __init__(self, steps: list[Step], within: str):
+        self.steps, self.within = steps, micros(within)
+
+    def open(self, handle: StatefulProcessorHandle) -> None:
+        self.versions = handle.getListState("versions", "rows array<struct<at: bigint, event_id: bigint, vc: int>>")
+
+    def load(self) -> None:
+        self.known = [tuple(self.row(*r) for r in version[0]) for version in self.versions.get()]
+        self.paths = list(self.known)
+
+    def save(self) -> None:
+        if self.paths and self.paths != self.known:
+            self.versions.put([([tuple(r) for r in path],) for path in self.paths])
+        elif self.known and not self.paths:
+            self.versions.clear()
+
+    def step(self, key, row) -> Iterator[Row]:
+        held = []
+        for path in self.paths:
+            if row.at - path[0].at >= self.within:
+                continue
+            step = self.steps[len(path)]
+            meets = self._meets(step, row, path)
+            if meets:
+                yield from self._grown((*path, row), key, held)
+            if step.follows == ANY or (step.follows == LATER and not meets):
+                held.append(path)
+        if self._meets(self.steps[0], row, ()):
+            yield from self._grown((row,), key, held)
+        self.paths = held
+
+    def _grown(self, path: tuple, key, held: list) -> Iterator[Row]:
+        if len(path) == len(self.steps):
+            yield Row(key=key[0], events=[r.event_id for r in path])
+        else:
+            held.append(path)
+
+    def _meets(self, step: Step, row, path: tuple) -> bool:
+        seen = {s.name: r._asdict() for s, r in zip(self.steps, path)}
+        try:
+            return bool(step.condition(row._asdict(), seen))
+        except TypeError:  # a comparison with a missing value
+            return False
+
+    def settle(self, key, now: int) -> Iterator[Row]:
+        self.paths = [path for path in self.paths if path[0].at + self.within > now]
+        return iter(())

@@ -48,6 +48,16 @@ def sliding_counts(df: DataFrame, keys: list[str], ts: str, size: str, slide: st
     )
 
 
+def distinct_per(df: DataFrame, columns: list[str], ts: str, size: str) -> DataFrame:
+    """Distinct values of ``columns`` in every window of time, with its start.
+
+    A value is held until its window closes, so state does not grow with the stream; ``df``
+    needs a watermark. Values come out when they are first seen.
+    """
+    windowed = df.withColumn("_w", F.window(ts, size)).dropDuplicates([*columns, "_w"])
+    return windowed.select(*columns, F.col("_w.start").alias("window_start"))
+
+
 def ranked(
     counts: DataFrame, keys: list[str], n: int, label: str, end: End | None = None
 ) -> DataFrame:
