@@ -254,7 +254,7 @@ def test_orders_are_forgotten(spark):
     feed = Feed(
         spark, ddl,
         [(1, "create", day), (2, "create", day), (3, "pay", day)], [(1, "pay", day + 60)],
-        [(4, "create", 3 * day)], [(4, "pay", 3 * day + 60)], [(2, "pay", 6 * day)], [(0, "create", FAR)],
+        [(4, "create", 4 * day)], [(4, "pay", 4 * day + 60)], [(2, "pay", 6 * day)], [(0, "create", FAR)],
     )
     stream = feed.stream().withWatermark("ts", "20 minutes")
     got = drain_latest(

@@ -49,7 +49,8 @@ class Ordered(StatefulProcessor):
     Rows wait in pages of event time. A micro-batch appends what it brings for a page as one
     chunk and reads nothing that is there already; a page is read once, when the watermark
     has passed its end, chunk by chunk. So a row costs the same however many micro-batches
-    fill its page.
+    fill its page. A page is an hour, or as long as what the processor waits for if that is
+    less, and results are no later than a page.
 
     ``KEPT`` names the columns of a row that are kept, ``at`` first and then the tie-breaker.
     Subclasses open their state in ``open``, take it out in ``load`` and put it back in
@@ -191,6 +192,7 @@ class OneShot(Ordered):
 
     def __init__(self, wait: str = "5 seconds"):
         self.wait = micros(wait)
+        self.PAGE = min(self.PAGE, self.wait)
 
     def open(self, handle: StatefulProcessorHandle) -> None:
         self.fires = handle.getValueState("fires", "at bigint, done boolean")
@@ -273,6 +275,7 @@ class Rising(Ordered):
 
     def __init__(self, hold: str = "5 seconds"):
         self.hold = micros(hold)
+        self.PAGE = min(self.PAGE, self.hold)
 
     def open(self, handle: StatefulProcessorHandle) -> None:
         self.state = handle.getValueState("state", "level int, armed bigint")
@@ -451,6 +454,7 @@ class FollowedBy(Ordered):
 
     def __init__(self, within: str, every: bool = False):
         self.within, self.every = micros(within), every
+        self.PAGE = min(self.PAGE, self.within)
 
     def open(self, handle: StatefulProcessorHandle) -> None:
         self.pending = handle.getListState("pending", "at bigint, event_id bigint")
@@ -500,6 +504,7 @@ class Automaton(Ordered):
 
     def __init__(self, steps: list[Step], within: str):
         self.steps, self.within = steps, micros(within)
+        self.PAGE = min(self.PAGE, self.within)
 
     def open(self, handle: StatefulProcessorHandle) -> None:
         self.versions = handle.getListState("versions", "rows array<struct<at: bigint, event_id: bigint, vc: int>>")
