@@ -61,6 +61,14 @@ def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def stretch(text: Column, length: int, *by: Column) -> Column:
+    """A text of at most ``length`` characters; of a longer one, as much from a place that the
+    hash of ``by`` gives."""
+    spare = F.greatest(F.length(text) - F.lit(length), F.lit(0))
+    start = F.pmod(F.xxhash64(F.lit("stretch"), *by), (spare + 1).cast("long")).cast("int")
+    return F.substring(text, start + 1, F.lit(length))
+
+
 def lower_ascii(text: Column) -> Column:
     """A-Z in lower case, everything else unchanged."""
     return F.translate(text, UPPER, UPPER.lower())
