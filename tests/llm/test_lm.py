@@ -136,3 +136,54 @@ def test_long_texts_train_and_one_id_does_not_flood_the_sample(spark, monkeypatc
     same = spark.range(2000).select(F.lit(learns[0]).cast("long").alias("doc_id"), F.lit("one two three").alias("text"))
     assert lm.score(same, sample_docs=20).count() == 2000
     assert len(drawn[1]) == 20
+
+
+def sequences(rows):
+    """The ids of each training document, whole."""
+    subwords = lm.Subwords(lm.MODEL)
+    learns = [r for r in rows if crc32(str(r[0]).encode()) % 7 != 2]
+    return [np.append(subwords.ids(lm.words_of(r[1].encode()))[0], lm.END) for r in learns], subwords.starts()
+
+
+def test_classes_and_attention_come_from_all_training_documents(spark, monkeypatch):
+    """Two documents are drawn to start from; what the others hold is learned all the same."""
+    rng = random.Random(21)
+    rows = [(i, " ".join([prose(rng, 30), f"{chr(97 + i % 26) * 3}{i}"] * 4), "en", "a", None) for i in range(120)]
+    kept, shares, taught = [], lm.shares, lm.taught
+    monkeypatch.setattr(lm, "shares", lambda cells, of: kept.append((cells.sum(axis=0), of)) or shares(cells, of))
+    monkeypatch.setattr(lm, "taught", lambda encoded, model, of: kept.append((model, taught(encoded, model, of))) or kept[-1][1])
+    got = lm.score(frame(spark, rows), sample_docs=2).collect()
+    (start, after), (counted, of) = sorted(kept, key=lambda k: isinstance(k[0], np.ndarray))
+    whole, starts = sequences(rows)
+    flat = np.concatenate(whole)
+    assert (of == lm.classes_of(whole, starts)).all()
+    assert (counted == np.bincount(flat, minlength=len(of))).all()
+    known = np.unique(flat)
+    assert (after.row[known] < len(after.embedding) - 1).all()
+    lengths = np.array([len(ids) for ids in whole])
+    inputs, targets, _ = lm.windows_of(flat, np.cumsum(lengths) - lengths, lengths)
+    classes = np.where(targets >= 0, of[targets], -1)
+    moved = {r for r in np.unique(after.row[inputs[inputs >= 0]]) if (after.embedding[r] != start.embedding[r]).any()}
+    assert moved == set(after.row[[lm.START, *known[known != lm.END]]])
+    assert after.slopes(inputs, classes)[0] < start.slopes(inputs, classes)[0]
+    plain = sum(r.score for r in got)
+    monkeypatch.setattr(lm, "taught", lambda encoded, model, of: model)
+    assert plain > sum(r.score for r in lm.score(frame(spark, rows), sample_docs=2).collect())
+
+
+def test_windows_laid_out_in_parts_are_those_laid_out_at_once():
+    rng = np.random.default_rng(6)
+    lengths = np.array([1, 40, 0, 16, 333])
+    ids, starts = rng.integers(3, 90, lengths.sum()), np.cumsum(lengths) - lengths
+    whole = lm.windows_of(ids, starts, lengths)
+    many = int(lm.windows_in(lengths).sum())
+    for width in (1, 5, many):
+        parts = [lm.windows_of(ids, starts, lengths, i, i + width) for i in range(0, many, width)]
+        assert all((np.concatenate(p) == w).all() for p, w in zip(zip(*parts), whole))
+
+
+def test_neighbours_do_not_cross_documents():
+    beside = lm.Neighbours(np.bincount(np.repeat(np.arange(200), np.arange(200, 0, -1))))
+    ids, other = np.array([70, 1, 80]), np.array([90, 2])
+    together = beside.cells(np.concatenate([ids, other]), np.array([3, 2]))
+    assert sorted(together) == sorted([*beside.cells(ids, np.array([3])), *beside.cells(other, np.array([2]))])

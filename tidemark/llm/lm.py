@@ -13,23 +13,29 @@ windows of many documents are multiplied together.
 The base score is a smoothed unigram model over words. Its counts grow with the corpus
 and are never sent to every task: each block of documents asks for its distinct words and
 is answered with their counts and ids, so a word is encoded once in all.
-The attention model, a small one of ``DIMENSIONS`` dimensions that predicts one of
-``CLASSES`` classes, is trained on the driver from a bounded sample of the training
-documents: ``SAMPLE_DOCS`` of them, chosen by a hash of id and text. Of a text with more
-than ``LONGEST`` characters it reads a stretch of that length whose place the hash gives.
+
+Every training document is learned from, whole. Which ids are known, which stand alone and
+which share a class follows from counts of ids and of neighbouring ids over all of them.
+The attention, a small one of ``DIMENSIONS`` dimensions that predicts one of ``CLASSES``
+classes, starts from some steps on the driver over ``SAMPLE_DOCS`` documents, drawn by a
+hash of id and text (of a text with more than ``LONGEST`` characters a stretch of that
+length). Then every window of every training document is learned from once: in each of
+``ROUNDS`` rounds tasks descend over their share from the same weights, and Spark averages
+what they moved, by how often. What is learned depends a little on how tasks cut the rows.
 """
 
 from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.blocks import answered, for_each_block, in_blocks, marks_of, unpack_answers, unpack_texts
+from tidemark.llm.blocks import answered, for_each_block, in_blocks, unpack_answers, unpack_texts
 from tidemark.llm.common import remainder, slices, staged, stretch
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -43,15 +49,22 @@ DIMENSIONS = 16
 #: Classes: the most frequent ids alone, the others by the company they keep, unseen ones.
 ALONE = 64
 CLASSES = 128
+#: Most frequent ids whose company tells classes apart.
+WIDE = 4 * ALONE
 SAMPLE_DOCS = 1_600
 LONGEST = 12_000
 EPOCHS = 4
 BATCH = 64
 RATE = 0.02
-#: Words encoded at once; windows multiplied at once when scoring, and ids laid out at once.
+#: Rates of the rounds over all training documents, and windows of a step.
+ROUNDS = (0.004, 0.002, 0.001)
+TOGETHER = 128
+#: Words encoded at once; windows multiplied at once when scoring, and laid out at once;
+#: neighbours counted at once.
 WORDS_AT_ONCE = 2_000
 WINDOWS_AT_ONCE = 256
-IDS_AT_ONCE = 400_000
+WINDOWS_LAID_OUT = 16_384
+NEIGHBOURS_AT_ONCE = 4_000_000
 
 #: Weight of the share over all contexts.
 BACK_OFF = 5.0
@@ -117,42 +130,62 @@ class Subwords:
 # Model -----------------------------------------------------------------------------
 
 
-def windows_of(ids: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def windows_of(
+    ids: np.ndarray, starts: np.ndarray, counts: np.ndarray, first: int = 0, last: int | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Windows over sequences laid end to end, the ids they predict, and whose they are.
 
     Sequence i is START followed by ``counts[i]`` ids from ``starts[i]``; its window k has
     the inputs STEP * k - LEAD to STEP * (k + 1) and predicts from those behind the lead.
-    Before START and behind the last id stands -1.
+    Before START and behind the last id stands -1. Of the windows of all sequences, those
+    from number ``first`` up to ``last`` are given.
     """
-    many = -(-counts // STEP)
-    owner = np.repeat(np.arange(len(counts)), many)
-    nth = np.arange(len(owner)) - np.repeat(np.cumsum(many) - many, many)
+    ends = np.cumsum(windows_in(counts))
+    total = int(ends[-1]) if len(ends) else 0
+    number = np.arange(first, total if last is None else min(last, total))
+    owner = np.searchsorted(ends, number, side="right")
+    nth = number - np.concatenate([[0], ends])[owner]
     place = (nth * STEP)[:, None] + np.arange(-LEAD, STEP)[None, :]  # place 0 is START
-    padded = np.append(ids, -1)
     at = starts[owner][:, None] + place - 1
     inside = (place > 0) & (place <= counts[owner][:, None])
-    inputs = np.where(inside, padded[np.where(inside, at, -1)], -1)
+    inputs = np.where(inside, ids[np.where(inside, at, 0)], -1)
     inputs[place == 0] = START
     next_inside = inside_next(place[:, LEAD:], counts[owner])
-    targets = np.where(next_inside, padded[np.where(next_inside, at[:, LEAD:] + 1, -1)], -1)
+    targets = np.where(next_inside, ids[np.where(next_inside, at[:, LEAD:] + 1, 0)], -1)
     return inputs, targets, owner
 
 
+def windows_in(counts: np.ndarray) -> np.ndarray:
+    """How many windows sequences of so many ids have."""
+    return -(-counts // STEP)
+
+
 def inside_next(place: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """Whether a place has a next id to predict."""
     return place < counts[:, None]
 
 
-def _softmax(x: np.ndarray) -> np.ndarray:
-    x -= x.max(axis=-1, keepdims=True)
+def _exponentials(x: np.ndarray, most: float) -> tuple[np.ndarray, np.ndarray]:
+    """Exponentials in place, of values up to ``most``, and their sums over the last axis.
+
+    A product with ones adds up short rows faster than a sum does.
+    """
+    np.minimum(x, most, out=x)
     np.exp(x, out=x)
-    x /= x.sum(axis=-1, keepdims=True)
-    return x
+    return x, np.maximum(x @ np.ones((x.shape[-1], 1), x.dtype), np.float32(1e-30))
 
 
 _CAUSAL = np.where(np.arange(WINDOW)[None, :] <= np.arange(STEP)[:, None] + LEAD, 0.0, -1e9).astype(np.float32)
 
 
+def _product(x: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Windows times a matrix, as one product."""
+    return (x.reshape(-1, x.shape[-1]) @ weights).reshape(*x.shape[:-1], weights.shape[1])
+
+
+_ONES = np.ones((CLASSES, 1), np.float32)
+
+
 @dataclass
 class Attention:
     """One causal head over embedded ids, with a residual, in front of a class softmax."""
@@ -180,48 +213,129 @@ class Attention:
     def weights(self) -> dict[str, np.ndarray]:
         return {n: getattr(self, n) for n in ("embedding", "position", "query", "key", "value", "out", "bias")}
 
+    def with_ids(self, ids: np.ndarray, of: np.ndarray) -> Attention:
+        """Also knows ``ids``: a new one starts where those of its class are on average."""
+        known = len(self.embedding) - 1
+        have = np.flatnonzero(self.row[:-1] < known)
+        sums = np.zeros((CLASSES, DIMENSIONS), np.float32)
+        np.add.at(sums, of[have], self.embedding[self.row[have]])
+        centres = sums / np.maximum(np.bincount(of[have], minlength=CLASSES), 1)[:, None].astype(np.float32)
+        new = np.setdiff1d(ids, have)
+        row = np.full(len(self.row), known + len(new), np.int64)
+        row[have] = self.row[have]
+        row[new] = known + np.arange(len(new))
+        return replace(self, row=row, embedding=np.concatenate([self.embedding[:-1], centres[of[new]], self.embedding[-1:]]))
+
+    def rows(self) -> np.ndarray:
+        """All weights, laid out in rows of one width; those of the embedding come first."""
+        weights = self.weights() | {"out": self.out.T}
+        return np.concatenate([w.reshape(-1, DIMENSIONS) for w in weights.values()])
+
+    def with_rows(self, rows: np.ndarray) -> Attention:
+        """A model of its own with these weights."""
+        found, at = {}, 0
+        for name, weight in (self.weights() | {"out": self.out.T}).items():
+            found[name] = rows[at : at + weight.size // DIMENSIONS].astype(np.float32).reshape(weight.shape)
+            at += weight.size // DIMENSIONS
+        return replace(self, **found | {"out": np.ascontiguousarray(found["out"].T)})
+
     def forward(self, inputs: np.ndarray) -> tuple:
-        x = self.embedding[self.row[inputs]] + self.position
-        ahead = x[:, LEAD:]
-        q, k, v = ahead @ self.query, x @ self.key, x @ self.value
-        scores = q @ k.transpose(0, 2, 1) * np.float32(DIMENSIONS**-0.5) + _CAUSAL
-        scores += np.where(inputs < 0, np.float32(-1e9), np.float32(0))[:, None, :]
+        """What the gradients need: inputs, projections, attention, its result and the class
+        exponentials with their sums."""
+        x = self.embedding.take(self.row.take(inputs, mode="wrap"), axis=0)
+        x += self.position
+        ahead = np.ascontiguousarray(x[:, LEAD:])
+        q, k, v = ahead @ self.query, _product(x, self.key), _product(x, self.value)
+        q *= np.float32(DIMENSIONS**-0.5)
+        scores = q @ k.transpose(0, 2, 1)
+        scores += _CAUSAL
+        nothing = inputs < 0
+        if nothing.any():
+            scores += np.where(nothing, np.float32(-1e9), np.float32(0))[:, None, :]
         # A place behind the end sees only itself and START's window; it is never scored.
-        a = _softmax(scores)
-        h = ahead + a @ v
-        return x, ahead, q, k, v, a, h, h.reshape(-1, DIMENSIONS) @ self.out + self.bias
+        a, total = _exponentials(scores, 60)
+        a /= total
+        h = a @ v
+        h += ahead
+        logits = _product(h, self.out).reshape(-1, self.out.shape[1])
+        logits += self.bias
+        return x, ahead, q, k, v, a, h, *_exponentials(logits, 80)
 
     def gradients(self, inputs: np.ndarray, targets: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
         """Mean loss over places whose target is not -1, and its gradients."""
-        x, ahead, q, k, v, a, h, logits = self.forward(inputs)
-        at = np.flatnonzero(targets.ravel() >= 0)
-        p = _softmax(logits)
-        loss = float(-np.log(p[at, targets.ravel()[at]] + 1e-12).mean())
-        d_logits = np.zeros_like(p)
-        d_logits[at] = p[at]
-        d_logits[at, targets.ravel()[at]] -= 1
-        d_logits /= len(at)
-        flat = h.reshape(-1, DIMENSIONS)
-        d_h = (d_logits @ self.out.T).reshape(h.shape)
+        loss, slopes, ids, own = self.slopes(inputs, targets)
+        d_embedding = np.zeros_like(self.embedding)
+        d_embedding[ids] = own
+        return loss, {"embedding": d_embedding, **slopes}
+
+    def slopes(self, inputs: np.ndarray, targets: np.ndarray) -> tuple[float, dict, np.ndarray, np.ndarray]:
+        """Loss, gradients, rows of the embedding that the inputs name, and the gradients of these."""
+        x, ahead, q, k, v, a, h, e, total = self.forward(inputs)
+        target = targets.ravel()
+        at = np.flatnonzero(target >= 0)
+        wanted = at, target[at]
+        loss = float(-np.log(e[wanted] / total[at, 0] + 1e-12).mean())
+        # A row of exponentials less its sum at the target is the slope of the loss by the
+        # logits, but for a factor that is cheaper to apply to the shorter rows.
+        e[wanted] -= total[at, 0]
+        factor = 1 / (total * len(at))
+        factor[target < 0] = 0
+        flat = h.reshape(-1, DIMENSIONS) * factor
+        d_h = e @ self.out.T
+        d_h *= factor
+        d_h = d_h.reshape(h.shape)
         d_a = d_h @ v.transpose(0, 2, 1)
-        d_s = a * (d_a - (d_a * a).sum(axis=-1, keepdims=True)) * np.float32(DIMENSIONS**-0.5)
         d_v = a.transpose(0, 2, 1) @ d_h
-        d_q, d_k = d_s @ k, d_s.transpose(0, 2, 1) @ q
-        d_x = d_k @ self.key.T + d_v @ self.value.T
-        d_x[:, LEAD:] += d_h + d_q @ self.query.T
+        d_a -= np.einsum("bij,bij->bi", d_a, a)[:, :, None]
+        d_a *= a
+        d_q, d_k = d_a @ k, d_a.transpose(0, 2, 1) @ q
+        d_q *= np.float32(DIMENSIONS**-0.5)
+        d_x = _product(d_k, self.key.T)
+        d_x += _product(d_v, self.value.T)
+        d_x[:, LEAD:] += d_h
+        d_x[:, LEAD:] += _product(d_q, self.query.T)
 
         def outer(left, right):
             return left.reshape(-1, DIMENSIONS).T @ right.reshape(-1, DIMENSIONS)
 
-        rows = self.row[inputs].ravel()
-        order = np.argsort(rows, kind="stable")
-        ids, first = np.unique(rows[order], return_index=True)
-        d_embedding = np.zeros_like(self.embedding)
-        d_embedding[ids] = np.add.reduceat(d_x.reshape(-1, DIMENSIONS)[order], first)
+        rows = self.row.take(inputs.ravel(), mode="wrap")
+        order = np.argsort(rows.astype(np.uint16) if len(self.embedding) <= 1 << 16 else rows, kind="stable")
+        in_order = rows[order]
+        first = np.flatnonzero(np.concatenate([[True], in_order[1:] != in_order[:-1]]))
+        own = np.add.reduceat(d_x.reshape(-1, DIMENSIONS).take(order, axis=0), first)
         return loss, {
-            "embedding": d_embedding, "position": d_x.sum(axis=0), "query": outer(ahead, d_q), "key": outer(x, d_k),
-            "value": outer(x, d_v), "out": flat.T @ d_logits, "bias": d_logits.sum(axis=0),
-        }
+            "position": d_x.sum(axis=0), "query": outer(ahead, d_q), "key": outer(x, d_k), "value": outer(x, d_v),
+            "out": flat.T @ e, "bias": (factor.T @ e)[0],
+        }, in_order[first], own
+
+
+class Descent:
+    """Steps of Adam on a model in place; a row of the embedding moves when an input names it."""
+
+    def __init__(self, model: Attention, of: np.ndarray):
+        self.model, self.weights = model, model.weights()
+        self.empty = np.bincount(of, minlength=CLASSES) == 0
+        self.first = {n: np.zeros_like(w) for n, w in self.weights.items()}
+        self.second = {n: np.zeros_like(w) for n, w in self.weights.items()}
+        self.steps = 0
+
+    def step(self, inputs: np.ndarray, targets: np.ndarray, rate: float) -> np.ndarray:
+        """The rows of the embedding that moved."""
+        _, slopes, ids, own = self.model.slopes(inputs, targets)
+        self.steps += 1
+        for name, slope in slopes.items():
+            self._move(name, slice(None), slope, rate)
+        self._move("embedding", ids, own, rate)
+        self.model.bias[self.empty] = -1e4  # a class without ids can never be right
+        return ids
+
+    def _move(self, name: str, at, slope: np.ndarray, rate: float) -> None:
+        first, second = self.first[name][at] * 0.9, self.second[name][at] * 0.99
+        first += 0.1 * slope
+        second += 0.01 * slope * slope
+        self.first[name][at], self.second[name][at] = first, second
+        grown, wide = 1 - 0.9**self.steps, 1 - 0.99**self.steps
+        self.weights[name][at] -= rate * (first / grown) / (np.sqrt(second / wide) + 1e-8)
 
 
 class LanguageModel:
@@ -256,11 +370,12 @@ class LanguageModel:
 
     def log_probabilities(self, inputs: np.ndarray, targets: np.ndarray) -> np.ndarray:
         """Natural logarithm of the probability of each target, 0 where there is none."""
-        rows = self.row[inputs]
+        rows = self.row.take(inputs, mode="wrap")
         late = rows[:, LEAD:]
-        q = self.query[0][late] + self.query[1]
-        k = self.key[0][rows] + self.key[1]
-        v = self.value[0][rows] + self.value[1]
+        q, k, v = self.query[0].take(late, axis=0), self.key[0].take(rows, axis=0), self.value[0].take(rows, axis=0)
+        q += self.query[1]
+        k += self.key[1]
+        v += self.value[1]
         a = np.matmul(q, k.transpose(0, 2, 1))
         a += _CAUSAL
         if not self.tame:
@@ -270,8 +385,8 @@ class LanguageModel:
         if nothing.any():
             a *= ~nothing[:, None, :]
         h = np.matmul(a, v)
-        h /= np.maximum(a.sum(axis=2, keepdims=True), np.float32(1e-30))
-        h += self.ahead[0][late]
+        h /= np.maximum(a @ _ONES[:WINDOW], np.float32(1e-30))
+        h += self.ahead[0].take(late, axis=0)
         h += self.ahead[1]
         logits = h.reshape(-1, DIMENSIONS) @ self.out
         logits += self.bias
@@ -282,64 +397,93 @@ class LanguageModel:
         own = logits[np.arange(len(target)), self.of[target]].astype(np.float64)
         np.exp(logits, out=logits)
         context = np.where(self.starts[target], CLASSES, self.of[before])
-        own += self.inside[context, self.column[target]] - np.log(logits.sum(axis=1))
+        own += self.inside[context, self.column[target]] - np.log((logits @ _ONES)[:, 0])
         return np.where(target >= 0, own, 0.0).reshape(targets.shape)
 
     def score(self, ids: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """log10 probability of each sequence."""
         total = np.zeros(len(counts))
-        first = 0
-        while first < len(counts):  # sequences that are laid out together
-            last = first + max(1, int(np.searchsorted(np.cumsum(counts[first:]), IDS_AT_ONCE, side="right")))
-            inputs, targets, owner = windows_of(ids, starts[first:last], counts[first:last])
+        for first in range(0, int(windows_in(counts).sum()), WINDOWS_LAID_OUT):
+            inputs, targets, owner = windows_of(ids, starts, counts, first, first + WINDOWS_LAID_OUT)
             # Windows at an end of a sequence need a mask: keep them together.
             order = np.argsort((inputs[:, 0] < 0) | (inputs[:, -1] < 0), kind="stable")
             for i in range(0, len(order), WINDOWS_AT_ONCE):
                 part = order[i : i + WINDOWS_AT_ONCE]
                 own = self.log_probabilities(inputs[part], targets[part]).sum(axis=1)
-                total[first:last] += np.bincount(owner[part], weights=own, minlength=last - first)
-            first = last
+                np.add.at(total, owner[part], own)
         return total / LN10
 
 
-def classes_of(sample: list[np.ndarray], starts: np.ndarray) -> np.ndarray:
-    """Class of every id: frequent ids alone, others by k-means over their neighbours.
+class Neighbours:
+    """How often ids that may share a class stand beside the most frequent ids.
 
-    Ids that start a word and ids that do not are never in one class; the last two classes
-    are for ids of either kind that the sample does not have.
+    A cell is (id, one of ``WIDE`` ids behind it or before it).
     """
-    size = len(starts)
-    of = np.where(starts, CLASSES - 2, CLASSES - 1)
-    seen = Counter()
-    for ids in sample:
-        seen.update(ids.tolist())
-    frequent = [i for i, _ in sorted(seen.items(), key=lambda x: (-x[1], x[0]))]
-    alone = frequent[:ALONE]
-    of[alone] = np.arange(len(alone))
-    near = np.full(size, -1, np.int64)
-    wide = 4 * ALONE
-    near[frequent[:wide]] = np.arange(len(frequent[:wide]))
-    groups = (CLASSES - 2 - ALONE) // 2
-    for kind, first in ((True, ALONE), (False, ALONE + groups)):
-        rest = np.array([i for i in frequent[ALONE:] if starts[i] == kind], np.int64)
-        if len(rest):
-            weight = np.sqrt(np.array([seen[i] for i in rest], np.float32))
-            of[rest] = first + _grouped(_neighbours(sample, rest, near, wide), weight, min(groups, len(rest)))
-    return of
-
-
-def _neighbours(sample: list[np.ndarray], rest: np.ndarray, near: np.ndarray, wide: int) -> np.ndarray:
-    """How often each of ``rest`` stands behind and before the most frequent ids, normed."""
-    row = np.full(len(near), -1, np.int64)
-    row[rest] = np.arange(len(rest))
-    table = np.zeros(len(rest) * 2 * wide, np.float32)
-    for ids in sample:
-        left, right = ids[:-1], ids[1:]
-        for mine, other, side in ((left, right, 0), (right, left, wide)):
-            keep = (row[mine] >= 0) & (near[other] >= 0)
-            np.add.at(table, row[mine[keep]] * 2 * wide + side + near[other[keep]], 1)
-    table = np.sqrt(table.reshape(len(rest), -1))
-    return table / np.maximum(np.linalg.norm(table, axis=1, keepdims=True), 1e-6)
+
+    def __init__(self, seen: np.ndarray):
+        self.kind = kind_of(len(seen))
+        frequent = np.lexsort((np.arange(len(seen)), -seen))
+        frequent = frequent[seen[frequent] > 0]
+        self.alone, self.rest = frequent[:ALONE], frequent[ALONE:]
+        self.row, self.near = np.full(len(seen), -1, np.int32), np.full(len(seen), -1, np.int32)
+        self.row[self.rest] = np.arange(len(self.rest))
+        self.near[frequent[:WIDE]] = np.arange(len(frequent[:WIDE]))
+
+    def cells(self, ids: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """The cells of all neighbours in sequences of ``counts`` ids, laid end to end."""
+        row, near = self.row[ids], self.near[ids]
+        apart = np.ones(max(len(ids) - 1, 0), bool)
+        ends = np.cumsum(counts)[:-1]
+        apart[ends[(ends > 0) & (ends < len(ids))] - 1] = False
+        found = []
+        for mine, other, side in ((row[:-1], near[1:], 0), (row[1:], near[:-1], WIDE)):
+            keep = (mine >= 0) & (other >= 0) & apart
+            found.append(mine[keep] * np.int32(2 * WIDE) + np.int32(side) + other[keep])
+        return np.concatenate(found)
+
+    def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The cells of training documents with how often they occur."""
+
+        def counted() -> pa.RecordBatch:
+            cell, n = np.unique(np.concatenate(held), return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(cell.astype(np.int32)), pa.array(n)], names=["cell", "n"])
+
+        held = []
+        for ids, counts in learned(batches, self.kind):
+            held.append(self.cells(ids, counts))
+            if sum(map(len, held)) > NEIGHBOURS_AT_ONCE:
+                yield counted()
+                held = []
+        if held:
+            yield counted()
+
+    def classes(self, seen: np.ndarray, starts: np.ndarray, cell: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """Class of every id: frequent ids alone, others by k-means over their neighbours.
+
+        Ids that start a word and ids that do not are never in one class; the last two classes
+        are for ids of either kind that were not seen.
+        """
+        of = np.where(starts, CLASSES - 2, CLASSES - 1)
+        of[self.alone] = np.arange(len(self.alone))
+        table = np.zeros(len(self.rest) * 2 * WIDE, np.float32)
+        table[cell] = np.sqrt(n)
+        table = table.reshape(len(self.rest), 2 * WIDE)
+        table /= np.maximum(np.linalg.norm(table, axis=1, keepdims=True), 1e-6)
+        groups = (CLASSES - 2 - ALONE) // 2
+        for kind, first in ((True, ALONE), (False, ALONE + groups)):
+            mine = np.flatnonzero(starts[self.rest] == kind)
+            if len(mine):
+                rest = self.rest[mine]
+                of[rest] = first + _grouped(table[mine], np.sqrt(seen[rest], dtype=np.float32), min(groups, len(mine)))
+        return of
+
+
+def classes_of(sample: list[np.ndarray], starts: np.ndarray) -> np.ndarray:
+    """Class of every id from sequences that are at hand."""
+    flat = np.concatenate([np.zeros(0, np.int64), *sample])
+    seen = np.bincount(flat, minlength=len(starts))
+    beside = Neighbours(seen)
+    return beside.classes(seen, starts, *np.unique(beside.cells(flat, np.array(list(map(len, sample)), np.int64)), return_counts=True))
 
 
 def _grouped(table: np.ndarray, weight: np.ndarray, groups: int) -> np.ndarray:
@@ -399,23 +543,13 @@ def train(sample: list[np.ndarray], of: np.ndarray) -> Attention:
     classes = np.where(targets >= 0, of[targets], -1)
     frequent = np.bincount(of[flat], minlength=CLASSES) + 0.5
     model.bias[~empty] = np.log(frequent / frequent.sum())[~empty]
-    weights = model.weights()
-    first = {n: np.zeros_like(w) for n, w in weights.items()}
-    second = {n: np.zeros_like(w) for n, w in weights.items()}
-    steps, total = 0, EPOCHS * -(-len(inputs) // BATCH)
+    descent, total = Descent(model, of), EPOCHS * -(-len(inputs) // BATCH)
     for _ in range(EPOCHS):
         order = rng.permutation(len(inputs))
         for start in range(0, len(order), BATCH):
             part = order[start : start + BATCH]
-            _, slopes = model.gradients(inputs[part], classes[part])
-            steps += 1
-            rate = RATE * min(1.0, steps / 50) * (1 - 0.95 * steps / total)
-            for n, w in weights.items():
-                g = slopes[n]
-                first[n] += 0.1 * (g - first[n])
-                second[n] += 0.01 * (g * g - second[n])
-                w -= rate * (first[n] / (1 - 0.9**steps)) / (np.sqrt(second[n] / (1 - 0.99**steps)) + 1e-8)
-            model.bias[empty] = -1e4
+            done = descent.steps + 1
+            descent.step(inputs[part], classes[part], RATE * min(1.0, done / 50) * (1 - 0.95 * done / total))
     return model
 
 
@@ -497,45 +631,144 @@ class Unigram:
         return np.log10((count + 1) / (self.tokens + self.distinct + 1))
 
 
-class Scorer:
-    """Both scores of the documents of a block."""
+#: Documents of a block, some in a row: what is known of each, and the ids of all in a row.
+ENCODED = (
+    "ids array<long>, marks array<int>, tokens array<long>, known array<long>, base array<double>, "
+    "lengths array<long>, pieces binary"
+)
+#: Rows of ENCODED are large: few are read at once.
+FEW_ROWS = {"spark.sql.execution.arrow.maxRecordsPerBatch": "4", "spark.sql.files.maxPartitionBytes": "16m"}
+
+
+class Encoder:
+    """Subword ids and base score of the documents of a block."""
 
-    def __init__(self, unigram: Unigram, model):
-        self.unigram, self.model = unigram, model
+    def __init__(self, unigram: Unigram, size: int):
+        self.unigram, self.kind = unigram, kind_of(size)
 
     def block(self, texts: pa.Table, answers: pa.Table) -> pa.Table:
         words, lengths, values = unpack_answers(answers)
         count, pieces, sizes = _split(lengths.astype(np.int64), values)
         number = {w: i for i, w in enumerate(words)}
         begins = np.cumsum(sizes) - sizes
+        pieces = pieces.astype(self.kind)
         base = self.unigram.log10(count)
         end = float(self.unigram.log10(np.array(self.unigram.ends)))
-        keys, known, bases, docs = [], [], [], []
-        for ids, packed in unpack_texts(texts):
-            keys += ids
-            for text in packed:
-                own = np.array(list(map(number.__getitem__, words_of(text))), np.int64)
-                known.append(int((count[own] > 0).sum()) + (self.unigram.ends > 0))
-                bases.append(float(base[own].sum()) + end)
-                docs.append(own.astype(np.int32))
-        scores = np.concatenate([self._scores(docs[i : i + 500], pieces, begins, sizes) for i in range(0, len(docs), 500)])
-        tokens = np.array([len(d) + 1 for d in docs], np.int64)
-        return pa.table({
-            "id": pa.array(keys, pa.int64()), "held_out": pa.array([m == 0 for m in marks_of(texts)]), "n_tokens": tokens,
-            "n_known": pa.array(known, pa.int64()),
-            "train_tokens": pa.array([self.unigram.tokens] * len(keys), pa.int64()),
-            "base_score": bases, "score": scores,
-        })
-
-    def _scores(self, docs: list[np.ndarray], pieces, begins, sizes) -> np.ndarray:
-        lengths = np.array([int(sizes[d].sum()) + 1 for d in docs], np.int64)
-        flat = np.full(int(lengths.sum()), END, np.int64)  # every document ends with the end
-        at = 0
-        for own, length in zip(docs, lengths.tolist()):
-            n = sizes[own]
-            flat[at : at + length - 1] = pieces[np.repeat(begins[own] - (np.cumsum(n) - n), n) + np.arange(length - 1)]
-            at += length
-        return self.model.value.score(flat, np.cumsum(lengths) - lengths, lengths)
+        pack = zstandard.ZstdCompressor(level=1).compress
+        rows = []
+        for marks, (keys, packed) in zip(texts["marks"].to_pylist(), unpack_texts(texts)):
+            docs = [np.array(list(map(number.__getitem__, words_of(t))), np.int64) for t in packed]
+            parts = [self._ids(own, pieces, begins, sizes) for own in docs]
+            rows.append({
+                "ids": keys, "marks": marks, "tokens": [len(own) + 1 for own in docs],
+                "known": [int((count[own] > 0).sum()) + (self.unigram.ends > 0) for own in docs],
+                "base": [float(base[own].sum()) + end for own in docs],
+                "lengths": list(map(len, parts)), "pieces": pack(np.concatenate(parts).tobytes()),
+            })
+        kinds = {"ids": pa.int64(), "marks": pa.int32(), "tokens": pa.int64(), "known": pa.int64(), "base": pa.float64(), "lengths": pa.int64()}
+        return pa.Table.from_pylist(rows, pa.schema([*((n, pa.list_(t)) for n, t in kinds.items()), ("pieces", pa.binary())]))
+
+    def _ids(self, own: np.ndarray, pieces, begins, sizes) -> np.ndarray:
+        """The ids of a document of these words; it ends with the end."""
+        n = sizes[own]
+        ids = np.full(int(n.sum()) + 1, END, self.kind)
+        ids[:-1] = pieces[np.repeat(begins[own] - (np.cumsum(n) - n), n) + np.arange(len(ids) - 1)]
+        return ids
+
+
+def kind_of(size: int) -> type:
+    """Numbers that hold the ids of a piece file of ``size`` pieces."""
+    return np.uint16 if size <= 1 << 16 else np.uint32
+
+
+def unpack_ids(batch: pa.RecordBatch, kind: type) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Ids of the documents of each row, laid end to end, and how many each document has."""
+    for lengths, pieces in zip(batch["lengths"], batch["pieces"]):
+        raw = zstandard.ZstdDecompressor().decompress(pieces.as_py())
+        yield np.frombuffer(raw, kind).astype(np.int64), np.array(lengths.as_py(), np.int64)
+
+
+def learned(batches: Iterator[pa.RecordBatch], kind: type) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Ids and lengths of training documents only."""
+    for batch in batches:
+        for marks, (ids, lengths) in zip(batch["marks"].to_pylist(), unpack_ids(batch, kind)):
+            trains = np.array(marks) == 1
+            if trains.any():
+                yield ids[np.repeat(trains, lengths)], lengths[trains]
+
+
+#: A row of the weights, how many steps moved it, and its values times that.
+MOVED = ", ".join(["row int", "weight double", *(f"w{i} double" for i in range(DIMENSIONS))])
+
+
+class Teacher:
+    """One descent over the training documents of a task, from weights that all tasks share."""
+
+    def __init__(self, start, rate: float, kind: type):
+        self.start, self.rate, self.kind = start, rate, kind
+
+    def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shared, of = self.start.value
+        model = shared.with_rows(shared.rows())
+        descent, rng = Descent(model, of), np.random.default_rng(7)
+        moved = np.zeros(len(model.embedding))
+        for ids, counts in learned(batches, self.kind):
+            starts = np.cumsum(counts) - counts
+            for first in range(0, int(windows_in(counts).sum()), WINDOWS_LAID_OUT):
+                inputs, targets, _ = windows_of(ids, starts, counts, first, first + WINDOWS_LAID_OUT)
+                classes = np.where(targets >= 0, of[targets], -1)
+                order = rng.permutation(len(inputs))
+                for i in range(0, len(order), TOGETHER):
+                    part = order[i : i + TOGETHER]
+                    moved[descent.step(inputs[part], classes[part], self.rate * min(1.0, (descent.steps + 1) / 50))] += 1
+        if descent.steps:
+            rows = model.rows().astype(np.float64)
+            weight = np.concatenate([moved, np.full(len(rows) - len(moved), float(descent.steps))])
+            at = np.flatnonzero(weight)
+            sums = (rows[at] * weight[at, None]).T
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(at.astype(np.int32)), pa.array(weight[at]), *map(pa.array, np.ascontiguousarray(sums))],
+                names=["row", "weight", *(f"w{i}" for i in range(DIMENSIONS))],
+            )
+
+
+def taught(encoded: DataFrame, model: Attention, of: np.ndarray) -> Attention:
+    """``model`` after every training document was learned from, each in one of the rounds."""
+    spark = encoded.sparkSession
+    kind = kind_of(len(of))
+    values = [f"w{i}" for i in range(DIMENSIONS)]
+    for nth, rate in enumerate(ROUNDS):
+        start = spark.sparkContext.broadcast((model, of))
+        share = encoded.filter(F.pmod(F.xxhash64("ids"), F.lit(len(ROUNDS))) == nth)
+        moved = share.select("marks", "lengths", "pieces").mapInArrow(Teacher(start, rate, kind), MOVED)
+        sums = staged(moved.groupBy("row").agg(*(F.sum(c).alias(c) for c in ("weight", *values))), "weights", **FEW_ROWS)
+        # At most a row for every id of the piece file and the few others.
+        found, rows = sums.toArrow(), model.rows()
+        if found.num_rows:
+            weight = found["weight"].to_numpy()
+            rows[found["row"].to_numpy()] = np.stack([found[c].to_numpy() / weight for c in values], axis=1)
+        model = model.with_rows(rows)
+        start.unpersist()
+    return model
+
+
+class Scorer:
+    """Both scores of encoded documents."""
+
+    def __init__(self, tokens: int, model, kind: type):
+        self.tokens, self.model, self.kind = tokens, model, kind
+
+    def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, (ids, lengths) in enumerate(unpack_ids(batch, self.kind)):
+                keys, marks, tokens, known, base = (batch[c][i].values for c in ("ids", "marks", "tokens", "known", "base"))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        keys, pa.array(marks.to_numpy() == 0), tokens, known, pa.array([self.tokens] * len(keys), pa.int64()),
+                        base, pa.array(self.model.value.score(ids, np.cumsum(lengths) - lengths, lengths)),
+                    ],
+                    names=["id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
+                )
 
 
 def lowest(drawn: list, many: int) -> list:
@@ -588,17 +821,53 @@ def score(
         ids, _ = subwords.ids(words_of(r["text"].encode("utf-8")))
         sample.append(np.append(ids, END))
     starts = subwords.starts()
-    of = classes_of(sample, starts)
-    by_cell = counts.filter("n > 0").select("values").mapInArrow(IdCounts(of, starts), "cell long, n long")
-    cells = np.zeros((CLASSES + 1, len(of)))
-    # At most (classes + 1) x (ids of the piece file) rows.
-    for part in by_cell.groupBy("cell").agg(F.sum("n").alias("n")).toArrow().to_batches():
-        cells.ravel()[part["cell"].to_numpy()] = part["n"].to_numpy()
-    cells[CLASSES, END] = ends
-    model = spark.sparkContext.broadcast(LanguageModel(train(sample, of), of, shares(cells, of), starts))
-    scorer = Scorer(unigram, model)
+    size, kind = len(starts), kind_of(len(starts))
     packed = answered(wanted.select("block", "word"), counts.select("word", "values"), "word-counts")
+    encoded = staged(for_each_block(rows, packed, Encoder(unigram, size).block, ENCODED), "encoded")
+
+    # What follows is summed into at most (ids of the piece file) x (2 x WIDE), or x (classes + 1), cells.
+    words = counts.filter("n > 0").select("values")
+    seen = np.zeros(size, np.int64)
+    _sums_into(seen, words.mapInArrow(_seen(size), "cell int, n long"))
+    seen[END] += ends
+    beside = Neighbours(seen)
+    neighbours = np.zeros(len(beside.rest) * 2 * WIDE, np.int64)
+    _sums_into(neighbours, encoded.select("marks", "lengths", "pieces").mapInArrow(beside, "cell int, n long"), **FEW_ROWS)
+    cell = np.flatnonzero(neighbours)
+    of = beside.classes(seen, starts, cell, neighbours[cell])
+    cells = np.zeros((CLASSES + 1, size))
+    _sums_into(cells.ravel(), words.mapInArrow(IdCounts(of, starts), "cell long, n long"))
+    cells[CLASSES, END] = ends
+
+    attention = train(sample, of)
+    if ends:
+        attention = taught(encoded, attention.with_ids(np.flatnonzero(seen), of), of)
+    model = spark.sparkContext.broadcast(LanguageModel(attention, of, shares(cells, of), starts))
     schema = (
         "id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     )
-    return for_each_block(rows, packed, scorer.block, schema).withColumnRenamed("id", id_col)
+    scores = staged(encoded.mapInArrow(Scorer(unigram.tokens, model, kind), schema), "scores", **FEW_ROWS)
+    return scores.withColumnRenamed("id", id_col)
+
+
+def _seen(size: int):
+    """How often each id occurs, from the counts of words."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(size)
+        for batch in batches:
+            lists = batch["values"]
+            each, flat, sizes = _split(lists.value_lengths().to_numpy().astype(np.int64), lists.flatten().to_numpy())
+            total += np.bincount(flat, weights=np.repeat(each, sizes), minlength=size)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(at.astype(np.int32)), pa.array(total[at].astype(np.int64))], names=["cell", "n"]
+        )
+
+    return count
+
+
+def _sums_into(table: np.ndarray, cells: DataFrame, **settings: str) -> None:
+    """Write the sum of each cell's counts."""
+    for part in staged(cells.groupBy("cell").agg(F.sum("n").alias("n")), "cells", **settings).toArrow().to_batches():
+        table[part["cell"].to_numpy()] = part["n"].to_numpy()
