@@ -187,3 +187,17 @@ def test_neighbours_do_not_cross_documents():
     ids, other = np.array([70, 1, 80]), np.array([90, 2])
     together = beside.cells(np.concatenate([ids, other]), np.array([3, 2]))
     assert sorted(together) == sorted([*beside.cells(ids, np.array([3])), *beside.cells(other, np.array([2]))])
+
+
+def test_neighbours_of_a_long_row_are_counted_in_parts(monkeypatch):
+    rng = np.random.default_rng(9)
+    lengths = np.array([400, 3, 1, 250, 90])
+    ids = rng.integers(3, 200, lengths.sum())
+    beside = lm.Neighbours(np.bincount(ids, minlength=200))
+    monkeypatch.setattr(lm, "learned", lambda batches, kind: batches)
+    monkeypatch.setattr(lm, "IDS_AT_ONCE", 7)
+    monkeypatch.setattr(lm, "NEIGHBOURS_AT_ONCE", 50)
+    counts = Counter()
+    for batch in beside(iter([(ids, lengths)])):
+        counts.update(dict(zip(batch["cell"].to_pylist(), batch["n"].to_pylist())))
+    assert counts == Counter(beside.cells(ids, lengths).tolist())

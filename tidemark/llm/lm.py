@@ -29,6 +29,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -60,10 +61,11 @@ RATE = 0.02
 ROUNDS = (0.004, 0.002, 0.001)
 TOGETHER = 128
 #: Words encoded at once; windows multiplied at once when scoring, and laid out at once;
-#: neighbours counted at once.
+#: ids whose neighbours are looked up at once, and neighbours counted at once.
 WORDS_AT_ONCE = 2_000
 WINDOWS_AT_ONCE = 256
 WINDOWS_LAID_OUT = 16_384
+IDS_AT_ONCE = 400_000
 NEIGHBOURS_AT_ONCE = 4_000_000
 
 #: Weight of the share over all contexts.
@@ -170,7 +172,8 @@ def _exponentials(x: np.ndarray, most: float) -> tuple[np.ndarray, np.ndarray]:
 
     A product with ones adds up short rows faster than a sum does.
     """
-    np.minimum(x, most, out=x)
+    if most < np.inf:
+        np.minimum(x, most, out=x)
     np.exp(x, out=x)
     return x, np.maximum(x @ np.ones((x.shape[-1], 1), x.dtype), np.float32(1e-30))
 
@@ -178,6 +181,12 @@ def _exponentials(x: np.ndarray, most: float) -> tuple[np.ndarray, np.ndarray]:
 _CAUSAL = np.where(np.arange(WINDOW)[None, :] <= np.arange(STEP)[:, None] + LEAD, 0.0, -1e9).astype(np.float32)
 
 
+def _largest(h: np.ndarray, out: np.ndarray, bias: np.ndarray) -> float:
+    """What no logit is above."""
+    longest = np.sqrt(np.einsum("ij,ij->i", h, h).max(initial=0))
+    return float(longest * np.linalg.norm(out, axis=0).max() + bias.max())
+
+
 def _product(x: np.ndarray, weights: np.ndarray) -> np.ndarray:
     """Windows times a matrix, as one product."""
     return (x.reshape(-1, x.shape[-1]) @ weights).reshape(*x.shape[:-1], weights.shape[1])
@@ -257,9 +266,10 @@ class Attention:
         a /= total
         h = a @ v
         h += ahead
-        logits = _product(h, self.out).reshape(-1, self.out.shape[1])
+        flat = h.reshape(-1, DIMENSIONS)
+        logits = flat @ self.out
         logits += self.bias
-        return x, ahead, q, k, v, a, h, *_exponentials(logits, 80)
+        return x, ahead, q, k, v, a, h, *_exponentials(logits, np.inf if _largest(flat, self.out, self.bias) < 80 else 80)
 
     def gradients(self, inputs: np.ndarray, targets: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
         """Mean loss over places whose target is not -1, and its gradients."""
@@ -388,9 +398,10 @@ class LanguageModel:
         h /= np.maximum(a @ _ONES[:WINDOW], np.float32(1e-30))
         h += self.ahead[0].take(late, axis=0)
         h += self.ahead[1]
-        logits = h.reshape(-1, DIMENSIONS) @ self.out
+        flat = h.reshape(-1, DIMENSIONS)
+        logits = flat @ self.out
         logits += self.bias
-        if not self.tame:
+        if not self.tame and _largest(flat, self.out, self.bias) >= 80:
             np.minimum(logits, 80, out=logits)
         target = targets.ravel()
         before = inputs[:, LEAD:].ravel()
@@ -450,10 +461,13 @@ class Neighbours:
 
         held = []
         for ids, counts in learned(batches, self.kind):
-            held.append(self.cells(ids, counts))
-            if sum(map(len, held)) > NEIGHBOURS_AT_ONCE:
-                yield counted()
-                held = []
+            ends = np.cumsum(counts)
+            for at in range(0, len(ids), IDS_AT_ONCE):
+                part = ids[at : at + IDS_AT_ONCE + 1]  # the last one stands beside the next part's first
+                held.append(self.cells(part, np.diff(np.clip(ends - at, 0, len(part)), prepend=0)))
+                if sum(map(len, held)) > NEIGHBOURS_AT_ONCE:
+                    yield counted()
+                    held = []
         if held:
             yield counted()
 
@@ -649,31 +663,45 @@ class Encoder:
     def block(self, texts: pa.Table, answers: pa.Table) -> pa.Table:
         words, lengths, values = unpack_answers(answers)
         count, pieces, sizes = _split(lengths.astype(np.int64), values)
-        number = {w: i for i, w in enumerate(words)}
+        del values, lengths
+        pieces, sizes = pieces.astype(self.kind), sizes.astype(np.int32)
+        number = dict(zip(words, range(len(words))))
+        del words
         begins = np.cumsum(sizes) - sizes
-        pieces = pieces.astype(self.kind)
-        base = self.unigram.log10(count)
+        base, seen = self.unigram.log10(count), count > 0
         end = float(self.unigram.log10(np.array(self.unigram.ends)))
         pack = zstandard.ZstdCompressor(level=1).compress
         rows = []
-        for marks, (keys, packed) in zip(texts["marks"].to_pylist(), unpack_texts(texts)):
-            docs = [np.array(list(map(number.__getitem__, words_of(t))), np.int64) for t in packed]
-            parts = [self._ids(own, pieces, begins, sizes) for own in docs]
-            rows.append({
-                "ids": keys, "marks": marks, "tokens": [len(own) + 1 for own in docs],
-                "known": [int((count[own] > 0).sum()) + (self.unigram.ends > 0) for own in docs],
-                "base": [float(base[own].sum()) + end for own in docs],
-                "lengths": list(map(len, parts)), "pieces": pack(np.concatenate(parts).tobytes()),
-            })
-        kinds = {"ids": pa.int64(), "marks": pa.int32(), "tokens": pa.int64(), "known": pa.int64(), "base": pa.float64(), "lengths": pa.int64()}
-        return pa.Table.from_pylist(rows, pa.schema([*((n, pa.list_(t)) for n, t in kinds.items()), ("pieces", pa.binary())]))
-
-    def _ids(self, own: np.ndarray, pieces, begins, sizes) -> np.ndarray:
-        """The ids of a document of these words; it ends with the end."""
-        n = sizes[own]
-        ids = np.full(int(n.sum()) + 1, END, self.kind)
-        ids[:-1] = pieces[np.repeat(begins[own] - (np.cumsum(n) - n), n) + np.arange(len(ids) - 1)]
-        return ids
+        for marks, (keys, packed) in zip(texts["marks"], unpack_texts(texts)):
+            split = list(map(words_of, packed))
+            many = np.array(list(map(len, split)), np.int64)
+            own = np.fromiter(map(number.__getitem__, chain.from_iterable(split)), np.int32, int(many.sum()))
+            del split
+            each = sizes[own]
+            lengths = _sums(each, many) + 1
+            # Every document ends with the end.
+            ids = np.full(int(lengths.sum()), END, self.kind)
+            inside = np.ones(len(ids), bool)
+            inside[np.cumsum(lengths) - 1] = False
+            ids[inside] = pieces[np.repeat(begins[own] - (np.cumsum(each) - each), each) + np.arange(len(ids) - len(many))]
+            rows.append([
+                pa.array(keys, pa.int64()), marks.values, pa.array(many + 1),
+                pa.array(_sums(seen[own], many) + (self.unigram.ends > 0)), pa.array(_sums(base[own], many) + end),
+                pa.array(lengths), pack(ids.tobytes()),
+            ])
+        *lists, packs = zip(*rows)
+        at = pa.array(np.concatenate([[0], np.cumsum(list(map(len, lists[0])))]).astype(np.int32))
+        columns = [pa.ListArray.from_arrays(at, pa.concat_arrays(column)) for column in lists]
+        return pa.table([*columns, pa.array(packs, pa.binary())], names=["ids", "marks", "tokens", "known", "base", "lengths", "pieces"])
+
+
+def _sums(values: np.ndarray, many: np.ndarray) -> np.ndarray:
+    """Sums of runs of so many values."""
+    kind = np.float64 if values.dtype.kind == "f" else np.int64
+    found, some = np.zeros(len(many), kind), many > 0
+    if some.any():
+        found[some] = np.add.reduceat(values.astype(kind), (np.cumsum(many) - many)[some])
+    return found
 
 
 def kind_of(size: int) -> type:
