@@ -201,3 +201,56 @@ def test_neighbours_of_a_long_row_are_counted_in_parts(monkeypatch):
     for batch in beside(iter([(ids, lengths)])):
         counts.update(dict(zip(batch["cell"].to_pylist(), batch["n"].to_pylist())))
     assert counts == Counter(beside.cells(ids, lengths).tolist())
+
+
+def test_a_place_needs_logits_of_groups_and_of_one_group_only():
+    """The two softmaxes give what one over all classes would, from 24 of 128 exponentials."""
+    rng = np.random.default_rng(3)
+    top, out, flat = rng.normal(size=(lm.DIMENSIONS, lm.GROUPS)), rng.normal(size=(lm.DIMENSIONS, lm.CLASSES)), rng.normal(size=(500, lm.DIMENSIONS))
+    prior, classes = rng.normal(size=(3, lm.GROUPS, lm.GROUPS + lm.IN_GROUP)), rng.integers(0, lm.CLASSES, 500)
+    order, runs = lm.by_group(classes)
+    flat, group, context = flat[order], classes[order] // lm.IN_GROUP, rng.integers(0, 3, 500)
+    e, sums = lm.class_exponentials(flat, context, group, runs, lm.beside_each_group(top, out).transpose(1, 0, 2), prior)
+    assert e.shape == (500, 24)
+    for row, h, c, g, total in zip(e, flat, context, group, sums):
+        own = slice(g * lm.IN_GROUP, (g + 1) * lm.IN_GROUP)
+        assert np.allclose(row, np.exp(np.append(h @ top, h @ out[:, own]) + prior[c, g]))
+        assert np.allclose(total, [row[: lm.GROUPS].sum(), row[lm.GROUPS :].sum()])
+
+
+def test_pairs_of_classes_do_not_cross_documents_and_are_counted_in_parts(monkeypatch):
+    rng = np.random.default_rng(10)
+    lengths = np.array([40, 3, 0, 1, 25, 7, 90])
+    ids, of = rng.integers(3, 200, lengths.sum()), rng.integers(0, lm.CLASSES, 200)
+    wanted, at = Counter(), 0
+    for n in lengths:
+        classes = of[ids[at : at + n]].tolist()
+        wanted.update(zip([lm.CLASSES, *classes], classes))
+        at += n
+    for many in (1, 7, 40, 1000):
+        monkeypatch.setattr(lm, "IDS_AT_ONCE", many)
+        pairs = lm.pairs_of(ids, lengths, of)
+        assert {c: pairs[c] for c in zip(*np.nonzero(pairs))} == wanted
+    numbered, moved = lm.in_groups(of, pairs)
+    assert (moved == lm.pairs_of(ids, lengths, numbered)).all()
+    assert len(set(zip(of.tolist(), numbered.tolist()))) == len(set(of.tolist())) == len(set(numbered.tolist()))
+
+
+def test_classes_behind_each_other_are_counted_in_all_training_documents(spark, monkeypatch):
+    rng = random.Random(33)
+    rows = [(i, prose(rng, 40), "en", "a", None) for i in range(60)]
+    kept, taught = [], lm.taught
+    monkeypatch.setattr(lm, "taught", lambda encoded, model, of: kept.append((model, of)) or taught(encoded, model, of))
+    lm.score(frame(spark, rows), sample_docs=2).collect()
+    whole, _ = sequences(rows)
+    model, of = kept[0]
+    pairs = lm.pairs_of(np.concatenate(whole), np.array(list(map(len, whole))), of)
+    assert (model.prior == lm.prior_of(pairs)).all() and (model.context[model.context < lm.CLASSES] == of[model.context < lm.CLASSES]).all()
+    shares = np.exp(model.prior)
+    assert np.allclose(shares[..., : lm.GROUPS].sum(axis=-1), 1, atol=1e-4) and np.allclose(shares[..., lm.GROUPS :].sum(axis=-1), 1, atol=1e-4)
+
+
+def test_without_training_documents_scores_are_finite(spark):
+    held = [i for i in range(100) if crc32(str(i).encode()) % 7 == 2]
+    got = lm.score(frame(spark, [(i, "one two three", "en", "a", None) for i in held])).collect()
+    assert len(got) == len(held) and all(r.held_out and math.isfinite(r.score) and r.score < 0 for r in got)

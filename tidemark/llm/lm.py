@@ -4,7 +4,10 @@ Words are cut into subword ids by a public piece file. The model reads a window
 and gives the next one as (class of the id) x (id within its class). The class comes from
 one head of causal self-attention; the id from counts over all training documents, at the
 start of a word or behind an id of the same class as the one before. Both add up to one,
-so the score of a text is a probability of its ids and its end.
+so the score of a text is a probability of its ids and its end. A class is itself predicted
+as (group of classes) x (class in its group), so that a place needs the exponentials of
+``GROUPS`` + ``IN_GROUP`` logits and not of all ``CLASSES``. The attention adds its logits to
+what counts over all training documents say of classes behind the class before.
 
 Windows of ``WINDOW`` ids overlap by ``LEAD``. Only what follows the lead of a window is
 scored, so every id is scored once and sees at least ``LEAD`` ids of what came before;
@@ -15,7 +18,8 @@ and are never sent to every task: each block of documents asks for its distinct
 is answered with their counts and ids, so a word is encoded once in all.
 
 Every training document is learned from, whole. Which ids are known, which stand alone and
-which share a class follows from counts of ids and of neighbouring ids over all of them.
+which share a class follows from counts of ids and of neighbouring ids over all of them, as do
+groups, of classes that stand behind like classes.
 The attention, a small one of ``DIMENSIONS`` dimensions that predicts one of ``CLASSES``
 classes, starts from some steps on the driver over ``SAMPLE_DOCS`` documents, drawn by a
 hash of id and text (of a text with more than ``LONGEST`` characters a stretch of that
@@ -50,6 +54,9 @@ DIMENSIONS = 16
 #: Classes: the most frequent ids alone, the others by the company they keep, unseen ones.
 ALONE = 64
 CLASSES = 128
+#: Classes with consecutive numbers make a group: a class is predicted as group x class in group.
+IN_GROUP = 16
+GROUPS = CLASSES // IN_GROUP
 #: Most frequent ids whose company tells classes apart.
 WIDE = 4 * ALONE
 SAMPLE_DOCS = 1_600
@@ -172,8 +179,7 @@ def _exponentials(x: np.ndarray, most: float) -> tuple[np.ndarray, np.ndarray]:
 
     A product with ones adds up short rows faster than a sum does.
     """
-    if most < np.inf:
-        np.minimum(x, most, out=x)
+    np.minimum(x, most, out=x)
     np.exp(x, out=x)
     return x, np.maximum(x @ np.ones((x.shape[-1], 1), x.dtype), np.float32(1e-30))
 
@@ -181,23 +187,65 @@ def _exponentials(x: np.ndarray, most: float) -> tuple[np.ndarray, np.ndarray]:
 _CAUSAL = np.where(np.arange(WINDOW)[None, :] <= np.arange(STEP)[:, None] + LEAD, 0.0, -1e9).astype(np.float32)
 
 
-def _largest(h: np.ndarray, out: np.ndarray, bias: np.ndarray) -> float:
-    """What no logit is above."""
-    longest = np.sqrt(np.einsum("ij,ij->i", h, h).max(initial=0))
-    return float(longest * np.linalg.norm(out, axis=0).max() + bias.max())
-
-
 def _product(x: np.ndarray, weights: np.ndarray) -> np.ndarray:
     """Windows times a matrix, as one product."""
     return (x.reshape(-1, x.shape[-1]) @ weights).reshape(*x.shape[:-1], weights.shape[1])
 
 
-_ONES = np.ones((CLASSES, 1), np.float32)
+#: Which columns of a row of logits are for groups, and which for the classes of one.
+_PARTS = np.repeat(np.eye(2, dtype=np.float32), (GROUPS, IN_GROUP), axis=0)
+
+
+def beside_each_group(top: np.ndarray, out: np.ndarray) -> np.ndarray:
+    """Values of all groups (last axis) and, for each group, those of its classes: (..., group, columns)."""
+    found = np.empty((*out.shape[:-1], GROUPS, GROUPS + IN_GROUP), out.dtype)
+    found[..., :GROUPS] = top[..., None, :]
+    found[..., GROUPS:] = out.reshape(found.shape[:-1] + (IN_GROUP,))
+    return found
+
+
+def by_group(classes: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """An order that puts classes of a group together, and where in it each group stands."""
+    group = (classes // IN_GROUP).astype(np.uint8)
+    edges = np.concatenate([[0], np.cumsum(np.bincount(group, minlength=GROUPS))]).tolist()
+    runs = [(g, a, b) for g, (a, b) in enumerate(zip(edges[:-1], edges[1:])) if a < b]
+    return np.argsort(group, kind="stable"), runs
+
+
+def class_exponentials(
+    flat: np.ndarray, context: np.ndarray, group: np.ndarray, runs: list, weights: np.ndarray, offsets: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Exponentials for all groups and for the classes of ``group``, and the sums of both.
+
+    Rows of a group stand together. Logits are cut to bounds that exponentials can take.
+    """
+    logits = offsets.reshape(-1, GROUPS + IN_GROUP).take(context * GROUPS + group, axis=0)
+    for g, a, b in runs:
+        logits[a:b] += flat[a:b] @ weights[g]
+    np.minimum(logits, 80, out=logits)
+    np.maximum(logits, -80, out=logits)
+    np.exp(logits, out=logits)
+    return logits, logits @ _PARTS.astype(logits.dtype, copy=False)
+
+
+def _hide(scores: np.ndarray, inputs: np.ndarray) -> None:
+    """Take what is behind a place, and places without an id, from the scores of windows."""
+    scores += _CAUSAL
+    at = np.flatnonzero((inputs[:, 0] < 0) | (inputs[:, -1] < 0))
+    if len(at):
+        scores[at] += np.where(inputs[at] < 0, np.float32(-1e9), np.float32(0))[:, None, :]
+
+
+#: Weights in rows of ``DIMENSIONS`` (or columns, where turned), and those of one dimension.
+WEIGHTS = ("embedding", "position", "query", "key", "value", "top", "out")
+TURNED = ("top", "out")
+FLAT = ("top_bias", "bias")
 
 
 @dataclass
 class Attention:
-    """One causal head over embedded ids, with a residual, in front of a class softmax."""
+    """One causal head over embedded ids, with a residual, in front of a softmax over groups of
+    classes and one over the classes of a group. It adds to what the class before says alone."""
 
     row: np.ndarray  # id -> row of the embedding; the last row stands for ids not in the sample
     embedding: np.ndarray
@@ -205,8 +253,13 @@ class Attention:
     query: np.ndarray
     key: np.ndarray
     value: np.ndarray
+    top: np.ndarray
+    top_bias: np.ndarray
     out: np.ndarray
     bias: np.ndarray
+    #: Row of an id in ``prior``, which has log shares of groups and classes by the class before.
+    context: np.ndarray
+    prior: np.ndarray
 
     @classmethod
     def fresh(cls, row: np.ndarray, rows: int, classes: int, rng: np.random.Generator) -> Attention:
@@ -216,11 +269,13 @@ class Attention:
         d = DIMENSIONS
         return cls(
             row, random(rows, d, scale=0.3), random(WINDOW, d, scale=0.1), *(random(d, d, scale=d**-0.5) for _ in range(3)),
+            random(d, classes // IN_GROUP, scale=0.1), np.zeros(classes // IN_GROUP, np.float32),
             random(d, classes, scale=0.1), np.zeros(classes, np.float32),
+            np.zeros(len(row), np.int64), np.zeros((1, GROUPS, GROUPS + IN_GROUP), np.float32),
         )
 
     def weights(self) -> dict[str, np.ndarray]:
-        return {n: getattr(self, n) for n in ("embedding", "position", "query", "key", "value", "out", "bias")}
+        return {n: getattr(self, n) for n in (*WEIGHTS, *FLAT)}
 
     def with_ids(self, ids: np.ndarray, of: np.ndarray) -> Attention:
         """Also knows ``ids``: a new one starts where those of its class are on average."""
@@ -237,39 +292,42 @@ class Attention:
 
     def rows(self) -> np.ndarray:
         """All weights, laid out in rows of one width; those of the embedding come first."""
-        weights = self.weights() | {"out": self.out.T}
-        return np.concatenate([w.reshape(-1, DIMENSIONS) for w in weights.values()])
+        flat = np.concatenate([getattr(self, n) for n in FLAT])
+        parts = [getattr(self, n).T if n in TURNED else getattr(self, n) for n in WEIGHTS]
+        return np.concatenate([*parts, np.pad(flat, (0, -len(flat) % DIMENSIONS)).reshape(-1, DIMENSIONS)])
 
     def with_rows(self, rows: np.ndarray) -> Attention:
         """A model of its own with these weights."""
-        found, at = {}, 0
-        for name, weight in (self.weights() | {"out": self.out.T}).items():
-            found[name] = rows[at : at + weight.size // DIMENSIONS].astype(np.float32).reshape(weight.shape)
-            at += weight.size // DIMENSIONS
-        return replace(self, **found | {"out": np.ascontiguousarray(found["out"].T)})
+        found, at, rows = {}, 0, rows.astype(np.float32)
+        for name in WEIGHTS:
+            weight = getattr(self, name)
+            part = rows[at : at + weight.size // DIMENSIONS]
+            found[name] = np.ascontiguousarray(part.T) if name in TURNED else part.copy()
+            at += len(part)
+        flat = rows[at:].ravel()
+        for name in FLAT:
+            size = getattr(self, name).size
+            found[name], flat = flat[:size].copy(), flat[size:]
+        return replace(self, **found)
+
+    def never(self, empty: np.ndarray) -> None:
+        """Classes without ids can never be right, nor groups without others."""
+        self.bias[empty] = -1e4
+        self.top_bias[empty.reshape(GROUPS, IN_GROUP).all(axis=1)] = -1e4
 
     def forward(self, inputs: np.ndarray) -> tuple:
-        """What the gradients need: inputs, projections, attention, its result and the class
-        exponentials with their sums."""
+        """What the gradients need: inputs, projections (keys beside values), attention and its result."""
         x = self.embedding.take(self.row.take(inputs, mode="wrap"), axis=0)
         x += self.position
         ahead = np.ascontiguousarray(x[:, LEAD:])
-        q, k, v = ahead @ self.query, _product(x, self.key), _product(x, self.value)
-        q *= np.float32(DIMENSIONS**-0.5)
-        scores = q @ k.transpose(0, 2, 1)
-        scores += _CAUSAL
-        nothing = inputs < 0
-        if nothing.any():
-            scores += np.where(nothing, np.float32(-1e9), np.float32(0))[:, None, :]
+        q = _product(ahead, self.query * np.float32(DIMENSIONS**-0.5))
+        both = _product(x, np.concatenate([self.key, self.value], axis=1))
+        scores = q @ both[:, :, :DIMENSIONS].transpose(0, 2, 1)
         # A place behind the end sees only itself and START's window; it is never scored.
+        _hide(scores, inputs)
         a, total = _exponentials(scores, 60)
         a /= total
-        h = a @ v
-        h += ahead
-        flat = h.reshape(-1, DIMENSIONS)
-        logits = flat @ self.out
-        logits += self.bias
-        return x, ahead, q, k, v, a, h, *_exponentials(logits, np.inf if _largest(flat, self.out, self.bias) < 80 else 80)
+        return x, ahead, q, both, a, a @ both[:, :, DIMENSIONS:]
 
     def gradients(self, inputs: np.ndarray, targets: np.ndarray) -> tuple[float, dict[str, np.ndarray]]:
         """Mean loss over places whose target is not -1, and its gradients."""
@@ -280,72 +338,104 @@ class Attention:
 
     def slopes(self, inputs: np.ndarray, targets: np.ndarray) -> tuple[float, dict, np.ndarray, np.ndarray]:
         """Loss, gradients, rows of the embedding that the inputs name, and the gradients of these."""
-        x, ahead, q, k, v, a, h, e, total = self.forward(inputs)
+        d = DIMENSIONS
+        x, ahead, q, both, a, found = self.forward(inputs)
         target = targets.ravel()
         at = np.flatnonzero(target >= 0)
-        wanted = at, target[at]
-        loss = float(-np.log(e[wanted] / total[at, 0] + 1e-12).mean())
-        # A row of exponentials less its sum at the target is the slope of the loss by the
-        # logits, but for a factor that is cheaper to apply to the shorter rows.
-        e[wanted] -= total[at, 0]
-        factor = 1 / (total * len(at))
-        factor[target < 0] = 0
-        flat = h.reshape(-1, DIMENSIONS) * factor
-        d_h = e @ self.out.T
-        d_h *= factor
-        d_h = d_h.reshape(h.shape)
-        d_a = d_h @ v.transpose(0, 2, 1)
-        d_v = a.transpose(0, 2, 1) @ d_h
-        d_a -= np.einsum("bij,bij->bi", d_a, a)[:, :, None]
+        order, runs = by_group(target[at])
+        at = at[order]
+        group, within = np.divmod(target[at], IN_GROUP)
+        flat = (found + ahead).reshape(-1, d).take(at, axis=0)
+        weights = beside_each_group(self.top, self.out).transpose(1, 0, 2)
+        context = self.context.take(inputs[:, LEAD:].ravel()[at])
+        e, sums = class_exponentials(flat, context, group, runs, weights, self.prior + beside_each_group(self.top_bias, self.bias))
+        # A row of exponentials by its sums, less one at the target, is the slope of the loss by the logits.
+        e *= (1 / sums) @ _PARTS.T.astype(e.dtype, copy=False)
+        cell = np.arange(0, e.size, e.shape[1]) + np.stack([group, GROUPS + within])
+        right = e.ravel()[cell]
+        loss = -float(np.log(right[0] * right[1] + 1e-12).mean())
+        e.ravel()[cell] = right - 1
+        e *= np.float32(1 / len(at))
+        d_flat, d_weights, d_offsets = np.empty_like(flat), np.zeros_like(weights), np.zeros_like(weights[:, 0])
+        for g, first, last in runs:
+            part = e[first:last]
+            np.matmul(part, weights[g].T, out=d_flat[first:last])
+            d_weights[g] = flat[first:last].T @ part
+            d_offsets[g] = np.ones(last - first, e.dtype) @ part
+        d_h = np.zeros_like(found)
+        d_h.reshape(-1, d)[at] = d_flat
+        d_a = d_h @ both[:, :, d:].transpose(0, 2, 1)
+        d_a -= np.einsum("bij,bij->bi", d_h, found)[:, :, None]
         d_a *= a
-        d_q, d_k = d_a @ k, d_a.transpose(0, 2, 1) @ q
-        d_q *= np.float32(DIMENSIONS**-0.5)
-        d_x = _product(d_k, self.key.T)
-        d_x += _product(d_v, self.value.T)
+        d_both = np.empty_like(both)
+        np.matmul(d_a.transpose(0, 2, 1), q, out=d_both[:, :, :d])
+        np.matmul(a.transpose(0, 2, 1), d_h, out=d_both[:, :, d:])
+        d_q = d_a @ both[:, :, :d]
+        d_x = _product(d_both, np.concatenate([self.key, self.value], axis=1).T)
+        d_h += _product(d_q, self.query.T * np.float32(d**-0.5))
         d_x[:, LEAD:] += d_h
-        d_x[:, LEAD:] += _product(d_q, self.query.T)
 
         def outer(left, right):
-            return left.reshape(-1, DIMENSIONS).T @ right.reshape(-1, DIMENSIONS)
+            return left.reshape(-1, d).T @ right.reshape(-1, right.shape[-1])
 
         rows = self.row.take(inputs.ravel(), mode="wrap")
         order = np.argsort(rows.astype(np.uint16) if len(self.embedding) <= 1 << 16 else rows, kind="stable")
         in_order = rows[order]
         first = np.flatnonzero(np.concatenate([[True], in_order[1:] != in_order[:-1]]))
-        own = np.add.reduceat(d_x.reshape(-1, DIMENSIONS).take(order, axis=0), first)
+        own = np.add.reduceat(d_x.reshape(-1, d).take(order, axis=0), first)
+        d_key, d_value = np.split(outer(x, d_both), 2, axis=1)
         return loss, {
-            "position": d_x.sum(axis=0), "query": outer(ahead, d_q), "key": outer(x, d_k), "value": outer(x, d_v),
-            "out": flat.T @ e, "bias": (factor.T @ e)[0],
+            "position": (np.ones(len(d_x), d_x.dtype) @ d_x.reshape(len(d_x), -1)).reshape(self.position.shape),
+            "query": outer(ahead, d_q) * np.float32(d**-0.5), "key": d_key, "value": d_value,
+            "top": d_weights[:, :, :GROUPS].sum(axis=0), "top_bias": d_offsets[:, :GROUPS].sum(axis=0),
+            "out": d_weights[:, :, GROUPS:].transpose(1, 0, 2).reshape(self.out.shape), "bias": d_offsets[:, GROUPS:].ravel(),
         }, in_order[first], own
 
 
 class Descent:
-    """Steps of Adam on a model in place; a row of the embedding moves when an input names it."""
+    """Steps of Adam on a model in place; a row of the embedding moves when an input names it.
+
+    The other weights move together: they become parts of one array.
+    """
 
     def __init__(self, model: Attention, of: np.ndarray):
-        self.model, self.weights = model, model.weights()
+        self.model = model
         self.empty = np.bincount(of, minlength=CLASSES) == 0
-        self.first = {n: np.zeros_like(w) for n, w in self.weights.items()}
-        self.second = {n: np.zeros_like(w) for n, w in self.weights.items()}
+        weights = {n: w for n, w in model.weights().items() if n != "embedding"}
+        self.names, together, at = list(weights), np.concatenate([w.ravel() for w in weights.values()]), 0
+        for name, weight in weights.items():
+            setattr(model, name, together[at : at + weight.size].reshape(weight.shape))
+            at += weight.size
+        self.moving = [(w, np.zeros_like(w), np.zeros_like(w)) for w in (model.embedding, together)]
         self.steps = 0
 
     def step(self, inputs: np.ndarray, targets: np.ndarray, rate: float) -> np.ndarray:
         """The rows of the embedding that moved."""
         _, slopes, ids, own = self.model.slopes(inputs, targets)
         self.steps += 1
-        for name, slope in slopes.items():
-            self._move(name, slice(None), slope, rate)
-        self._move("embedding", ids, own, rate)
-        self.model.bias[self.empty] = -1e4  # a class without ids can never be right
+        self._move(self.moving[1], None, np.concatenate([slopes[n].ravel() for n in self.names]), rate)
+        self._move(self.moving[0], ids, own, rate)
+        self.model.never(self.empty)
         return ids
 
-    def _move(self, name: str, at, slope: np.ndarray, rate: float) -> None:
-        first, second = self.first[name][at] * 0.9, self.second[name][at] * 0.99
+    def _move(self, moving: tuple, at: np.ndarray | None, slope: np.ndarray, rate: float) -> None:
+        """Move rows ``at``, or all; ``slope`` is used up."""
+        weight, first, second = moving if at is None else (part.take(at, axis=0) for part in moving)
+        first *= 0.9
         first += 0.1 * slope
-        second += 0.01 * slope * slope
-        self.first[name][at], self.second[name][at] = first, second
-        grown, wide = 1 - 0.9**self.steps, 1 - 0.99**self.steps
-        self.weights[name][at] -= rate * (first / grown) / (np.sqrt(second / wide) + 1e-8)
+        second *= 0.99
+        slope *= slope
+        slope *= 0.01
+        second += slope
+        width = np.sqrt(second, out=slope)
+        width *= (1 - 0.99**self.steps) ** -0.5
+        width += 1e-8
+        move = first / width
+        move *= rate / (1 - 0.9**self.steps)
+        weight -= move
+        if at is not None:
+            for whole, part in zip(moving, (weight, first, second)):
+                whole[at] = part
 
 
 class LanguageModel:
@@ -362,54 +452,43 @@ class LanguageModel:
         self.inside = np.ascontiguousarray(inside[:, first])
         scale = np.float32(DIMENSIONS**-0.5)
         place, late = attention.position, attention.position[LEAD:]
-        self.ahead = attention.embedding, late
-        self.query = attention.embedding @ attention.query * scale, late @ attention.query * scale
-        self.key = attention.embedding @ attention.key, place @ attention.key
-        self.value = attention.embedding @ attention.value, place @ attention.value
-        self.out, self.bias = attention.out, attention.bias
-
-        # Exponentials are taken without the largest value off where no value can be large.
-        def longest(*parts: np.ndarray) -> float:
-            return float(sum(np.linalg.norm(p, axis=1).max() for p in parts))
-
-        widest = longest(*self.ahead) + longest(*self.value)
-        self.tame = (
-            longest(*self.query) * longest(*self.key) < 60
-            and widest * np.linalg.norm(self.out, axis=0).max() + float(self.bias.max()) < 80
-        )
+        # Queries beside embeddings, and keys beside values.
+        queries = np.concatenate([attention.query * scale, np.eye(DIMENSIONS, dtype=np.float32)], axis=1)
+        pairs = np.concatenate([attention.key, attention.value], axis=1)
+        self.late = attention.embedding @ queries, late @ queries
+        self.both = attention.embedding @ pairs, place @ pairs
+        self.weights = np.ascontiguousarray(beside_each_group(attention.top, attention.out).transpose(1, 0, 2))
+        self.context = attention.context
+        self.offsets = attention.prior + beside_each_group(attention.top_bias, attention.bias)
 
     def log_probabilities(self, inputs: np.ndarray, targets: np.ndarray) -> np.ndarray:
         """Natural logarithm of the probability of each target, 0 where there is none."""
         rows = self.row.take(inputs, mode="wrap")
-        late = rows[:, LEAD:]
-        q, k, v = self.query[0].take(late, axis=0), self.key[0].take(rows, axis=0), self.value[0].take(rows, axis=0)
-        q += self.query[1]
-        k += self.key[1]
-        v += self.value[1]
-        a = np.matmul(q, k.transpose(0, 2, 1))
-        a += _CAUSAL
-        if not self.tame:
-            np.minimum(a, 60, out=a)
-        np.exp(a, out=a)
-        nothing = inputs < 0
-        if nothing.any():
-            a *= ~nothing[:, None, :]
-        h = np.matmul(a, v)
-        h /= np.maximum(a @ _ONES[:WINDOW], np.float32(1e-30))
-        h += self.ahead[0].take(late, axis=0)
-        h += self.ahead[1]
-        flat = h.reshape(-1, DIMENSIONS)
-        logits = flat @ self.out
-        logits += self.bias
-        if not self.tame and _largest(flat, self.out, self.bias) >= 80:
-            np.minimum(logits, 80, out=logits)
+        late, both = self.late[0].take(rows[:, LEAD:], axis=0), self.both[0].take(rows, axis=0)
+        late += self.late[1]
+        both += self.both[1]
+        a = late[:, :, :DIMENSIONS] @ both[:, :, :DIMENSIONS].transpose(0, 2, 1)
+        _hide(a, inputs)
+        a, total = _exponentials(a, 60)
+        h = a @ both[:, :, DIMENSIONS:]
+        h /= total
+        h += late[:, :, DIMENSIONS:]
         target = targets.ravel()
-        before = inputs[:, LEAD:].ravel()
-        own = logits[np.arange(len(target)), self.of[target]].astype(np.float64)
-        np.exp(logits, out=logits)
+        at = np.flatnonzero(target >= 0)
+        order, runs = by_group(self.of[target[at]])
+        at = at[order]
+        target, before = target[at], inputs[:, LEAD:].ravel()[at]
+        group, within = np.divmod(self.of[target], IN_GROUP)
+        flat = h.reshape(-1, DIMENSIONS).take(at, axis=0)
         context = np.where(self.starts[target], CLASSES, self.of[before])
-        own += self.inside[context, self.column[target]] - np.log((logits @ _ONES)[:, 0])
-        return np.where(target >= 0, own, 0.0).reshape(targets.shape)
+        own = self.inside[context, self.column[target]].astype(np.float64)
+        e, sums = class_exponentials(flat, self.context.take(before), group, runs, self.weights, self.offsets)
+        cell = np.arange(0, e.size, e.shape[1])
+        own += np.log(e.ravel()[cell + group] / sums[:, 0])
+        own += np.log(e.ravel()[cell + GROUPS + within] / sums[:, 1])
+        found = np.zeros(targets.size)
+        found[at] = own
+        return found.reshape(targets.shape)
 
     def score(self, ids: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
         """log10 probability of each sequence."""
@@ -475,7 +554,7 @@ class Neighbours:
         """Class of every id: frequent ids alone, others by k-means over their neighbours.
 
         Ids that start a word and ids that do not are never in one class; the last two classes
-        are for ids of either kind that were not seen.
+        are for ids of either kind that were not seen. ``in_groups`` numbers classes anew.
         """
         of = np.where(starts, CLASSES - 2, CLASSES - 1)
         of[self.alone] = np.arange(len(self.alone))
@@ -494,10 +573,11 @@ class Neighbours:
 
 def classes_of(sample: list[np.ndarray], starts: np.ndarray) -> np.ndarray:
     """Class of every id from sequences that are at hand."""
-    flat = np.concatenate([np.zeros(0, np.int64), *sample])
+    flat, lengths = np.concatenate([np.zeros(0, np.int64), *sample]), np.array(list(map(len, sample)), np.int64)
     seen = np.bincount(flat, minlength=len(starts))
     beside = Neighbours(seen)
-    return beside.classes(seen, starts, *np.unique(beside.cells(flat, np.array(list(map(len, sample)), np.int64)), return_counts=True))
+    of = beside.classes(seen, starts, *np.unique(beside.cells(flat, lengths), return_counts=True))
+    return in_groups(of, pairs_of(flat, lengths, of))[0]
 
 
 def _grouped(table: np.ndarray, weight: np.ndarray, groups: int) -> np.ndarray:
@@ -534,6 +614,63 @@ def shares(counts: np.ndarray, of: np.ndarray) -> np.ndarray:
     return found
 
 
+def prior_of(pairs: np.ndarray) -> np.ndarray:
+    """log shares of groups, and of classes in each group, by the class before (rows).
+
+    ``pairs`` counts (class before, or ``CLASSES`` at the start of a text; class). A row falls
+    back on the shares over all rows, as if those had been seen ``BACK_OFF`` times.
+    """
+
+    def logs(counts: np.ndarray) -> np.ndarray:
+        mass = counts.sum(axis=0) + 0.1
+        plain = mass / mass.sum(axis=-1, keepdims=True)
+        return np.log((counts + BACK_OFF * plain) / (counts.sum(axis=-1, keepdims=True) + BACK_OFF))
+
+    within = pairs.reshape(len(pairs), GROUPS, IN_GROUP)
+    top, classes = logs(within.sum(axis=2)), logs(within)
+    return beside_each_group(top, classes.reshape(pairs.shape)).astype(np.float32)
+
+
+def with_prior(model: Attention, pairs: np.ndarray, of: np.ndarray) -> Attention:
+    """``model`` on top of counts of classes behind each other."""
+    context = of.copy()
+    context[START] = CLASSES  # no text holds it
+    return replace(model, context=context, prior=prior_of(pairs))
+
+
+def pairs_of(ids: np.ndarray, counts: np.ndarray, of: np.ndarray) -> np.ndarray:
+    """How often a class (columns) stands behind another, or at the start of a sequence (last row)."""
+    begins, found = (np.cumsum(counts) - counts)[counts > 0], np.zeros((CLASSES + 1) * CLASSES, np.int64)
+    for at in range(0, len(ids), IDS_AT_ONCE):
+        classes = of[ids[max(at - 1, 0) : at + IDS_AT_ONCE]]
+        before, own = (np.append(CLASSES, classes[:-1]), classes) if at == 0 else (classes[:-1].copy(), classes[1:])
+        before[begins[np.searchsorted(begins, at) : np.searchsorted(begins, at + len(own))] - at] = CLASSES
+        found += np.bincount(before * CLASSES + own, minlength=len(found))
+    return found.reshape(CLASSES + 1, CLASSES)
+
+
+def in_groups(of: np.ndarray, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Classes numbered anew and their ``pairs``: those that stand behind like classes make a group.
+
+    Classes are halved along the widest direction of what stands before them, until a half is a group.
+    """
+    mass = pairs.sum(axis=0)
+    before, weight = np.sqrt(pairs.T / np.maximum(mass, 1)[:, None]), np.sqrt(mass + 1)
+
+    def halved(part: np.ndarray) -> list[np.ndarray]:
+        if len(part) <= IN_GROUP:
+            return [part]
+        rows, own = before[part], weight[part, None]
+        rows = rows - (rows * own).sum(axis=0) / own.sum()
+        widest = np.linalg.svd(rows * np.sqrt(own), full_matrices=False)[2][0]
+        part = part[np.argsort(rows @ widest, kind="stable")]
+        return halved(part[: len(part) // 2]) + halved(part[len(part) // 2 :])
+
+    order = np.concatenate(halved(np.arange(CLASSES)))
+    number = np.argsort(order)
+    return number[of], pairs[np.append(order, CLASSES)][:, order]
+
+
 def train(sample: list[np.ndarray], of: np.ndarray) -> Attention:
     """The attention over classes, from the sampled id sequences.
 
@@ -545,18 +682,18 @@ def train(sample: list[np.ndarray], of: np.ndarray) -> Attention:
     row[known] = np.arange(len(known))
     rng = np.random.default_rng(5)
     model = Attention.fresh(row, len(known) + 1, CLASSES, rng)
-    # A class without ids can never be right.
     empty = np.bincount(of, minlength=CLASSES) == 0
-    model.bias[empty] = -1e4
+    model.never(empty)
     if not any(len(ids) for ids in sample):
-        model.out[:] = 0
+        model.top_bias[:] = np.log(np.maximum((~empty).reshape(GROUPS, IN_GROUP).sum(axis=1), 1))
+        model.top[:] = model.out[:] = 0
+        model.never(empty)
         return model
     lengths = np.array([len(s) for s in sample], np.int64)
     flat = np.concatenate(sample)
+    model = with_prior(model, pairs_of(flat, lengths, of), of)
     inputs, targets, _ = windows_of(flat, np.cumsum(lengths) - lengths, lengths)
     classes = np.where(targets >= 0, of[targets], -1)
-    frequent = np.bincount(of[flat], minlength=CLASSES) + 0.5
-    model.bias[~empty] = np.log(frequent / frequent.sum())[~empty]
     descent, total = Descent(model, of), EPOCHS * -(-len(inputs) // BATCH)
     for _ in range(EPOCHS):
         order = rng.permutation(len(inputs))
@@ -725,6 +862,20 @@ def learned(batches: Iterator[pa.RecordBatch], kind: type) -> Iterator[tuple[np.
                 yield ids[np.repeat(trains, lengths)], lengths[trains]
 
 
+class Pairs:
+    """How often classes stand behind each other in training documents."""
+
+    def __init__(self, of: np.ndarray):
+        self.of, self.kind = of, kind_of(len(of))
+
+    def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((CLASSES + 1, CLASSES), np.int64)
+        for ids, counts in learned(batches, self.kind):
+            total += pairs_of(ids, counts, self.of)
+        cell = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(cell.astype(np.int32)), pa.array(total.ravel()[cell])], names=["cell", "n"])
+
+
 #: A row of the weights, how many steps moved it, and its values times that.
 MOVED = ", ".join(["row int", "weight double", *(f"w{i} double" for i in range(DIMENSIONS))])
 
@@ -863,13 +1014,17 @@ def score(
     _sums_into(neighbours, encoded.select("marks", "lengths", "pieces").mapInArrow(beside, "cell int, n long"), **FEW_ROWS)
     cell = np.flatnonzero(neighbours)
     of = beside.classes(seen, starts, cell, neighbours[cell])
+    pairs = np.zeros((CLASSES + 1, CLASSES), np.int64)
+    _sums_into(pairs.ravel(), encoded.select("marks", "lengths", "pieces").mapInArrow(Pairs(of), "cell int, n long"), **FEW_ROWS)
+    of, pairs = in_groups(of, pairs)
     cells = np.zeros((CLASSES + 1, size))
     _sums_into(cells.ravel(), words.mapInArrow(IdCounts(of, starts), "cell long, n long"))
     cells[CLASSES, END] = ends
 
     attention = train(sample, of)
     if ends:
-        attention = taught(encoded, attention.with_ids(np.flatnonzero(seen), of), of)
+        attention = with_prior(attention, pairs, of).with_ids(np.flatnonzero(seen), of)
+        attention = taught(encoded, attention, of)
     model = spark.sparkContext.broadcast(LanguageModel(attention, of, shares(cells, of), starts))
     schema = (
         "id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
