@@ -4,7 +4,9 @@ from collections import Counter
 from zlib import crc32
 
 import numpy as np
+import pyarrow as pa
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from tests.llm.helpers import awkward_rows, empty, frame, prose
@@ -254,3 +256,23 @@ def test_without_training_documents_scores_are_finite(spark):
     held = [i for i in range(100) if crc32(str(i).encode()) % 7 == 2]
     got = lm.score(frame(spark, [(i, "one two three", "en", "a", None) for i in held])).collect()
     assert len(got) == len(held) and all(r.held_out and math.isfinite(r.score) and r.score < 0 for r in got)
+
+
+def test_words_are_looked_up_for_many_documents_at_once(monkeypatch):
+    texts = [[b"One two  THREE", b"", b" \t "], [], [b"\xff\x00 two", b"three"], [b""], [b"one " * 50]]
+    table = pa.table({
+        "ids": [[10 * i + j for j in range(len(t))] for i, t in enumerate(texts)], "marks": [[1] * len(t) for t in texts],
+        "sizes": [list(map(len, t)) for t in texts], "texts": [zstandard.ZstdCompressor().compress(b"".join(t)) for t in texts],
+    })
+    words = [b"three", b"two", b"one", b"\xff\x00"]
+    looked_up, calls = lm.pc.index_in, []
+    monkeypatch.setattr(lm.pc, "index_in", lambda *a, **k: calls.append(1) or looked_up(*a, **k))
+    for at_once, many in ((0, 5), (1 << 20, 1)):
+        monkeypatch.setattr(lm, "BYTES_AT_ONCE", at_once)
+        calls.clear()
+        got = list(lm.numbered(table, lm._binaries(b"".join(words), np.array(list(map(len, words))))))
+        assert [k for _, k, *_ in got] == table["ids"].to_pylist() and len(calls) <= many
+        assert [n.tolist() for _, _, n, _ in got] == [[len(lm.words_of(x)) for x in t] for t in texts]
+        assert [own.tolist() for *_, own in got] == [[words.index(w) for x in t for w in lm.words_of(x)] for t in texts]
+    empty = lm.numbered(table.slice(3, 1), lm._binaries(b"", np.zeros(0, np.int32)))
+    assert [(n.tolist(), own.tolist()) for _, _, n, own in empty] == [([0], [])]

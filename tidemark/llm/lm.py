@@ -37,10 +37,11 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from tidemark.llm.blocks import answered, for_each_block, in_blocks, unpack_answers, unpack_texts
+from tidemark.llm.blocks import answered, for_each_block, in_blocks, unpack_raw, unpack_texts
 from tidemark.llm.common import remainder, slices, staged, stretch
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -73,6 +74,8 @@ WORDS_AT_ONCE = 2_000
 WINDOWS_AT_ONCE = 256
 WINDOWS_LAID_OUT = 16_384
 IDS_AT_ONCE = 400_000
+#: Bytes of words that are looked up at once.
+BYTES_AT_ONCE = 16 << 20
 NEIGHBOURS_AT_ONCE = 4_000_000
 
 #: Weight of the share over all contexts.
@@ -798,22 +801,17 @@ class Encoder:
         self.unigram, self.kind = unigram, kind_of(size)
 
     def block(self, texts: pa.Table, answers: pa.Table) -> pa.Table:
-        words, lengths, values = unpack_answers(answers)
+        raw, letters, lengths, values = unpack_raw(answers)
         count, pieces, sizes = _split(lengths.astype(np.int64), values)
+        words = _binaries(raw, letters)
         del values, lengths
         pieces, sizes = pieces.astype(self.kind), sizes.astype(np.int32)
-        number = dict(zip(words, range(len(words))))
-        del words
         begins = np.cumsum(sizes) - sizes
         base, seen = self.unigram.log10(count), count > 0
         end = float(self.unigram.log10(np.array(self.unigram.ends)))
         pack = zstandard.ZstdCompressor(level=1).compress
         rows = []
-        for marks, (keys, packed) in zip(texts["marks"], unpack_texts(texts)):
-            split = list(map(words_of, packed))
-            many = np.array(list(map(len, split)), np.int64)
-            own = np.fromiter(map(number.__getitem__, chain.from_iterable(split)), np.int32, int(many.sum()))
-            del split
+        for marks, keys, many, own in numbered(texts, words):
             each = sizes[own]
             lengths = _sums(each, many) + 1
             # Every document ends with the end.
@@ -832,6 +830,36 @@ class Encoder:
         return pa.table([*columns, pa.array(packs, pa.binary())], names=["ids", "marks", "tokens", "known", "base", "lengths", "pieces"])
 
 
+def _binaries(raw: bytes, sizes: np.ndarray) -> pa.Array:
+    """Values of so many bytes, cut out of ``raw``."""
+    at = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+    return pa.Array.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(at), pa.py_buffer(raw)])
+
+
+def numbered(texts: pa.Table, words: pa.Array) -> Iterator[tuple[pa.Scalar, list, np.ndarray, np.ndarray]]:
+    """Marks and ids of some documents at a time, how many words each has, and where these stand in ``words``."""
+
+    def found() -> Iterator[tuple]:
+        own = pc.index_in(pa.chunked_array([h[-1] for h in held], words.type), value_set=words).to_numpy()
+        ends = np.cumsum([len(h[-1]) for h in held])  # the answer leaves out chunks without words
+        for (*rest, _), part in zip(held, np.split(own, ends[:-1])):
+            yield *rest, part
+
+    held, size = [], 0
+    for marks, (keys, packed) in zip(texts["marks"], unpack_texts(texts)):
+        split = list(map(words_of, packed))
+        many = np.array(list(map(len, split)), np.int64)
+        held.append((marks, keys, many, pa.array(list(chain.from_iterable(split)), words.type)))
+        size += held[-1][-1].nbytes
+        if size > BYTES_AT_ONCE:
+            yield from found()
+            held, size = [], 0
+    if held:
+        yield from found()
+    held.clear()
+    pa.default_memory_pool().release_unused()  # the worker goes on to other tasks
+
+
 def _sums(values: np.ndarray, many: np.ndarray) -> np.ndarray:
     """Sums of runs of so many values."""
     kind = np.float64 if values.dtype.kind == "f" else np.int64
