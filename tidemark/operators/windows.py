@@ -243,7 +243,7 @@ def moving(
     of ``block`` rows, and the last rows of a block are copied into the next as lead-in.
     """
     ordinary, crowded = split_hot(df, keys, sequence)
-    blocks = _moving_blocks(crowded, keys, sequence, rows_before, block, aggregates)
+    blocks = moving_blocks(crowded, keys, sequence, rows_before, block, aggregates)
     if ordinary is None:
         return blocks
     frame = in_order(keys, sequence).rowsBetween(-rows_before, 0)
@@ -251,9 +251,12 @@ def moving(
     return plain.unionByName(blocks)
 
 
-def _moving_blocks(
-    df: DataFrame, keys: list[str], sequence: Sequence, rows_before: int, block: int, aggregates: dict[str, Column]
+def moving_blocks(
+    df: DataFrame, keys: list[str], sequence: Sequence, rows_before: int, block: int = 100_000,
+    aggregates: dict[str, Column] | None = None,
 ) -> DataFrame:
+    """:func:`moving` for hot keys alone."""
+    aggregates = aggregates or {}
     numbered = running(df, keys, sequence, _nth=tally())
     place = F.col("_nth") - 1
     own = whole_part(place, block)

@@ -93,10 +93,14 @@ class Tables:
         """The table as a stream in order of time."""
         return land(self.table(name), ts, SLICES[name]).stream(self.streams, SLICES_PER_BATCH)
 
-    def ended_events(self, event_type: str) -> Ended:
-        """The events as a stream that ends with one event of that type and no user."""
+    def ended_events(self, event_type: str, *columns: str, only: Column | None = None) -> Ended:
+        """The events as a stream that ends with one event of that type and no user.
+
+        ``columns`` and ``only`` tell what is landed of them, if not everything.
+        """
         last = {"ts": F.lit(FAR).cast("timestamp"), "event_type": F.lit(event_type), "value": F.lit(0.0)}
-        return Ended(self, self.table("events"), "ts", SLICES["events"], **last)
+        rows = self.table("events") if only is None else self.table("events").where(only)
+        return Ended(self, rows.select(*columns or rows.columns), "ts", SLICES["events"], **last)
 
     @staticmethod
     def as_events(raw: DataFrame) -> DataFrame:
@@ -113,9 +117,10 @@ class Tables:
         return self.as_events(self.table("events"))
 
     def sensor(self, raw: DataFrame | None = None) -> DataFrame:
-        events = self.events() if raw is None else self.as_events(raw)
-        return events.select(
-            F.col("user_id").alias("id"), "ts", F.col("value").cast("int").alias("vc"), "event_id"
+        raw = self.table("events") if raw is None else raw
+        return raw.select(
+            F.col("user_id").alias("id"), F.col("ts").cast("timestamp").alias("ts"),
+            F.col("value").cast("int").alias("vc"), "event_id",
         )
 
     def behavior(self, raw: DataFrame | None = None) -> DataFrame:
@@ -149,8 +154,8 @@ class Tables:
 
     def logins(self, raw: DataFrame | None = None) -> DataFrame:
         """Login attempts; ``FAILED`` events are the failures."""
-        events = self.events() if raw is None else self.as_events(raw)
-        return events.select("user_id", "event_type", "ts", "event_id")
+        raw = self.table("events") if raw is None else raw
+        return raw.select("user_id", "event_type", F.col("ts").cast("timestamp").alias("ts"), "event_id")
 
     def order_events(self) -> DataFrame:
         """A create per order and a pay at the order's first shipment."""

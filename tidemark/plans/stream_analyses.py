@@ -20,6 +20,7 @@ from tidemark.plans.batch_analyses import (
     CLIMB_VIEWS,
     COUNTED,
     HOURLY,
+    IN_TIME,
     NTH_CLICK,
     PAIRED,
     SO_FAR,
@@ -38,7 +39,9 @@ from tidemark.session import fresh_path
 from tidemark.sinks.keyed import KeyedTable
 from tidemark.sources import lines
 from tidemark.streaming.drain import drain, drain_batches, drain_latest, drain_updates
+from tidemark.streaming import stages
 from tidemark.streaming.late import LateRouter
+from tidemark.streaming.settled import Stage, drain_settled
 from tidemark.streaming.sliced import Changelog, Moving, StrictNext, sliced
 from tidemark.streaming.stateful import (
     Automaton,
@@ -64,6 +67,12 @@ def sensor_stream(t: Tables, raw: DataFrame | None = None) -> DataFrame:
     return t.sensor(t.stream("events") if raw is None else raw)
 
 
+def settled_sensor(t: Tables, stage: Stage, label: str) -> DataFrame:
+    """What ``stage`` makes of the readings, stretch by stretch of their time."""
+    events = t.ended_events(VIEW, "event_id", "ts", "user_id", "value")
+    return drain_settled(sensor_stream(t, events.rows), t.spark, stage, "ts", EVENTS_LATE, label, end=events.end)
+
+
 def views(t: Tables, raw: DataFrame | None = None) -> DataFrame:
     return t.behavior(t.stream("events") if raw is None else raw).where(F.col("behavior") == VIEW)
 
@@ -445,9 +454,7 @@ def _(t):
        FROM sensor WINDOW f AS (PARTITION BY id ORDER BY us, event_id ROWS 2 PRECEDING)""",
 )
 def _(t):
-    events = t.ended_events(VIEW)
-    moved = sliced(sensor_stream(t, events.rows), "id", "ts", KEY_SLICE, EVENTS_LATE, Moving(3))
-    return drain(moved.select("id", "event_id", "cnt", "total"), "i1", end=events.end)
+    return settled_sensor(t, stages.Moving(IN_TIME, 3), "i1").select("id", "event_id", "cnt", "total")
 
 
 def strict_pairs(t: Tables, label: str, rows_of: str, first: str, second: str, within: str | None) -> DataFrame:
