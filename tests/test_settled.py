@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.conftest import as_frame, by_key
-from tests.test_landing import FAR, HOUR, events, frame
+from tests.test_detections import rising_by_hand
+from tests.test_landing import FAR, HOUR, STEPS, events, frame, walked_by_hand
 from tidemark.operators.running import by_time
 from tidemark.plans import stream_analyses  # noqa: F401
 from tidemark.plans.registry import QUERIES
@@ -22,6 +23,7 @@ IN_ORDER = by_time("ts", "event_id", hot_rows=40)
 #: Queries that paid for state calls, key by key or row by row.
 FREED = [
     "i1_moving_count_stream",
+    "l2_strict_next_stream",
 ]
 
 
@@ -46,7 +48,7 @@ def test_no_row_waits_in_a_state_store(spark, monkeypatch, name):
 
 def stretches(spark, rows, stage, columns, width="15 hours", **kw):
     """``stage`` over the rows, landed in slices and ended by a far row of no key."""
-    far = [(None, FAR, 0, 10**9)]
+    far = [(None, FAR, 60, 10**9)]
     stream = land(frame(spark, rows + far), "ts", width).stream(spark).selectExpr("ts", "event_id", *columns)
     return drain_settled(stream, spark, stage, "ts", width, "settled", **kw)
 
@@ -101,3 +103,16 @@ def test_late_rows_raise(spark):
 def test_no_rows_are_no_results(spark):
     stream = land(frame(spark, events(1)[:0]), "ts", "1 hour").stream(spark).selectExpr("ts", "event_id", *READING)
     assert drain_settled(stream, spark, stages.Moving(IN_ORDER), "ts", "1 hour", "none").collect() == []
+
+
+@pytest.mark.parametrize("within", [None, "20 minutes"])
+def test_strict_next(spark, within):
+    rows = events(30, hot=0.6)
+    limit = None if within is None else 20 * 60
+    want = [
+        (key, a[3], b[3])
+        for key, own in by_key(rows).items() for a, b in zip(own, own[1:])
+        if a[2] < 50 <= b[2] and (limit is None or b[1] - a[1] < limit)
+    ]
+    got = stretches(spark, rows, stages.StrictNext(IN_ORDER, within), ["k AS key", "v < 50 AS first", "v >= 50 AS second"])
+    assert order(map(tuple, got.collect())) == order(want)

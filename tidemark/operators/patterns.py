@@ -80,7 +80,7 @@ def followed_by(
     within: str | None = None,
 ) -> DataFrame:
     """Each ``first`` row with the first later ``second`` row; others are passed over."""
-    stepped = _next_match(df, keys, sequence, first, second, within)
+    stepped = next_match(df, keys, sequence, first, second, within)
     return _matches(
         df, keys, stepped.where(F.col("_next").isNotNull()), "_next", sequence.order[0], within
     )
@@ -96,12 +96,12 @@ def timed_out(
 ) -> DataFrame:
     """The ``first`` rows no ``second`` row followed in time: partial matches."""
     ts = sequence.order[0]
-    stepped = _next_match(df, keys, sequence, first, second, within)
+    stepped = next_match(df, keys, sequence, first, second, within)
     met = F.col("_next").isNotNull() & (_gap(F.col("_next"), ts) < micros(within))
     return stepped.where(~met).select(*df.columns)
 
 
-def _next_match(
+def next_match(
     df: DataFrame,
     keys: list[str],
     sequence: Sequence,

@@ -7,13 +7,14 @@ its watermark has passed, the end of the input lets the rest out.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark import schemas
 from tidemark.functions.columns import severity
 from tidemark.functions.durations import epoch_micros, whole_part
 from tidemark.operators import distinct, windows
 from tidemark.operators.joins import stream_interval_join
+from tidemark.operators.running import by_time
 from tidemark.plans.batch_analyses import (
     AFTER,
     BLOOM_UV,
@@ -61,16 +62,19 @@ EVENTS_LATE = SLICES["events"]
 ORDERS_LATE = SLICES["orders"]
 #: The time of a key that one task takes at once in streams with hot keys.
 KEY_SLICE = "2 days"
+#: The steps of a click and an error after it.
+CLICK_THEN_ERROR = "IF(event_type = 'click', 'first', 'second') AS step"
 
 
 def sensor_stream(t: Tables, raw: DataFrame | None = None) -> DataFrame:
     return t.sensor(t.stream("events") if raw is None else raw)
 
 
-def settled_sensor(t: Tables, stage: Stage, label: str) -> DataFrame:
+def settled_sensor(t: Tables, stage: Stage, name: str, **added: Column) -> DataFrame:
     """What ``stage`` makes of the readings, stretch by stretch of their time."""
     events = t.ended_events(VIEW, "event_id", "ts", "user_id", "value")
-    return drain_settled(sensor_stream(t, events.rows), t.spark, stage, "ts", EVENTS_LATE, label, end=events.end)
+    rows = sensor_stream(t, events.rows).withColumns(added)
+    return drain_settled(rows, t.spark, stage, "ts", EVENTS_LATE, name, end=events.end)
 
 
 def views(t: Tables, raw: DataFrame | None = None) -> DataFrame:
@@ -457,19 +461,25 @@ def _(t):
     return settled_sensor(t, stages.Moving(IN_TIME, 3), "i1").select("id", "event_id", "cnt", "total")
 
 
-def strict_pairs(t: Tables, label: str, rows_of: str, first: str, second: str, within: str | None) -> DataFrame:
-    events = t.ended_events(first)
-    steps = t.logins(events.rows).where(rows_of).select(
-        "user_id", "ts", "event_id",
-        (F.col("event_type") == first).alias("first"), (F.col("event_type") == second).alias("second"),
-    )
-    found = sliced(steps, "user_id", "ts", KEY_SLICE, EVENTS_LATE, StrictNext(within))
-    return drain(found, label, end=events.end).withColumnRenamed("key", "user_id")
+def settled_logins(t: Tables, stage: Stage, label: str, types: list[str], *columns: str) -> DataFrame:
+    """What ``stage`` makes of the logins of these types, all if there are none."""
+    only = F.col("event_type").isin(types) if types else None
+    events = t.ended_events(types[0] if types else VIEW, "event_id", "ts", "user_id", "event_type", only=only)
+    rows = t.logins(events.rows).selectExpr("user_id AS key", "ts", "event_id", *columns)
+    return drain_settled(rows, t.spark, stage, "ts", EVENTS_LATE, label, end=events.end)
+
+
+def strict_pairs(
+    t: Tables, label: str, types: list[str], first: str, second: str, within: str | None
+) -> DataFrame:
+    steps = f"event_type = '{first}' AS first", f"event_type = '{second}' AS second"
+    found = settled_logins(t, stages.StrictNext(IN_TIME, within), label, types, *steps)
+    return found.withColumnRenamed("key", "user_id")
 
 
 @query("l2_strict_next_stream", STRICT.format(first="click", second="error"))
 def _(t):
-    return strict_pairs(t, "l2", "true", "click", FAILED, None)
+    return strict_pairs(t, "l2", [], "click", FAILED, None)
 
 
 @query(
@@ -477,7 +487,7 @@ def _(t):
     STRICT.format(first="error", second="error") + f" AND next_us - us < {2 * HOUR}",
 )
 def _(t):
-    return strict_pairs(t, "m6", "true", FAILED, FAILED, "2 hours")
+    return strict_pairs(t, "m6", [], FAILED, FAILED, "2 hours")
 
 
 @query(
@@ -490,7 +500,7 @@ def _(t):
 )
 def _(t):
     """Failures that follow each other, whatever lies between; two hours apart still count."""
-    return strict_pairs(t, "m5", f"event_type = '{FAILED}'", FAILED, FAILED, "2 hours 1 microsecond")
+    return strict_pairs(t, "m5", [FAILED], FAILED, FAILED, "2 hours 1 microsecond")
 
 
 @query("o7_swings_stream", SWINGS.format(columns="id, first_id, second_id, third_id"))
