@@ -24,6 +24,7 @@ IN_ORDER = by_time("ts", "event_id", hot_rows=40)
 FREED = [
     "i1_moving_count_stream",
     "l2_strict_next_stream",
+    "m1_rising_alarms_stream",
 ]
 
 
@@ -116,3 +117,23 @@ def test_strict_next(spark, within):
     ]
     got = stretches(spark, rows, stages.StrictNext(IN_ORDER, within), ["k AS key", "v < 50 AS first", "v >= 50 AS second"])
     assert order(map(tuple, got.collect())) == order(want)
+
+
+def test_rising(spark):
+    rows = events(30, per_hour=20, hot=0.5)
+    got = stretches(spark, rows, stages.Rising(IN_ORDER, "15 minutes"), READING)
+    want = [(k, s * 1_000_000, (s + 900) * 1_000_000) for k, s in rising_by_hand(rows, 900)]
+    assert want and order(map(tuple, got.collect())) == order(want)
+
+
+def test_alarms_over_the_end_of_a_stretch(spark):
+    """Armed, cancelled by a fall, by the same level and by an early one, all one stretch later."""
+    start = 1_600_020_000 // (15 * HOUR) * 15 * HOUR
+    rows = []
+    for key, level in enumerate([8, 5, 2, None]):
+        rows += [(key, start - 60, 1, 10 * key), (key, start - 30, 5, 10 * key + 1)]
+        rows += [] if level is None else [(key, start + 30, level, 10 * key + 2)]
+    rows += [(9, start + n * 15 * HOUR, -n, 100 + n) for n in range(4)]
+    got = stretches(spark, rows, stages.Rising(IN_ORDER, "2 minutes"), READING)
+    assert sorted(r.id for r in got.collect()) == [0, 3]
+    assert {r.armed_at for r in got.collect()} == {(start - 60) * 1_000_000}

@@ -352,9 +352,7 @@ def _(t):
     **CLIMB_VIEWS,
 )
 def _(t):
-    events = t.ended_events(VIEW)
-    rows = timed(sensor_stream(t, events.rows))
-    return drain(stateful(rows, ["id"], Rising("12 hours"), Rising.OUTPUT), "m1", end=events.end)
+    return settled_sensor(t, stages.Rising(IN_TIME, "12 hours"), "m1")
 
 
 @query(
