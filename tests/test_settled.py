@@ -26,6 +26,7 @@ FREED = [
     "l2_strict_next_stream",
     "m1_rising_alarms_stream",
     "m6_consecutive_failures_stream",
+    "n7_changelog_stream",
 ]
 
 
@@ -138,3 +139,17 @@ def test_alarms_over_the_end_of_a_stretch(spark):
     got = stretches(spark, rows, stages.Rising(IN_ORDER, "2 minutes"), READING)
     assert sorted(r.id for r in got.collect()) == [0, 3]
     assert {r.armed_at for r in got.collect()} == {(start - 60) * 1_000_000}
+
+
+def test_changelog(spark):
+    rows = events(30, hot=0.6)
+    want = []
+    for key, own in by_key(rows).items():
+        so_far = 0
+        for n, row in enumerate(own):
+            if n:
+                want.append((key, row[3], False, so_far))
+            so_far += row[2]
+            want.append((key, row[3], True, so_far))
+    got = stretches(spark, rows, stages.Changelog(IN_ORDER), READING)
+    assert order(map(tuple, got.collect())) == order(want)

@@ -432,9 +432,7 @@ def _(t):
     so_far=f"SELECT *, count(*) {SO_FAR} AS n, CAST(sum(vc) {SO_FAR} AS BIGINT) AS s FROM sensor",
 )
 def _(t):
-    events = t.ended_events(VIEW)
-    changes = sliced(sensor_stream(t, events.rows), "id", "ts", KEY_SLICE, EVENTS_LATE, Changelog())
-    return drain(changes, "n7", end=events.end)
+    return settled_sensor(t, stages.Changelog(IN_TIME), "n7")
 
 
 @query(
