@@ -27,6 +27,7 @@ FREED = [
     "m1_rising_alarms_stream",
     "m6_consecutive_failures_stream",
     "n7_changelog_stream",
+    "f2_reconcile_stream",
 ]
 
 
@@ -153,3 +154,16 @@ def test_changelog(spark):
             want.append((key, row[3], True, so_far))
     got = stretches(spark, rows, stages.Changelog(IN_ORDER), READING)
     assert order(map(tuple, got.collect())) == order(want)
+
+
+def test_matcher(spark):
+    """The n-th of a side meets the n-th of the other; equal times go by number."""
+    rows = events(30, per_hour=16, hot=0.5)
+    sides = {}
+    for key, own in by_key(rows).items():
+        for row in own:
+            sides.setdefault((key, row[2] < 60), []).append(row[3])
+    want = [(k, a, b) for k in range(5) for a, b in zip(sides[k, True], sides[k, False])]
+    columns = ["k AS tx_id", "event_id AS row_id", "IF(v < 60, 'left', 'right') AS side"]
+    got = stretches(spark, rows, stages.Matcher(by_time("ts", "row_id", hot_rows=40)), columns)
+    assert want and order(map(tuple, got.collect())) == order(want)

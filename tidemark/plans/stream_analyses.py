@@ -141,8 +141,8 @@ def _(t):
         t, left.unionByName(right).where("tx_id IS NOT NULL"), "ts", ORDERS_LATE,
         side=F.lit("left"), ts=F.lit(FAR),
     )
-    rows = timed(both.rows, ORDERS_LATE)
-    return drain(stateful(rows, ["tx_id"], Matcher(), Matcher.OUTPUT), "f2", end=both.end)
+    stage = stages.Matcher(by_time("ts", "row_id", width="1 day"))
+    return drain_settled(both.rows, t.spark, stage, "ts", ORDERS_LATE, "f2", end=both.end)
 
 
 @query(
