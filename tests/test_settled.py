@@ -28,6 +28,7 @@ FREED = [
     "m6_consecutive_failures_stream",
     "n7_changelog_stream",
     "f2_reconcile_stream",
+    "k9_keyed_state_stream",
 ]
 
 
@@ -167,3 +168,15 @@ def test_matcher(spark):
     columns = ["k AS tx_id", "event_id AS row_id", "IF(v < 60, 'left', 'right') AS side"]
     got = stretches(spark, rows, stages.Matcher(by_time("ts", "row_id", hot_rows=40)), columns)
     assert want and order(map(tuple, got.collect())) == order(want)
+
+
+def test_history(spark):
+    rows = events(30, hot=0.6)
+    want, groups = [], {}
+    for k, _, v, event_id in sorted(rows, key=lambda r: (r[1], r[3])):
+        seen = groups.setdefault(k, [])
+        seen.append(v)
+        same = sum((x < 50) == (v < 50) for x in seen)
+        want.append((k, event_id, seen[-2] if len(seen) > 1 else None, sum(seen[-3:]), same))
+    got = stretches(spark, rows, stages.History(IN_ORDER), [*READING, "IF(v < 50, 'low', 'high') AS label"])
+    assert order(map(tuple, got.collect())) == order(want)

@@ -313,9 +313,7 @@ def _(t):
          AS label FROM sensor) WINDOW w AS (PARTITION BY id ORDER BY us, event_id)""",
 )
 def _(t):
-    events = t.ended_events(VIEW)
-    rows = timed(sensor_stream(t, events.rows)).withColumn("label", severity(F.col("vc")))
-    return drain(stateful(rows, ["id"], History(), History.OUTPUT), "k9", end=events.end)
+    return settled_sensor(t, stages.History(IN_TIME), "k9", label=severity(F.col("vc")))
 
 
 def timed(df: DataFrame, delay: str = EVENTS_LATE) -> DataFrame:
