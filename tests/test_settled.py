@@ -29,6 +29,7 @@ FREED = [
     "n7_changelog_stream",
     "f2_reconcile_stream",
     "k9_keyed_state_stream",
+    "k10_timer_stream",
 ]
 
 
@@ -180,3 +181,10 @@ def test_history(spark):
         want.append((k, event_id, seen[-2] if len(seen) > 1 else None, sum(seen[-3:]), same))
     got = stretches(spark, rows, stages.History(IN_ORDER), [*READING, "IF(v < 50, 'low', 'high') AS label"])
     assert order(map(tuple, got.collect())) == order(want)
+
+
+def test_one_shot(spark):
+    rows = events(30, keys=40)
+    want = [(k, (own[0][1] + 7200) * 1_000_000) for k, own in by_key(rows).items()]
+    got = stretches(spark, rows, stages.OneShot("2 hours"), READING)
+    assert order(map(tuple, got.collect())) == order(want)

@@ -325,9 +325,7 @@ def timed(df: DataFrame, delay: str = EVENTS_LATE) -> DataFrame:
     f"SELECT id, min(us) + {DAY} AS fired_at FROM sensor GROUP BY id",
 )
 def _(t):
-    events = t.ended_events(VIEW)
-    rows = timed(sensor_stream(t, events.rows))
-    return drain(stateful(rows, ["id"], OneShot("1 day"), OneShot.OUTPUT), "k10", end=events.end)
+    return settled_sensor(t, stages.OneShot("1 day"), "k10")
 
 
 @query(
