@@ -30,6 +30,7 @@ FREED = [
     "f2_reconcile_stream",
     "k9_keyed_state_stream",
     "k10_timer_stream",
+    "m7_payment_status_stream",
 ]
 
 
@@ -188,3 +189,21 @@ def test_one_shot(spark):
     want = [(k, (own[0][1] + 7200) * 1_000_000) for k, own in by_key(rows).items()]
     got = stretches(spark, rows, stages.OneShot("2 hours"), READING)
     assert order(map(tuple, got.collect())) == order(want)
+
+
+def test_payment(spark):
+    """Values under 50 are creates; an order that was reported is corrected by a late pay."""
+    rows = events(60, per_hour=2, keys=60, hot=0)
+    want = []
+    for k, own in by_key(rows).items():
+        created, paid = (min((r[1] for r in own if (r[2] < 50) is side), default=None) for side in (True, False))
+        if created is None or paid is None:
+            want.append((k, "missing_create" if created is None else "unpaid"))
+        else:
+            want.append((k, "paid_late" if paid - created > 7200 else "paid"))
+    assert {status for _, status in want} == set(stages.Payment.STATUS)
+    got = stretches(
+        spark, rows, stages.Payment("2 hours", keep="10000 days"),
+        ["k AS order_id", "IF(v < 50, 'create', 'pay') AS event_type"],
+    )
+    assert order(map(tuple, got.collect())) == order(want)

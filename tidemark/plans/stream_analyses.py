@@ -389,9 +389,8 @@ def _(t):
         t, created.unionByName(paid), "ts", ORDERS_LATE, event_type=F.lit("create"), ts=F.lit(FAR)
     )
     # Lines of these tables ship up to years from their order.
-    payment = Payment("60 days", keep="3000 days")
-    statuses = stateful(timed(both.rows, ORDERS_LATE), ["order_id"], payment, Payment.OUTPUT)
-    return drain_latest(statuses, ["order_id"], ["version"], "m7", end=both.end).drop("version")
+    payment = stages.Payment("60 days", keep="3000 days")
+    return drain_settled(both.rows, t.spark, payment, "ts", ORDERS_LATE, "m7", end=both.end)
 
 
 @query(
