@@ -31,6 +31,7 @@ FREED = [
     "k9_keyed_state_stream",
     "k10_timer_stream",
     "m7_payment_status_stream",
+    "m4_blacklist_stream",
 ]
 
 
@@ -207,3 +208,15 @@ def test_payment(spark):
         ["k AS order_id", "IF(v < 50, 'create', 'pay') AS event_type"],
     )
     assert order(map(tuple, got.collect())) == order(want)
+
+
+def test_click_limit(spark):
+    rows = events(60, hot=0.4)
+    want, clicks = [], {}
+    for k, s, v, event_id in sorted(rows, key=lambda r: (r[1], r[3])):
+        group = k, v % 2, s // 86_400
+        clicks[group] = n = clicks.get(group, 0) + 1
+        if n <= 6:
+            want.append(("pass" if n <= 5 else "alarm", k, v % 2, event_id, s * 1_000_000))
+    got = stretches(spark, rows, stages.ClickLimit(IN_ORDER, 5), ["k AS user_id", "v % 2 AS ad_id"])
+    assert order(map(tuple, got.collect())) == order(want)

@@ -360,12 +360,8 @@ def _(t):
 )
 def _(t):
     events = t.ended_events(VIEW)
-    clicks = timed(
-        t.as_events(events.rows).select("user_id", F.col("k").alias("ad_id"), "ts", "event_id")
-    )
-    return drain(
-        stateful(clicks, ["user_id", "ad_id"], ClickLimit(1), ClickLimit.OUTPUT), "m4", end=events.end
-    )
+    clicks = t.as_events(events.rows).select("user_id", F.col("k").alias("ad_id"), "ts", "event_id")
+    return drain_settled(clicks, t.spark, stages.ClickLimit(IN_TIME, 1), "ts", EVENTS_LATE, "m4", end=events.end)
 
 
 @query(
