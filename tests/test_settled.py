@@ -32,6 +32,7 @@ FREED = [
     "k10_timer_stream",
     "m7_payment_status_stream",
     "m4_blacklist_stream",
+    "o7_swings_stream",
 ]
 
 
@@ -220,3 +221,10 @@ def test_click_limit(spark):
             want.append(("pass" if n <= 5 else "alarm", k, v % 2, event_id, s * 1_000_000))
     got = stretches(spark, rows, stages.ClickLimit(IN_ORDER, 5), ["k AS user_id", "v % 2 AS ad_id"])
     assert order(map(tuple, got.collect())) == order(want)
+
+
+def test_matched(spark):
+    rows = events(30, per_hour=20)
+    want = sorted(m for own in by_key(rows).values() for m in walked_by_hand(own, STEPS, 3600))
+    got = stretches(spark, rows, stages.Matched(IN_ORDER, STEPS, "1 hour"), ["k AS key", "v"])
+    assert want and sorted(tuple(r.events) for r in got.collect()) == want

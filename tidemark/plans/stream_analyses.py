@@ -492,9 +492,7 @@ def _(t):
 
 @query("o7_swings_stream", SWINGS.format(columns="id, first_id, second_id, third_id"))
 def _(t):
-    events = t.ended_events(VIEW)
-    rows = timed(sensor_stream(t, events.rows))
-    found = drain(stateful(rows, ["id"], Automaton(SWING, SWING_BOUND), Automaton.OUTPUT), "o7", end=events.end)
+    found = settled_sensor(t, stages.Matched(IN_TIME, SWING, SWING_BOUND), "o7", key=F.col("id"))
     return found.select(
         F.col("key").alias("id"), *[F.col("events")[i].alias(f"{s.name}_id") for i, s in enumerate(SWING)]
     )
