@@ -33,6 +33,7 @@ FREED = [
     "m7_payment_status_stream",
     "m4_blacklist_stream",
     "o7_swings_stream",
+    "f3_interval_join_stream",
 ]
 
 
@@ -228,3 +229,13 @@ def test_matched(spark):
     want = sorted(m for own in by_key(rows).values() for m in walked_by_hand(own, STEPS, 3600))
     got = stretches(spark, rows, stages.Matched(IN_ORDER, STEPS, "1 hour"), ["k AS key", "v"])
     assert want and sorted(tuple(r.events) for r in got.collect()) == want
+
+
+def test_interval_join(spark):
+    rows = events(30, per_hour=20)
+    want = [
+        (a[0], a[1], b[1]) for own in by_key(rows).values() for a in own if a[2] < 50 for b in own
+        if b[2] >= 50 and -600 <= b[1] - a[1] <= 1200
+    ]
+    got = stretches(spark, rows, stages.IntervalJoin("k", "10 minutes", "20 minutes"), ["k", "v < 50 AS left"])
+    assert want and order((r.l_k, r.l_ts.timestamp(), r.r_ts.timestamp()) for r in got.collect()) == order(want)

@@ -152,14 +152,16 @@ def _(t):
          ON p.tx_id = r.tx_id AND r.us BETWEEN p.us - {15 * DAY} AND p.us + {15 * DAY}""",
 )
 def _(t):
-    left = t.landed("orders", "o_orderdate").select(
-        F.col("o_orderkey").alias("tx_id"), F.col("o_orderdate").cast("timestamp").alias("ts")
+    left = t.table("orders").select(
+        F.col("o_orderkey").alias("tx_id"), F.col("o_orderdate").cast("timestamp").alias("ts"), F.lit(True).alias("left")
     )
-    right = t.landed("lineitem", "l_shipdate").select(
-        F.col("l_orderkey").alias("tx_id"), F.col("l_shipdate").cast("timestamp").alias("ts")
+    right = t.table("lineitem").select(
+        F.col("l_orderkey").alias("tx_id"), F.col("l_shipdate").cast("timestamp").alias("ts"), F.lit(False).alias("left")
     )
-    joined = stream_interval_join(left, right, "tx_id", "ts", "15 days", "15 days", ORDERS_LATE)
-    return drain(joined, "f3")
+    both = Ended(t, left.unionByName(right), "ts", ORDERS_LATE, left=F.lit(True), ts=F.lit(FAR))
+    stage = stages.IntervalJoin("tx_id", "15 days", "15 days")
+    joined = drain_settled(both.rows, t.spark, stage, "ts", ORDERS_LATE, "f3", end=both.end)
+    return joined.select("l_tx_id", "l_ts", "r_tx_id", "r_ts")
 
 
 @query("g2_running_sum_stream", "SELECT id, CAST(sum(vc) AS BIGINT) AS total FROM sensor GROUP BY id")
