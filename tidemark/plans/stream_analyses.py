@@ -436,9 +436,8 @@ def _(t):
     counted=COUNTED,
 )
 def _(t):
-    events = t.ended_events(VIEW)
-    sums = sliced(sensor_stream(t, events.rows), "id", "ts", KEY_SLICE, EVENTS_LATE, Moving(3, slide=2))
-    return drain(sums.select("id", F.col("nth").alias("window_no"), "total"), "h5", end=events.end)
+    sums = settled_sensor(t, stages.Moving(IN_TIME, 3, slide=2), "h5")
+    return sums.select("id", F.col("nth").alias("window_no"), "total")
 
 
 @query(
