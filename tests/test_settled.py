@@ -36,6 +36,7 @@ FREED = [
     "f3_interval_join_stream",
     "m5_repeated_failures_stream",
     "h5_sliding_count_window_stream",
+    "l4_followed_by_any_stream",
 ]
 
 
@@ -241,3 +242,22 @@ def test_interval_join(spark):
     ]
     got = stretches(spark, rows, stages.IntervalJoin("k", "10 minutes", "20 minutes"), ["k", "v < 50 AS left"])
     assert want and order((r.l_k, r.l_ts.timestamp(), r.r_ts.timestamp()) for r in got.collect()) == order(want)
+
+
+@pytest.mark.parametrize("every", [False, True])
+def test_followed_by(spark, every):
+    rows = events(30, per_hour=20, hot=0.5)
+    want = []
+    for key, own in by_key(rows).items():
+        for i, a in enumerate(own):
+            later = [b[3] for b in own[i + 1:] if b[2] > 70 and b[1] - a[1] < 1200]
+            if a[2] >= 30:
+                continue
+            if every:
+                want += [("match", key, a[3], b) for b in later]
+            else:
+                want.append(("match", key, a[3], later[0]) if later else ("timeout", key, a[3], None))
+    rows = [r for r in rows if not 30 <= r[2] <= 70]
+    stage = stages.FollowedBy(IN_ORDER, "20 minutes", every)
+    got = stretches(spark, rows, stage, ["k AS key", "IF(v < 30, 'first', 'second') AS step"])
+    assert order(map(tuple, got.collect())) == order(want)

@@ -506,8 +506,5 @@ def _(t):
         WHERE a.event_type = 'click' AND b.event_type = 'error'""",
 )
 def _(t):
-    events = t.ended_events("click")
-    rows = timed(t.logins(events.rows)).where("event_type IN ('click', 'error')")
-    steps = rows.withColumn("step", F.when(F.col("event_type") == "click", "first").otherwise("second"))
-    found = stateful(steps, ["user_id"], FollowedBy("12 hours", every=True), FollowedBy.OUTPUT)
-    return drain(found.drop("kind"), "l4", end=events.end)
+    stage = stages.FollowedBy(IN_TIME, "12 hours", every=True)
+    return settled_logins(t, stage, "l4", ["click", FAILED], CLICK_THEN_ERROR).drop("kind")
