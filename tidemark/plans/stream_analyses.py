@@ -13,7 +13,6 @@ from tidemark import schemas
 from tidemark.functions.columns import severity
 from tidemark.functions.durations import epoch_micros, whole_part
 from tidemark.operators import distinct, windows
-from tidemark.operators.joins import stream_interval_join
 from tidemark.operators.running import by_time
 from tidemark.plans.batch_analyses import (
     AFTER,
@@ -39,29 +38,15 @@ from tidemark.plans.registry import DAY, FAILED, FAR, HOUR, MINUTE, SLICES, VIEW
 from tidemark.session import fresh_path
 from tidemark.sinks.keyed import KeyedTable
 from tidemark.sources import lines
-from tidemark.streaming.drain import drain, drain_batches, drain_latest, drain_updates
 from tidemark.streaming import stages
+from tidemark.streaming.drain import drain, drain_batches, drain_updates
 from tidemark.streaming.late import LateRouter
 from tidemark.streaming.settled import Stage, drain_settled
-from tidemark.streaming.sliced import Changelog, Moving, StrictNext, sliced
-from tidemark.streaming.stateful import (
-    Automaton,
-    ClickLimit,
-    FollowedBy,
-    History,
-    Matcher,
-    OneShot,
-    Payment,
-    Rising,
-    Visitors,
-    stateful,
-)
+from tidemark.streaming.stateful import Visitors, stateful
 from tidemark.streaming.windows import distinct_per, ranked, session_counts, sliding_counts, tolerant
 
 EVENTS_LATE = SLICES["events"]
 ORDERS_LATE = SLICES["orders"]
-#: The time of a key that one task takes at once in streams with hot keys.
-KEY_SLICE = "2 days"
 #: The steps of a click and an error after it.
 CLICK_THEN_ERROR = "IF(event_type = 'click', 'first', 'second') AS step"
 
@@ -403,14 +388,7 @@ def _(t):
             WHERE a.event_type = 'click' GROUP BY 1, 2, 3))""",
 )
 def _(t):
-    events = t.ended_events("click")
-    rows = timed(t.logins(events.rows)).where("event_type IN ('click', 'error')")
-    steps = rows.withColumn(
-        "step", F.when(F.col("event_type") == "click", "first").otherwise("second")
-    )
-    return drain(
-        stateful(steps, ["user_id"], FollowedBy("12 hours"), FollowedBy.OUTPUT), "l8", end=events.end
-    )
+    return settled_logins(t, stages.FollowedBy(IN_TIME, "12 hours"), "l8", ["click", FAILED], CLICK_THEN_ERROR)
 
 
 @query("n6_append_stream", "SELECT id, us AS ts, vc FROM sensor WHERE id = 8")
