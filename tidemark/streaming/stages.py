@@ -29,6 +29,20 @@ def with_carry(rows: DataFrame, carry: DataFrame | None) -> DataFrame:
     return new if carry is None else carry.select(*new.columns).unionByName(new)
 
 
+def numbered_moving(every: DataFrame, sequence: Sequence, rows_before: int, **aggregates: Column) -> DataFrame:
+    """Aggregates over the last rows of an ``id`` and ``nth``, its number; rows that tie keep one order for both."""
+    ordinary, crowded = split_hot(every, ["id"], sequence)
+    order = in_order(["id"], sequence)
+    frame = order.rowsBetween(-rows_before, 0)
+    plain = ordinary.select(
+        "*", F.sum(STANDS).over(order.rowsBetween(Window.unboundedPreceding, 0)).alias("nth"),
+        *[agg.over(frame).alias(name) for name, agg in aggregates.items()],
+    )
+    numbered = running(crowded, ["id"], sequence, nth=total(F.col(STANDS)))
+    along = replace(sequence, order=("nth",))
+    return plain.unionByName(windows.moving_blocks(numbered, ["id"], along, rows_before, aggregates=aggregates))
+
+
 class Moving(Stage):
     """Number and sum over the last ``span`` rows of a key, after every ``slide`` rows.
 
@@ -41,17 +55,7 @@ class Moving(Stage):
 
     def results(self, rows: DataFrame, carry: DataFrame | None, stretch: Stretch) -> DataFrame:
         every = with_carry(rows.select("id", "ts", "event_id", "vc"), carry)
-        ordinary, crowded = split_hot(every, ["id"], self.sequence)
-        order = in_order(["id"], self.sequence)
-        frame = order.rowsBetween(1 - self.span, 0)
-        sums = {"cnt": F.count(F.lit(1)), "total": F.sum("vc")}
-        plain = ordinary.select(
-            "*", F.sum(STANDS).over(order.rowsBetween(Window.unboundedPreceding, 0)).alias("nth"),
-            *[agg.over(frame).alias(name) for name, agg in sums.items()],
-        )
-        numbered = running(crowded, ["id"], self.sequence, nth=total(F.col(STANDS)))
-        along = replace(self.sequence, order=("nth",))
-        return plain.unionByName(windows.moving_blocks(numbered, ["id"], along, self.span - 1, aggregates=sums))
+        return numbered_moving(every, self.sequence, self.span - 1, cnt=F.count(F.lit(1)), total=F.sum("vc"))
 
     def carry(self, rows: DataFrame, written: DataFrame, carry: DataFrame | None) -> DataFrame:
         back = F.row_number().over(Window.partitionBy("id").orderBy(F.col("nth").desc()))
@@ -209,13 +213,15 @@ class History(Stage):
         own = rows.select("id", "ts", "event_id", "vc", "label")
         recent = with_carry(own, None if carry is None else carry.where("NOT counts"))
         lately = F.collect_list(F.struct("vc"))
-        moved = windows.moving(recent, ["id"], self.sequence, max(1, self.span - 1), lately=lately).where(~F.col(OLD))
+        moved = numbered_moving(recent, self.sequence, max(1, self.span - 1), lately=lately).where(~F.col(OLD))
         every = moved if carry is None else moved.unionByName(
             carry.where("counts").select(
-                "id", "ts", "event_id", "vc", "label", OLD, STANDS, F.lit(None).cast(moved.schema["lately"].dataType).alias("lately")
+                "id", "ts", "event_id", "vc", "label", OLD, STANDS,
+                *[F.lit(None).cast(moved.schema[c].dataType).alias(c) for c in ("nth", "lately")],
             )
         )
-        return running(every, ["id", "label"], self.sequence, same_label=total(F.col(STANDS)))
+        along = replace(self.sequence, order=(*self.sequence.order, "nth"))
+        return running(every, ["id", "label"], along, same_label=total(F.col(STANDS)))
 
     def carry(self, rows: DataFrame, written: DataFrame, carry: DataFrame | None) -> DataFrame:
         own = ["id", "ts", "event_id", "vc", "label"]
